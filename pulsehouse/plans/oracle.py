@@ -93,3 +93,50 @@ snap2 AS (SELECT user_id, signup_date,
 
 def with_ctes(body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+# Type-2 history after two runs of the check strategy on (plan, country).
+SCD_CTE = """
+v1 AS (
+  SELECT user_id, signup_date, plan, country,
+    md5(user_id || '|' || '2024-01-01 00:00:00') AS dbt_scd_id,
+    TIMESTAMP '2024-01-01 00:00:00' AS dbt_updated_at, TIMESTAMP '2024-01-01 00:00:00' AS dbt_valid_from,
+    CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM snap1 WHERE user_id IS NOT NULL),
+sj AS (
+  SELECT v1.*, s.user_id AS s_user_id, s.signup_date AS s_signup_date, s.plan AS s_plan, s.country AS s_country,
+    (v1.user_id IS NOT NULL AND s.user_id IS NOT NULL
+     AND (v1.plan IS DISTINCT FROM s.plan OR v1.country IS DISTINCT FROM s.country)) AS changed
+  FROM v1 FULL OUTER JOIN snap2 s ON v1.user_id = s.user_id),
+scd AS (
+  SELECT user_id, signup_date, plan, country, dbt_scd_id, dbt_updated_at, dbt_valid_from,
+    CASE WHEN changed THEN TIMESTAMP '2024-01-15 00:00:00' ELSE dbt_valid_to END AS dbt_valid_to
+  FROM sj WHERE user_id IS NOT NULL
+  UNION ALL
+  SELECT s_user_id, s_signup_date, s_plan, s_country, md5(s_user_id || '|' || '2024-01-15 00:00:00'),
+    TIMESTAMP '2024-01-15 00:00:00', TIMESTAMP '2024-01-15 00:00:00', CAST(NULL AS TIMESTAMP)
+  FROM sj WHERE s_user_id IS NOT NULL AND (user_id IS NULL OR changed)),
+cur AS (SELECT * FROM scd WHERE dbt_valid_to IS NULL)
+"""
+
+# Same two runs with the timestamp strategy on ``updated_at``.
+SCD_TS_CTE = """
+t1 AS (
+  SELECT user_id, signup_date, plan, country, updated_at,
+    md5(user_id || '|' || strftime(updated_at, '%Y-%m-%d %H:%M:%S')) AS dbt_scd_id,
+    updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM snap1),
+tj AS (
+  SELECT t1.*, s.user_id AS s_user_id, s.signup_date AS s_signup_date, s.plan AS s_plan,
+    s.country AS s_country, s.updated_at AS s_updated_at,
+    (t1.user_id IS NOT NULL AND s.user_id IS NOT NULL AND s.updated_at > t1.dbt_updated_at) AS changed
+  FROM t1 FULL OUTER JOIN snap2 s ON t1.user_id = s.user_id),
+scd_ts AS (
+  SELECT user_id, signup_date, plan, country, updated_at, dbt_scd_id, dbt_updated_at, dbt_valid_from,
+    CASE WHEN changed THEN s_updated_at ELSE dbt_valid_to END AS dbt_valid_to
+  FROM tj WHERE user_id IS NOT NULL
+  UNION ALL
+  SELECT s_user_id, s_signup_date, s_plan, s_country, s_updated_at,
+    md5(s_user_id || '|' || strftime(s_updated_at, '%Y-%m-%d %H:%M:%S')),
+    s_updated_at, s_updated_at, CAST(NULL AS TIMESTAMP)
+  FROM tj WHERE s_user_id IS NOT NULL AND (user_id IS NULL OR changed))
+"""

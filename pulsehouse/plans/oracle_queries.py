@@ -1,7 +1,7 @@
 """Final SELECTs of the oracle, keyed like the query registry."""
 from __future__ import annotations
 
-from .oracle import BRONZE_CTE, USERS_CTE, with_ctes
+from .oracle import BRONZE_CTE, SCD_CTE, SCD_TS_CTE, USERS_CTE, with_ctes
 
 SILVER_COLS = ("event_id, \"timestamp\", event_ts, event_date, event_hour, service, endpoint, "
                "method, status_code, latency_ms, user_id, region, ip, error_message, is_error, "
@@ -44,3 +44,143 @@ sql("daily_active_users", """
 SELECT event_date, CAST(sum(active_users) AS BIGINT) AS active_users,
   CAST(sum(total_requests) AS BIGINT) AS total_requests
 FROM dau GROUP BY event_date ORDER BY event_date""")
+
+BRONZE_COLS = ("event_id, \"timestamp\", service, endpoint, method, status_code, latency_ms, "
+               "user_id, region, ip, error_message")
+
+
+def sql_users(name: str, body: str, *extra: str):
+    ORACLE[name] = with_ctes(body, BRONZE_CTE, USERS_CTE, *extra)
+
+
+sql("hour_label", """
+SELECT service, event_date, event_hour,
+  CAST(event_date AS VARCHAR) || ' ' || lpad(CAST(event_hour AS VARCHAR), 2, '0') || ':00' AS label
+FROM kpis""")
+
+sql("service_health_flag", """
+SELECT *, CASE WHEN error_rate_pct > 10 THEN 'high' ELSE 'ok' END AS health FROM (
+SELECT service, CAST(sum(total_requests) AS BIGINT) AS total_requests,
+  CAST(sum(error_count) AS BIGINT) AS total_errors,
+  round(100.0::DOUBLE * sum(error_count) / sum(total_requests), 2) AS error_rate_pct,
+  round(avg(p95_latency_ms), 0) AS avg_p95_latency_ms,
+  CAST(sum(unique_users) AS BIGINT) AS user_events
+FROM kpis GROUP BY service) h""")
+
+sql("quarantine", f"""
+SELECT {BRONZE_COLS},
+  CASE WHEN event_id IS NULL THEN 'missing_event_id' WHEN event_ts IS NULL THEN 'bad_timestamp'
+       WHEN service IS NULL THEN 'missing_service' END AS reject_reason
+FROM bronze_dirty WHERE event_id IS NULL OR event_ts IS NULL OR service IS NULL""")
+
+sql("silver_counts", """
+SELECT (SELECT count(*) FROM bronze_dirty) AS raw_count, (SELECT count(*) FROM silver) AS clean_count""")
+
+sql("silver_dedup", f"SELECT {SILVER_COLS} FROM silver")
+
+sql("p95_by_service", """
+SELECT service, quantile_disc(latency_ms, 0.95) AS p95_latency_ms, count(*) AS total_requests
+FROM stg GROUP BY service""")
+
+sql("traffic_by_hour", """
+SELECT event_hour, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct
+FROM stg GROUP BY event_hour""")
+
+sql("top_users", """
+SELECT user_id, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count
+FROM stg WHERE user_id IS NOT NULL GROUP BY user_id
+ORDER BY total_requests DESC, user_id LIMIT 10""")
+
+sql("dq_unique", """
+SELECT event_id, count(*) AS n_records FROM stg WHERE event_id IS NOT NULL
+GROUP BY event_id HAVING count(*) > 1""")
+
+sql("dq_not_null", """
+SELECT 'stg_events' AS model, 'event_id' AS column_name, count(*) FILTER (WHERE event_id IS NULL) AS failures FROM stg
+UNION ALL SELECT 'stg_events', 'service', count(*) FILTER (WHERE service IS NULL) FROM stg
+UNION ALL SELECT 'stg_events', 'status_code', count(*) FILTER (WHERE status_code IS NULL) FROM stg
+UNION ALL SELECT 'mart_service_hourly_kpis', 'service', count(*) FILTER (WHERE service IS NULL) FROM kpis
+UNION ALL SELECT 'mart_service_hourly_kpis', 'total_requests', count(*) FILTER (WHERE total_requests IS NULL) FROM kpis
+UNION ALL SELECT 'mart_daily_active_users', 'event_date', count(*) FILTER (WHERE event_date IS NULL) FROM dau
+UNION ALL SELECT 'mart_daily_active_users', 'active_users', count(*) FILTER (WHERE active_users IS NULL) FROM dau
+UNION ALL SELECT 'mart_error_analytics', 'service', count(*) FILTER (WHERE service IS NULL) FROM errs
+UNION ALL SELECT 'mart_error_analytics', 'error_count', count(*) FILTER (WHERE error_count IS NULL) FROM errs""")
+
+sql("dq_error_rate_range", """
+SELECT service, event_date, event_hour, error_rate_pct FROM kpis
+WHERE error_rate_pct < 0 OR error_rate_pct > 100""")
+
+sql("dq_accepted_values", """
+SELECT 'service' AS column_name, service AS value, count(*) AS n_records FROM stg
+WHERE service IS NOT NULL AND service NOT IN ('auth-api', 'payments-api', 'search-api', 'notification-svc', 'user-svc')
+GROUP BY service
+UNION ALL
+SELECT 'method', method, count(*) FROM stg
+WHERE method IS NOT NULL AND method NOT IN ('GET', 'POST', 'PUT', 'DELETE') GROUP BY method""")
+
+sql_users("dq_relationships", """
+SELECT user_id, count(*) AS n_records FROM stg
+WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.user_id = stg.user_id)
+GROUP BY user_id""", SCD_CTE)
+
+sql("dq_freshness", """
+SELECT max_loaded_at, snapshotted_at, age_hours,
+  CASE WHEN age_hours > 24 THEN 'error' WHEN age_hours > 12 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT max(event_ts) AS max_loaded_at, TIMESTAMP '2024-01-31 00:00:00' AS snapshotted_at,
+  round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_ts))) / 3600000000.0, 3) AS age_hours
+  FROM silver) f""")
+
+sql_users("users_scd2_initial", "SELECT * FROM v1", SCD_CTE)
+sql_users("users_scd2", "SELECT * FROM scd", SCD_CTE)
+sql_users("users_current", "SELECT * FROM cur", SCD_CTE)
+sql_users("users_scd2_ts", "SELECT * FROM scd_ts", SCD_TS_CTE)
+
+sql_users("kpis_by_plan", """
+SELECT cur.plan, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct,
+  count(DISTINCT stg.user_id) AS unique_users
+FROM stg LEFT JOIN cur ON stg.user_id = cur.user_id GROUP BY cur.plan""", SCD_CTE)
+
+sql_users("kpis_by_plan_inner", """
+SELECT cur.plan, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct,
+  count(DISTINCT stg.user_id) AS unique_users
+FROM stg JOIN cur ON stg.user_id = cur.user_id GROUP BY cur.plan""", SCD_CTE)
+
+sql_users("events_asof_plan", """
+SELECT stg.event_date, h.plan, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct
+FROM stg LEFT JOIN scd h ON stg.user_id = h.user_id AND stg.event_ts >= h.dbt_valid_from
+  AND (h.dbt_valid_to IS NULL OR stg.event_ts < h.dbt_valid_to)
+GROUP BY stg.event_date, h.plan""", SCD_CTE)
+
+sql("hour_over_hour_self", """
+SELECT k.service, k.event_date, k.event_hour, k.total_requests, p.total_requests AS prev_total_requests,
+  k.total_requests - p.total_requests AS delta_requests, k.error_rate_pct,
+  p.error_rate_pct AS prev_error_rate_pct
+FROM kpis k LEFT JOIN kpis p ON k.service = p.service
+  AND CAST(p.event_date AS TIMESTAMP) + to_hours(p.event_hour + 1)
+    = CAST(k.event_date AS TIMESTAMP) + to_hours(k.event_hour)""")
+
+sql("busiest_hours", """
+SELECT * FROM (
+  SELECT service, event_date, event_hour, total_requests,
+    row_number() OVER (PARTITION BY service ORDER BY total_requests DESC, event_date, event_hour) AS hour_rank
+  FROM kpis) r WHERE hour_rank <= 3""")
+
+sql("service_rank_hourly", """
+SELECT event_date, event_hour, service, error_rate_pct,
+  CAST(rank() OVER w AS INTEGER) AS error_rank, CAST(dense_rank() OVER w AS INTEGER) AS error_dense_rank
+FROM kpis WINDOW w AS (PARTITION BY event_date, event_hour ORDER BY error_rate_pct DESC)""")
+
+sql("cumulative_requests", """
+SELECT service, event_date, event_hour, total_requests,
+  CAST(sum(total_requests) OVER (PARTITION BY service ORDER BY event_date, event_hour
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_requests
+FROM kpis""")

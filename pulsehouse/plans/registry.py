@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, serving, silver
+from ..functions.expressions import hour_label
+from ..operators import enrich, marts, quality, scd2, serving, silver
 from ..session import prepare
 from ..sources import bridge
 
@@ -108,3 +109,167 @@ def q_latency(spark, sf_dir):
 @register("daily_active_users")
 def q_daily_active_users(spark, sf_dir):
     return serving.active_users_by_day(dau_frame(spark, sf_dir))
+
+
+# --- row-level operators -----------------------------------------------------
+
+@register("hour_label")
+def q_hour_label(spark, sf_dir):
+    """The dashboard's 'YYYY-MM-DD HH:00' bucket label."""
+    k = kpis_frame(spark, sf_dir)
+    return k.select("service", "event_date", "event_hour",
+                    hour_label(F.col("event_date"), F.col("event_hour")).alias("label"))
+
+
+@register("service_health_flag")
+def q_service_health_flag(spark, sf_dir):
+    """V1 with the high/ok flag the dashboard computes client-side."""
+    return serving.service_health_flagged(kpis_frame(spark, sf_dir))
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    """Rejected Bronze rows with the first failed gate."""
+    return silver.quarantine(bridge.bronze(spark, sf_dir, dirty=True))
+
+
+@register("silver_counts")
+def q_silver_counts(spark, sf_dir):
+    """Raw and cleaned counts in one pass."""
+    return silver.stage_counts(bridge.bronze(spark, sf_dir, dirty=True))
+
+
+@register("silver_dedup")
+def q_silver_dedup(spark, sf_dir):
+    """D1 with a repeatable survivor (smallest row per event_id)."""
+    b = silver.derive(bridge.bronze(spark, sf_dir, dirty=True)).filter(silver.gate_condition())
+    return ntz(silver.dedup(b, deterministic=True), "event_ts")
+
+
+# --- ad-hoc analytics ----------------------------------------------------------
+
+@register("p95_by_service")
+def q_p95_by_service(spark, sf_dir):
+    return serving.p95_by_service(stg_frame(spark, sf_dir))
+
+
+@register("traffic_by_hour")
+def q_traffic_by_hour(spark, sf_dir):
+    return serving.traffic_by_hour(stg_frame(spark, sf_dir))
+
+
+@register("top_users")
+def q_top_users(spark, sf_dir):
+    return serving.top_users(stg_frame(spark, sf_dir), k=10)
+
+
+# --- data quality ----------------------------------------------------------------
+
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    return quality.unique(stg_frame(spark, sf_dir), "event_id")
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    stg = stg_frame(spark, sf_dir)
+    return quality.not_null_suite(stg, marts.service_hourly_kpis(stg),
+                                  marts.daily_active_users(stg), marts.error_analytics(stg))
+
+
+@register("dq_error_rate_range")
+def q_dq_error_rate_range(spark, sf_dir):
+    return quality.error_rate_out_of_range(kpis_frame(spark, sf_dir))
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    return quality.accepted_values_suite(stg_frame(spark, sf_dir))
+
+
+@register("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    return quality.relationships(stg_frame(spark, sf_dir),
+                                 scd2.current(users_history(spark, sf_dir)), "user_id")
+
+
+@register("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    return quality.freshness(silver_frame(spark, sf_dir), "event_ts", FRESHNESS_AS_OF)
+
+
+# --- users dimension (type-2 snapshot) ------------------------------------------
+
+CHECK_COLS = ["plan", "country"]
+FRESHNESS_AS_OF = "2024-01-31 00:00:00"
+
+
+def users_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s1, s2 = bridge.users_snapshots(spark, sf_dir)
+    v1 = scd2.snapshot_check(None, s1, "user_id", CHECK_COLS, bridge.SNAPSHOT_1_AT)
+    return scd2.snapshot_check(v1, s2, "user_id", CHECK_COLS, bridge.SNAPSHOT_2_AT)
+
+
+@register("users_scd2_initial")
+def q_users_scd2_initial(spark, sf_dir):
+    s1, _ = bridge.users_snapshots(spark, sf_dir)
+    return scd2.snapshot_check(None, s1, "user_id", CHECK_COLS, bridge.SNAPSHOT_1_AT)
+
+
+@register("users_scd2")
+def q_users_scd2(spark, sf_dir):
+    return users_history(spark, sf_dir)
+
+
+@register("users_current")
+def q_users_current(spark, sf_dir):
+    return scd2.current(users_history(spark, sf_dir))
+
+
+@register("users_scd2_ts")
+def q_users_scd2_ts(spark, sf_dir):
+    s1, s2 = bridge.users_snapshots(spark, sf_dir, with_updated_at=True)
+    v1 = scd2.snapshot_timestamp(None, s1, "user_id")
+    return scd2.snapshot_timestamp(v1, s2, "user_id")
+
+
+# --- joins and windows -----------------------------------------------------------
+
+@register("kpis_by_plan")
+def q_kpis_by_plan(spark, sf_dir):
+    """Request KPIs by the user's current plan (unmatched users -> NULL plan)."""
+    return enrich.kpis_by_dimension(stg_frame(spark, sf_dir),
+                                    scd2.current(users_history(spark, sf_dir)), ["plan"])
+
+
+@register("kpis_by_plan_inner")
+def q_kpis_by_plan_inner(spark, sf_dir):
+    return enrich.kpis_by_dimension(stg_frame(spark, sf_dir),
+                                    scd2.current(users_history(spark, sf_dir)), ["plan"],
+                                    how="inner")
+
+
+@register("events_asof_plan")
+def q_events_asof_plan(spark, sf_dir):
+    """Daily requests by the plan valid at event time."""
+    return enrich.kpis_point_in_time(stg_frame(spark, sf_dir), users_history(spark, sf_dir))
+
+
+@register("hour_over_hour_self")
+def q_hour_over_hour(spark, sf_dir):
+    return enrich.hour_over_hour(kpis_frame(spark, sf_dir))
+
+
+@register("busiest_hours")
+def q_busiest_hours(spark, sf_dir):
+    return enrich.busiest_hours(kpis_frame(spark, sf_dir), k=3)
+
+
+@register("service_rank_hourly")
+def q_service_rank_hourly(spark, sf_dir):
+    return enrich.service_rank_hourly(kpis_frame(spark, sf_dir))
+
+
+@register("cumulative_requests")
+def q_cumulative_requests(spark, sf_dir):
+    return enrich.cumulative_requests(kpis_frame(spark, sf_dir))
