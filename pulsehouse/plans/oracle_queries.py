@@ -171,7 +171,7 @@ FROM kpis k LEFT JOIN kpis p ON k.service = p.service
 sql("busiest_hours", """
 SELECT * FROM (
   SELECT service, event_date, event_hour, total_requests,
-    row_number() OVER (PARTITION BY service ORDER BY total_requests DESC, event_date, event_hour) AS hour_rank
+    CAST(row_number() OVER (PARTITION BY service ORDER BY total_requests DESC, event_date, event_hour) AS INTEGER) AS hour_rank
   FROM kpis) r WHERE hour_rank <= 3""")
 
 sql("service_rank_hourly", """
@@ -184,3 +184,29 @@ SELECT service, event_date, event_hour, total_requests,
   CAST(sum(total_requests) OVER (PARTITION BY service ORDER BY event_date, event_hour
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_requests
 FROM kpis""")
+
+LAYOUT_SELECT = ("service, strftime(arrival_ts, '%Y') AS year, strftime(arrival_ts, '%m') AS month, "
+                 "strftime(arrival_ts, '%d') AS day, strftime(arrival_ts, '%H') AS hour")
+
+sql("bronze_land", f"""
+SELECT {LAYOUT_SELECT}, count(*) AS n_events FROM bronze_dirty GROUP BY ALL""")
+
+sql("bronze_scan", f"SELECT {BRONZE_COLS} FROM bronze_dirty")
+
+sql("bronze_backfill", f"""
+SELECT {LAYOUT_SELECT}, count(*) AS n_events FROM bronze_dirty
+WHERE arrival_ts >= TIMESTAMP '2024-01-28 00:00:00' AND arrival_ts < TIMESTAMP '2024-01-31 00:00:00'
+GROUP BY ALL""")
+
+sql("silver_roundtrip", f"SELECT {SILVER_COLS} FROM silver")
+
+sql("catalog_silver", """
+SELECT event_date, service, count(*) AS n_events,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count
+FROM silver GROUP BY event_date, service""")
+
+sql_users("users_seed", "SELECT user_id, signup_date, plan, country FROM snap2")
+
+ORACLE["gold_build"] = ORACLE["mart_service_hourly_kpis"]
+ORACLE["pipeline_rerun"] = ORACLE["service_health"]
+ORACLE["export_error_trend"] = ORACLE["error_rate_trend"]

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import hour_label
 from ..operators import enrich, marts, quality, scd2, serving, silver
-from ..session import prepare
-from ..sources import bridge
+from ..schemas import SILVER_COLUMNS
+from ..session import prepare, scratch_path
+from ..sources import bridge, lake
+from ..sources import bronze as bronze_io
+from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -273,3 +276,101 @@ def q_service_rank_hourly(spark, sf_dir):
 @register("cumulative_requests")
 def q_cumulative_requests(spark, sf_dir):
     return enrich.cumulative_requests(kpis_frame(spark, sf_dir))
+
+
+# --- sources and sinks (each writes below the checkpoint root, then reads back) ----
+
+BACKFILL_END, BACKFILL_HOURS = "2024-01-30 23:30:00", 72
+
+
+@register("bronze_land")
+def q_bronze_land(spark, sf_dir):
+    """Landed JSON files per service/year/month/day/hour folder."""
+    path = scratch_path(spark, "bronze")
+    bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), path, mode="overwrite")
+    return (bronze_io.scan_layout(spark, path).groupBy(*bronze_io.LAYOUT)
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+@register("bronze_scan")
+def q_bronze_scan(spark, sf_dir):
+    """Recursive JSON scan with the fixed schema; body wins over folders."""
+    path = scratch_path(spark, "bronze")
+    bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), path, mode="overwrite")
+    return bronze_io.scan(spark, path)
+
+
+@register("bronze_backfill")
+def q_bronze_backfill(spark, sf_dir):
+    """The last 72 hour windows landed in one job."""
+    path = scratch_path(spark, "bronze")
+    bronze_io.backfill(bridge.bronze(spark, sf_dir, dirty=True), path,
+                       BACKFILL_END, BACKFILL_HOURS)
+    return (bronze_io.scan_layout(spark, path).groupBy(*bronze_io.LAYOUT)
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+def _landed_silver(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    bronze_path, silver_path = f"{root}/bronze", f"{root}/silver"
+    bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), bronze_path, mode="overwrite")
+    counts = pipeline.run_silver(spark, bronze_path, silver_path)
+    return root, silver_path, counts
+
+
+@register("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    """E1 + S4 + S2: Bronze files -> Silver job -> partitioned Parquet -> read."""
+    _, silver_path, _ = _landed_silver(spark, sf_dir)
+    return ntz(lake.read_silver(spark, silver_path), "event_ts").select(*SILVER_COLUMNS)
+
+
+@register("catalog_silver")
+def q_catalog_silver(spark, sf_dir):
+    """S12 + S13: register Silver with its partitions, then plain SQL on it."""
+    _, silver_path, _ = _landed_silver(spark, sf_dir)
+    table = lake.register_partitioned(spark, silver_path)
+    return spark.sql(f"""
+        SELECT event_date, service, count(*) AS n_events,
+               sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS error_count
+        FROM `{table}` GROUP BY event_date, service""")
+
+
+@register("users_seed")
+def q_users_seed(spark, sf_dir):
+    """S3: the users dimension as header CSV, read back with declared types."""
+    _, s2 = bridge.users_snapshots(spark, sf_dir)
+    path = scratch_path(spark, "seed_users")
+    lake.write_seed(s2, path)
+    return lake.read_seed(spark, path)
+
+
+@register("gold_build")
+def q_gold_build(spark, sf_dir):
+    """Staging -> marts -> checks on written tables; the hourly mart."""
+    root, silver_path, _ = _landed_silver(spark, sf_dir)
+    paths = pipeline.build_gold(spark, silver_path, f"{root}/gold")
+    return spark.read.parquet(paths["mart_service_hourly_kpis"])
+
+
+@register("pipeline_rerun")
+def q_pipeline_rerun(spark, sf_dir):
+    """E3 twice into the same folders (Bronze appended twice): same answer."""
+    root = scratch_path(spark, "lake")
+    rows = bridge.bronze(spark, sf_dir, dirty=True)
+    pipeline.run_pipeline(spark, rows, root, land_mode="append")
+    pipeline.run_pipeline(spark, rows, root, land_mode="append")
+    return pipeline.serving_results(spark, f"{root}/gold")["service-health"]
+
+
+@register("export_error_trend")
+def q_export_error_trend(spark, sf_dir):
+    """The exported error-trend JSON read back."""
+    root, silver_path, _ = _landed_silver(spark, sf_dir)
+    pipeline.build_gold(spark, silver_path, f"{root}/gold", run_checks=False)
+    out = pipeline.export_snapshot(spark, f"{root}/gold", f"{root}/export")
+    return spark.read.schema(EXPORT_TREND_SCHEMA).json(out["error-trend"])
+
+
+EXPORT_TREND_SCHEMA = ("event_date date, event_hour int, total_requests bigint, "
+                       "error_rate_pct double, label string")

@@ -142,8 +142,8 @@ def users_snapshots(spark: SparkSession, sf_dir: str, with_updated_at: bool = Fa
           .withColumn("plan", F.when(touched, F.lit("PREMIUM")).otherwise(F.col("plan"))))
     cols = list(USERS_COLUMNS)
     if with_updated_at:
-        s1 = s1.withColumn("updated_at", F.lit(SNAPSHOT_1_AT).cast("timestamp"))
+        s1 = s1.withColumn("updated_at", F.lit(SNAPSHOT_1_AT).cast("timestamp_ntz"))
         s2 = s2.withColumn("updated_at", F.when(touched, F.lit(SNAPSHOT_2_AT))
-                           .otherwise(F.lit(SNAPSHOT_1_AT)).cast("timestamp"))
+                           .otherwise(F.lit(SNAPSHOT_1_AT)).cast("timestamp_ntz"))
         cols.append("updated_at")
     return s1.select(*cols), s2.select(*cols)
