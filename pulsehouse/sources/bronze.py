@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import sized_broadcast
 from ..schemas import BRONZE, BRONZE_COLUMNS
 
 LAYOUT = ["service", "year", "month", "day", "hour"]
@@ -17,13 +18,20 @@ LAYOUT_SCHEMA = "value string, service string, year string, month string, day st
 
 
 def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
-         mode: str = "append", max_records_per_file: int = 1_000_000) -> None:
+         mode: str = "append", rows_per_file: int = 500_000,
+         tasks: int | None = None, max_folders: int = 1_000_000) -> None:
     """Write Bronze rows as JSON Lines under the hour/service layout.
 
     ``arrival`` is the hour the batch belongs to (the landing hour, not the
-    parsed body timestamp, which may be broken). A REBALANCE on the layout
-    keys lets AQE split a hot service-hour into several tasks and files
-    instead of one straggler.
+    parsed body timestamp, which may be broken).
+
+    Writers: folders are spread over ``tasks`` writer tasks (default: the
+    session's shuffle partitions), and a folder holding more than
+    ``rows_per_file`` rows is salted into ceil(rows / rows_per_file) pieces
+    on different tasks. A folder sizing pass (a partial-aggregated count per
+    folder; folders are bounded by hours x services and the bound is checked
+    before broadcast) decides the salt, so a hot service-hour never lands in
+    one task while a quiet one stays one file.
     """
     arr = F.col(arrival) if isinstance(arrival, str) else arrival
     body = F.to_json(F.struct(*[F.col(c) for c in BRONZE_COLUMNS]), {"ignoreNullFields": "false"})
@@ -34,9 +42,21 @@ def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
         F.date_format(arr, "MM").alias("month"),
         F.date_format(arr, "dd").alias("day"),
         F.date_format(arr, "HH").alias("hour"),
-    ).hint("rebalance", *LAYOUT)
-    (out.write.mode(mode).partitionBy(*LAYOUT)
-     .option("maxRecordsPerFile", max_records_per_file)
+    )
+    sizes = (out.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("_rows"))
+             .select(*[F.col(c).alias("_" + c) for c in LAYOUT], "_rows"))
+    sizes = sized_broadcast(sizes, max_folders)
+    cond = None
+    for c in LAYOUT:
+        e = F.col(c).eqNullSafe(F.col("_" + c))
+        cond = e if cond is None else cond & e
+    pieces = F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_file)))
+    salt = F.pmod(F.xxhash64("value"), pieces)
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (out.join(sizes, cond, "inner").withColumn("_salt", salt)
+              .repartition(n, *LAYOUT, "_salt").select("value", *LAYOUT))
+    (placed.write.mode(mode).partitionBy(*LAYOUT)
+     .option("maxRecordsPerFile", rows_per_file)
      .text(path))
 
 
