@@ -46,13 +46,14 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     """Bronze columns plus ``arrival_ts`` (the hour the record landed in)."""
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
-    service = _pick(eid % 5, SERVICE_BY_MOD5)
-    slot = F.floor(eid / 5) % 4
-    slot3 = F.floor(eid / 5) % 3
+    svc_idx = eid % 5
+    service = _pick(svc_idx, SERVICE_BY_MOD5)
+    slot4, slot3 = F.floor(eid / 5) % 4, F.floor(eid / 5) % 3
     endpoint = None
-    for svc, eps in ENDPOINTS.items():
-        pick = _pick(slot if len(eps) == 4 else slot3, eps)
-        endpoint = F.when(service == svc, pick) if endpoint is None else endpoint.when(service == svc, pick)
+    for i, svc in enumerate(SERVICE_BY_MOD5):
+        eps = ENDPOINTS[svc]
+        pick = _pick(slot4 if len(eps) == 4 else slot3, eps)
+        endpoint = F.when(svc_idx == i, pick) if endpoint is None else endpoint.when(svc_idx == i, pick)
     status = None
     for bound, code in STATUS_BY_K:
         status = F.when(k < bound, F.lit(code)) if status is None else status.when(k < bound, F.lit(code))
