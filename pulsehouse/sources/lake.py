@@ -27,9 +27,13 @@ def write_silver(silver: DataFrame, path: str, dynamic: bool = False,
     w.parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Silver by path; filters on event_date/service prune folders."""
-    return spark.read.parquet(path)
+def read_silver(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """Silver by path; filters on event_date/service prune folders.
+
+    ``merge_schema`` unions compatible file schemas (columns added over time)
+    instead of trusting one file's footer.
+    """
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:

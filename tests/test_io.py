@@ -76,3 +76,22 @@ def test_seed_and_export(spark):
     lake.export_meta(spark, meta)
     v = spark.read.json(meta).first().generated_at
     assert v.endswith("Z") or v.endswith("+00:00")
+
+
+def test_dynamic_overwrite_replaces_only_touched_partitions(spark):
+    from pulsehouse.plans import registry
+    silver_df = registry.silver_frame(spark, SF_SMALL)
+    path = scratch_path(spark, "t-dyn")
+    lake.write_silver(silver_df, path)
+    before = lake.read_silver(spark, path).count()
+    one_day = silver_df.filter(F.col("event_date") == F.lit("2024-01-05").cast("date"))
+    lake.write_silver(one_day.filter(F.col("service") == "auth-api"), path, dynamic=True)
+    after = lake.read_silver(spark, path)
+    assert after.count() == before
+    lake.write_silver(one_day.filter((F.col("service") == "auth-api") & (F.col("is_error"))),
+                      path, dynamic=True)
+    after = lake.read_silver(spark, path, merge_schema=True)
+    kept = after.filter((F.col("event_date") == "2024-01-05") & (F.col("service") == "auth-api"))
+    assert kept.filter(~F.col("is_error")).count() == 0
+    assert after.filter(F.col("event_date") != "2024-01-05").count() == \
+        silver_df.filter(F.col("event_date") != F.lit("2024-01-05").cast("date")).count()
