@@ -60,3 +60,18 @@ def test_health_flag(spark, bronze_df):
     stg = _stg(bronze_df, [ev("a", status=500), ev("b", status=200)])
     r = serving.service_health_flagged(marts.service_hourly_kpis(stg)).first()
     assert r.error_rate_pct == 50.0 and r.health == "high"
+
+
+def test_cross_result_invariants(spark):
+    kpis = registry.kpis_frame(spark, SF_SMALL).cache()
+    health = {r.service: r for r in serving.service_health(kpis).collect()}
+    lat = {r.service: r for r in serving.latency_summary(kpis).collect()}
+    assert all(health[s].avg_p95_latency_ms == lat[s].p95 for s in health)
+    assert kpis.filter(~((F.col("p50_latency_ms") <= F.col("p95_latency_ms"))
+                         & (F.col("p95_latency_ms") <= F.col("p99_latency_ms")))).count() == 0
+    trend = serving.error_rate_trend(kpis).groupBy("event_date").agg(
+        F.sum("total_requests").alias("n"))
+    dau = serving.active_users_by_day(registry.dau_frame(spark, SF_SMALL))
+    j = trend.join(dau, "event_date")
+    assert j.count() == dau.count() and j.filter(F.col("n") != F.col("total_requests")).count() == 0
+    kpis.unpersist()

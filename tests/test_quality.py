@@ -46,3 +46,18 @@ def test_freshness_status(spark, bronze_df):
     assert status("2024-01-01 06:00:00") == "pass"
     assert status("2024-01-01 13:00:00") == "warn"
     assert status("2024-01-02 01:00:00") == "error"
+
+
+def test_failing_check_stops_gold_build(spark, bronze_df):
+    import os
+    from pulsehouse.plans import pipeline
+    from pulsehouse.session import scratch_path
+    from pulsehouse.sources import lake
+    # two Silver rows share an event_id (written around the Silver job's dedup)
+    rows = silver.derive(bronze_df([ev("a"), ev("a", latency=99), ev("b")]))
+    root = scratch_path(spark, "t-gate")
+    lake.write_silver(rows, f"{root}/silver")
+    with pytest.raises(quality.DataQualityError):
+        pipeline.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    gold = f"{root}/gold"
+    assert not os.path.exists(gold[len("file:"):] if gold.startswith("file:") else gold)
