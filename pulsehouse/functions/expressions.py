@@ -1,7 +1,7 @@
 """Column expressions shared by the jobs. All built-in, JVM-side."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Default accuracy of the latency sketches. 10,000 is Spark's default: a
@@ -40,17 +40,34 @@ def ratio(num: Column, den: Column, scale: int = 1) -> Column:
 
 
 def latency_percentiles(col: str = "latency_ms", qs=(0.5, 0.95, 0.99),
-                        accuracy: int | None = PERCENTILE_ACCURACY,
+                        accuracy: int = PERCENTILE_ACCURACY,
                         names=("p50_latency_ms", "p95_latency_ms", "p99_latency_ms")):
-    """One sketch for all quantiles; ``accuracy=None`` gives exact
-    ``percentile_disc`` (keeps every value of a group: small groups only)."""
-    if accuracy is None:
-        return [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{col}`)").alias(n)
-                for q, n in zip(qs, names)]
+    """One mergeable sketch for all quantiles (bounded memory per group)."""
     sketch = F.percentile_approx(F.col(col), list(qs), accuracy)
     return [sketch[i].alias(n) for i, n in enumerate(names)]
 
 
+def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs, names) -> DataFrame:
+    """Exact nearest-rank quantiles per group: the smallest value whose
+    cumulative count reaches ceil(q * n).
+
+    Works on a histogram, one row per (group, distinct value), built with
+    partial aggregation; the running sum runs over that histogram, so memory
+    follows the number of distinct values (latencies in ms), never the number
+    of rows, and a group holding a third of all rows is no harder than others.
+    Ranks use decimal arithmetic so q * n is exact.
+    """
+    hist = (df.filter(F.col(col).isNotNull()).groupBy(*keys, col)
+            .agg(F.count(F.lit(1)).alias("_c")))
+    running = Window.partitionBy(*keys).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    h = (hist.withColumn("_cum", F.sum("_c").over(running))
+         .withColumn("_n", F.sum("_c").over(whole)))
+    picks = [F.min(F.when(F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q).cast("decimal(12,10)")),
+                          F.col(col))).alias(n) for q, n in zip(qs, names)]
+    return h.groupBy(*keys).agg(*picks)
+
+
 def hour_label(date_col: Column, hour_col: Column) -> Column:
     """'YYYY-MM-DD HH:00' built by string concatenation."""
     return F.concat(date_col.cast("string"), F.lit(" "),

@@ -9,29 +9,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import (PERCENTILE_ACCURACY, count_if_true,
+from ..functions.expressions import (PERCENTILE_ACCURACY, count_if_true, exact_percentiles,
                                      latency_percentiles, pct, ratio)
 
+KPI_KEYS = ["service", "event_date", "event_hour"]
+ERROR_KEYS = ["service", "endpoint", "status_code"]
+PCT_NAMES = ("p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
+
 
 def _distinct_users(exact: bool):
     return F.countDistinct("user_id") if exact else F.approx_count_distinct("user_id")
 
 
+def _with_exact(agg: DataFrame, stg: DataFrame, keys: list[str], qs, names,
+                cols: list[str]) -> DataFrame:
+    """Join exact histogram quantiles onto an aggregate by its (null-safe) keys."""
+    ex = exact_percentiles(stg, keys, "latency_ms", qs, names)
+    ex = ex.select(*[F.col(k).alias("_x_" + k) for k in keys], *names)
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col("_x_" + k))
+        cond = e if cond is None else cond & e
+    return agg.join(ex, cond, "left").select(*cols)
+
+
 def service_hourly_kpis(stg: DataFrame, accuracy: int | None = PERCENTILE_ACCURACY,
                         exact_distinct: bool = True) -> DataFrame:
-    """Grain (service, event_date, event_hour)."""
+    """Grain (service, event_date, event_hour).
+
+    ``accuracy=None`` swaps the sketch for exact nearest-rank quantiles
+    (histogram per group, joined back on the grain).
+    """
     errors = count_if_true(F.col("is_error"))
     total = F.count(F.lit(1))
-    return (
-        stg.groupBy("service", "event_date", "event_hour")
+    cols = [*KPI_KEYS, "total_requests", "error_count", "server_error_count", "error_rate_pct",
+            "avg_latency_ms", *PCT_NAMES, "unique_users"]
+    sketches = latency_percentiles(accuracy=accuracy) if accuracy else []
+    agg = (
+        stg.groupBy(*KPI_KEYS)
         .agg(total.alias("total_requests"),
              errors.alias("error_count"),
              count_if_true(F.col("is_server_error")).alias("server_error_count"),
              pct(errors, total).alias("error_rate_pct"),
              F.round(F.avg("latency_ms"), 1).alias("avg_latency_ms"),
-             *latency_percentiles(accuracy=accuracy),
+             *sketches,
              _distinct_users(exact_distinct).alias("unique_users"))
     )
+    if accuracy:
+        return agg.select(*cols)
+    return _with_exact(agg, stg, KPI_KEYS, (0.5, 0.95, 0.99), PCT_NAMES, cols)
 
 
 def daily_active_users(stg: DataFrame, exact_distinct: bool = True) -> DataFrame:
@@ -53,10 +79,13 @@ def error_analytics(stg: DataFrame, accuracy: int | None = PERCENTILE_ACCURACY,
     ``where is_error`` drops false and NULL. The build order clause of the
     original model is not a table property; readers sort.
     """
-    return (
-        stg.filter(F.col("is_error"))
-        .groupBy("service", "endpoint", "status_code")
-        .agg(F.count(F.lit(1)).alias("error_count"),
-             _distinct_users(exact_distinct).alias("affected_users"),
-             *latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy))
-    )
+    errs = stg.filter(F.col("is_error"))
+    cols = [*ERROR_KEYS, "error_count", "affected_users", "p95_latency_ms"]
+    sketch = (latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy)
+              if accuracy else [])
+    agg = (errs.groupBy(*ERROR_KEYS)
+           .agg(F.count(F.lit(1)).alias("error_count"),
+                _distinct_users(exact_distinct).alias("affected_users"), *sketch))
+    if accuracy:
+        return agg.select(*cols)
+    return _with_exact(agg, errs, ERROR_KEYS, (0.95,), ("p95_latency_ms",), cols)

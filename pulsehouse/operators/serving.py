@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import (PERCENTILE_ACCURACY, count_if_true, health_flag,
+from ..functions.expressions import (count_if_true, exact_percentiles, health_flag,
                                      hour_label, latency_percentiles, pct)
 
 
@@ -54,11 +54,21 @@ def active_users_by_day(dau: DataFrame) -> DataFrame:
             .orderBy("event_date"))
 
 
-def p95_by_service(stg: DataFrame, accuracy: int | None = PERCENTILE_ACCURACY) -> DataFrame:
-    """True p95 per service straight from Silver (one sketch per service)."""
-    return (stg.groupBy("service")
-            .agg(*latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy),
-                 F.count(F.lit(1)).alias("total_requests"))
+def p95_by_service(stg: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """True p95 per service straight from Silver.
+
+    Default: exact nearest-rank p95 from a per-service latency histogram (the
+    window runs over distinct latencies, not rows). ``accuracy`` switches to
+    the one-pass sketch.
+    """
+    totals = stg.groupBy("service").agg(F.count(F.lit(1)).alias("total_requests"))
+    if accuracy:
+        p95 = stg.groupBy("service").agg(
+            *latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy))
+    else:
+        p95 = exact_percentiles(stg, ["service"], "latency_ms", (0.95,), ("p95_latency_ms",))
+    return (totals.join(p95, "service", "left")
+            .select("service", "p95_latency_ms", "total_requests")
             .orderBy(F.desc("p95_latency_ms"), F.asc("service")))
 
 

@@ -79,8 +79,15 @@ SELECT (SELECT count(*) FROM bronze_dirty) AS raw_count, (SELECT count(*) FROM s
 sql("silver_dedup", f"SELECT {SILVER_COLS} FROM silver")
 
 sql("p95_by_service", """
-SELECT service, quantile_disc(latency_ms, 0.95) AS p95_latency_ms, count(*) AS total_requests
-FROM stg GROUP BY service""")
+SELECT t.service, p.p95_latency_ms, t.total_requests
+FROM (SELECT service, count(*) AS total_requests FROM stg GROUP BY service) t
+LEFT JOIN (
+  SELECT service, min(latency_ms) FILTER (WHERE rn >= ceil(n * 0.95)) AS p95_latency_ms
+  FROM (SELECT service, latency_ms,
+          row_number() OVER (PARTITION BY service ORDER BY latency_ms) AS rn,
+          count(*) OVER (PARTITION BY service) AS n
+        FROM stg WHERE latency_ms IS NOT NULL) r
+  GROUP BY service) p ON t.service = p.service""")
 
 sql("traffic_by_hour", """
 SELECT event_hour, count(*) AS total_requests,
