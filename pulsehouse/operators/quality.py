@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import METHODS, SERVICES
@@ -31,10 +31,9 @@ def not_null_counts(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
                       F.expr(f"stack({len(cols)}, {stack}) AS (column_name, failures)"))
 
 
-def not_null_suite(stg: DataFrame, kpis: DataFrame, dau: DataFrame, errors: DataFrame) -> DataFrame:
-    """All declared not_null tests, failures per (model, column)."""
+def not_null_marts(kpis: DataFrame, dau: DataFrame, errors: DataFrame) -> DataFrame:
+    """The declared not_null tests of the three marts."""
     parts = [
-        not_null_counts(stg, "stg_events", ["event_id", "service", "status_code"]),
         not_null_counts(kpis, "mart_service_hourly_kpis", ["service", "total_requests"]),
         not_null_counts(dau, "mart_daily_active_users", ["event_date", "active_users"]),
         not_null_counts(errors, "mart_error_analytics", ["service", "error_count"]),
@@ -42,6 +41,12 @@ def not_null_suite(stg: DataFrame, kpis: DataFrame, dau: DataFrame, errors: Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def not_null_suite(stg: DataFrame, kpis: DataFrame, dau: DataFrame, errors: DataFrame) -> DataFrame:
+    """All declared not_null tests, failures per (model, column)."""
+    return not_null_counts(stg, "stg_events", ["event_id", "service", "status_code"]).unionByName(
+        not_null_marts(kpis, dau, errors))
+
+
 def error_rate_out_of_range(kpis: DataFrame) -> DataFrame:
     """Singular test: rates below 0 or above 100 (NULL passes)."""
     return (kpis.filter((F.col("error_rate_pct") < 0) | (F.col("error_rate_pct") > 100))
@@ -85,6 +90,27 @@ def freshness(df: DataFrame, ts_col: str, as_of: str,
                         .when(F.col("age_hours") > warn_after_hours, "warn").otherwise("pass")))
 
 
+def staging_suite(stg: DataFrame, key: str = "event_id",
+                  not_null: tuple = ("event_id", "service", "status_code")) -> dict:
+    """unique(key) and not_null(cols) of the staging view in ONE scan.
+
+    The not-null counts ride along as observed metrics of the scan that feeds
+    the unique check's shuffle; the duplicate count is a global sum after it.
+    Returns {"duplicate_keys": n, "not_null": {col: failures}}.
+    """
+    obs = Observation("staging_not_null")
+    observed = stg.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
+    dup = unique(observed, key).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return {"duplicate_keys": dup, "not_null": dict(obs.get)}
+
+
+def assert_staging(stg: DataFrame, **kw) -> None:
+    res = staging_suite(stg, **kw)
+    bad = {c: n for c, n in res["not_null"].items() if n}
+    if res["duplicate_keys"] or bad:
+        raise DataQualityError(f"staging checks failed: {res}")
+
+
 def assert_passes(name: str, violations: DataFrame, failures_col: str | None = None) -> None:
     """Raise when a check finds anything. Reads at most one row (or one sum)."""
     if failures_col:

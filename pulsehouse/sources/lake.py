@@ -3,6 +3,7 @@ seed CSV (S3), catalog registration (S12) and SQL over it (S13), JSON export
 (S8, S9)."""
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,12 +54,27 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
 def register_partitioned(spark: SparkSession, path: str, name: str | None = None,
                          partitions=SILVER_PARTITIONS) -> str:
     """Register a partitioned Parquet folder as a catalog table and load its
-    partition list (the crawler / MSCK REPAIR step). Returns the table name."""
+    partition list (the crawler / partition-repair step). Returns the name.
+
+    Re-registering evolves the table: columns new in the files are added,
+    columns gone from the files are only logged (the table keeps them).
+    """
     name = name or f"silver_{uuid.uuid4().hex[:10]}"
-    df = spark.read.parquet(path)
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet "
-              f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
+    files = spark.read.option("mergeSchema", "true").parquet(path).schema
+    if spark.catalog.tableExists(name):
+        known = {f.name for f in spark.table(name).schema.fields}
+        added = [f for f in files.fields if f.name not in known]
+        if added:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE `{name}` ADD COLUMNS ({cols})")
+        gone = sorted(known - {f.name for f in files.fields})
+        if gone:
+            logging.getLogger(__name__).warning(
+                "table %s: columns %s no longer in the files; kept", name, gone)
+    else:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.fields)
+        spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet "
+                  f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
     spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
     return name
 

@@ -95,3 +95,32 @@ def test_dynamic_overwrite_replaces_only_touched_partitions(spark):
     assert kept.filter(~F.col("is_error")).count() == 0
     assert after.filter(F.col("event_date") != "2024-01-05").count() == \
         silver_df.filter(F.col("event_date") != F.lit("2024-01-05").cast("date")).count()
+
+
+def test_catalog_evolves_with_new_columns_and_partitions(spark):
+    from pulsehouse.plans import registry
+    silver_df = registry.silver_frame(spark, SF_SMALL)
+    path = scratch_path(spark, "t-cat")
+    day1 = silver_df.filter(F.col("event_date") == F.lit("2024-01-02").cast("date"))
+    lake.write_silver(day1, path)
+    name = lake.register_partitioned(spark, path)
+    n1 = spark.sql(f"SHOW PARTITIONS `{name}`").count()
+    # a later run lands a new day with one extra column
+    day2 = silver_df.filter(F.col("event_date") == F.lit("2024-01-03").cast("date")) \
+        .withColumn("schema_v", F.lit(2))
+    lake.write_silver(day2, path, dynamic=True)
+    assert lake.register_partitioned(spark, path, name) == name
+    t = spark.table(name)
+    assert "schema_v" in t.columns
+    assert spark.sql(f"SHOW PARTITIONS `{name}`").count() > n1
+    assert t.count() == day1.count() + day2.count()
+    assert t.filter(F.col("schema_v") == 2).count() == day2.count()
+
+
+def test_staging_suite_one_pass(spark):
+    from conftest import ev
+    from pulsehouse.operators import quality
+    stg = spark.createDataFrame([ev("a"), ev("a"), ev("b", status=None), ev(None)], BRONZE)
+    res = quality.staging_suite(stg)
+    assert res == {"duplicate_keys": 1,
+                   "not_null": {"event_id": 1, "service": 0, "status_code": 1}}
