@@ -47,24 +47,31 @@ def latency_percentiles(col: str = "latency_ms", qs=(0.5, 0.95, 0.99),
     return [sketch[i].alias(n) for i, n in enumerate(names)]
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs, names) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs, names,
+                      total_name: str | None = None) -> DataFrame:
     """Exact nearest-rank quantiles per group: the smallest value whose
-    cumulative count reaches ceil(q * n).
+    cumulative count reaches ceil(q * n), n = non-NULL values of the group.
 
     Works on a histogram, one row per (group, distinct value), built with
     partial aggregation; the running sum runs over that histogram, so memory
     follows the number of distinct values (latencies in ms), never the number
     of rows, and a group holding a third of all rows is no harder than others.
-    Ranks use decimal arithmetic so q * n is exact.
+    Ranks use decimal arithmetic so q * n is exact. ``total_name`` adds the
+    group's row count (NULLs included) from the same histogram.
     """
-    hist = (df.filter(F.col(col).isNotNull()).groupBy(*keys, col)
-            .agg(F.count(F.lit(1)).alias("_c")))
+    hist = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    valid = F.when(F.col(col).isNotNull(), F.col("_c")).otherwise(F.lit(0))
     running = Window.partitionBy(*keys).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
-    h = (hist.withColumn("_cum", F.sum("_c").over(running))
-         .withColumn("_n", F.sum("_c").over(whole)))
-    picks = [F.min(F.when(F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q).cast("decimal(12,10)")),
-                          F.col(col))).alias(n) for q, n in zip(qs, names)]
+    h = (hist.withColumn("_cum", F.sum(valid).over(running))
+         .withColumn("_n", F.sum(valid).over(whole)))
+    picks = []
+    for q, n in zip(qs, names):
+        rank = F.ceil(F.col("_n") * F.lit(q).cast("decimal(12,10)"))
+        picks.append(F.min(F.when(F.col(col).isNotNull() & (F.col("_cum") >= rank),
+                                  F.col(col))).alias(n))
+    if total_name:
+        picks.append(F.sum("_c").alias(total_name))
     return h.groupBy(*keys).agg(*picks)
 
 

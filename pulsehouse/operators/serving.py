@@ -61,14 +61,14 @@ def p95_by_service(stg: DataFrame, accuracy: int | None = None) -> DataFrame:
     window runs over distinct latencies, not rows). ``accuracy`` switches to
     the one-pass sketch.
     """
-    totals = stg.groupBy("service").agg(F.count(F.lit(1)).alias("total_requests"))
     if accuracy:
-        p95 = stg.groupBy("service").agg(
-            *latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy))
+        out = stg.groupBy("service").agg(
+            *latency_percentiles(qs=(0.95,), names=("p95_latency_ms",), accuracy=accuracy),
+            F.count(F.lit(1)).alias("total_requests"))
     else:
-        p95 = exact_percentiles(stg, ["service"], "latency_ms", (0.95,), ("p95_latency_ms",))
-    return (totals.join(p95, "service", "left")
-            .select("service", "p95_latency_ms", "total_requests")
+        out = exact_percentiles(stg, ["service"], "latency_ms", (0.95,), ("p95_latency_ms",),
+                                total_name="total_requests")
+    return (out.select("service", "p95_latency_ms", F.col("total_requests").cast("bigint"))
             .orderBy(F.desc("p95_latency_ms"), F.asc("service")))
 
 
