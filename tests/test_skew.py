@@ -61,3 +61,28 @@ def test_dedup_of_hot_event_id_is_whole(spark):
             ("error_message", "string")]])
     out = silver.transform(rows.repartition(8))
     assert out.count() == 20001
+
+
+def test_day_grain_point_in_time_equals_event_grain(spark):
+    """Versions changing mid-day, at midnight, twice a day, and a user with no
+    history: the split plan must equal the plain event-grain join."""
+    stg = _skewed_stg(spark, 6000)  # 6000 minutes from 2024-01-01 = ~4.2 days
+    hist = spark.createDataFrame([
+        ("user_hot", "free", dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 2, 13, 30)),
+        ("user_hot", "premium", dt.datetime(2024, 1, 2, 13, 30), dt.datetime(2024, 1, 3)),
+        ("user_hot", "enterprise", dt.datetime(2024, 1, 3), None),
+        ("user_1", "free", dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 1, 9)),
+        ("user_1", "premium", dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 1, 20)),
+        ("user_1", "free", dt.datetime(2024, 1, 1, 20), None),
+        ("user_2", "premium", dt.datetime(2023, 6, 1), None),
+    ], "user_id string, plan string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    fast = enrich.kpis_point_in_time(stg, hist)
+    brute = (enrich.point_in_time(stg, hist, ["plan"]).groupBy("event_date", "plan")
+             .agg(F.count(F.lit(1)).alias("total_requests"),
+                  F.sum(F.col("is_error").cast("int")).cast("bigint").alias("error_count")))
+    def rows(df):
+        return sorted(((r.event_date, r.plan or "", r.total_requests, r.error_count)
+                       for r in df.collect()))
+    a, b = rows(fast), rows(brute)
+    assert a == b
+    assert {p for _, p, _, _ in a} == {"", "free", "premium", "enterprise"}
