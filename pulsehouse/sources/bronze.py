@@ -19,7 +19,7 @@ LAYOUT_SCHEMA = "value string, service string, year string, month string, day st
 
 def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
          mode: str = "append", rows_per_file: int = 500_000,
-         tasks: int | None = None, max_folders: int = 1_000_000) -> None:
+         tasks: int | None = None, max_folders: int = 200_000) -> None:
     """Write Bronze rows as JSON Lines under the hour/service layout.
 
     ``arrival`` is the hour the batch belongs to (the landing hour, not the

@@ -124,3 +124,17 @@ def test_staging_suite_one_pass(spark):
     res = quality.staging_suite(stg)
     assert res == {"duplicate_keys": 1,
                    "not_null": {"event_id": 1, "service": 0, "status_code": 1}}
+
+
+def test_empty_service_reads_back_null_after_partitioned_write(spark):
+    """An empty-string service passes the Silver gate (it is not NULL) but a
+    partitioned write stores it in the default partition, so it reads back
+    as NULL — the same as the original partitioned Silver."""
+    from conftest import ev
+    from pulsehouse.operators import silver
+    rows = silver.transform(spark.createDataFrame([ev("a", service=""), ev("b")], BRONZE))
+    assert rows.count() == 2
+    path = scratch_path(spark, "t-empty")
+    lake.write_silver(rows, path)
+    back = {r.event_id: r.service for r in lake.read_silver(spark, path).collect()}
+    assert back == {"a": None, "b": "auth-api"}
