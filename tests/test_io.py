@@ -138,3 +138,22 @@ def test_empty_service_reads_back_null_after_partitioned_write(spark):
     lake.write_silver(rows, path)
     back = {r.event_id: r.service for r in lake.read_silver(spark, path).collect()}
     assert back == {"a": None, "b": "auth-api"}
+
+
+def test_land_salts_only_hot_folders(spark):
+    hot = spark.range(3000).select(
+        F.concat(F.lit("h"), F.col("id").cast("string")).alias("event_id"),
+        F.lit(dt.datetime(2024, 1, 1, 5)).cast("timestamp_ntz").alias("arrival_ts"))
+    quiet = spark.range(10).select(
+        F.concat(F.lit("q"), F.col("id").cast("string")).alias("event_id"),
+        F.lit(dt.datetime(2024, 1, 1, 6)).cast("timestamp_ntz").alias("arrival_ts"))
+    rows = hot.unionByName(quiet).select(
+        "event_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE.fields[1:]],
+        "arrival_ts").withColumn("service", F.lit("auth-api"))
+    path = scratch_path(spark, "t-salt")
+    bronze_io.land(rows, path, mode="overwrite", rows_per_file=1000)
+    lp = local(path)
+    hot_files = glob.glob(f"{lp}/service=auth-api/year=2024/month=01/day=01/hour=05/part-*")
+    quiet_files = glob.glob(f"{lp}/service=auth-api/year=2024/month=01/day=01/hour=06/part-*")
+    assert len(hot_files) >= 3 and len(quiet_files) == 1
+    assert bronze_io.scan(spark, path).count() == 3010
