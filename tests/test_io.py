@@ -157,3 +157,27 @@ def test_land_salts_only_hot_folders(spark):
     quiet_files = glob.glob(f"{lp}/service=auth-api/year=2024/month=01/day=01/hour=06/part-*")
     assert len(hot_files) >= 3 and len(quiet_files) == 1
     assert bronze_io.scan(spark, path).count() == 3010
+
+
+def test_cli_jobs_end_to_end(spark):
+    from pulsehouse.__main__ import main
+    root = scratch_path(spark, "t-cli")
+    bronze_io.land(bridge.bronze(spark, SF_SMALL, dirty=True), f"{root}/bronze", mode="overwrite")
+    counts = main(["silver", "--input", f"{root}/bronze", "--output", f"{root}/silver"], spark)
+    assert counts["raw_count"] == 1100 and counts["clean_count"] < 1100
+    main(["gold", "--silver", f"{root}/silver", "--gold", f"{root}/gold"], spark)
+    main(["register", "--silver", f"{root}/silver", "--table", "cli_silver"], spark)
+    assert spark.table("cli_silver").count() == counts["clean_count"]
+    s1, s2 = bridge.users_snapshots(spark, SF_SMALL)
+    lake.write_seed(s1, f"{root}/seed1")
+    lake.write_seed(s2, f"{root}/seed2")
+    main(["snapshot", "--source", f"{root}/seed1", "--output", f"{root}/snap1",
+          "--run-ts", "2024-01-01 00:00:00"], spark)
+    main(["snapshot", "--source", f"{root}/seed2", "--previous", f"{root}/snap1",
+          "--output", f"{root}/snap2", "--run-ts", "2024-01-15 00:00:00"], spark)
+    from pulsehouse.plans import registry
+    got = sorted(map(tuple, spark.read.parquet(f"{root}/snap2").collect()))
+    want = sorted(map(tuple, registry.users_history(spark, SF_SMALL).collect()))
+    assert got == want
+    out = main(["export", "--gold", f"{root}/gold", "--output", f"{root}/export"], spark)
+    assert spark.read.json(out["service-health"]).count() == 5
