@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         prev = spark.read.parquet(a.previous) if a.previous else None
         snap = scd2.snapshot_check(prev, lake.read_seed(spark, a.source), a.key,
                                    a.check_cols.split(","), a.run_ts)
-        out = {"snapshot": scd2.write_version(snap, a.output)}
+        out = {"snapshot": scd2.write_version(snap, a.output, previous=a.previous)}
     else:
         out = pipeline.export_snapshot(spark, a.gold, a.output)
     print(json.dumps(out, default=str))

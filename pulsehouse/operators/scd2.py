@@ -103,13 +103,17 @@ def as_of(snapshot: DataFrame, ts) -> DataFrame:
                            & (F.col("dbt_valid_to").isNull() | (t < F.col("dbt_valid_to"))))
 
 
-def write_version(snapshot: DataFrame, base_dir: str | None = None, spark=None) -> str:
-    """Write the whole new snapshot to a fresh folder and return its path.
-
-    A table format with row updates is not available, and the folder being
-    read must never be overwritten, so each run becomes a new version folder
-    and readers switch to the returned path.
+def write_version(snapshot: DataFrame, base_dir: str | None = None, spark=None,
+                  previous: str | None = None) -> str:
+    """Write the whole new snapshot to its own version folder; return the path.
+
+    A table format with row updates is not available, so each run becomes a
+    new version folder and readers switch to the returned path. The folder is
+    written in overwrite mode, so a retried run replaces its own partial
+    output; writing over the version being read (``previous``) is refused.
     """
     path = base_dir or scratch_path(spark or snapshot.sparkSession, "users_snapshot")
-    snapshot.write.mode("errorifexists").parquet(path)
+    if previous is not None and path.rstrip("/") == previous.rstrip("/"):
+        raise ValueError("a snapshot run must not overwrite the version it reads")
+    snapshot.write.mode("overwrite").parquet(path)
     return path

@@ -78,3 +78,19 @@ def test_timestamp_strategy(spark):
     # newer updated_at versions even without a column change; same updated_at never does
     assert len(v["a"]) == 2 and v["a"][0].dbt_valid_to == dt.datetime(2024, 1, 9)
     assert len(v["b"]) == 1 and v["b"][0].plan == "free"
+
+
+def test_write_version_refuses_to_overwrite_its_input(spark):
+    import pytest
+    from pulsehouse.session import scratch_path
+    v1 = run(None, users(spark, [("a", D, "free", "IN")]), T1)
+    path = scd2.write_version(v1, scratch_path(spark, "t-v1"))
+    prev = spark.read.parquet(path)
+    v2 = run(prev, users(spark, [("a", D, "premium", "IN")]), T2)
+    with pytest.raises(ValueError):
+        scd2.write_version(v2, path, previous=path)
+    out = scd2.write_version(v2, scratch_path(spark, "t-v2"), previous=path)
+    assert spark.read.parquet(out).count() == 2
+    # a retry of the same run rewrites its own folder, same content
+    scd2.write_version(v2, out, previous=path)
+    assert spark.read.parquet(out).count() == 2
