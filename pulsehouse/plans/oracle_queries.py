@@ -219,3 +219,7 @@ ORACLE["pipeline_rerun"] = ORACLE["service_health"]
 ORACLE["export_error_trend"] = ORACLE["error_rate_trend"]
 
 ORACLE["stream_silver"] = ORACLE["silver_transform"]
+
+sql("stream_hourly_volume", """
+SELECT service, event_date, event_hour, total_requests, error_count, server_error_count,
+  error_rate_pct, avg_latency_ms, p50_latency_ms, p95_latency_ms, p99_latency_ms FROM kpis""")

@@ -403,3 +403,14 @@ def q_stream_silver(spark, sf_dir):
 def q_stream_hourly_kpis(spark, sf_dir):
     """Streaming hourly KPIs (distinct users approximate: rows-only check)."""
     return _streamed(spark, sf_dir, "kpis")
+
+
+STREAM_EXACT_COLS = ["service", "event_date", "event_hour", "total_requests", "error_count",
+                     "server_error_count", "error_rate_pct", "avg_latency_ms",
+                     "p50_latency_ms", "p95_latency_ms", "p99_latency_ms"]
+
+
+@register("stream_hourly_volume")
+def q_stream_hourly_volume(spark, sf_dir):
+    """T4: the streaming hourly KPIs' exact measures (all but approximate users)."""
+    return _streamed(spark, sf_dir, "kpis").select(*STREAM_EXACT_COLS)
