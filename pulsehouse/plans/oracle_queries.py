@@ -223,3 +223,6 @@ ORACLE["stream_silver"] = ORACLE["silver_transform"]
 sql("stream_hourly_volume", """
 SELECT service, event_date, event_hour, total_requests, error_count, server_error_count,
   error_rate_pct, avg_latency_ms, p50_latency_ms, p95_latency_ms, p99_latency_ms FROM kpis""")
+
+for _n in ("service_health", "error_rate_trend", "latency_percentiles", "daily_active_users"):
+    ORACLE[f"sql_{_n}"] = ORACLE[_n]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import hour_label
-from ..operators import enrich, marts, quality, scd2, serving, silver
+from ..operators import enrich, marts, quality, scd2, serving, serving_sql, silver
 from ..schemas import SILVER_COLUMNS
 from ..session import prepare, scratch_path
 from ..sources import bridge, lake
@@ -414,3 +414,16 @@ STREAM_EXACT_COLS = ["service", "event_date", "event_hour", "total_requests", "e
 def q_stream_hourly_volume(spark, sf_dir):
     """T4: the streaming hourly KPIs' exact measures (all but approximate users)."""
     return _streamed(spark, sf_dir, "kpis").select(*STREAM_EXACT_COLS)
+
+
+# --- the dashboard queries as SQL text over registered mart views (S13) ------
+
+def _sql_over_marts(spark, sf_dir, name):
+    stg = stg_frame(spark, sf_dir)
+    serving_sql.register_views({"mart_service_hourly_kpis": marts.service_hourly_kpis(stg),
+                                "mart_daily_active_users": marts.daily_active_users(stg)})
+    return serving_sql.run(spark, name)
+
+
+for _name in serving_sql.DASHBOARD_SQL:
+    register(f"sql_{_name}")(lambda spark, sf_dir, _n=_name: _sql_over_marts(spark, sf_dir, _n))

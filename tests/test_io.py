@@ -181,3 +181,17 @@ def test_cli_jobs_end_to_end(spark):
     assert got == want
     out = main(["export", "--gold", f"{root}/gold", "--output", f"{root}/export"], spark)
     assert spark.read.json(out["service-health"]).count() == 5
+
+
+def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
+    from pulsehouse.operators import serving_sql
+    root = scratch_path(spark, "t-sqlgold")
+    rows = bridge.bronze(spark, SF_SMALL, dirty=True)
+    pipeline.run_pipeline(spark, rows, root)
+    serving_sql.register_gold(spark, f"{root}/gold")
+    api = pipeline.serving_results(spark, f"{root}/gold")
+    for key, name in [("service-health", "service_health"), ("error-trend", "error_rate_trend"),
+                      ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
+        a = [tuple(r) for r in serving_sql.run(spark, name).collect()]
+        b = [tuple(r) for r in api[key].collect()]
+        assert a == b, name
