@@ -26,8 +26,14 @@ from pulsehouse.sources import bronze as bronze_io  # noqa: E402
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "8g"}
+    if os.environ.get("BENCH_EVENT_LOG") == "1":
+        import tempfile
+        log_dir = tempfile.mkdtemp(prefix="pulsehouse-eventlog-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}"})
+        print(f"event log: {log_dir}", file=sys.stderr)
     spark = build_session(f"local[{cpus}]", app="pulsehouse-bench", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": "8g"})
+                          extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
 
