@@ -94,3 +94,12 @@ def test_write_version_refuses_to_overwrite_its_input(spark):
     # a retry of the same run rewrites its own folder, same content
     scd2.write_version(v2, out, previous=path)
     assert spark.read.parquet(out).count() == 2
+
+
+def test_timestamp_strategy_ignores_older_updates(spark):
+    schema = "user_id string, plan string, updated_at timestamp_ntz"
+    s1 = spark.createDataFrame([("a", "free", dt.datetime(2024, 1, 9))], schema)
+    s2 = spark.createDataFrame([("a", "premium", dt.datetime(2024, 1, 5))], schema)
+    v = scd2.snapshot_timestamp(scd2.snapshot_timestamp(None, s1, "user_id"), s2, "user_id")
+    rows = v.collect()
+    assert len(rows) == 1 and rows[0].plan == "free" and rows[0].dbt_valid_to is None
