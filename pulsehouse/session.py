@@ -57,11 +57,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one under the system temp folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode
+    session (tests, bench) may fall back to a temp folder; on a cluster an
+    unset setting is an error, since executors cannot share a driver-local
+    folder.
     """
     try:
         sc = spark.sparkContext
@@ -73,7 +78,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="pulsehouse-ckpt-")
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", None)) or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared "
+                               "storage for intermediate tables")
+        configured = _LOCAL_FALLBACK.setdefault(
+            master, tempfile.mkdtemp(prefix="pulsehouse-ckpt-"))
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
