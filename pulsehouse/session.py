@@ -82,8 +82,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared "
                                "storage for intermediate tables")
-        configured = _LOCAL_FALLBACK.setdefault(
-            master, tempfile.mkdtemp(prefix="pulsehouse-ckpt-"))
+        if master not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[master] = tempfile.mkdtemp(prefix="pulsehouse-ckpt-")
+        configured = _LOCAL_FALLBACK[master]
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
