@@ -23,6 +23,18 @@ from pulsehouse.sources import bridge, lake  # noqa: E402
 from pulsehouse.sources import bronze as bronze_io  # noqa: E402
 
 
+def _mb(path: str) -> float | None:
+    """Data bytes below a local folder (checksum and marker files excluded)."""
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if not os.path.isdir(local):
+        return None
+    total = 0
+    for d, _, files in os.walk(local):
+        total += sum(os.path.getsize(os.path.join(d, f)) for f in files
+                     if not f.startswith((".", "_")))
+    return round(total / 1e6, 2)
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -83,9 +95,12 @@ def main():
           lambda: run(registry.REGISTRY["service_health"](spark, sf_dir)))
 
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
+    bronze_mb, silver_mb = _mb(bronze_path), _mb(silver_path)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir,
-                      "cpus": cpus}))
+                      "cpus": cpus, "bronze_mb": bronze_mb, "silver_mb": silver_mb,
+                      "bronze_to_silver_size_ratio":
+                          round(bronze_mb / silver_mb, 2) if silver_mb else None}))
     spark.stop()
 
 
