@@ -94,3 +94,22 @@ def top_users(stg: DataFrame, k: int = 10) -> DataFrame:
                  count_if_true(F.col("is_error")).alias("error_count"))
             .orderBy(F.desc("total_requests"), F.asc("user_id"))
             .limit(k))
+
+
+def distinct_users_by_day(stg: DataFrame) -> DataFrame:
+    """True daily active users (each user once per day across services), next
+    to the dashboard's per-service sum. One aggregation; distinct handled by
+    the two-phase (date, user) pre-aggregation."""
+    return (stg.groupBy("event_date")
+            .agg(F.countDistinct("user_id").alias("distinct_users"),
+                 F.count(F.lit(1)).alias("total_requests"))
+            .orderBy("event_date"))
+
+
+def distinct_users_by_service(stg: DataFrame) -> DataFrame:
+    """True distinct users per service over the whole period (the dashboard's
+    ``user_events`` counts a user once per hour)."""
+    return (stg.groupBy("service")
+            .agg(F.countDistinct("user_id").alias("distinct_users"),
+                 F.count(F.lit(1)).alias("total_requests"))
+            .orderBy("service"))

@@ -226,3 +226,11 @@ SELECT service, event_date, event_hour, total_requests, error_count, server_erro
 
 for _n in ("service_health", "error_rate_trend", "latency_percentiles", "daily_active_users"):
     ORACLE[f"sql_{_n}"] = ORACLE[_n]
+
+sql("distinct_users_by_day", """
+SELECT event_date, count(DISTINCT user_id) AS distinct_users, count(*) AS total_requests
+FROM stg GROUP BY event_date ORDER BY event_date""")
+
+sql("distinct_users_by_service", """
+SELECT service, count(DISTINCT user_id) AS distinct_users, count(*) AS total_requests
+FROM stg GROUP BY service ORDER BY service""")

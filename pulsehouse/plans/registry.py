@@ -427,3 +427,15 @@ def _sql_over_marts(spark, sf_dir, name):
 
 for _name in serving_sql.DASHBOARD_SQL:
     register(f"sql_{_name}")(lambda spark, sf_dir, _n=_name: _sql_over_marts(spark, sf_dir, _n))
+
+
+@register("distinct_users_by_day")
+def q_distinct_users_by_day(spark, sf_dir):
+    """True daily distinct users (A22's additive sum kept in daily_active_users)."""
+    return serving.distinct_users_by_day(stg_frame(spark, sf_dir))
+
+
+@register("distinct_users_by_service")
+def q_distinct_users_by_service(spark, sf_dir):
+    """True distinct users per service (A18's per-hour sum kept in service_health)."""
+    return serving.distinct_users_by_service(stg_frame(spark, sf_dir))
