@@ -1,6 +1,6 @@
 """Command line for the batch jobs.
 
-    python -m pulsehouse silver   --input BRONZE_DIR --output SILVER_DIR
+    python -m pulsehouse silver   --input BRONZE_DIR --output SILVER_DIR [--quarantine DIR]
     python -m pulsehouse gold     --silver SILVER_DIR --gold GOLD_DIR [--no-checks]
     python -m pulsehouse register --silver SILVER_DIR --table NAME
     python -m pulsehouse snapshot --source USERS_CSV --output NEW_DIR --run-ts TS
@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--deterministic", action="store_true")
+    s.add_argument("--quarantine", help="also write rejected rows (with reason) here")
     g = sub.add_parser("gold", help="Silver -> marts, with checks")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or build_session(app=f"pulsehouse-{a.cmd}")
     if a.cmd == "silver":
-        out = pipeline.run_silver(spark, a.input, a.output, a.deterministic)
+        out = pipeline.run_silver(spark, a.input, a.output, a.deterministic, a.quarantine)
     elif a.cmd == "gold":
         out = pipeline.build_gold(spark, a.silver, a.gold, run_checks=not a.no_checks)
     elif a.cmd == "register":

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +19,31 @@ from ..sources import lake
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-               deterministic: bool = False) -> dict:
+               deterministic: bool = False, quarantine_path: str | None = None) -> dict:
     """Bronze JSON -> Silver Parquet; returns raw and clean counts.
 
-    The counts are observed during the single write pass instead of two extra
-    full scans of the JSON.
+    The counts are observed during the write pass instead of two extra full
+    scans of the JSON. With ``quarantine_path`` the rejected rows (with their
+    reason) are written too: the parsed Bronze is persisted (memory and disk;
+    recomputed from the files if an executor is lost) so both filtered writes
+    share one JSON parse.
     """
     obs_raw, obs_clean = Observation("bronze_raw"), Observation("silver_clean")
     raw = bronze_io.scan(spark, bronze_path).observe(obs_raw, F.count(F.lit(1)).alias("raw_count"))
-    clean = silver.transform(raw, deterministic).observe(
-        obs_clean, F.count(F.lit(1)).alias("clean_count"))
-    lake.write_silver(clean, silver_path)
-    return {**obs_raw.get, **obs_clean.get}
+    if quarantine_path:
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        clean = silver.transform(raw, deterministic).observe(
+            obs_clean, F.count(F.lit(1)).alias("clean_count"))
+        lake.write_silver(clean, silver_path)
+        out = {**obs_raw.get, **obs_clean.get}
+        if quarantine_path:
+            rejects = silver.quarantine(raw)
+            rejects.write.mode("overwrite").partitionBy("reject_reason").parquet(quarantine_path)
+        return out
+    finally:
+        if quarantine_path:
+            raw.unpersist()
 
 
 def gold_paths(gold_dir: str) -> dict[str, str]:

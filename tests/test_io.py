@@ -195,3 +195,17 @@ def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
         a = [tuple(r) for r in serving_sql.run(spark, name).collect()]
         b = [tuple(r) for r in api[key].collect()]
         assert a == b, name
+
+
+def test_silver_job_with_quarantine(spark):
+    root = scratch_path(spark, "t-quar")
+    bronze_io.land(bridge.bronze(spark, SF_SMALL, dirty=True), f"{root}/bronze", mode="overwrite")
+    counts = pipeline.run_silver(spark, f"{root}/bronze", f"{root}/silver",
+                                 quarantine_path=f"{root}/quarantine")
+    q = spark.read.parquet(f"{root}/quarantine")
+    from pulsehouse.operators import silver
+    expected = silver.quarantine(bronze_io.scan(spark, f"{root}/bronze"))
+    assert q.count() == expected.count() > 0
+    assert {r.reject_reason for r in q.select("reject_reason").distinct().collect()} == \
+        {"bad_timestamp", "missing_service"}
+    assert counts["clean_count"] == lake.read_silver(spark, f"{root}/silver").count()
