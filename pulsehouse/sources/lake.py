@@ -89,6 +89,6 @@ def export_json(df: DataFrame, path: str) -> None:
 
 def export_meta(spark: SparkSession, path: str) -> None:
     """``generated_at`` in UTC ISO-8601 seconds, one row."""
-    (spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    (spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssxxx")
                            .alias("generated_at"))
      .coalesce(1).write.mode("overwrite").json(path))
