@@ -23,7 +23,8 @@ def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
     """Write Bronze rows as JSON Lines under the hour/service layout.
 
     ``arrival`` is the hour the batch belongs to (the landing hour, not the
-    parsed body timestamp, which may be broken).
+    parsed body timestamp, which may be broken). Rows without that column
+    land under the current UTC hour, as a live collector would.
 
     Writers: folders are spread over ``tasks`` writer tasks (default: the
     session's shuffle partitions), and a folder holding more than
@@ -33,7 +34,11 @@ def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
     before broadcast) decides the salt, so a hot service-hour never lands in
     one task while a quiet one stays one file.
     """
-    arr = F.col(arrival) if isinstance(arrival, str) else arrival
+    if isinstance(arrival, str):
+        arr = (F.col(arrival) if arrival in df.columns
+               else F.date_trunc("hour", F.current_timestamp()))
+    else:
+        arr = arrival
     body = F.to_json(F.struct(*[F.col(c) for c in BRONZE_COLUMNS]), {"ignoreNullFields": "false"})
     out = df.select(
         body.alias("value"),

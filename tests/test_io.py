@@ -210,3 +210,12 @@ def test_silver_job_with_quarantine(spark):
     assert {r.reject_reason for r in q.select("reject_reason").distinct().collect()} == \
         {"bad_timestamp", "missing_service"}
     assert counts["clean_count"] == lake.read_silver(spark, f"{root}/silver").count()
+
+
+def test_land_without_arrival_uses_current_hour(spark):
+    rows = spark.createDataFrame([ev("a")], BRONZE)
+    path = scratch_path(spark, "t-now")
+    bronze_io.land(rows, path, mode="overwrite")
+    r = bronze_io.scan_layout(spark, path).first()
+    now = dt.datetime.now(dt.timezone.utc)
+    assert r.year == f"{now:%Y}" and len(r.hour) == 2 and r.service == "auth-api"
