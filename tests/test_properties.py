@@ -44,3 +44,40 @@ def test_point_in_time_split_equals_brute_force(spark, hist, step):
         return sorted((r.event_date, r.plan or "~", r.total_requests, r.error_count)
                       for r in df.collect())
     assert rows(fast) == rows(brute)
+
+
+TS_CHOICES = ["2024-01-01T10:00:00+00:00", "2024-01-01T23:30:00-02:00", "2024-01-02T00:00:01.5Z",
+              "garbage", None]
+
+
+@st.composite
+def bronze_batches(draw):
+    n = draw(st.integers(1, 40))
+    rows = []
+    for _ in range(n):
+        rows.append((draw(st.sampled_from(["e1", "e2", "e3", "e4", None])),
+                     draw(st.sampled_from(TS_CHOICES)),
+                     draw(st.sampled_from(["auth-api", "search-api", "", None])),
+                     draw(st.sampled_from([200, 404, 503, None])),
+                     draw(st.integers(0, 5000))))
+    return rows
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=bronze_batches(), deterministic=st.booleans())
+def test_silver_contract_against_brute_force(spark, rows, deterministic):
+    from pulsehouse.operators import silver
+    from pulsehouse.schemas import BRONZE
+    full = [(e, t, s, "/x", "GET", c, lat, "u", "r", "ip", None) for e, t, s, c, lat in rows]
+    out = silver.transform(spark.createDataFrame(full, BRONZE), deterministic).collect()
+
+    def valid(r):
+        return r[0] is not None and r[1] not in ("garbage", None) and r[2] is not None
+    expected_ids = {r[0] for r in full if valid(r)}
+    got_ids = [r.event_id for r in out]
+    assert sorted(got_ids) == sorted(expected_ids)            # one row per valid id
+    valid_rows = {(r[0], r[2], r[5], r[6]) for r in full if valid(r)}
+    for r in out:                                              # the survivor is a valid twin
+        assert (r.event_id, r.service, r.status_code, r.latency_ms) in valid_rows
+        assert r.event_ts is not None
+        assert r.is_error == (None if r.status_code is None else r.status_code >= 400)
