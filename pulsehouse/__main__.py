@@ -28,7 +28,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s = sub.add_parser("silver", help="Bronze JSON -> Silver Parquet")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
-    s.add_argument("--deterministic", action="store_true")
+    s.add_argument("--any-twin", action="store_true",
+                   help="keep an arbitrary valid twin instead of the smallest")
     s.add_argument("--quarantine", help="also write rejected rows (with reason) here")
     g = sub.add_parser("gold", help="Silver -> marts, with checks")
     g.add_argument("--silver", required=True)
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or build_session(app=f"pulsehouse-{a.cmd}")
     if a.cmd == "silver":
-        out = pipeline.run_silver(spark, a.input, a.output, a.deterministic, a.quarantine)
+        out = pipeline.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine)
     elif a.cmd == "gold":
         out = pipeline.build_gold(spark, a.silver, a.gold, run_checks=not a.no_checks)
     elif a.cmd == "register":

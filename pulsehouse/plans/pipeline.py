@@ -19,9 +19,13 @@ from ..sources import lake
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-               deterministic: bool = False, quarantine_path: str | None = None) -> dict:
+               deterministic: bool = True, quarantine_path: str | None = None) -> dict:
     """Bronze JSON -> Silver Parquet; returns raw and clean counts.
 
+    Dedup keeps the smallest twin by (event_ts, other columns) by default, so
+    a rerun — or a stage recomputed after an executor loss — writes the same
+    Silver even when twins differ; ``deterministic=False`` keeps any twin.
+
     The counts are observed during the write pass instead of two extra full
     scans of the JSON. With ``quarantine_path`` the rejected rows (with their
     reason) are written too: the parsed Bronze is persisted (memory and disk;
