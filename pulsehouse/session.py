@@ -25,6 +25,26 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, partition_mb: int = 128) -> dict:
+    """Sizing for a cluster session (pass as ``build_session(extra=...)``).
+
+    Shuffles start with ~6 partitions per core so no reducer task outgrows
+    its memory share at 100 TB inputs; AQE then merges them to about
+    ``partition_mb`` and splits any partition 5x the median and above 256 MB
+    (skew). Input splits are twice the shuffle target because scans are
+    column-pruned Parquet.
+    """
+    cores = max(1, int(total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, 3 * cores)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(400, 6 * cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": f"{2 * partition_mb}m",
+    }
+
+
 def build_session(master: str | None = None, app: str = "pulsehouse",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -46,3 +46,11 @@ def test_kpis_by_plan_preaggregates_before_join(spark):
     # events are reduced per user before any join operator sees them
     assert p.count("HashAggregate") >= 4
     assert "Join" in p
+
+
+def test_cluster_conf_scales_with_cores():
+    from pulsehouse.session import cluster_conf
+    small, big = cluster_conf(8), cluster_conf(8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 24000
+    assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 48000
