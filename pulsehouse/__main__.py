@@ -6,6 +6,8 @@
     python -m pulsehouse snapshot --source USERS_CSV --output NEW_DIR --run-ts TS
                                   [--previous PREV_DIR]
     python -m pulsehouse export   --gold GOLD_DIR --output OUT_DIR
+    python -m pulsehouse stream   --input BRONZE_DIR --silver DIR --kpis DIR --checkpoint DIR
+                                  [--every '1 minute'] [--max-files-per-trigger N]
 
 Each command is one job on the session it finds (or a new one); it prints a
 JSON line with what it did.
@@ -20,6 +22,7 @@ from .operators import scd2
 from .plans import pipeline
 from .session import build_session
 from .sources import lake
+from .streaming import live
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
@@ -45,6 +48,15 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     n.add_argument("--previous")
     n.add_argument("--key", default="user_id")
     n.add_argument("--check-cols", default="plan,country")
+    t = sub.add_parser("stream", help="streaming Silver + hourly KPIs from Bronze files")
+    t.add_argument("--input", required=True)
+    t.add_argument("--silver", required=True)
+    t.add_argument("--kpis", required=True)
+    t.add_argument("--checkpoint", required=True)
+    t.add_argument("--watermark", default="2 hours")
+    t.add_argument("--max-files-per-trigger", type=int)
+    t.add_argument("--every", help="processing-time trigger, e.g. '1 minute'; "
+                                   "default: one available-now pass")
     e = sub.add_parser("export", help="dashboard results as JSON")
     e.add_argument("--gold", required=True)
     e.add_argument("--output", required=True)
@@ -62,6 +74,20 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         snap = scd2.snapshot_check(prev, lake.read_seed(spark, a.source), a.key,
                                    a.check_cols.split(","), a.run_ts)
         out = {"snapshot": scd2.write_version(snap, a.output, previous=a.previous)}
+    elif a.cmd == "stream":
+        slv = live.silver_stream(live.bronze_stream(spark, a.input, a.max_files_per_trigger),
+                                 a.watermark)
+        once = a.every is None
+        qs = [live.start_silver_sink(slv, a.silver, f"{a.checkpoint}/silver", once, a.every),
+              live.start_kpis_sink(live.hourly_kpis_stream(slv), a.kpis, f"{a.checkpoint}/kpis",
+                                   once, a.every)]
+        if once:
+            for q in qs:
+                q.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
+        out = {"silver": a.silver, "kpis": a.kpis,
+               "batches": [len(q.recentProgress) for q in qs]}
     else:
         out = pipeline.export_snapshot(spark, a.gold, a.output)
     print(json.dumps(out, default=str))

@@ -77,3 +77,16 @@ def test_replayed_batch_rewrites_its_own_folders(spark):
     write(b0, 0)          # and an older one
     got = sorted(r.event_id for r in live.read_silver_sink(spark, out).collect())
     assert got == ["a", "b", "c"]
+
+
+def test_stream_cli_catch_up_pass(spark):
+    from pulsehouse.__main__ import main
+    from pulsehouse.sources import bridge
+    from pulsehouse.sources import bronze as bronze_io
+    root = scratch_path(spark, "t-streamcli")
+    bronze_io.land(bridge.bronze(spark, SF_SMALL, dirty=True), f"{root}/bronze", mode="overwrite")
+    main(["stream", "--input", f"{root}/bronze", "--silver", f"{root}/silver",
+          "--kpis", f"{root}/kpis", "--checkpoint", f"{root}/ck"], spark)
+    batch = registry.silver_frame(spark, SF_SMALL).count()
+    assert live.read_silver_sink(spark, f"{root}/silver").count() == batch
+    assert live.read_kpis_sink(spark, f"{root}/kpis").agg(F.sum("total_requests")).first()[0] == batch
