@@ -54,12 +54,18 @@ def _merge(existing: DataFrame, source: DataFrame, key: str, changed, new_at: Co
     has_old, has_new = F.col("o_" + key).isNotNull(), F.col("s_" + key).isNotNull()
     is_changed = has_old & has_new & changed
     at = new_at
-    old_row = F.when(has_old, F.struct(
-        *[F.col("o_" + c).alias(c) for c in snap_cols if c != "dbt_valid_to"],
-        F.when(is_changed, at).otherwise(F.col("o_dbt_valid_to")).alias("dbt_valid_to")))
-    new_row = F.when(has_new & (~has_old | is_changed), F.struct(*_open_version(src_cols, key, at, "s_")))
-    out = (j.select(F.inline(F.filter(F.array(old_row.cast(_struct_type(existing, snap_cols)),
-                                              new_row.cast(_struct_type(existing, snap_cols))),
+    old_fields = {c: F.col("o_" + c) for c in snap_cols}
+    old_fields["dbt_valid_to"] = F.when(is_changed, at).otherwise(F.col("o_dbt_valid_to"))
+    new_fields = dict(zip(src_cols + META, _open_version(src_cols, key, at, "s_")))
+    missing = [c for c in snap_cols if c not in new_fields]
+    if missing:
+        raise ValueError(f"source lacks snapshot columns {missing}")
+    # structs are built by name in the snapshot's column order (casts are positional)
+    old_row = F.when(has_old, F.struct(*[old_fields[c].alias(c) for c in snap_cols]))
+    new_row = F.when(has_new & (~has_old | is_changed),
+                     F.struct(*[new_fields[c].alias(c) for c in snap_cols]))
+    row_type = _struct_type(existing, snap_cols)
+    out = (j.select(F.inline(F.filter(F.array(old_row.cast(row_type), new_row.cast(row_type)),
                                       lambda r: r.isNotNull())))
            .select(*snap_cols))
     return history.select(*snap_cols).unionByName(out)

@@ -103,3 +103,13 @@ def test_timestamp_strategy_ignores_older_updates(spark):
     v = scd2.snapshot_timestamp(scd2.snapshot_timestamp(None, s1, "user_id"), s2, "user_id")
     rows = v.collect()
     assert len(rows) == 1 and rows[0].plan == "free" and rows[0].dbt_valid_to is None
+
+
+def test_previous_version_with_reordered_columns(spark):
+    v1 = run(None, users(spark, [("a", D, "free", "IN"), ("b", D, "free", "US")]), T1)
+    shuffled = v1.select(*reversed(v1.columns))          # e.g. read back in another order
+    v2 = run(shuffled, users(spark, [("a", D, "premium", "IN"), ("b", D, "free", "US")]), T2)
+    by = versions(v2)
+    assert [r.plan for r in by["a"]] == ["free", "premium"]
+    assert by["b"][0].country == "US" and by["b"][0].dbt_valid_to is None
+    assert by["a"][0].dbt_valid_to == dt.datetime(2024, 1, 15)
