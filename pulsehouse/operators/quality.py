@@ -79,14 +79,16 @@ def relationships(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def freshness(df: DataFrame, ts_col: str, as_of: str,
               warn_after_hours: float = 12, error_after_hours: float = 24) -> DataFrame:
-    """Age of the newest record against ``as_of``: status pass / warn / error."""
+    """Age of the newest record against ``as_of``: status pass / warn / error.
+    A source with no records at all is reported as ``error``."""
     newest = df.agg(F.max(ts_col).cast("timestamp_ntz").alias("max_loaded_at"))
     as_of_col = F.lit(as_of).cast("timestamp_ntz")
     age = (F.unix_micros(as_of_col.cast("timestamp")) -
            F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3.6e9)
     return (newest.select("max_loaded_at", as_of_col.alias("snapshotted_at"),
                           F.round(age, 3).alias("age_hours"))
-            .withColumn("status", F.when(F.col("age_hours") > error_after_hours, "error")
+            .withColumn("status", F.when(F.col("age_hours").isNull(), "error")
+                        .when(F.col("age_hours") > error_after_hours, "error")
                         .when(F.col("age_hours") > warn_after_hours, "warn").otherwise("pass")))
 
 

@@ -135,7 +135,8 @@ GROUP BY user_id""", SCD_CTE)
 
 sql("dq_freshness", """
 SELECT max_loaded_at, snapshotted_at, age_hours,
-  CASE WHEN age_hours > 24 THEN 'error' WHEN age_hours > 12 THEN 'warn' ELSE 'pass' END AS status
+  CASE WHEN age_hours IS NULL OR age_hours > 24 THEN 'error' WHEN age_hours > 12 THEN 'warn'
+       ELSE 'pass' END AS status
 FROM (SELECT max(event_ts) AS max_loaded_at, TIMESTAMP '2024-01-31 00:00:00' AS snapshotted_at,
   round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_ts))) / 3600000000.0, 3) AS age_hours
   FROM silver) f""")

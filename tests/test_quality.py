@@ -61,3 +61,8 @@ def test_failing_check_stops_gold_build(spark, bronze_df):
         pipeline.build_gold(spark, f"{root}/silver", f"{root}/gold")
     gold = f"{root}/gold"
     assert not os.path.exists(gold[len("file:"):] if gold.startswith("file:") else gold)
+
+
+def test_freshness_of_empty_source_is_error(spark, bronze_df):
+    empty = silver.transform(bronze_df([ev("a", "garbage")]))
+    assert quality.freshness(empty, "event_ts", "2024-01-01 00:00:00").first().status == "error"
