@@ -52,3 +52,15 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(d_cols)
     assert _canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == _canon(d_cols, res.fetchall())
+
+
+def test_session_time_zone_is_pinned_for_queries(spark):
+    """A caller's session in another time zone gets UTC-derived dates/hours."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        rows = E.queries()["error_rate_trend"](spark, SF_SMALL).collect()
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert rows[0].label == "2024-01-01 00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
