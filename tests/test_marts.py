@@ -75,3 +75,17 @@ def test_cross_result_invariants(spark):
     j = trend.join(dau, "event_date")
     assert j.count() == dau.count() and j.filter(F.col("n") != F.col("total_requests")).count() == 0
     kpis.unpersist()
+
+
+def test_approx_distinct_option_within_tolerance(spark):
+    stg = registry.stg_frame(spark, SF_SMALL).cache()
+    exact = {(r.event_date, r.service): r.active_users
+             for r in marts.daily_active_users(stg).collect()}
+    approx = {(r.event_date, r.service): r.active_users
+              for r in marts.daily_active_users(stg, exact_distinct=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
+    plan = marts.service_hourly_kpis(stg, exact_distinct=False)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "approx_count_distinct" in plan
+    stg.unpersist()
