@@ -54,3 +54,20 @@ def test_cluster_conf_scales_with_cores():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == 24000
     assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 48000
+
+
+WRITING = {"bronze_land", "bronze_scan", "bronze_backfill", "silver_roundtrip", "catalog_silver",
+           "users_seed", "gold_build", "pipeline_rerun", "export_error_trend", "stream_silver",
+           "stream_hourly_kpis", "stream_hourly_volume"}
+
+
+def test_no_python_in_any_query_plan(spark):
+    """Every registered query stays JVM-side: no Python UDF / pandas nodes."""
+    import __spark_entry__ as E
+    for name, q in E.queries().items():
+        if name in WRITING:
+            continue
+        p = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        for node in ("EvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+                     "MapInArrow", "PythonMapInArrow"):
+            assert node not in p, (name, node)
