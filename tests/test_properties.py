@@ -81,3 +81,51 @@ def test_silver_contract_against_brute_force(spark, rows, deterministic):
         assert (r.event_id, r.service, r.status_code, r.latency_ms) in valid_rows
         assert r.event_ts is not None
         assert r.is_error == (None if r.status_code is None else r.status_code >= 400)
+
+
+RUN_TS = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)]
+
+
+@st.composite
+def source_runs(draw):
+    runs = []
+    for _ in RUN_TS:
+        rows = []
+        for k in ("k1", "k2", "k3", "k4", "k5"):
+            if draw(st.booleans()) or draw(st.booleans()):        # present ~75 %
+                rows.append((k, dt.date(2023, 1, draw(st.integers(1, 3))),
+                             draw(st.sampled_from(["free", "premium", None])),
+                             draw(st.sampled_from(["IN", "US", None]))))
+        runs.append(rows)
+    return runs
+
+
+def brute_force_snapshot(runs):
+    """Plain-Python check strategy on (plan, country)."""
+    versions = []                                   # dicts
+    for ts, rows in zip(RUN_TS, runs):
+        open_by_key = {v["user_id"]: v for v in versions if v["valid_to"] is None}
+        for k, signup, plan, country in rows:
+            cur = open_by_key.get(k)
+            if cur is None or (cur["plan"], cur["country"]) != (plan, country):
+                if cur is not None:
+                    cur["valid_to"] = ts
+                versions.append({"user_id": k, "signup_date": signup, "plan": plan,
+                                 "country": country, "valid_from": ts, "valid_to": None})
+    return sorted((v["user_id"], v["signup_date"], v["plan"] or "~", v["country"] or "~",
+                   v["valid_from"], v["valid_to"] or dt.datetime.max) for v in versions)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(runs=source_runs())
+def test_snapshot_check_against_brute_force(spark, runs):
+    from pulsehouse.operators import scd2
+    from pulsehouse.schemas import USERS
+    snap = None
+    for ts, rows in zip(RUN_TS, runs):
+        src = spark.createDataFrame(rows, USERS)
+        snap = scd2.snapshot_check(snap, src, "user_id", ["plan", "country"],
+                                   ts.strftime("%Y-%m-%d %H:%M:%S"))
+    got = sorted((r.user_id, r.signup_date, r.plan or "~", r.country or "~", r.dbt_valid_from,
+                  r.dbt_valid_to or dt.datetime.max) for r in snap.collect())
+    assert got == brute_force_snapshot(runs)
