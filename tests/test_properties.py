@@ -129,3 +129,22 @@ def test_snapshot_check_against_brute_force(spark, runs):
     got = sorted((r.user_id, r.signup_date, r.plan or "~", r.country or "~", r.dbt_valid_from,
                   r.dbt_valid_to or dt.datetime.max) for r in snap.collect())
     assert got == brute_force_snapshot(runs)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                               st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=80),
+       q=st.sampled_from([0.01, 0.5, 0.9, 0.95, 0.99, 1.0]))
+def test_exact_percentiles_nearest_rank(spark, data, q):
+    import math
+    from pulsehouse.functions.expressions import exact_percentiles
+    df = spark.createDataFrame(data, "k string, v int")
+    got = {r.k: (r.p, r.n) for r in exact_percentiles(df, ["k"], "v", (q,), ("p",),
+                                                       total_name="n").collect()}
+    want = {}
+    for k in {k for k, _ in data}:
+        vals = sorted(v for kk, v in data if kk == k and v is not None)
+        n_all = sum(1 for kk, _ in data if kk == k)
+        p = vals[math.ceil(round(q * len(vals), 9)) - 1] if vals else None
+        want[k] = (p, n_all)
+    assert got == want
