@@ -89,3 +89,11 @@ def test_approx_distinct_option_within_tolerance(spark):
         .executedPlan().toString()
     assert "approx_count_distinct" in plan
     stg.unpersist()
+
+
+def test_rounding_ties_go_half_up(spark, bronze_df):
+    rows = [ev(f"e{i}", status=500 if i == 0 else 200, latency=1 if i < 200 else 0)
+            for i in range(800)]
+    k = marts.service_hourly_kpis(_stg(bronze_df, rows)).first()
+    assert k.error_rate_pct == 0.13          # 100 * 1 / 800 = 0.125
+    assert k.avg_latency_ms == 0.3           # 200 / 800 = 0.25

@@ -148,3 +148,30 @@ def test_exact_percentiles_nearest_rank(spark, data, q):
         p = vals[math.ceil(round(q * len(vals), 9)) - 1] if vals else None
         want[k] = (p, n_all)
     assert got == want
+
+
+def _half_up(x, places):
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from([200, 201, 404, 500, None]),
+                               st.integers(0, 2000),
+                               st.sampled_from(["u1", "u2", "u3", None])),
+                     min_size=1, max_size=120))
+def test_hourly_mart_measures_against_half_up_model(spark, rows):
+    from pulsehouse.operators import marts
+    df = spark.createDataFrame(
+        [("auth-api", dt.date(2024, 1, 1), 5, s, lat, u, None if s is None else s >= 400,
+          None if s is None else s >= 500) for s, lat, u in rows],
+        "service string, event_date date, event_hour int, status_code int, latency_ms int, "
+        "user_id string, is_error boolean, is_server_error boolean")
+    r = marts.service_hourly_kpis(df).first()
+    n = len(rows)
+    errors = sum(1 for s, _, _ in rows if s is not None and s >= 400)
+    assert (r.total_requests, r.error_count) == (n, errors)
+    assert r.server_error_count == sum(1 for s, _, _ in rows if s is not None and s >= 500)
+    assert r.error_rate_pct == _half_up(100.0 * errors / n, 2)
+    assert r.avg_latency_ms == _half_up(sum(lat for _, lat, _ in rows) / n, 1)
+    assert r.unique_users == len({u for _, _, u in rows if u is not None})
