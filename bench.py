@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pulsehouse.operators import enrich, scd2, serving, silver  # noqa: E402
+from pulsehouse.operators import enrich, scd2, serving, serving_sql, silver  # noqa: E402
 from pulsehouse.plans import pipeline, registry  # noqa: E402
 from pulsehouse.session import build_session, scratch_path  # noqa: E402
 from pulsehouse.sources import bridge, lake  # noqa: E402
@@ -75,6 +75,9 @@ def main():
                       ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
         timed(name, lambda df=results[key]: run(df))
 
+    serving_sql.register_gold(spark, gold_dir)
+    timed("sql_service_health", lambda: run(serving_sql.run(spark, "service_health")))
+
     stg = silver.staging(lake.read_silver(spark, silver_path))
     timed("p95_by_service", lambda: run(serving.p95_by_service(stg)))
     timed("traffic_by_hour", lambda: run(serving.traffic_by_hour(stg)))
