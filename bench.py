@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pulsehouse.operators import enrich, scd2, serving, serving_sql, silver  # noqa: E402
-from pulsehouse.plans import pipeline, registry  # noqa: E402
+from pulsehouse.plans import jobs, registry  # noqa: E402
 from pulsehouse.session import build_session, scratch_path  # noqa: E402
 from pulsehouse.sources import bridge, lake  # noqa: E402
 from pulsehouse.sources import bronze as bronze_io  # noqa: E402
@@ -66,11 +66,11 @@ def main():
 
     timed("bronze_land", lambda: bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True),
                                                 bronze_path, mode="overwrite"))
-    timed("silver_job", lambda: pipeline.run_silver(spark, bronze_path, silver_path))
+    timed("silver_job", lambda: jobs.run_silver(spark, bronze_path, silver_path))
     timed("catalog_register", lambda: lake.register_partitioned(spark, silver_path))
-    timed("gold_build", lambda: pipeline.build_gold(spark, silver_path, gold_dir))
+    timed("gold_build", lambda: jobs.build_gold(spark, silver_path, gold_dir))
 
-    results = pipeline.serving_results(spark, gold_dir)
+    results = jobs.serving_results(spark, gold_dir)
     for key, name in [("service-health", "service_health"), ("error-trend", "error_rate_trend"),
                       ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
         timed(name, lambda df=results[key]: run(df))
@@ -89,7 +89,7 @@ def main():
     history = spark.read.parquet(history_path)
     timed("kpis_by_plan", lambda: run(enrich.kpis_by_dimension(stg, scd2.current(history), ["plan"])))
     timed("events_asof_plan", lambda: run(enrich.kpis_point_in_time(stg, history)))
-    kpis = spark.read.parquet(pipeline.gold_paths(gold_dir)["mart_service_hourly_kpis"])
+    kpis = spark.read.parquet(jobs.gold_paths(gold_dir)["mart_service_hourly_kpis"])
     timed("hour_over_hour_self", lambda: run(enrich.hour_over_hour(kpis)))
     timed("service_rank_hourly", lambda: run(enrich.service_rank_hourly(kpis)))
 

@@ -19,7 +19,7 @@ import json
 import sys
 
 from .operators import scd2
-from .plans import pipeline
+from .plans import jobs
 from .session import build_session
 from .sources import lake
 from .streaming import live
@@ -64,9 +64,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or build_session(app=f"pulsehouse-{a.cmd}")
     if a.cmd == "silver":
-        out = pipeline.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine)
+        out = jobs.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine)
     elif a.cmd == "gold":
-        out = pipeline.build_gold(spark, a.silver, a.gold, run_checks=not a.no_checks)
+        out = jobs.build_gold(spark, a.silver, a.gold, run_checks=not a.no_checks)
     elif a.cmd == "register":
         out = {"table": lake.register_partitioned(spark, a.silver, a.table)}
     elif a.cmd == "snapshot":
@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         out = {"silver": a.silver, "kpis": a.kpis,
                "batches": [len(q.recentProgress) for q in qs]}
     else:
-        out = pipeline.export_snapshot(spark, a.gold, a.output)
+        out = jobs.export_snapshot(spark, a.gold, a.output)
     print(json.dumps(out, default=str))
     return out
 

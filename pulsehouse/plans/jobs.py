@@ -79,7 +79,7 @@ def build_gold(spark: SparkSession, silver_path: str, gold_dir: str,
     return paths
 
 
-def run_pipeline(spark: SparkSession, bronze_rows: DataFrame, root: str,
+def run_all(spark: SparkSession, bronze_rows: DataFrame, root: str,
                  land_mode: str = "overwrite") -> dict:
     """Land -> Silver -> register -> Gold, all under ``root``."""
     bronze_path = os.path.join(root, "bronze")

@@ -216,7 +216,7 @@ FROM silver GROUP BY event_date, service""")
 sql_users("users_seed", "SELECT user_id, signup_date, plan, country FROM snap2")
 
 ORACLE["gold_build"] = ORACLE["mart_service_hourly_kpis"]
-ORACLE["pipeline_rerun"] = ORACLE["service_health"]
+ORACLE["end_to_end_rerun"] = ORACLE["service_health"]
 ORACLE["export_error_trend"] = ORACLE["error_rate_trend"]
 
 ORACLE["stream_silver"] = ORACLE["silver_transform"]

@@ -18,7 +18,7 @@ from ..session import prepare, scratch_path
 from ..sources import bridge, lake
 from ..sources import bronze as bronze_io
 from ..streaming import live
-from . import pipeline
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -315,7 +315,7 @@ def _landed_silver(spark, sf_dir):
     root = scratch_path(spark, "lake")
     bronze_path, silver_path = f"{root}/bronze", f"{root}/silver"
     bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), bronze_path, mode="overwrite")
-    counts = pipeline.run_silver(spark, bronze_path, silver_path)
+    counts = jobs.run_silver(spark, bronze_path, silver_path)
     return root, silver_path, counts
 
 
@@ -350,26 +350,26 @@ def q_users_seed(spark, sf_dir):
 def q_gold_build(spark, sf_dir):
     """Staging -> marts -> checks on written tables; the hourly mart."""
     root, silver_path, _ = _landed_silver(spark, sf_dir)
-    paths = pipeline.build_gold(spark, silver_path, f"{root}/gold")
+    paths = jobs.build_gold(spark, silver_path, f"{root}/gold")
     return spark.read.parquet(paths["mart_service_hourly_kpis"])
 
 
-@register("pipeline_rerun")
-def q_pipeline_rerun(spark, sf_dir):
+@register("end_to_end_rerun")
+def q_end_to_end_rerun(spark, sf_dir):
     """E3 twice into the same folders (Bronze appended twice): same answer."""
     root = scratch_path(spark, "lake")
     rows = bridge.bronze(spark, sf_dir, dirty=True)
-    pipeline.run_pipeline(spark, rows, root, land_mode="append")
-    pipeline.run_pipeline(spark, rows, root, land_mode="append")
-    return pipeline.serving_results(spark, f"{root}/gold")["service-health"]
+    jobs.run_all(spark, rows, root, land_mode="append")
+    jobs.run_all(spark, rows, root, land_mode="append")
+    return jobs.serving_results(spark, f"{root}/gold")["service-health"]
 
 
 @register("export_error_trend")
 def q_export_error_trend(spark, sf_dir):
     """The exported error-trend JSON read back."""
     root, silver_path, _ = _landed_silver(spark, sf_dir)
-    pipeline.build_gold(spark, silver_path, f"{root}/gold", run_checks=False)
-    out = pipeline.export_snapshot(spark, f"{root}/gold", f"{root}/export")
+    jobs.build_gold(spark, silver_path, f"{root}/gold", run_checks=False)
+    out = jobs.export_snapshot(spark, f"{root}/gold", f"{root}/export")
     return spark.read.schema(EXPORT_TREND_SCHEMA).json(out["error-trend"])
 
 

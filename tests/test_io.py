@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, ev
-from pulsehouse.plans import pipeline
+from pulsehouse.plans import jobs
 from pulsehouse.schemas import BRONZE
 from pulsehouse.session import scratch_path
 from pulsehouse.sources import bridge, lake
@@ -51,13 +51,13 @@ def test_backfill_window(spark):
     assert hours == ["06", "07", "08"]
 
 
-def test_pipeline_rerun_is_idempotent(spark):
+def test_end_to_end_rerun_is_idempotent(spark):
     root = scratch_path(spark, "t-pipe")
     rows = bridge.bronze(spark, SF_SMALL, dirty=True)
-    first = pipeline.run_pipeline(spark, rows, root, land_mode="append")
-    a = sorted(map(tuple, pipeline.serving_results(spark, f"{root}/gold")["service-health"].collect()))
-    second = pipeline.run_pipeline(spark, rows, root, land_mode="append")
-    b = sorted(map(tuple, pipeline.serving_results(spark, f"{root}/gold")["service-health"].collect()))
+    first = jobs.run_all(spark, rows, root, land_mode="append")
+    a = sorted(map(tuple, jobs.serving_results(spark, f"{root}/gold")["service-health"].collect()))
+    second = jobs.run_all(spark, rows, root, land_mode="append")
+    b = sorted(map(tuple, jobs.serving_results(spark, f"{root}/gold")["service-health"].collect()))
     assert a == b
     assert second["counts"]["raw_count"] == 2 * first["counts"]["raw_count"]
     assert second["counts"]["clean_count"] == first["counts"]["clean_count"]
@@ -188,9 +188,9 @@ def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
     from pulsehouse.operators import serving_sql
     root = scratch_path(spark, "t-sqlgold")
     rows = bridge.bronze(spark, SF_SMALL, dirty=True)
-    pipeline.run_pipeline(spark, rows, root)
+    jobs.run_all(spark, rows, root)
     serving_sql.register_gold(spark, f"{root}/gold")
-    api = pipeline.serving_results(spark, f"{root}/gold")
+    api = jobs.serving_results(spark, f"{root}/gold")
     for key, name in [("service-health", "service_health"), ("error-trend", "error_rate_trend"),
                       ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
         a = [tuple(r) for r in serving_sql.run(spark, name).collect()]
@@ -201,7 +201,7 @@ def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
 def test_silver_job_with_quarantine(spark):
     root = scratch_path(spark, "t-quar")
     bronze_io.land(bridge.bronze(spark, SF_SMALL, dirty=True), f"{root}/bronze", mode="overwrite")
-    counts = pipeline.run_silver(spark, f"{root}/bronze", f"{root}/silver",
+    counts = jobs.run_silver(spark, f"{root}/bronze", f"{root}/silver",
                                  quarantine_path=f"{root}/quarantine")
     q = spark.read.parquet(f"{root}/quarantine")
     from pulsehouse.operators import silver

@@ -57,7 +57,7 @@ def test_cluster_conf_scales_with_cores():
 
 
 WRITING = {"bronze_land", "bronze_scan", "bronze_backfill", "silver_roundtrip", "catalog_silver",
-           "users_seed", "gold_build", "pipeline_rerun", "export_error_trend", "stream_silver",
+           "users_seed", "gold_build", "end_to_end_rerun", "export_error_trend", "stream_silver",
            "stream_hourly_kpis", "stream_hourly_volume"}
 
 

@@ -50,7 +50,7 @@ def test_freshness_status(spark, bronze_df):
 
 def test_failing_check_stops_gold_build(spark, bronze_df):
     import os
-    from pulsehouse.plans import pipeline
+    from pulsehouse.plans import jobs
     from pulsehouse.session import scratch_path
     from pulsehouse.sources import lake
     # two Silver rows share an event_id (written around the Silver job's dedup)
@@ -58,7 +58,7 @@ def test_failing_check_stops_gold_build(spark, bronze_df):
     root = scratch_path(spark, "t-gate")
     lake.write_silver(rows, f"{root}/silver")
     with pytest.raises(quality.DataQualityError):
-        pipeline.build_gold(spark, f"{root}/silver", f"{root}/gold")
+        jobs.build_gold(spark, f"{root}/silver", f"{root}/gold")
     gold = f"{root}/gold"
     assert not os.path.exists(gold[len("file:"):] if gold.startswith("file:") else gold)
 
