@@ -261,7 +261,11 @@ def q_events_asof_plan(spark, sf_dir):
 
 @register("hour_over_hour_self")
 def q_hour_over_hour(spark, sf_dir):
-    return enrich.hour_over_hour(kpis_frame(spark, sf_dir))
+    """The mart is used on both sides, so it is checkpointed once (into the
+    checkpoint folder) instead of recomputing Bronze -> mart per side."""
+    from ..session import checkpoint_root
+    checkpoint_root(spark)
+    return enrich.hour_over_hour(kpis_frame(spark, sf_dir).checkpoint(eager=True))
 
 
 @register("busiest_hours")
