@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import hour_label
 from ..operators import enrich, marts, quality, scd2, serving, serving_sql, silver
 from ..schemas import SILVER_COLUMNS
-from ..session import prepare, scratch_path
+from ..session import checkpoint_root, prepare, scratch_path
 from ..sources import bridge, lake
 from ..sources import bronze as bronze_io
 from ..streaming import live
@@ -43,6 +43,14 @@ def ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 # --- shared frames ---------------------------------------------------------
 
+def materialized(df: DataFrame) -> DataFrame:
+    """A frame used by several branches of one query is written once to the
+    checkpoint folder (reliable checkpoint, lineage cut) instead of being
+    recomputed per branch — the harness analogue of reading a written table."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def silver_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.transform(bridge.bronze(spark, sf_dir, dirty=True))
 
@@ -176,7 +184,7 @@ def q_dq_unique(spark, sf_dir):
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    stg = stg_frame(spark, sf_dir)
+    stg = materialized(stg_frame(spark, sf_dir))
     return quality.not_null_suite(stg, marts.service_hourly_kpis(stg),
                                   marts.daily_active_users(stg), marts.error_analytics(stg))
 
@@ -256,16 +264,14 @@ def q_kpis_by_plan_inner(spark, sf_dir):
 @register("events_asof_plan")
 def q_events_asof_plan(spark, sf_dir):
     """Daily requests by the plan valid at event time."""
-    return enrich.kpis_point_in_time(stg_frame(spark, sf_dir), users_history(spark, sf_dir))
+    return enrich.kpis_point_in_time(materialized(stg_frame(spark, sf_dir)),
+                                     materialized(users_history(spark, sf_dir)))
 
 
 @register("hour_over_hour_self")
 def q_hour_over_hour(spark, sf_dir):
-    """The mart is used on both sides, so it is checkpointed once (into the
-    checkpoint folder) instead of recomputing Bronze -> mart per side."""
-    from ..session import checkpoint_root
-    checkpoint_root(spark)
-    return enrich.hour_over_hour(kpis_frame(spark, sf_dir).checkpoint(eager=True))
+    """The mart is used on both sides, so it is materialized once."""
+    return enrich.hour_over_hour(materialized(kpis_frame(spark, sf_dir)))
 
 
 @register("busiest_hours")
