@@ -71,3 +71,15 @@ def test_no_python_in_any_query_plan(spark):
         for node in ("EvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
                      "MapInArrow", "PythonMapInArrow"):
             assert node not in p, (name, node)
+
+
+def test_materialized_uses_reliable_checkpoint_folder(spark):
+    import glob
+    from pulsehouse.plans.registry import materialized
+    from pulsehouse.session import checkpoint_root
+    root = checkpoint_root(spark)
+    df = materialized(spark.range(100).withColumnRenamed("id", "x"))
+    assert df.count() == 100
+    local = root[len("file:"):] if root.startswith("file:") else root
+    assert glob.glob(f"{local}/rdd-*"), "checkpoint files are written under the checkpoint root"
+    assert "LocalCheckpoint" not in df._jdf.queryExecution().logical().toString()
