@@ -1,6 +1,10 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +38,15 @@ def let(value: Column, body) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark application: tasks import
+    their functions by name, so that a reused worker keeps its caches."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pulsehouse_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="pulsehouse-code-")   # on the driver: Spark copies it to the executors
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "pulsehouse"), "zip", os.path.dirname(package), "pulsehouse"))
+    sc._pulsehouse_shipped = True

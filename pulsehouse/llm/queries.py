@@ -1,21 +1,26 @@
 """The training-data queries: name -> (spark, sf_dir) -> DataFrame, and their SQL."""
 from __future__ import annotations
 
-from . import fingerprints, mixing, quality_rules
-from .common import documents
+from ..session import prepare
+from . import fingerprints, mixing, packing, quality_rules, token_output
+from .common import documents, ship
 
 
 def _over_documents(module):
     def run(spark, sf_dir):
+        prepare(spark)
+        ship(spark)
         return module.query(spark, documents(spark, sf_dir))
     run.__name__, run.__doc__ = module.__name__.rpartition(".")[2], module.__doc__
     return run
 
 
 QUERIES = {
+    "op2_token_output": _over_documents(token_output),
     "op7_quality_rules": _over_documents(quality_rules),
     "op8_fingerprints": _over_documents(fingerprints),
     "op9_mixing": _over_documents(mixing),
+    "op10_packing": _over_documents(packing),
 }
 
 SQL = {
