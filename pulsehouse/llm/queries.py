@@ -2,25 +2,31 @@
 from __future__ import annotations
 
 from ..session import prepare
-from . import fingerprints, mixing, packing, quality_rules, token_output
+from . import (fingerprints, language_id, mixing, packing, quality_classifier, quality_rules,
+               token_output, toxicity)
 from .common import documents, ship
 
 
-def _over_documents(module):
+def _query(module, *tables):
+    """The module's query over all documents and the named further tables."""
     def run(spark, sf_dir):
         prepare(spark)
         ship(spark)
-        return module.query(spark, documents(spark, sf_dir))
+        more = [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables]
+        return module.query(spark, documents(spark, sf_dir), *more)
     run.__name__, run.__doc__ = module.__name__.rpartition(".")[2], module.__doc__
     return run
 
 
 QUERIES = {
-    "op2_token_output": _over_documents(token_output),
-    "op7_quality_rules": _over_documents(quality_rules),
-    "op8_fingerprints": _over_documents(fingerprints),
-    "op9_mixing": _over_documents(mixing),
-    "op10_packing": _over_documents(packing),
+    "op1_toxicity": _query(toxicity, "labels"),
+    "op2_token_output": _query(token_output),
+    "op4_quality_classifier": _query(quality_classifier, "labels"),
+    "op5_language_id": _query(language_id),
+    "op7_quality_rules": _query(quality_rules),
+    "op8_fingerprints": _query(fingerprints),
+    "op9_mixing": _query(mixing),
+    "op10_packing": _query(packing),
 }
 
 SQL = {
