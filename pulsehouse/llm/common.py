@@ -5,6 +5,8 @@ import os
 import shutil
 import tempfile
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,24 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+SLICE_ROWS = 256
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches, column: int):
+    """Cut Arrow batches into parts of at most SLICE_ROWS rows and about SLICE_BYTES of the
+    (string or binary) column, one row at least: what numpy holds at a time stays small."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            before = size[at - 1] if at else 0
+            end = int(np.searchsorted(size, before + SLICE_BYTES, "right"))
+            end = min(max(end, at + 1), at + SLICE_ROWS, b.num_rows)
+            yield b.slice(at, end - at)
+            at = end
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

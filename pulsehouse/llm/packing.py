@@ -25,14 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 from .tokens import encoder
 
 WINDOW = 1024
 PIECE = 256
 END_ID = 0
 GROUP_WINDOWS = 256
-SLICE = 256
 PIECES = "piece bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint"
 
@@ -51,23 +50,21 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
         enc = encoder(tokenizer)
         number = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                s = b.slice(at, SLICE)
-                rows: list[list] = [[] for _ in range(7)]
-                for key, raw in zip(s.column(0).to_pylist(), enc.encode(s.column(1).to_pylist())):
-                    ids = np.frombuffer(raw, enc.dtype).astype("<u4").tobytes() + end
-                    whole = len(ids) - len(ids) % (4 * window)
-                    cuts = [*range(0, whole, 4 * window), *range(whole, len(ids), 4 * piece), len(ids)]
-                    for start, stop in zip(cuts, cuts[1:]):
-                        cut = ids[start:stop]
-                        for col, v in zip(rows, (number, key, start // 4, len(cut) // 4, zlib.crc32(cut),
-                                                 len(ids) // 4, cut)):
-                            col.append(v)
-                        number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(rows)],
-                    [x.split()[0] for x in PIECES.split(", ")])
+        for s in slices(batches, 1):
+            rows: list[list] = [[] for _ in range(7)]
+            for key, raw in zip(s.column(0).to_pylist(), enc.encode(s.column(1).to_pylist())):
+                ids = np.frombuffer(raw, enc.dtype).astype("<u4").tobytes() + end
+                whole = len(ids) - len(ids) % (4 * window)
+                cuts = [*range(0, whole, 4 * window), *range(whole, len(ids), 4 * piece), len(ids)]
+                for start, stop in zip(cuts, cuts[1:]):
+                    cut = ids[start:stop]
+                    for col, v in zip(rows, (number, key, start // 4, len(cut) // 4, zlib.crc32(cut),
+                                             len(ids) // 4, cut)):
+                        col.append(v)
+                    number += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(rows)],
+                [x.split()[0] for x in PIECES.split(", ")])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 

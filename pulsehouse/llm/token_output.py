@@ -29,12 +29,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import written
+from .common import slices, written
 from .tokens import encoder
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-SLICE = 256      # documents encoded at a time
 
 
 def word_tokenizer() -> str:
@@ -47,11 +46,9 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches):
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
-        for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                s = b.slice(at, SLICE)
-                ids = [x + end for x in enc.encode(s.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([s.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for s in slices(batches, 1):
+            ids = [x + end for x in enc.encode(s.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([s.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id bigint, ids binary")
 
