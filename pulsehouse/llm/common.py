@@ -6,6 +6,7 @@ import shutil
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +71,32 @@ def ship(spark: SparkSession) -> None:
     folder = tempfile.mkdtemp(prefix="pulsehouse-code-")   # on the driver: Spark copies it to the executors
     sc.addPyFile(shutil.make_archive(os.path.join(folder, "pulsehouse"), "zip", os.path.dirname(package), "pulsehouse"))
     sc._pulsehouse_shipped = True
+
+
+BITMAP_BITS = 23
+
+
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size (2**17 words, one megabyte) over the low bits of 64-bit hashes."""
+    low = F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")
+    words = keys.groupBy(F.shiftright(low, 6).alias("w")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    table[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    return table
+
+
+def in_bitmap(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    word = table[(keys & ((1 << BITMAP_BITS) - 1)) >> 6]
+    return (word >> (keys & 63)) & 1 == 1
+
+
+def bitmap_filter(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose first column (a hash) may be among the keys: spares a join most of the other
+    rows while keys are few; with very many keys it lets all through, and the join decides."""
+    have = rows.sparkSession.sparkContext.broadcast(bitmap(keys, keys.columns[0]))
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(have.value, np.asarray(b.column(0), np.int64))))
+    return rows.mapInArrow(run, rows.schema)

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, shuffle_partitions, slices, written
+from .common import SLICE_ROWS, bitmap, in_bitmap, shuffle_partitions, slices, written
 from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
@@ -56,7 +56,6 @@ SAMPLE_BITS = 3             # 1/8 of the classes are looked at to find frequent
 FREQUENT_SHARE = 2000       # frequent: in more than 1/2000 of the classes ...
 FREQUENT_LEAST = 64         # ... and in more than 64; so at most 2000 sets' worth are frequent
 OVERFLOW_COST = 2000        # signatures that a document short of good segments costs
-FILTER_BITS = 23            # size of the bitmap that spares reading unneeded texts again
 
 
 # ---- size bands and their layout ------------------------------------------------------------
@@ -411,23 +410,15 @@ class Join:
         pairs = written(pairs, f"{name}-pairs")
         need_ = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = written(self.classes.select("node", "h1", "h2").join(need_, "node"), f"{name}-wanted")
-        bit = F.col("h1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-        words = wanted.groupBy(F.shiftright(bit, 6).alias("w")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(h1 & 63 as int))")).alias("bits")).toArrow()
-        table = np.zeros(1 << (FILTER_BITS - 6), np.int64)     # 2^17 words at most
-        table[words.column(0).to_numpy()] = words.column(1).to_numpy()
-        bitmap = self.spark.sparkContext.broadcast(table)
+        have = self.spark.sparkContext.broadcast(bitmap(wanted, "h1"))
 
         def reread(batches):
-            have, seen = bitmap.value, set()
+            seen = set()
             for part, sets in _sets_of(batches, 1):
                 ids = [identity(s) if len(s) else None for s in sets]
-                ok = []
-                for i in ids:
-                    hit = i is not None and i not in seen and have[(i[0] & ((1 << FILTER_BITS) - 1)) >> 6] >> (i[0] & 63) & 1
-                    ok.append(bool(hit))
-                    if hit:
-                        seen.add(i)
+                hit = in_bitmap(have.value, np.array([i[0] if i else 0 for i in ids], np.int64))
+                ok = [i is not None and i not in seen and bool(k) for i, k in zip(ids, hit)]
+                seen.update(i for i, k in zip(ids, ok) if k)
                 got = [i for i, k in zip(ids, ok) if k]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int64()), pa.array(
                     [x[1] for x in got], pa.int64()), part.column(1).filter(pa.array(ok))], ["h1", "h2", "text"])

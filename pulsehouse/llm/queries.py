@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 from ..session import prepare
-from . import (fingerprints, language_id, mixing, packing, quality_classifier, quality_rules,
-               token_output, toxicity)
+from . import (fingerprints, language_id, mixing, ngram_join, packing, quality_classifier, quality_rules,
+               suffix_dedup, token_output, toxicity)
 from .common import documents, ship
 
 
@@ -21,8 +21,10 @@ def _query(module, *tables):
 QUERIES = {
     "op1_toxicity": _query(toxicity, "labels"),
     "op2_token_output": _query(token_output),
+    "op3_ngram_join": _query(ngram_join),
     "op4_quality_classifier": _query(quality_classifier, "labels"),
     "op5_language_id": _query(language_id),
+    "op6_suffix_dedup": _query(suffix_dedup),
     "op7_quality_rules": _query(quality_rules),
     "op8_fingerprints": _query(fingerprints),
     "op9_mixing": _query(mixing),

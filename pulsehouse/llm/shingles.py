@@ -35,16 +35,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def byte_sums(raw: np.ndarray) -> np.ndarray:
+    """Sums from which :func:`string_hash` reads the hash of any substring."""
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _powers(len(raw) + 1)[0][:len(raw)], out=total[1:])
+    return total
+
+
+def string_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the substrings [start, end)."""
+    return mix((sums[end] - sums[start]) * _powers(len(sums))[1][start])
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word in order, number of words before each text)."""
     raw = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
     space = _SPACE[raw]
     start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     end = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    forth, back = _powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * forth[:len(raw)], out=total[1:])
-    words = mix((total[end] - total[start]) * back[start])
+    words = string_hash(byte_sums(raw), start, end)
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts]) + 1
     return words, np.searchsorted(start, bounds)
 
