@@ -198,7 +198,15 @@ def mix(docs: DataFrame) -> DataFrame:
     cut = F.when(F.col("words") < F.col("size"), first_words(F.col("row.text"), F.col("words"))
                  ).otherwise(F.col("row.text"))
     out = out.repartition("shard").sortWithinPartitions("shard", "shuffle_key")
-    return out.select(*[(cut if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return cut
+        if c == "n_chars":     # follows a cut text
+            return F.when(F.col("words") < F.col("size"), F.length(cut).cast(docs.schema[c].dataType)).otherwise(
+                F.col("row.n_chars"))
+        return F.col(f"row.`{c}`")
+    return out.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def query(spark, docs: DataFrame) -> DataFrame:

@@ -377,7 +377,7 @@ def query(spark, docs: DataFrame) -> DataFrame:
 
 def strip(docs: DataFrame) -> DataFrame:
     """The documents with their repeated passages taken out of ``text`` (a character cut in
-    half goes too); other columns stay as they are."""
+    half goes too); ``n_chars``, if there, is counted anew, other columns stay as they are."""
     others = [c for c in docs.columns if c != "text"]
     out = removed(docs, others)
 
@@ -387,4 +387,7 @@ def strip(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:len(others)], pa.array(text, pa.string())], [*others, "text"])
     schema = docs.select(*others).schema
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["text string"])
-    return out.select(*others, "kept").mapInArrow(decode, ddl).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = out.select(*[F.col(f"`{c}`") for c in others], "kept").mapInArrow(decode, ddl)
+    if "n_chars" in others:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
