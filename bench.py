@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,6 +22,7 @@ from pulsehouse.plans import jobs, registry  # noqa: E402
 from pulsehouse.session import build_session, scratch_path  # noqa: E402
 from pulsehouse.sources import bridge, lake  # noqa: E402
 from pulsehouse.sources import bronze as bronze_io  # noqa: E402
+from pulsehouse.streaming import live  # noqa: E402
 
 
 def _mb(path: str) -> float | None:
@@ -38,9 +40,9 @@ def _mb(path: str) -> float | None:
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    extra = {"spark.driver.memory": "8g"}
+    extra = {"spark.driver.memory": "8g",
+             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="pulsehouse-bench-")}
     if os.environ.get("BENCH_EVENT_LOG") == "1":
-        import tempfile
         log_dir = tempfile.mkdtemp(prefix="pulsehouse-eventlog-")
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}"})
         print(f"event log: {log_dir}", file=sys.stderr)
@@ -75,8 +77,15 @@ def main():
                       ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
         timed(name, lambda df=results[key]: run(df))
 
-    serving_sql.register_gold(spark, gold_dir)
-    timed("sql_service_health", lambda: run(serving_sql.run(spark, "service_health")))
+    marts = {n: spark.read.parquet(p) for n, p in jobs.gold_paths(spark, gold_dir).items()}
+    timed("sql_server_share_by_day", lambda: run(serving_sql.run(
+        spark, serving_sql.SERVER_SHARE_BY_DAY, kpis=marts["mart_service_hourly_kpis"])))
+    timed("export", lambda: jobs.export_snapshot(spark, gold_dir, f"{root}/export"))
+    timed("silver_job_quarantine", lambda: jobs.run_silver(
+        spark, bronze_path, f"{root}/silver2", quarantine_path=f"{root}/rejects"))
+    slv = live.silver_stream(live.bronze_stream(spark, bronze_path))
+    timed("stream_silver", lambda: live.start_silver_sink(
+        slv, f"{root}/stream_silver", f"{root}/_ck_silver").awaitTermination())
 
     stg = silver.staging(lake.read_silver(spark, silver_path))
     timed("p95_by_service", lambda: run(serving.p95_by_service(stg)))
@@ -84,12 +93,13 @@ def main():
     timed("top_users", lambda: run(serving.top_users(stg)))
 
     history_path = scratch_path(spark, "bench-users")
-    timed("users_scd2", lambda: scd2.write_version(
-        registry.users_history(spark, sf_dir), history_path))
-    history = spark.read.parquet(history_path)
+    timed("users_scd2", lambda: [scd2.run_snapshot(spark, history_path, u, "user_id", ["plan", "country"], at)
+                                 for u, at in zip(bridge.users_snapshots(spark, sf_dir),
+                                                  (bridge.SNAPSHOT_1_AT, bridge.SNAPSHOT_2_AT))])
+    history = scd2.read_history(spark, history_path)
     timed("kpis_by_plan", lambda: run(enrich.kpis_by_dimension(stg, scd2.current(history), ["plan"])))
     timed("events_asof_plan", lambda: run(enrich.kpis_point_in_time(stg, history)))
-    kpis = spark.read.parquet(jobs.gold_paths(gold_dir)["mart_service_hourly_kpis"])
+    kpis = marts["mart_service_hourly_kpis"]
     timed("hour_over_hour_self", lambda: run(enrich.hour_over_hour(kpis)))
     timed("service_rank_hourly", lambda: run(enrich.service_rank_hourly(kpis)))
 

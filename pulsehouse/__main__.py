@@ -1,10 +1,12 @@
 """Command line for the batch jobs.
 
+    python -m pulsehouse land     --input TABLE_DIR --output BRONZE_DIR
+    python -m pulsehouse backfill --input TABLE_DIR --output BRONZE_DIR --end TS --hours N
+    python -m pulsehouse run      --input TABLE_DIR --root DIR [--users USERS_CSV --run-ts TS] [--table NAME]
     python -m pulsehouse silver   --input BRONZE_DIR --output SILVER_DIR [--quarantine DIR]
     python -m pulsehouse gold     --silver SILVER_DIR --gold GOLD_DIR [--no-checks]
     python -m pulsehouse register --silver SILVER_DIR --table NAME
-    python -m pulsehouse snapshot --source USERS_CSV --output NEW_DIR --run-ts TS
-                                  [--previous PREV_DIR]
+    python -m pulsehouse snapshot --source USERS_CSV --store DIR --run-ts TS [--rejects DIR]
     python -m pulsehouse export   --gold GOLD_DIR --output OUT_DIR
     python -m pulsehouse stream   --input BRONZE_DIR --silver DIR --kpis DIR --checkpoint DIR
                                   [--every '1 minute'] [--max-files-per-trigger N]
@@ -21,6 +23,7 @@ import sys
 from .operators import scd2
 from .plans import jobs
 from .session import build_session
+from .sources import bronze as bronze_io
 from .sources import lake
 from .streaming import live
 
@@ -34,6 +37,22 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s.add_argument("--any-twin", action="store_true",
                    help="keep an arbitrary valid twin instead of the smallest")
     s.add_argument("--quarantine", help="also write rejected rows (with reason) here")
+    s.add_argument("--allow-empty", action="store_true",
+                   help="empty Silver when no row is valid (default: keep it and fail)")
+    for name, text in (("land", "Parquet table of Bronze rows -> JSON Lines layout"),
+                       ("backfill", "the last hours of such a table -> JSON Lines layout")):
+        b = sub.add_parser(name, help=text)
+        b.add_argument("--input", required=True)
+        b.add_argument("--output", required=True)
+        if name == "backfill":
+            b.add_argument("--end", required=True)
+            b.add_argument("--hours", required=True, type=int)
+    f = sub.add_parser("run", help="land -> Silver -> catalog -> Gold (checks, seed, snapshot)")
+    f.add_argument("--input", required=True)
+    f.add_argument("--root", required=True)
+    f.add_argument("--users")
+    f.add_argument("--run-ts")
+    f.add_argument("--table")
     g = sub.add_parser("gold", help="Silver -> marts, with checks")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
@@ -43,9 +62,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     r.add_argument("--table", required=True)
     n = sub.add_parser("snapshot", help="type-2 snapshot run of the users seed")
     n.add_argument("--source", required=True)
-    n.add_argument("--output", required=True)
+    n.add_argument("--store", required=True)
     n.add_argument("--run-ts", required=True)
-    n.add_argument("--previous")
+    n.add_argument("--rejects", help="rows with NULL or repeated keys go here (default: fail)")
     n.add_argument("--key", default="user_id")
     n.add_argument("--check-cols", default="plan,country")
     t = sub.add_parser("stream", help="streaming Silver + hourly KPIs from Bronze files")
@@ -64,16 +83,25 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or build_session(app=f"pulsehouse-{a.cmd}")
     if a.cmd == "silver":
-        out = jobs.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine)
+        out = jobs.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine, a.allow_empty)
+    elif a.cmd in ("land", "backfill"):
+        rows = spark.read.parquet(a.input)
+        if a.cmd == "land":
+            bronze_io.land(rows, a.output)
+        else:
+            bronze_io.backfill(rows, a.output, a.end, a.hours)
+        out = {"bronze": a.output}
+    elif a.cmd == "run":
+        users = lake.read_seed(spark, a.users) if a.users else None
+        out = jobs.run_all(spark, spark.read.parquet(a.input), a.root, users=users, run_ts=a.run_ts, table=a.table)
     elif a.cmd == "gold":
         out = jobs.build_gold(spark, a.silver, a.gold, run_checks=not a.no_checks)
     elif a.cmd == "register":
         out = {"table": lake.register_partitioned(spark, a.silver, a.table)}
     elif a.cmd == "snapshot":
-        prev = spark.read.parquet(a.previous) if a.previous else None
-        snap = scd2.snapshot_check(prev, lake.read_seed(spark, a.source), a.key,
-                                   a.check_cols.split(","), a.run_ts)
-        out = {"snapshot": scd2.write_version(snap, a.output, previous=a.previous)}
+        scd2.run_snapshot(spark, a.store, lake.read_seed(spark, a.source), a.key,
+                          a.check_cols.split(","), a.run_ts, a.rejects)
+        out = {"snapshot": a.store}
     elif a.cmd == "stream":
         slv = live.silver_stream(live.bronze_stream(spark, a.input, a.max_files_per_trigger),
                                  a.watermark)
@@ -87,7 +115,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         else:
             spark.streams.awaitAnyTermination()
         out = {"silver": a.silver, "kpis": a.kpis,
-               "batches": [len(q.recentProgress) for q in qs]}
+               "batches": [len(q.recentProgress) for q in qs],
+               "late_rows": [live.late_rows(q) for q in qs]}
     else:
         out = jobs.export_snapshot(spark, a.gold, a.output)
     print(json.dumps(out, default=str))

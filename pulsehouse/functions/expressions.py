@@ -91,13 +91,3 @@ def hour_start(date_col: Column, hour_col: Column) -> Column:
     return F.make_timestamp_ntz(F.year(date_col), F.month(date_col),
                                 F.dayofmonth(date_col), hour_col, F.lit(0), F.lit(0))
 
-
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame
-    is returned unchanged, so the planner picks a shuffle join (and AQE may
-    still switch to broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

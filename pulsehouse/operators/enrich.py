@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import count_if_true, hour_start, pct, sized_broadcast
+from ..functions.expressions import count_if_true, hour_start, pct
 
 
 def kpis_by_dimension(stg: DataFrame, dim: DataFrame, attrs: list[str],
@@ -50,7 +50,7 @@ def point_in_time(stg: DataFrame, history: DataFrame, attrs: list[str],
 
 
 def kpis_point_in_time(stg: DataFrame, history: DataFrame, attr: str = "plan",
-                       key: str = "user_id", max_broadcast_cuts: int = 500_000) -> DataFrame:
+                       key: str = "user_id") -> DataFrame:
     """Daily requests by the attribute value that held when each event happened.
 
     Exact, and mostly at day grain: a (key, day) with no version boundary
@@ -61,10 +61,10 @@ def kpis_point_in_time(stg: DataFrame, history: DataFrame, attr: str = "plan",
     take the event-grain join. Boundaries are rare (one per recorded change),
     so the event-grain path stays small.
 
-    Events are aggregated per (key, day) before anything meets the cut list,
-    and the cut list is broadcast only after its size is checked
-    (``max_broadcast_cuts``), so the full event stream is never shuffled for
-    the split; above the bound the semi join falls back to a shuffle.
+    Events are aggregated per (key, day) before the day-grain part meets the
+    cut list. How the cut list reaches the event-grain part is left to AQE: a
+    small one is broadcast from its measured size, a large one is a shuffled
+    semi join whose hot keys are split.
     """
     h = history.select(F.col(key).alias("_k"), attr, F.col("dbt_valid_from").alias("_from"),
                        F.col("dbt_valid_to").alias("_to"))
@@ -72,7 +72,6 @@ def kpis_point_in_time(stg: DataFrame, history: DataFrame, attr: str = "plan",
         h.select("_k", F.col("_to").alias("_t")))
     cuts = (bounds.filter(F.col("_t").isNotNull() & (F.col("_t") != F.date_trunc("day", F.col("_t"))))
             .select(F.col("_k").alias("_ck"), F.to_date("_t").alias("_cd")).distinct())
-    cuts = sized_broadcast(cuts, max_broadcast_cuts)
     ev = stg.select(key, "event_ts", "event_date", "is_error")
     on_cut = (F.col(key) == F.col("_ck")) & (F.col("event_date") == F.col("_cd"))
 
@@ -111,7 +110,9 @@ def hour_over_hour(kpis: DataFrame) -> DataFrame:
 
 
 def busiest_hours(kpis: DataFrame, k: int = 3) -> DataFrame:
-    """Top-k hours per service by volume (ROW_NUMBER, ties broken by time)."""
+    """Top-k hours per service by volume (ROW_NUMBER, ties broken by time).
+
+    One task per service, over that service's hours (8,784 a year), not its events."""
     w = Window.partitionBy("service").orderBy(F.desc("total_requests"), "event_date", "event_hour")
     return (kpis.select("service", "event_date", "event_hour", "total_requests")
             .withColumn("hour_rank", F.row_number().over(w))
@@ -127,7 +128,8 @@ def service_rank_hourly(kpis: DataFrame) -> DataFrame:
 
 
 def cumulative_requests(kpis: DataFrame) -> DataFrame:
-    """Running total of requests per service over time (SUM OVER)."""
+    """Running total of requests per service over time (SUM OVER); a task holds one
+    service's hours (8,784 a year), not its events."""
     w = (Window.partitionBy("service").orderBy("event_date", "event_hour")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (kpis.select("service", "event_date", "event_hour", "total_requests")

@@ -1,8 +1,11 @@
 """Gold marts over the staging view.
 
-Each mart is one hash aggregation: partial aggregates (counts, sums, latency
-sketches, distinct-user pre-aggregation) run map-side, so a hot service or
-hour is combined per task before the shuffle on the group key.
+Each mart is one scan. With exact distinct users Spark aggregates in two
+shuffles: the first on (group key, user_id), after map-side partial counts,
+sums and latency sketches per (group, user), the second on the group key. A
+hot service or hour is therefore spread over its users; a sketch per (group,
+user) does travel through the first shuffle. ``exact_distinct=False`` leaves
+one shuffle on the group key alone.
 """
 from __future__ import annotations
 

@@ -6,16 +6,22 @@ chosen columns (NULL-safe compare) or ``timestamp`` strategy on an
 one; unseen keys open a version; keys missing from the source stay open;
 columns outside the checked set never cause a version.
 
+The source must have one row per key: NULL or repeated keys raise
+(:func:`assert_keys`) or are split off first (:func:`reject_keys`).
+
 Plan: closed history passes through untouched (no shuffle); open versions and
 the source meet in ONE full outer join on the key (a unique key, so no skew),
 and a single ``inline`` emits 0, 1 or 2 rows per key.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import lake
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -30,6 +36,37 @@ def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
 
 
+class SnapshotKeyError(ValueError):
+    """The source has rows without a key, or keys that occur more than once."""
+
+
+def _with_copies(source: DataFrame, key: str) -> DataFrame:
+    copies = source.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    return source.join(copies, key, "left").select(*source.columns, F.coalesce("_copies", F.lit(0)).alias("_copies"))
+
+
+def reject_keys(source: DataFrame, key: str) -> DataFrame:
+    """Rows that cannot be versioned, with their reason: ``null_key`` or ``repeated_key`` (all
+    rows of the key, as none of them is known to be the right one)."""
+    reason = F.when(F.col(key).isNull(), F.lit("null_key")).when(F.col("_copies") > 1, F.lit("repeated_key"))
+    return (_with_copies(source, key).withColumn("reject_reason", reason)
+            .filter(F.col("reject_reason").isNotNull()).drop("_copies"))
+
+
+def accepted_keys(source: DataFrame, key: str) -> DataFrame:
+    """The rows :func:`reject_keys` does not list."""
+    return _with_copies(source, key).filter(F.col(key).isNotNull() & (F.col("_copies") == 1)).drop("_copies")
+
+
+def assert_keys(source: DataFrame, key: str) -> None:
+    """Raise unless every row has a key and every key one row (counted per key, map-side first)."""
+    per_key = source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bad = per_key.agg(F.sum(F.when(F.col(key).isNull(), F.col("n"))).alias("nulls"),
+                      F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated")).first()
+    if bad["nulls"] or bad["repeated"]:
+        raise SnapshotKeyError(f"{bad['nulls'] or 0} rows with NULL {key}, {bad['repeated']} keys that repeat")
+
+
 def _open_version(src_cols: list[str], key: str, at: Column, prefix: str = "") -> list[Column]:
     return ([F.col(prefix + c).alias(c) for c in src_cols]
             + [scd_id(F.col(prefix + key), at).alias("dbt_scd_id"),
@@ -38,18 +75,20 @@ def _open_version(src_cols: list[str], key: str, at: Column, prefix: str = "") -
 
 
 def initial(source: DataFrame, key: str, run_ts=None, updated_at: str | None = None) -> DataFrame:
-    """First run: every source row becomes an open version."""
+    """First run: every source row becomes an open version. Keys are checked first."""
+    assert_keys(source, key)
     at = F.col(updated_at).cast("timestamp_ntz") if updated_at else _ts(run_ts)
-    return source.filter(F.col(key).isNotNull()).select(*_open_version(source.columns, key, at))
+    return source.select(*_open_version(source.columns, key, at))
 
 
 def _merge(existing: DataFrame, source: DataFrame, key: str, changed, new_at: Column) -> DataFrame:
+    assert_keys(source, key)
     src_cols = source.columns
     snap_cols = existing.columns
     history = existing.filter(F.col("dbt_valid_to").isNotNull())
     current = existing.filter(F.col("dbt_valid_to").isNull()).select(
         *[F.col(c).alias("o_" + c) for c in snap_cols])
-    src = source.filter(F.col(key).isNotNull()).select(*[F.col(c).alias("s_" + c) for c in src_cols])
+    src = source.select(*[F.col(c).alias("s_" + c) for c in src_cols])
     j = current.join(src, F.col("o_" + key) == F.col("s_" + key), "full_outer")
     has_old, has_new = F.col("o_" + key).isNotNull(), F.col("s_" + key).isNotNull()
     is_changed = has_old & has_new & changed
@@ -109,17 +148,39 @@ def as_of(snapshot: DataFrame, ts) -> DataFrame:
                            & (F.col("dbt_valid_to").isNull() | (t < F.col("dbt_valid_to"))))
 
 
-def write_version(snapshot: DataFrame, base_dir: str | None = None, spark=None,
-                  previous: str | None = None) -> str:
-    """Write the whole new snapshot to its own version folder; return the path.
+# --- the stored snapshot (S7) ------------------------------------------------
+
+def run_snapshot(spark: SparkSession, base: str, source: DataFrame, key: str, check_cols: list[str], run_ts,
+                 rejects: str | None = None) -> DataFrame:
+    """One run of the check strategy on the snapshot stored below ``base``; the history after it.
 
-    A table format with row updates is not available, so each run becomes a
-    new version folder and readers switch to the returned path. The folder is
-    written in overwrite mode, so a retried run replaces its own partial
-    output; writing over the version being read (``previous``) is refused.
+    A run writes two folders of its own: the versions it closed, and all open
+    versions. Closed history of earlier runs is never read or written again.
+    Readers see a run once the pointer names it, so a run that fails, or is
+    retried, leaves the published history as it was. Rows of ``source`` with a
+    NULL or repeated key go to ``rejects``; without that folder they raise.
     """
-    path = base_dir or scratch_path(spark or snapshot.sparkSession, "users_snapshot")
-    if previous is not None and path.rstrip("/") == previous.rstrip("/"):
-        raise ValueError("a snapshot run must not overwrite the version it reads")
-    snapshot.write.mode("overwrite").parquet(path)
-    return path
+    if rejects is not None:
+        reject_keys(source, key).write.mode("overwrite").parquet(rejects)
+        source = accepted_keys(source, key)
+    runs = lake.published(spark, base)
+    before = spark.read.parquet(f"{base}/{runs[-1]}/open") if runs else None
+    after = snapshot_check(before, source, key, check_cols, run_ts)
+    run = f"run-{len(runs):06d}-{uuid.uuid4().hex[:8]}"
+    written = scratch_path(spark, "users-snapshot-run")
+    after.write.parquet(written)              # once: two folders are made from it
+    after = spark.read.schema(after.schema).parquet(written)
+    after.filter(F.col("dbt_valid_to").isNotNull()).write.parquet(f"{base}/{run}/closed")
+    current(after).write.parquet(f"{base}/{run}/open")
+    lake.publish(spark, base, run)
+    return read_history(spark, base)
+
+
+def read_history(spark: SparkSession, base: str) -> DataFrame:
+    """All versions of the published snapshot: closed ones of every run, open ones of the last."""
+    runs = lake.published(spark, base)
+    if not runs:
+        raise FileNotFoundError(f"no published snapshot in {base}")
+    schema = spark.read.parquet(f"{base}/{runs[-1]}/open").schema
+    closed = spark.read.schema(schema).parquet(*[f"{base}/{r}/closed" for r in runs])
+    return closed.unionByName(spark.read.schema(schema).parquet(f"{base}/{runs[-1]}/open"))

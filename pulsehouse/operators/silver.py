@@ -34,6 +34,18 @@ def reject_reason() -> Column:
             .when(F.col("service").isNull(), F.lit("missing_service")))
 
 
+def valid(bronze: DataFrame) -> DataFrame:
+    """Derived rows that pass the gates, before dedup."""
+    return derive(bronze.select(*BRONZE_COLUMNS)).filter(gate_condition())
+
+
+def reason_of() -> Column:
+    """``reject_reason`` as a function of the Bronze columns themselves."""
+    return (F.when(F.col("event_id").isNull(), F.lit("missing_event_id"))
+            .when(parse_ts(F.col("timestamp")).isNull(), F.lit("bad_timestamp"))
+            .when(F.col("service").isNull(), F.lit("missing_service")))
+
+
 def dedup(df: DataFrame, deterministic: bool = False) -> DataFrame:
     """One row per event_id.
 
@@ -54,8 +66,7 @@ def dedup(df: DataFrame, deterministic: bool = False) -> DataFrame:
 
 def transform(bronze: DataFrame, deterministic: bool = False) -> DataFrame:
     """Silver rows. Gates run *before* dedup so an invalid twin cannot win."""
-    return dedup(derive(bronze.select(*BRONZE_COLUMNS)).filter(gate_condition()),
-                 deterministic).select(*SILVER_COLUMNS)
+    return dedup(valid(bronze), deterministic).select(*SILVER_COLUMNS)
 
 
 def staging(silver: DataFrame) -> DataFrame:

@@ -1,25 +1,37 @@
 """End-to-end jobs (E1-E4): plain function calls in dependency order.
 
 Every stage reads the previous stage's *written* table, so lineage is cut at
-each layer: a lost executor re-runs tasks of the current layer only. All
-writes are full overwrites of their own folders, so a rerun after a failure
-gives the same result (dedup makes Silver idempotent in its input too).
+each layer: a lost executor re-runs tasks of the current layer only. Silver is
+overwritten as a whole and marts go to a new version, so a rerun after a
+failure gives the same result (dedup makes Silver idempotent in its input too).
 """
 from __future__ import annotations
 
+import hashlib
 import os
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import marts, quality, serving, silver
+from ..operators import marts, quality, scd2, serving, silver
+from ..schemas import BRONZE, SILVER
+from ..session import scratch_path
 from ..sources import bronze as bronze_io
 from ..sources import lake
 
 
+PARSED = StructType([*BRONZE.fields, StructField("reject_reason", StringType(), True)])
+
+
+class EmptySilverError(RuntimeError):
+    """A run without a single valid row would have replaced a Silver that has rows."""
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-               deterministic: bool = True, quarantine_path: str | None = None) -> dict:
+               deterministic: bool = True, quarantine_path: str | None = None,
+               allow_empty: bool = False) -> dict:
     """Bronze JSON -> Silver Parquet; returns raw and clean counts.
 
     Dedup keeps the smallest twin by (event_ts, other columns) by default, so
@@ -27,75 +39,100 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     Silver even when twins differ; ``deterministic=False`` keeps any twin.
 
     The counts are observed during the write pass instead of two extra full
-    scans of the JSON. With ``quarantine_path`` the rejected rows (with their
-    reason) are written too: the parsed Bronze is persisted (memory and disk;
-    recomputed from the files if an executor is lost) so both filtered writes
-    share one JSON parse.
+    scans of the JSON. With ``quarantine_path`` the JSON is parsed once into a
+    table in the shared scratch folder, from which the rejected rows (with
+    their reason) are written first and Silver second.
+
+    When no row passes the gates, the rejects are still written, and Silver is
+    left alone: :class:`EmptySilverError`, unless it has no rows yet or
+    ``allow_empty`` says to empty it.
     """
-    obs_raw, obs_clean = Observation("bronze_raw"), Observation("silver_clean")
-    raw = bronze_io.scan(spark, bronze_path).observe(obs_raw, F.count(F.lit(1)).alias("raw_count"))
+    raw = bronze_io.scan(spark, bronze_path)
     if quarantine_path:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        clean = silver.transform(raw, deterministic).observe(
-            obs_clean, F.count(F.lit(1)).alias("clean_count"))
-        lake.write_silver(clean, silver_path)
-        out = {**obs_raw.get, **obs_clean.get}
-        if quarantine_path:
-            rejects = silver.quarantine(raw)
-            rejects.write.mode("overwrite").partitionBy("reject_reason").parquet(quarantine_path)
-        return out
-    finally:
-        if quarantine_path:
-            raw.unpersist()
-
-
-def gold_paths(gold_dir: str) -> dict[str, str]:
-    return {n: os.path.join(gold_dir, n) for n in
-            ("mart_service_hourly_kpis", "mart_daily_active_users", "mart_error_analytics")}
-
-
-def build_gold(spark: SparkSession, silver_path: str, gold_dir: str,
-               run_checks: bool = True) -> dict[str, str]:
-    """Staging -> three marts -> checks; a failing check stops the build.
-
-    Staging checks (unique + not_null, one scan) run before any mart is
-    written; mart checks run on the written marts (small re-reads).
+        parsed = scratch_path(spark, "parsed-bronze")
+        raw.withColumn("reject_reason", silver.reason_of()).write.parquet(parsed)
+        parsed_rows = spark.read.schema(PARSED).parquet(parsed)
+        rejects = parsed_rows.where(F.col("reject_reason").isNotNull())
+        rejects.write.mode("overwrite").partitionBy("reject_reason").parquet(quarantine_path)
+        raw = parsed_rows
+    if not silver.valid(raw).head(1):
+        if lake.has_rows(spark, silver_path) and not allow_empty:
+            raise EmptySilverError(f"no valid row below {bronze_path}; {silver_path} is kept")
+        lake.write_silver(spark.createDataFrame([], SILVER), silver_path)
+        return {"raw_count": raw.count(), "clean_count": 0}
+    obs_raw, obs_clean = Observation("bronze_raw"), Observation("silver_clean")
+    raw = raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_count"))
+    clean = silver.transform(raw, deterministic).observe(obs_clean, F.count(F.lit(1)).alias("clean_count"))
+    lake.write_silver(clean, silver_path)
+    return {**obs_raw.get, **obs_clean.get}
+
+
+MARTS = ("mart_service_hourly_kpis", "mart_daily_active_users", "mart_error_analytics")
+
+
+def gold_paths(spark: SparkSession, gold_dir: str) -> dict[str, str]:
+    """Folders of the published version of the marts."""
+    versions = lake.published(spark, gold_dir)
+    if not versions:
+        raise FileNotFoundError(f"no published marts in {gold_dir}")
+    return {n: os.path.join(gold_dir, versions[-1], n) for n in MARTS}
+
+
+def build_gold(spark: SparkSession, silver_path: str, gold_dir: str, run_checks: bool = True,
+               users: DataFrame | None = None, run_ts: str | None = None) -> dict[str, str]:
+    """Seed -> staging checks -> marts -> mart checks -> switch -> users snapshot.
+
+    The marts go to a version folder of their own; only when every check has
+    passed does the pointer name it, so a failing check leaves readers on the
+    version before. With ``users`` (the dimension's source rows) the seed is
+    written and read back first, and at the end the type-2 snapshot takes its
+    run at ``run_ts`` (see :func:`scd2.run_snapshot`).
     """
+    if users is not None:
+        seed = os.path.join(gold_dir, "seed_users")
+        lake.write_seed(users, seed)
+        users = lake.read_seed(spark, seed)
     stg = silver.staging(lake.read_silver(spark, silver_path))
     if run_checks:
         quality.assert_staging(stg)
-    paths = gold_paths(gold_dir)
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    paths = {n: os.path.join(gold_dir, version, n) for n in MARTS}
     lake.write_table(marts.service_hourly_kpis(stg), paths["mart_service_hourly_kpis"])
     lake.write_table(marts.daily_active_users(stg), paths["mart_daily_active_users"])
     lake.write_table(marts.error_analytics(stg), paths["mart_error_analytics"])
     if run_checks:
-        kpis, dau, errs = (spark.read.parquet(paths[n]) for n in
-                           ("mart_service_hourly_kpis", "mart_daily_active_users",
-                            "mart_error_analytics"))
+        kpis, dau, errs = (spark.read.parquet(paths[n]) for n in MARTS)
         quality.assert_passes("not_null(marts)", quality.not_null_marts(kpis, dau, errs),
                               "failures")
         quality.assert_passes("assert_error_rate_valid", quality.error_rate_out_of_range(kpis))
+    lake.publish(spark, gold_dir, version)
+    if users is not None:
+        paths["users_snapshot"] = os.path.join(gold_dir, "users_snapshot")
+        scd2.run_snapshot(spark, paths["users_snapshot"], users, "user_id", ["plan", "country"], run_ts)
     return paths
 
 
-def run_all(spark: SparkSession, bronze_rows: DataFrame, root: str,
-                 land_mode: str = "overwrite") -> dict:
-    """Land -> Silver -> register -> Gold, all under ``root``."""
+def run_all(spark: SparkSession, bronze_rows: DataFrame, root: str, land_mode: str = "overwrite",
+            users: DataFrame | None = None, run_ts: str | None = None, table: str | None = None) -> dict:
+    """Land -> Silver -> register -> Gold (with seed and snapshot), all under ``root``.
+
+    The catalog keeps one table for the folder (``table``, else a name made
+    from ``root``), brought up to date by every run."""
     bronze_path = os.path.join(root, "bronze")
     silver_path = os.path.join(root, "silver")
     gold_dir = os.path.join(root, "gold")
     bronze_io.land(bronze_rows, bronze_path, mode=land_mode)
     counts = run_silver(spark, bronze_path, silver_path)
-    table = lake.register_partitioned(spark, silver_path)
-    paths = build_gold(spark, silver_path, gold_dir)
+    table = table or f"silver_{hashlib.md5(root.encode()).hexdigest()[:10]}"
+    table = lake.register_partitioned(spark, silver_path, table)
+    paths = build_gold(spark, silver_path, gold_dir, users=users, run_ts=run_ts)
     return {"counts": counts, "silver_table": table, "silver": silver_path,
             "bronze": bronze_path, **paths}
 
 
 def serving_results(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
     """The four dashboard result sets, read from written marts."""
-    p = gold_paths(gold_dir)
+    p = gold_paths(spark, gold_dir)
     kpis = spark.read.parquet(p["mart_service_hourly_kpis"])
     dau = spark.read.parquet(p["mart_daily_active_users"])
     return {

@@ -84,10 +84,14 @@ ubase AS (
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 snap1 AS (SELECT user_id, signup_date, plan, country, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
   FROM ubase WHERE custkey % 11 <> 0),
-snap2 AS (SELECT user_id, signup_date,
+snap2 AS (SELECT user_id, CASE WHEN custkey % 5 = 0 THEN CAST(signup_date + 1 AS DATE) ELSE signup_date END AS signup_date,
     CASE WHEN custkey % 7 = 0 THEN 'PREMIUM' ELSE plan END AS plan, country,
     CASE WHEN custkey % 7 = 0 THEN TIMESTAMP '2024-01-15 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
-  FROM ubase WHERE custkey % 13 <> 0)
+  FROM ubase WHERE custkey % 13 <> 0),
+faulty AS (
+  SELECT CASE WHEN custkey % 17 <> 0 THEN user_id END AS user_id, signup_date, plan, country FROM ubase
+  UNION ALL
+  SELECT CASE WHEN custkey % 17 <> 0 THEN user_id END, signup_date, 'TWICE', country FROM ubase WHERE custkey % 19 = 0)
 """
 
 

@@ -102,7 +102,8 @@ FROM stg WHERE user_id IS NOT NULL GROUP BY user_id
 ORDER BY total_requests DESC, user_id LIMIT 10""")
 
 sql("dq_unique", """
-SELECT event_id, count(*) AS n_records FROM stg WHERE event_id IS NOT NULL
+SELECT event_id, count(*) AS n_records FROM bronze_dirty
+WHERE event_id IS NOT NULL AND event_ts IS NOT NULL AND service IS NOT NULL
 GROUP BY event_id HAVING count(*) > 1""")
 
 sql("dq_not_null", """
@@ -117,16 +118,16 @@ UNION ALL SELECT 'mart_error_analytics', 'service', count(*) FILTER (WHERE servi
 UNION ALL SELECT 'mart_error_analytics', 'error_count', count(*) FILTER (WHERE error_count IS NULL) FROM errs""")
 
 sql("dq_error_rate_range", """
-SELECT service, event_date, event_hour, error_rate_pct FROM kpis
-WHERE error_rate_pct < 0 OR error_rate_pct > 100""")
+SELECT service, event_date, event_hour, error_rate_pct * 2 AS error_rate_pct FROM kpis
+WHERE error_rate_pct * 2 < 0 OR error_rate_pct * 2 > 100""")
 
 sql("dq_accepted_values", """
 SELECT 'service' AS column_name, service AS value, count(*) AS n_records FROM stg
-WHERE service IS NOT NULL AND service NOT IN ('auth-api', 'payments-api', 'search-api', 'notification-svc', 'user-svc')
+WHERE service IS NOT NULL AND service NOT IN ('auth-api', 'payments-api', 'search-api', 'notification-svc')
 GROUP BY service
 UNION ALL
 SELECT 'method', method, count(*) FROM stg
-WHERE method IS NOT NULL AND method NOT IN ('GET', 'POST', 'PUT', 'DELETE') GROUP BY method""")
+WHERE method IS NOT NULL AND method NOT IN ('GET', 'POST', 'PUT') GROUP BY method""")
 
 sql_users("dq_relationships", """
 SELECT user_id, count(*) AS n_records FROM stg
@@ -141,6 +142,9 @@ FROM (SELECT max(event_ts) AS max_loaded_at, TIMESTAMP '2024-01-31 00:00:00' AS
   round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_ts))) / 3600000000.0, 3) AS age_hours
   FROM silver) f""")
 
+sql_users("users_scd2_rejects", """
+SELECT f.*, CASE WHEN user_id IS NULL THEN 'null_key' ELSE 'repeated_key' END AS reject_reason
+FROM faulty f WHERE user_id IS NULL OR user_id IN (SELECT user_id FROM faulty GROUP BY user_id HAVING count(*) > 1)""")
 sql_users("users_scd2_initial", "SELECT * FROM v1", SCD_CTE)
 sql_users("users_scd2", "SELECT * FROM scd", SCD_CTE)
 sql_users("users_current", "SELECT * FROM cur", SCD_CTE)
@@ -153,6 +157,13 @@ SELECT cur.plan, count(*) AS total_requests,
   count(DISTINCT stg.user_id) AS unique_users
 FROM stg LEFT JOIN cur ON stg.user_id = cur.user_id GROUP BY cur.plan""", SCD_CTE)
 
+sql_users("kpis_by_country", """
+SELECT cur.country, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct,
+  count(DISTINCT stg.user_id) AS unique_users
+FROM stg LEFT JOIN cur ON stg.user_id = cur.user_id GROUP BY cur.country""", SCD_CTE)
+
 sql_users("kpis_by_plan_inner", """
 SELECT cur.plan, count(*) AS total_requests,
   CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
@@ -166,7 +177,7 @@ SELECT stg.event_date, h.plan, count(*) AS total_requests,
   round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct
 FROM stg LEFT JOIN scd h ON stg.user_id = h.user_id AND stg.event_ts >= h.dbt_valid_from
   AND (h.dbt_valid_to IS NULL OR stg.event_ts < h.dbt_valid_to)
-GROUP BY stg.event_date, h.plan""", SCD_CTE)
+GROUP BY stg.event_date, h.plan""", SCD_CTE.replace("2024-01-15 00:00:00", "2024-01-15 13:30:00"))
 
 sql("hour_over_hour_self", """
 SELECT k.service, k.event_date, k.event_hour, k.total_requests, p.total_requests AS prev_total_requests,
@@ -217,7 +228,17 @@ sql_users("users_seed", "SELECT user_id, signup_date, plan, country FROM snap2")
 
 ORACLE["gold_build"] = ORACLE["mart_service_hourly_kpis"]
 ORACLE["end_to_end_rerun"] = ORACLE["service_health"]
+ORACLE["gold_build_active_users"] = ORACLE["mart_daily_active_users"]
+ORACLE["gold_build_errors"] = ORACLE["mart_error_analytics"]
+ORACLE["gold_build_snapshot"] = ORACLE["users_snapshot_sink"] = ORACLE["users_scd2"]
 ORACLE["export_error_trend"] = ORACLE["error_rate_trend"]
+ORACLE["export_service_health"] = ORACLE["service_health"]
+ORACLE["export_latency"] = ORACLE["latency_percentiles"]
+ORACLE["export_active_users"] = ORACLE["daily_active_users"]
+ORACLE["export_meta"] = "SELECT true AS utc_iso_seconds"
+sql("silver_job_counts", """
+SELECT (SELECT count(*) FROM bronze_dirty) AS raw_count, (SELECT count(*) FROM silver) AS clean_count,
+  (SELECT count(*) FROM bronze_dirty WHERE event_id IS NULL OR event_ts IS NULL OR service IS NULL) AS reject_count""")
 
 ORACLE["stream_silver"] = ORACLE["silver_transform"]
 
@@ -225,8 +246,28 @@ sql("stream_hourly_volume", """
 SELECT service, event_date, event_hour, total_requests, error_count, server_error_count,
   error_rate_pct, avg_latency_ms, p50_latency_ms, p95_latency_ms, p99_latency_ms FROM kpis""")
 
-for _n in ("service_health", "error_rate_trend", "latency_percentiles", "daily_active_users"):
-    ORACLE[f"sql_{_n}"] = ORACLE[_n]
+ORACLE["stream_hourly_kpis"] = ORACLE["stream_hourly_volume"].replace(
+    "p99_latency_ms FROM kpis", "p99_latency_ms, unique_users FROM kpis")
+
+sql("sql_worst_endpoints", """
+SELECT *, CAST(rank() OVER (ORDER BY hit DESC, failures DESC) AS INTEGER) AS place FROM (
+  SELECT service, endpoint, CAST(sum(affected_users) AS BIGINT) AS hit, CAST(sum(error_count) AS BIGINT) AS failures
+  FROM errs WHERE status_code >= 500 GROUP BY service, endpoint) t""")
+
+sql("sql_server_share_by_day", """
+SELECT event_date, CAST(sum(server_error_count) AS BIGINT) AS server_errors, CAST(sum(error_count) AS BIGINT) AS errors,
+  sum(server_error_count)::DOUBLE / NULLIF(sum(error_count), 0)::DOUBLE AS server_share
+FROM kpis GROUP BY event_date""")
+
+sql("sql_load_per_user", """
+SELECT service, max(requests_per_user) AS peak, min(requests_per_user) AS low, count(*) AS days
+FROM dau WHERE active_users >= 5 GROUP BY service""")
+
+sql("sql_quiet_hours", """
+SELECT event_hour, services, requests FROM (
+  SELECT event_hour, services, requests, avg(requests) OVER () AS mean FROM (
+    SELECT event_hour, count(DISTINCT service) AS services, CAST(sum(total_requests) AS BIGINT) AS requests
+    FROM kpis GROUP BY event_hour) h) m WHERE requests < mean""")
 
 sql("distinct_users_by_day", """
 SELECT event_date, count(DISTINCT user_id) AS distinct_users, count(*) AS total_requests

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import hour_label
 from ..operators import enrich, marts, quality, scd2, serving, serving_sql, silver
-from ..schemas import SILVER_COLUMNS
-from ..session import checkpoint_root, prepare, scratch_path
+from ..schemas import METHODS, SERVICES, SILVER_COLUMNS
+from ..session import prepare, scratch_path
 from ..sources import bridge, lake
 from ..sources import bronze as bronze_io
 from ..streaming import live
@@ -44,11 +44,12 @@ def ntz(df: DataFrame, *cols: str) -> DataFrame:
 # --- shared frames ---------------------------------------------------------
 
 def materialized(df: DataFrame) -> DataFrame:
-    """A frame used by several branches of one query is written once to the
-    checkpoint folder (reliable checkpoint, lineage cut) instead of being
-    recomputed per branch — the harness analogue of reading a written table."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A frame used by several branches of one query is written once as Parquet
+    below the checkpoint root and read back, so branches still prune columns
+    and push filters down, and the lineage is cut."""
+    path = scratch_path(df.sparkSession, "shared")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def silver_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +180,8 @@ def q_top_users(spark, sf_dir):
 
 @register("dq_unique")
 def q_dq_unique(spark, sf_dir):
-    return quality.unique(stg_frame(spark, sf_dir), "event_id")
+    """Q1 on the gated rows before dedup, where keys do repeat."""
+    return quality.unique(silver.valid(bridge.bronze(spark, sf_dir, dirty=True)), "event_id")
 
 
 @register("dq_not_null")
@@ -191,12 +193,15 @@ def q_dq_not_null(spark, sf_dir):
 
 @register("dq_error_rate_range")
 def q_dq_error_rate_range(spark, sf_dir):
-    return quality.error_rate_out_of_range(kpis_frame(spark, sf_dir))
+    """Q6 on rates with a declared fault: every error counted twice."""
+    kpis = kpis_frame(spark, sf_dir).withColumn("error_rate_pct", F.col("error_rate_pct") * 2)
+    return quality.error_rate_out_of_range(kpis)
 
 
 @register("dq_accepted_values")
 def q_dq_accepted_values(spark, sf_dir):
-    return quality.accepted_values_suite(stg_frame(spark, sf_dir))
+    """Q7 with declared lists that leave out one service and one method."""
+    return quality.accepted_values_suite(stg_frame(spark, sf_dir), SERVICES[:-1], METHODS[:-1])
 
 
 @register("dq_relationships")
@@ -216,10 +221,25 @@ CHECK_COLS = ["plan", "country"]
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 
 
-def users_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def users_history(spark: SparkSession, sf_dir: str, second_at: str = bridge.SNAPSHOT_2_AT) -> DataFrame:
     s1, s2 = bridge.users_snapshots(spark, sf_dir)
     v1 = scd2.snapshot_check(None, s1, "user_id", CHECK_COLS, bridge.SNAPSHOT_1_AT)
-    return scd2.snapshot_check(v1, s2, "user_id", CHECK_COLS, bridge.SNAPSHOT_2_AT)
+    return scd2.snapshot_check(v1, s2, "user_id", CHECK_COLS, second_at)
+
+
+@register("users_scd2_rejects")
+def q_users_scd2_rejects(spark, sf_dir):
+    """X1/X2 guard: source rows whose key is NULL or repeats."""
+    return scd2.reject_keys(bridge.users_with_faulty_keys(spark, sf_dir), "user_id")
+
+
+@register("users_snapshot_sink")
+def q_users_snapshot_sink(spark, sf_dir):
+    """Two runs into the stored snapshot, the history read through its pointer."""
+    base = scratch_path(spark, "users-snapshot")
+    s1, s2 = bridge.users_snapshots(spark, sf_dir)
+    scd2.run_snapshot(spark, base, s1, "user_id", CHECK_COLS, bridge.SNAPSHOT_1_AT)
+    return scd2.run_snapshot(spark, base, s2, "user_id", CHECK_COLS, bridge.SNAPSHOT_2_AT)
 
 
 @register("users_scd2_initial")
@@ -261,11 +281,19 @@ def q_kpis_by_plan_inner(spark, sf_dir):
                                     how="inner")
 
 
+@register("kpis_by_country")
+def q_kpis_by_country(spark, sf_dir):
+    return enrich.kpis_by_dimension(stg_frame(spark, sf_dir),
+                                    scd2.current(users_history(spark, sf_dir)), ["country"])
+
+
 @register("events_asof_plan")
 def q_events_asof_plan(spark, sf_dir):
-    """Daily requests by the plan valid at event time."""
-    return enrich.kpis_point_in_time(materialized(stg_frame(spark, sf_dir)),
-                                     materialized(users_history(spark, sf_dir)))
+    """Daily requests by the plan valid at event time. The second snapshot is taken at
+    mid-day, so days with a change take the event-grain branch, the others the day-grain one."""
+    return enrich.kpis_point_in_time(
+        materialized(stg_frame(spark, sf_dir)),
+        materialized(users_history(spark, sf_dir, bridge.SNAPSHOT_MIDDAY_AT)))
 
 
 @register("hour_over_hour_self")
@@ -336,6 +364,17 @@ def q_silver_roundtrip(spark, sf_dir):
     return ntz(lake.read_silver(spark, silver_path), "event_ts").select(*SILVER_COLUMNS)
 
 
+@register("silver_job_counts")
+def q_silver_job_counts(spark, sf_dir):
+    """The Silver job's own counts (with the quarantine sink, so one JSON parse)."""
+    root = scratch_path(spark, "lake")
+    bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), f"{root}/bronze", mode="overwrite")
+    counts = jobs.run_silver(spark, f"{root}/bronze", f"{root}/silver", quarantine_path=f"{root}/rejects")
+    rejects = spark.read.parquet(f"{root}/rejects").agg(F.count(F.lit(1)).alias("reject_count"))
+    return rejects.select(F.lit(counts["raw_count"]).cast("bigint").alias("raw_count"),
+                          F.lit(counts["clean_count"]).cast("bigint").alias("clean_count"), "reject_count")
+
+
 @register("catalog_silver")
 def q_catalog_silver(spark, sf_dir):
     """S12 + S13: register Silver with its partitions, then plain SQL on it."""
@@ -356,12 +395,35 @@ def q_users_seed(spark, sf_dir):
     return lake.read_seed(spark, path)
 
 
+def _gold(spark, sf_dir, name):
+    root, silver_path, _ = _landed_silver(spark, sf_dir)
+    jobs.build_gold(spark, silver_path, f"{root}/gold")
+    return spark.read.parquet(jobs.gold_paths(spark, f"{root}/gold")[name])
+
+
 @register("gold_build")
 def q_gold_build(spark, sf_dir):
-    """Staging -> marts -> checks on written tables; the hourly mart."""
+    """Staging -> marts -> checks -> switch, on written tables; the hourly mart."""
+    return _gold(spark, sf_dir, "mart_service_hourly_kpis")
+
+
+@register("gold_build_active_users")
+def q_gold_build_active_users(spark, sf_dir):
+    return _gold(spark, sf_dir, "mart_daily_active_users")
+
+
+@register("gold_build_errors")
+def q_gold_build_errors(spark, sf_dir):
+    return _gold(spark, sf_dir, "mart_error_analytics")
+
+
+@register("gold_build_snapshot")
+def q_gold_build_snapshot(spark, sf_dir):
+    """E2 with its seed and snapshot steps, twice: the users history through the pointer."""
     root, silver_path, _ = _landed_silver(spark, sf_dir)
-    paths = jobs.build_gold(spark, silver_path, f"{root}/gold")
-    return spark.read.parquet(paths["mart_service_hourly_kpis"])
+    for users, at in zip(bridge.users_snapshots(spark, sf_dir), (bridge.SNAPSHOT_1_AT, bridge.SNAPSHOT_2_AT)):
+        jobs.build_gold(spark, silver_path, f"{root}/gold", users=users, run_ts=at)
+    return scd2.read_history(spark, f"{root}/gold/users_snapshot")
 
 
 @register("end_to_end_rerun")
@@ -369,50 +431,78 @@ def q_end_to_end_rerun(spark, sf_dir):
     """E3 twice into the same folders (Bronze appended twice): same answer."""
     root = scratch_path(spark, "lake")
     rows = bridge.bronze(spark, sf_dir, dirty=True)
-    jobs.run_all(spark, rows, root, land_mode="append")
-    jobs.run_all(spark, rows, root, land_mode="append")
+    for users, at in zip(bridge.users_snapshots(spark, sf_dir), (bridge.SNAPSHOT_1_AT, bridge.SNAPSHOT_2_AT)):
+        jobs.run_all(spark, rows, root, land_mode="append", users=users, run_ts=at)
     return jobs.serving_results(spark, f"{root}/gold")["service-health"]
 
 
-@register("export_error_trend")
-def q_export_error_trend(spark, sf_dir):
-    """The exported error-trend JSON read back."""
+def _exported(spark, sf_dir):
     root, silver_path, _ = _landed_silver(spark, sf_dir)
     jobs.build_gold(spark, silver_path, f"{root}/gold", run_checks=False)
-    out = jobs.export_snapshot(spark, f"{root}/gold", f"{root}/export")
-    return spark.read.schema(EXPORT_TREND_SCHEMA).json(out["error-trend"])
+    return jobs.export_snapshot(spark, f"{root}/gold", f"{root}/export")
+
+
+# Schemas of the exported JSON.
+EXPORTS = {
+    "error_trend": ("error-trend", "event_date date, event_hour int, total_requests bigint, "
+                                   "error_rate_pct double, label string"),
+    "service_health": ("service-health", "service string, total_requests bigint, total_errors bigint, "
+                                         "error_rate_pct double, avg_p95_latency_ms double, user_events bigint"),
+    "latency": ("latency", "service string, p50 double, p95 double, p99 double"),
+    "active_users": ("active-users", "event_date date, active_users bigint, total_requests bigint"),
+}
+
+
+def _export_query(name):
+    def run(spark, sf_dir):
+        folder, schema = EXPORTS[name]
+        return spark.read.schema(schema).json(_exported(spark, sf_dir)[folder])
+    run.__name__ = f"q_export_{name}"
+    return run
+
+
+for _name in EXPORTS:
+    register(f"export_{_name}")(_export_query(_name))
 
 
-EXPORT_TREND_SCHEMA = ("event_date date, event_hour int, total_requests bigint, "
-                       "error_rate_pct double, label string")
+@register("export_meta")
+def q_export_meta(spark, sf_dir):
+    """The export's time stamp is one UTC ISO-8601 instant (the value itself is the clock's)."""
+    meta = spark.read.schema("generated_at string").json(_exported(spark, sf_dir)["meta"])
+    return meta.select(F.col("generated_at").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}[+]00:00$")
+                       .alias("utc_iso_seconds"))
 
 
 # --- streaming (the stream runs to completion with an available-now trigger) ---
 
-def _streamed(spark, sf_dir, kind: str) -> DataFrame:
+def _streamed(spark, sf_dir, *kinds: str) -> list[DataFrame]:
     root = scratch_path(spark, "stream")
     bronze_path = f"{root}/bronze"
     bronze_io.land(bridge.bronze(spark, sf_dir, dirty=True), bronze_path, mode="overwrite")
     slv = live.silver_stream(live.bronze_stream(spark, bronze_path))
-    if kind == "silver":
-        q = live.start_silver_sink(slv, f"{root}/silver", f"{root}/_ck_silver")
-        q.awaitTermination()
-        return live.read_silver_sink(spark, f"{root}/silver")
-    q = live.start_kpis_sink(live.hourly_kpis_stream(slv), f"{root}/kpis", f"{root}/_ck_kpis")
-    q.awaitTermination()
-    return live.read_kpis_sink(spark, f"{root}/kpis")
+    out = []
+    for kind in kinds:
+        if kind == "silver":
+            live.start_silver_sink(slv, f"{root}/silver", f"{root}/_ck_silver").awaitTermination()
+            out.append(live.read_silver_sink(spark, f"{root}/silver"))
+        else:
+            live.start_kpis_sink(live.hourly_kpis_stream(slv), f"{root}/kpis", f"{root}/_ck_kpis").awaitTermination()
+            out.append(live.read_kpis_sink(spark, f"{root}/kpis"))
+    return out
 
 
 @register("stream_silver")
 def q_stream_silver(spark, sf_dir):
     """Streaming Silver equals batch Silver when nothing is late."""
-    return ntz(_streamed(spark, sf_dir, "silver"), "event_ts")
+    return ntz(_streamed(spark, sf_dir, "silver")[0], "event_ts")
 
 
 @register("stream_hourly_kpis")
 def q_stream_hourly_kpis(spark, sf_dir):
-    """Streaming hourly KPIs (distinct users approximate: rows-only check)."""
-    return _streamed(spark, sf_dir, "kpis")
+    """Streaming hourly KPIs, with distinct users counted from the streaming Silver."""
+    slv, kpis = _streamed(spark, sf_dir, "silver", "kpis")
+    return kpis.drop("approx_unique_users").join(live.exact_hourly_users(slv), live.KPI_KEYS).select(
+        *STREAM_EXACT_COLS, "unique_users")
 
 
 STREAM_EXACT_COLS = ["service", "event_date", "event_hour", "total_requests", "error_count",
@@ -423,20 +513,23 @@ STREAM_EXACT_COLS = ["service", "event_date", "event_hour", "total_requests", "e
 @register("stream_hourly_volume")
 def q_stream_hourly_volume(spark, sf_dir):
     """T4: the streaming hourly KPIs' exact measures (all but approximate users)."""
-    return _streamed(spark, sf_dir, "kpis").select(*STREAM_EXACT_COLS)
+    return _streamed(spark, sf_dir, "kpis")[0].select(*STREAM_EXACT_COLS)
 
 
-# --- the dashboard queries as SQL text over registered mart views (S13) ------
+# --- SQL text over the marts (S13) -----------------------------------------------
 
-def _sql_over_marts(spark, sf_dir, name):
-    stg = stg_frame(spark, sf_dir)
-    serving_sql.register_views({"mart_service_hourly_kpis": marts.service_hourly_kpis(stg),
-                                "mart_daily_active_users": marts.daily_active_users(stg)})
-    return serving_sql.run(spark, name)
+def _sql_query(name):
+    def run(spark, sf_dir):
+        stg = stg_frame(spark, sf_dir)
+        frames = {"kpis": marts.service_hourly_kpis, "dau": marts.daily_active_users, "errors": marts.error_analytics}
+        used = {k: f(stg) for k, f in frames.items() if "{" + k + "}" in serving_sql.STATEMENTS[name]}
+        return serving_sql.run(spark, serving_sql.STATEMENTS[name], **used)
+    run.__name__ = f"q_sql_{name}"
+    return run
 
 
-for _name in serving_sql.DASHBOARD_SQL:
-    register(f"sql_{_name}")(lambda spark, sf_dir, _n=_name: _sql_over_marts(spark, sf_dir, _n))
+for _name in serving_sql.STATEMENTS:
+    register(f"sql_{_name}")(_sql_query(_name))
 
 
 @register("distinct_users_by_day")

@@ -1,4 +1,8 @@
-"""Table contracts: Bronze (raw JSON), Silver, staging, marts, users."""
+"""Table contracts: Bronze (raw JSON), Silver, staging, marts, users.
+
+Fixed contract: the column names, types and domain values below are the data's
+own and must not change.
+"""
 from pyspark.sql.types import (BooleanType, DateType, IntegerType, StringType,
                                StructField, StructType, TimestampType)
 
@@ -49,6 +53,6 @@ USERS_COLUMNS = [f.name for f in USERS.fields]
 # Columns the type-2 snapshot adds.
 SCD_META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
-# Fixed domain values the accepted-values check tests against.
+# Fixed domain values, in the order the bridge deals them out; the accepted-values check tests against them.
 SERVICES = ["auth-api", "payments-api", "search-api", "notification-svc", "user-svc"]
 METHODS = ["GET", "POST", "PUT", "DELETE"]

@@ -11,10 +11,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS, USERS_COLUMNS
+from ..schemas import BRONZE_COLUMNS, SERVICES, USERS_COLUMNS
 
-# Services by ``event_id % 5`` and the endpoints of each service.
-SERVICE_BY_MOD5 = ["auth-api", "payments-api", "search-api", "notification-svc", "user-svc"]
+# The endpoints of each service (services go by ``event_id % 5``).
 ENDPOINTS = {
     "auth-api": ["/login", "/logout", "/refresh", "/verify"],
     "payments-api": ["/charge", "/refund", "/status", "/list"],
@@ -47,10 +46,10 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     svc_idx = eid % 5
-    service = _pick(svc_idx, SERVICE_BY_MOD5)
+    service = _pick(svc_idx, SERVICES)
     slot4, slot3 = F.floor(eid / 5) % 4, F.floor(eid / 5) % 3
     endpoint = None
-    for i, svc in enumerate(SERVICE_BY_MOD5):
+    for i, svc in enumerate(SERVICES):
         eps = ENDPOINTS[svc]
         pick = _pick(slot4 if len(eps) == 4 else slot3, eps)
         endpoint = F.when(svc_idx == i, pick) if endpoint is None else endpoint.when(svc_idx == i, pick)
@@ -112,16 +111,16 @@ def bronze(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
 SIGNUP_BASE = "2023-01-01"
 SNAPSHOT_1_AT = "2024-01-01 00:00:00"
 SNAPSHOT_2_AT = "2024-01-15 00:00:00"
+SNAPSHOT_MIDDAY_AT = "2024-01-15 13:30:00"
 SNAP1_EXCLUDE_MOD, SNAP2_EXCLUDE_MOD, SNAP2_PREMIUM_MOD = 11, 13, 7
+SNAP2_SIGNUP_MOD = 5          # these customers' signup_date moves by a day in snapshot 2
+NULL_KEY_MOD, REPEATED_KEY_MOD = 17, 19   # in the source with faulty keys
 
 
 def users_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """users: user_id, signup_date, plan, country (+ custkey for the rules).
-
-    ``nation`` is a fixed 25-row table, so broadcasting it is bounded.
-    """
+    """users: user_id, signup_date, plan, country (+ custkey for the rules)."""
     return (
-        customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .select(
             F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("user_id"),
             F.date_add(F.lit(SIGNUP_BASE).cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
@@ -145,7 +144,9 @@ def users_snapshots(spark: SparkSession, sf_dir: str, with_updated_at: bool = Fa
     s1 = base.filter(key % SNAP1_EXCLUDE_MOD != 0)
     touched = key % SNAP2_PREMIUM_MOD == 0
     s2 = (base.filter(key % SNAP2_EXCLUDE_MOD != 0)
-          .withColumn("plan", F.when(touched, F.lit("PREMIUM")).otherwise(F.col("plan"))))
+          .withColumn("plan", F.when(touched, F.lit("PREMIUM")).otherwise(F.col("plan")))
+          .withColumn("signup_date", F.when(key % SNAP2_SIGNUP_MOD == 0, F.date_add("signup_date", 1))
+                      .otherwise(F.col("signup_date"))))
     cols = list(USERS_COLUMNS)
     if with_updated_at:
         s1 = s1.withColumn("updated_at", F.lit(SNAPSHOT_1_AT).cast("timestamp_ntz"))
@@ -153,3 +154,12 @@ def users_snapshots(spark: SparkSession, sf_dir: str, with_updated_at: bool = Fa
                            .otherwise(F.lit(SNAPSHOT_1_AT)).cast("timestamp_ntz"))
         cols.append("updated_at")
     return s1.select(*cols), s2.select(*cols)
+
+
+def users_with_faulty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot 1's source with some keys NULL and some customers twice (second row: plan TWICE)."""
+    base = users_from_customers(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"))
+    key = F.col("custkey")
+    plans = F.when(key % REPEATED_KEY_MOD == 0, F.array(F.col("plan"), F.lit("TWICE"))).otherwise(F.array(F.col("plan")))
+    return base.select(F.when(key % NULL_KEY_MOD != 0, F.col("user_id")).alias("user_id"), "signup_date",
+                       F.explode(plans).alias("plan"), "country")

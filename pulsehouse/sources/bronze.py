@@ -10,29 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import sized_broadcast
 from ..schemas import BRONZE, BRONZE_COLUMNS
+from ..session import conf_during
 
 LAYOUT = ["service", "year", "month", "day", "hour"]
 LAYOUT_SCHEMA = "value string, service string, year string, month string, day string, hour string"
 
 
 def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
-         mode: str = "append", rows_per_file: int = 500_000,
-         tasks: int | None = None, max_folders: int = 200_000) -> None:
+         mode: str = "append", rows_per_file: int = 500_000) -> None:
     """Write Bronze rows as JSON Lines under the hour/service layout.
 
     ``arrival`` is the hour the batch belongs to (the landing hour, not the
     parsed body timestamp, which may be broken). Rows without that column
     land under the current UTC hour, as a live collector would.
 
-    Writers: folders are spread over ``tasks`` writer tasks (default: the
-    session's shuffle partitions), and a folder holding more than
-    ``rows_per_file`` rows is salted into ceil(rows / rows_per_file) pieces
-    on different tasks. A folder sizing pass (a partial-aggregated count per
-    folder; folders are bounded by hours x services and the bound is checked
-    before broadcast) decides the salt, so a hot service-hour never lands in
-    one task while a quiet one stays one file.
+    One pass over the source: REBALANCE on the layout brings a folder's rows
+    together, and from the measured sizes AQE gives a hot service-hour several
+    writer tasks and quiet ones a shared task. ``rows_per_file`` only cuts
+    files; no row is left out.
     """
     if isinstance(arrival, str):
         arr = (F.col(arrival) if arrival in df.columns
@@ -48,21 +44,12 @@ def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
         F.date_format(arr, "dd").alias("day"),
         F.date_format(arr, "HH").alias("hour"),
     )
-    sizes = (out.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("_rows"))
-             .select(*[F.col(c).alias("_" + c) for c in LAYOUT], "_rows"))
-    sizes = sized_broadcast(sizes, max_folders)
-    cond = None
-    for c in LAYOUT:
-        e = F.col(c).eqNullSafe(F.col("_" + c))
-        cond = e if cond is None else cond & e
-    pieces = F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_file)))
-    salt = F.pmod(F.xxhash64("value"), pieces)
-    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (out.join(sizes, cond, "inner").withColumn("_salt", salt)
-              .repartition(n, *LAYOUT, "_salt").select("value", *LAYOUT))
-    (placed.write.mode(mode).partitionBy(*LAYOUT)
-     .option("maxRecordsPerFile", rows_per_file)
-     .text(path))
+    # many small folders: the time goes into opening files, so a small load is spread over the
+    # cores too; the target size of large ones is not touched
+    with conf_during(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="16k"):
+        (out.hint("rebalance", *LAYOUT).write.mode(mode).partitionBy(*LAYOUT)
+         .option("maxRecordsPerFile", rows_per_file)
+         .text(path))
 
 
 def backfill(df: DataFrame, path: str, end_ts: str, hours: int,

@@ -6,10 +6,12 @@ from __future__ import annotations
 import logging
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..schemas import SILVER_PARTITIONS, USERS
+from ..schemas import SILVER, SILVER_PARTITIONS, USERS
 
 
 def write_silver(silver: DataFrame, path: str, dynamic: bool = False,
@@ -28,13 +30,20 @@ def write_silver(silver: DataFrame, path: str, dynamic: bool = False,
     w.parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Silver by path; filters on event_date/service prune folders.
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Silver by path, with its declared types (a service named ``007`` stays text, an
+    empty folder reads as no rows); filters on event_date/service prune folders."""
+    return spark.read.schema(SILVER).parquet(path)
 
-    ``merge_schema`` unions compatible file schemas (columns added over time)
-    instead of trusting one file's footer.
-    """
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a Silver folder exists and holds a row (reads one row at most)."""
+    try:
+        return bool(read_silver(spark, path).head(1))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -42,6 +51,27 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+POINTER = "version string, published_at timestamp"
+
+
+def publish(spark: SparkSession, base: str, version: str) -> None:
+    """Make ``version`` the current one of ``base``: one appended row, so readers see
+    the old or the new version and never half of one."""
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{base}/_published")
+
+
+def published(spark: SparkSession, base: str) -> list[str]:
+    """The published versions of ``base``, oldest first (one row a run)."""
+    try:
+        rows = spark.read.schema(POINTER).parquet(f"{base}/_published").orderBy("published_at", "version").collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return list(dict.fromkeys(r["version"] for r in rows))
+
+
 def write_seed(users: DataFrame, path: str) -> None:
     users.write.mode("overwrite").option("header", "true").csv(path)
 
@@ -52,20 +82,21 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register_partitioned(spark: SparkSession, path: str, name: str | None = None,
-                         partitions=SILVER_PARTITIONS) -> str:
+                         partitions=SILVER_PARTITIONS, added: StructType | None = None) -> str:
     """Register a partitioned Parquet folder as a catalog table and load its
     partition list (the crawler / partition-repair step). Returns the name.
 
-    Re-registering evolves the table: columns new in the files are added,
-    columns gone from the files are only logged (the table keeps them).
+    The schema is the declared one plus ``added`` (columns a later writer
+    brought), so no file footer is read. Re-registering evolves the table: new
+    columns are added, columns gone are only logged (the table keeps them).
     """
     name = name or f"silver_{uuid.uuid4().hex[:10]}"
-    files = spark.read.option("mergeSchema", "true").parquet(path).schema
+    files = StructType(SILVER.fields + (added.fields if added else []))
     if spark.catalog.tableExists(name):
         known = {f.name for f in spark.table(name).schema.fields}
-        added = [f for f in files.fields if f.name not in known]
-        if added:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        new = [f for f in files.fields if f.name not in known]
+        if new:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
             spark.sql(f"ALTER TABLE `{name}` ADD COLUMNS ({cols})")
         gone = sorted(known - {f.name for f in files.fields})
         if gone:

@@ -6,19 +6,21 @@ by the micro-batch id with dynamic partition overwrite, so a batch replayed
 after a failure rewrites exactly its own folders (exactly-once output with
 the checkpoint).
 
-Differences from batch, by design: rows later than the watermark are dropped,
-and distinct users are approximate (exact distinct is not allowed on a
-streaming aggregation).
+Differences from batch, by design: rows later than the watermark are dropped
+(:func:`late_rows` counts them), and distinct users are approximate in the
+stream itself; :func:`exact_hourly_users` counts them from the Silver sink.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.expressions import PERCENTILE_ACCURACY, count_if_true, latency_percentiles, pct
 from ..operators import silver as silver_ops
-from ..schemas import BRONZE, SILVER_COLUMNS
+from ..schemas import BRONZE, SILVER, SILVER_COLUMNS
+from ..sources import lake
 
 KPI_KEYS = ["service", "event_date", "event_hour"]
 
@@ -62,13 +64,31 @@ def hourly_kpis_stream(silver: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -
 
 
 def _batch_writer(out: str, partitions: list[str]):
+    """Writes a micro-batch under its own ``batch_id`` folders, below the data's partitions so
+    that a date filter prunes before batches are listed. REBALANCE gives one file per folder
+    and batch unless the folder is large."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        keys = [*partitions, "batch_id"]
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", *keys)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", *partitions).parquet(out))
+         .partitionBy(*keys).parquet(out))
     return write
 
 
+def compact_silver(spark: SparkSession, sink: str, silver_path: str, before: str) -> int:
+    """Copy the sink's rows of dates before ``before`` (closed dates: the watermark has passed
+    them) into the partitioned Silver, few files a folder, replacing only those dates. Returns
+    the number of rows. The sink's folders of these dates may then be removed."""
+    closed = read_silver_sink(spark, sink).filter(F.col("event_date") < F.lit(before).cast("date"))
+    lake.write_silver(closed, silver_path, dynamic=True)
+    return lake.read_silver(spark, silver_path).filter(F.col("event_date") < F.lit(before).cast("date")).count()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark and were left out, over the query's recent progress."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def start_silver_sink(stream: DataFrame, out: str, checkpoint: str,
                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Append new Silver rows; replays overwrite their own batch folders."""
@@ -88,8 +108,17 @@ def start_kpis_sink(stream: DataFrame, out: str, checkpoint: str,
     return w.start()
 
 
+SINK = StructType([*SILVER.fields, StructField("batch_id", LongType(), True)])
+
+
 def read_silver_sink(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out).select(*SILVER_COLUMNS)
+    return spark.read.schema(SINK).parquet(out).select(*SILVER_COLUMNS)
+
+
+def exact_hourly_users(silver_sink: DataFrame) -> DataFrame:
+    """Exact distinct users per (service, hour) from the written streaming Silver (T5): a
+    streaming aggregation can only estimate them, the rows it came from are there to count."""
+    return silver_sink.groupBy(*KPI_KEYS).agg(F.count_distinct("user_id").alias("unique_users"))
 
 
 def read_kpis_sink(spark: SparkSession, out: str) -> DataFrame:

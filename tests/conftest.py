@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="pulsehouse-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="pulsehouse-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="pulsehouse-tests-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -29,13 +29,3 @@ def test_exact_percentiles_nearest_rank(spark):
                                                ("p50", "p95", "p99"), total_name="n").collect()}
     assert (out["a"].p50, out["a"].p95, out["a"].p99, out["a"].n) == (10, 19, 20, 21)
     assert (out["b"].p50, out["b"].p95, out["b"].p99, out["b"].n) == (5, 5, 5, 1)
-
-
-def test_sized_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan_small = spark.range(100000).join(X.sized_broadcast(small, 100), "id")
-    plan_big = spark.range(100000).join(X.sized_broadcast(big, 100), "id")
-    assert "ResolvedHint" in plan_small._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in plan_small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in plan_big._jdf.queryExecution().analyzed().toString().lower()

@@ -91,7 +91,7 @@ def test_dynamic_overwrite_replaces_only_touched_partitions(spark):
     assert after.count() == before
     lake.write_silver(one_day.filter((F.col("service") == "auth-api") & (F.col("is_error"))),
                       path, dynamic=True)
-    after = lake.read_silver(spark, path, merge_schema=True)
+    after = lake.read_silver(spark, path)
     kept = after.filter((F.col("event_date") == "2024-01-05") & (F.col("service") == "auth-api"))
     assert kept.filter(~F.col("is_error")).count() == 0
     assert after.filter(F.col("event_date") != "2024-01-05").count() == \
@@ -110,7 +110,8 @@ def test_catalog_evolves_with_new_columns_and_partitions(spark):
     day2 = silver_df.filter(F.col("event_date") == F.lit("2024-01-03").cast("date")) \
         .withColumn("schema_v", F.lit(2))
     lake.write_silver(day2, path, dynamic=True)
-    assert lake.register_partitioned(spark, path, name) == name
+    from pyspark.sql.types import StructType
+    assert lake.register_partitioned(spark, path, name, added=StructType().add("schema_v", "int")) == name
     t = spark.table(name)
     assert "schema_v" in t.columns
     assert spark.sql(f"SHOW PARTITIONS `{name}`").count() > n1
@@ -141,9 +142,9 @@ def test_empty_service_reads_back_null_after_partitioned_write(spark):
     assert back == {"a": None, "b": "auth-api"}
 
 
-def test_land_salts_only_hot_folders(spark):
-    hot = spark.range(3000).select(
-        F.concat(F.lit("h"), F.col("id").cast("string")).alias("event_id"),
+def test_land_splits_a_hot_folder_even_of_equal_bodies(spark):
+    hot = spark.range(30000).select(
+        F.lit("same").alias("event_id"),
         F.lit(dt.datetime(2024, 1, 1, 5)).cast("timestamp_ntz").alias("arrival_ts"))
     quiet = spark.range(10).select(
         F.concat(F.lit("q"), F.col("id").cast("string")).alias("event_id"),
@@ -152,12 +153,14 @@ def test_land_salts_only_hot_folders(spark):
         "event_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE.fields[1:]],
         "arrival_ts").withColumn("service", F.lit("auth-api"))
     path = scratch_path(spark, "t-salt")
-    bronze_io.land(rows, path, mode="overwrite", rows_per_file=1000)
+    from pulsehouse.session import conf_during
+    with conf_during(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="16k"):
+        bronze_io.land(rows.repartition(8), path, mode="overwrite")
     lp = local(path)
     hot_files = glob.glob(f"{lp}/service=auth-api/year=2024/month=01/day=01/hour=05/part-*")
     quiet_files = glob.glob(f"{lp}/service=auth-api/year=2024/month=01/day=01/hour=06/part-*")
-    assert len(hot_files) >= 3 and len(quiet_files) == 1
-    assert bronze_io.scan(spark, path).count() == 3010
+    assert len(hot_files) >= 3 and len(quiet_files) == 1       # several writer tasks, no salt
+    assert bronze_io.scan(spark, path).count() == 30010
 
 
 def test_cli_jobs_end_to_end(spark):
@@ -172,16 +175,26 @@ def test_cli_jobs_end_to_end(spark):
     s1, s2 = bridge.users_snapshots(spark, SF_SMALL)
     lake.write_seed(s1, f"{root}/seed1")
     lake.write_seed(s2, f"{root}/seed2")
-    main(["snapshot", "--source", f"{root}/seed1", "--output", f"{root}/snap1",
-          "--run-ts", "2024-01-01 00:00:00"], spark)
-    main(["snapshot", "--source", f"{root}/seed2", "--previous", f"{root}/snap1",
-          "--output", f"{root}/snap2", "--run-ts", "2024-01-15 00:00:00"], spark)
+    for n, at in ((1, "2024-01-01 00:00:00"), (2, "2024-01-15 00:00:00")):
+        main(["snapshot", "--source", f"{root}/seed{n}", "--store", f"{root}/snap", "--run-ts", at], spark)
+    from pulsehouse.operators import scd2
     from pulsehouse.plans import registry
-    got = sorted(map(tuple, spark.read.parquet(f"{root}/snap2").collect()))
+    got = sorted(map(tuple, scd2.read_history(spark, f"{root}/snap").collect()))
     want = sorted(map(tuple, registry.users_history(spark, SF_SMALL).collect()))
     assert got == want
     out = main(["export", "--gold", f"{root}/gold", "--output", f"{root}/export"], spark)
     assert spark.read.json(out["service-health"]).count() == 5
+    # land and backfill from a Parquet table, and the full run over a root folder
+    bridge.bronze(spark, SF_SMALL, dirty=True).write.parquet(f"{root}/rows")
+    main(["land", "--input", f"{root}/rows", "--output", f"{root}/bronze2"], spark)
+    assert bronze_io.scan(spark, f"{root}/bronze2").count() == 1100
+    main(["backfill", "--input", f"{root}/rows", "--output", f"{root}/bronze3",
+          "--end", "2024-01-30 23:30:00", "--hours", "720"], spark)
+    assert bronze_io.scan(spark, f"{root}/bronze3").count() == 1100
+    done = main(["run", "--input", f"{root}/rows", "--root", f"{root}/all", "--users", f"{root}/seed1",
+                 "--run-ts", "2024-01-01 00:00:00", "--table", "cli_run"], spark)
+    assert done["silver_table"] == "cli_run" and done["counts"] == counts
+    assert scd2.read_history(spark, done["users_snapshot"]).count() == s1.count()
 
 
 def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
@@ -189,13 +202,16 @@ def test_dashboard_sql_over_written_gold_equals_dataframe_api(spark):
     root = scratch_path(spark, "t-sqlgold")
     rows = bridge.bronze(spark, SF_SMALL, dirty=True)
     jobs.run_all(spark, rows, root)
-    serving_sql.register_gold(spark, f"{root}/gold")
-    api = jobs.serving_results(spark, f"{root}/gold")
-    for key, name in [("service-health", "service_health"), ("error-trend", "error_rate_trend"),
-                      ("latency", "latency_percentiles"), ("active-users", "daily_active_users")]:
-        a = [tuple(r) for r in serving_sql.run(spark, name).collect()]
-        b = [tuple(r) for r in api[key].collect()]
-        assert a == b, name
+    before = {t.name for t in spark.catalog.listTables()}
+    views = serving_sql.register_gold(spark, jobs.gold_paths(spark, f"{root}/gold"))
+    a = [tuple(r) for r in spark.sql("SELECT event_date, SUM(active_users), SUM(total_requests) "
+                                     f"FROM {views[1]} GROUP BY event_date ORDER BY event_date").collect()]
+    assert a == [tuple(r) for r in jobs.serving_results(spark, f"{root}/gold")["active-users"].collect()]
+    for v in views:
+        spark.catalog.dropTempView(v)
+    kpis = spark.read.parquet(jobs.gold_paths(spark, f"{root}/gold")["mart_service_hourly_kpis"])
+    assert serving_sql.run(spark, serving_sql.SERVER_SHARE_BY_DAY, kpis=kpis).count() == 30
+    assert {t.name for t in spark.catalog.listTables()} == before      # nothing left behind
 
 
 def test_silver_job_with_quarantine(spark):
@@ -219,3 +235,42 @@ def test_land_without_arrival_uses_current_hour(spark):
     r = bronze_io.scan_layout(spark, path).first()
     now = dt.datetime.now(dt.timezone.utc)
     assert r.year == f"{now:%Y}" and len(r.hour) == 2 and r.service == "auth-api"
+
+
+def _bronze_of(spark, rows, name):
+    path = scratch_path(spark, name)
+    bronze_io.land(spark.createDataFrame(rows, BRONZE), path, mode="overwrite")
+    return path
+
+
+def test_all_rejected_bronze_keeps_silver_and_writes_rejects(spark):
+    import pytest
+    root = scratch_path(spark, "t-none")
+    good = _bronze_of(spark, [ev("a"), ev("b", service="007")], "t-good")
+    bad = _bronze_of(spark, [ev("c", ts="garbage"), ev("d", service=None)], "t-bad")
+    assert jobs.run_silver(spark, good, f"{root}/silver") == {"raw_count": 2, "clean_count": 2}
+    back = lake.read_silver(spark, f"{root}/silver")
+    assert {r.service for r in back.collect()} == {"auth-api", "007"}       # text stays text
+    with pytest.raises(jobs.EmptySilverError):
+        jobs.run_silver(spark, bad, f"{root}/silver", quarantine_path=f"{root}/rejects")
+    assert lake.read_silver(spark, f"{root}/silver").count() == 2
+    assert spark.read.parquet(f"{root}/rejects").count() == 2
+    out = jobs.run_silver(spark, bad, f"{root}/silver", allow_empty=True)
+    assert out == {"raw_count": 2, "clean_count": 0}
+    empty = lake.read_silver(spark, f"{root}/silver")
+    assert empty.count() == 0 and empty.schema["service"].dataType.simpleString() == "string"
+    assert jobs.run_silver(spark, bad, f"{root}/fresh") == {"raw_count": 2, "clean_count": 0}
+
+
+def test_failing_mart_check_leaves_the_old_marts(spark, monkeypatch):
+    import pytest
+    from pulsehouse.operators import quality
+    root = scratch_path(spark, "t-switch")
+    jobs.run_silver(spark, _bronze_of(spark, [ev("a"), ev("b")], "t-sw"), f"{root}/silver")
+    jobs.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    old = jobs.gold_paths(spark, f"{root}/gold")
+    monkeypatch.setattr(quality, "error_rate_out_of_range", lambda kpis: kpis)
+    with pytest.raises(quality.DataQualityError):
+        jobs.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    assert jobs.gold_paths(spark, f"{root}/gold") == old
+    assert jobs.serving_results(spark, f"{root}/gold")["service-health"].count() == 1

@@ -80,20 +80,40 @@ def test_timestamp_strategy(spark):
     assert len(v["b"]) == 1 and v["b"][0].plan == "free"
 
 
-def test_write_version_refuses_to_overwrite_its_input(spark):
+def test_stored_snapshot_keeps_closed_history_and_survives_a_failed_run(spark):
+    import glob
+    import os
     import pytest
     from pulsehouse.session import scratch_path
-    v1 = run(None, users(spark, [("a", D, "free", "IN")]), T1)
-    path = scd2.write_version(v1, scratch_path(spark, "t-v1"))
-    prev = spark.read.parquet(path)
-    v2 = run(prev, users(spark, [("a", D, "premium", "IN")]), T2)
-    with pytest.raises(ValueError):
-        scd2.write_version(v2, path, previous=path)
-    out = scd2.write_version(v2, scratch_path(spark, "t-v2"), previous=path)
-    assert spark.read.parquet(out).count() == 2
-    # a retry of the same run rewrites its own folder, same content
-    scd2.write_version(v2, out, previous=path)
-    assert spark.read.parquet(out).count() == 2
+    base = scratch_path(spark, "t-store")
+
+    def once(rows, at):
+        return scd2.run_snapshot(spark, base, users(spark, rows), "user_id", ["plan", "country"], at)
+    once([("a", D, "free", "IN"), ("b", D, "free", "IN")], T1)
+    once([("a", D, "premium", "IN"), ("b", D, "free", "IN")], T2)
+    closed = {f: os.path.getmtime(f) for f in glob.glob(f"{base.removeprefix('file:')}/run-*/closed/part-*")}
+    want = sorted(map(str, scd2.read_history(spark, base).collect()))
+    with pytest.raises(scd2.SnapshotKeyError):     # a run that fails changes nothing readers see
+        once([("a", D, "x", "IN"), ("a", D, "y", "IN")], T3)
+    assert sorted(map(str, scd2.read_history(spark, base).collect())) == want
+    v = versions(once([("a", D, "enterprise", "IN"), ("b", D, "free", "IN")], T3))
+    assert [r.plan for r in v["a"]] == ["free", "premium", "enterprise"] and len(v["b"]) == 1
+    assert all(os.path.getmtime(f) == t for f, t in closed.items())
+
+
+def test_null_and_repeated_keys_raise_or_are_rejected(spark):
+    import pytest
+    from pulsehouse.session import scratch_path
+    rows = users(spark, [("a", D, "free", "IN"), (None, D, "free", "IN"), ("b", D, "free", "IN"), ("b", D, "pro", "IN")])
+    with pytest.raises(scd2.SnapshotKeyError):
+        run(None, rows, T1)
+    with pytest.raises(scd2.SnapshotKeyError):
+        run(run(None, users(spark, [("a", D, "free", "IN")]), T1), rows, T2)
+    got = sorted((r.user_id or "", r.plan, r.reject_reason) for r in scd2.reject_keys(rows, "user_id").collect())
+    assert got == [("", "free", "null_key"), ("b", "free", "repeated_key"), ("b", "pro", "repeated_key")]
+    root = scratch_path(spark, "t-reject")
+    kept = scd2.run_snapshot(spark, f"{root}/s", rows, "user_id", ["plan"], T1, rejects=f"{root}/r")
+    assert [r.user_id for r in kept.collect()] == ["a"] and spark.read.parquet(f"{root}/r").count() == 3
 
 
 def test_timestamp_strategy_ignores_older_updates(spark):
