@@ -337,11 +337,12 @@ def covered(starts: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def removed(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns + ``spans`` (removed byte runs), ``n_bytes``, ``kept`` (remaining bytes)."""
-    schema = docs.select(*keep).schema
-    rows = keyed(docs, *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    """The ``keep`` columns as k0, k1, ... + ``spans`` (removed byte runs), ``n_bytes``, ``kept``
+    (remaining bytes)."""
+    k = [f"k{i}" for i in range(len(keep))]
+    rows = keyed(docs, *[F.col(f"`{c}`").alias(a) for c, a in zip(keep, k)])
+    schema = rows.select(*k).schema
     rows = rows.join(repeats(docs), "row_key", "left")
-    n = len(keep)
 
     def run(batches):
         for part in slices(batches, 0):
@@ -362,32 +363,34 @@ def removed(docs: DataFrame, keep: list[str]) -> DataFrame:
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[3:], pa.array(spans, span), pa.array(size, pa.int64()), pa.array(kept, pa.binary())],
-                [*keep, "spans", "n_bytes", "kept"])
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
+                [*k, "spans", "n_bytes", "kept"])
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in schema]
                     + ["spans array<struct<start:bigint,end:bigint>>", "n_bytes bigint", "kept binary"])
-    return rows.select("text", "starts", "local", *[f"k{i}" for i in range(n)]).mapInArrow(run, ddl)
+    return rows.select("text", "starts", "local", *k).mapInArrow(run, ddl)
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
     out = removed(docs, ["doc_id"])
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(F.col("k0").alias("doc_id"), "n_bytes", gone.alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def strip(docs: DataFrame) -> DataFrame:
     """The documents with their repeated passages taken out of ``text`` (a character cut in
-    half goes too); ``n_chars``, if there, is counted anew, other columns stay as they are."""
+    half goes too; a NULL text becomes empty); ``n_chars``, if there, is counted anew, other
+    columns stay as they are."""
     others = [c for c in docs.columns if c != "text"]
-    out = removed(docs, others)
+    k = [f"k{i}" for i in range(len(others))]
+    out = removed(docs, others).select(*k, "kept")
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in out.select(*k).schema] + ["text string"])
 
     def decode(batches):
         for b in batches:
-            text = [x.decode("utf-8", "ignore") for x in b.column(len(others)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(others)], pa.array(text, pa.string())], [*others, "text"])
-    schema = docs.select(*others).schema
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["text string"])
-    out = out.select(*[F.col(f"`{c}`") for c in others], "kept").mapInArrow(decode, ddl)
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+            text = [x.decode("utf-8", "ignore") for x in b.column(len(k)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(k)], pa.array(text, pa.string())], [*k, "text"])
+    out = out.mapInArrow(decode, ddl)
+    back = {c: F.col(a) for c, a in zip(others, k)} | {"text": F.col("text")}
+    if "n_chars" in back:
+        back["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[back[c].alias(c) for c in docs.columns])
