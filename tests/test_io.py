@@ -111,7 +111,7 @@ def test_catalog_evolves_with_new_columns_and_partitions(spark):
         .withColumn("schema_v", F.lit(2))
     lake.write_silver(day2, path, dynamic=True)
     from pyspark.sql.types import StructType
-    assert lake.register_partitioned(spark, path, name, added=StructType().add("schema_v", "int")) == name
+    assert lake.register_partitioned(spark, path, name, added=StructType().add("schema_v", "integer")) == name
     t = spark.table(name)
     assert "schema_v" in t.columns
     assert spark.sql(f"SHOW PARTITIONS `{name}`").count() > n1
