@@ -32,6 +32,7 @@ WINDOW = 1024
 PIECE = 256
 END_ID = 0
 GROUP_WINDOWS = 256
+CACHE_ENTRIES = 1_500_000      # texts between spaces kept per worker (about 300 MB)
 PIECES = "piece bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint"
 
@@ -47,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
     tokenizer = tokenizer or byte_tokenizer()
 
     def run(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, CACHE_ENTRIES)
         number = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
         for s in slices(batches, 1):

@@ -148,17 +148,18 @@ def dictionary(spark: SparkSession, path: str) -> np.ndarray:
     return out
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), ids (unsigned 32-bit little-endian)."""
-    by_rank = dictionary(spark, path)
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """Blocks with the number of ids before them."""
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     # one row per part (as many as the writing shuffle had partitions)
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = blocks.join(F.broadcast(parts), "part").select(
+    return blocks.join(F.broadcast(parts), "part").select(
         (F.col("base") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "control", "data")
 
+
+def _decoder(by_rank: np.ndarray):
     def run(batches):
         for b in batches:
             for start, keys, lengths, control, data in zip(*[c.to_pylist() for c in b.columns]):
@@ -168,18 +169,28 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys, pa.int64()), pa.array(start + ends - np.array(lengths), pa.int64()),
                     pa.array(raw, pa.binary())], ["doc_id", "start", "ids"])
-    return placed.mapInArrow(run, "doc_id bigint, start bigint, ids binary")
+    return run
 
 
-def digest(batches):
-    for b in batches:
-        ids = b.column(2).to_pylist()
-        yield pa.RecordBatch.from_arrays([
-            b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
-            pa.array([zlib.crc32(x) for x in ids], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before), ids (unsigned 32-bit little-endian)."""
+    return _placed(spark, path).mapInArrow(_decoder(dictionary(spark, path)), "doc_id bigint, start bigint, ids binary")
+
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of what :func:`read` gives, worked out where it is decoded."""
+    decode = _decoder(dictionary(spark, path))
+
+    def run(batches):
+        for b in decode(batches):
+            ids = b.column(2).to_pylist()
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([zlib.crc32(x) for x in ids], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+    return _placed(spark, path).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write(docs, path)
-    return read(spark, path).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return read_digests(spark, path)
