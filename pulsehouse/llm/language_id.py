@@ -93,8 +93,15 @@ def learn(docs: DataFrame, eligible: Column) -> Profiles:
     """Profiles from (doc_id, text, lang) rows for which ``eligible`` holds and lang is set."""
     rows = docs.where(eligible & F.col("lang").isNotNull())
     pick = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-           .withColumn("nth", F.row_number().over(pick)).where(F.col("nth") <= TRAIN_PER_LANGUAGE)
+    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    # a window over one language sees about three times what it keeps, however large the language
+    share = {r["lang"]: 3.0 * TRAIN_PER_LANGUAGE / r["n"] for r in
+             ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}      # one row a language
+    if not share:
+        return Profiles({})
+    place = (F.col("h") / 2.0**64) + 0.5
+    ids = ids.where(place < F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col("lang")))
+    ids = (ids.withColumn("nth", F.row_number().over(pick)).where(F.col("nth") <= TRAIN_PER_LANGUAGE)
            .orderBy("nth", "h", "doc_id").limit(TRAIN_TOTAL).select("doc_id").distinct())
     sample = rows.join(F.broadcast(ids), "doc_id").select("lang", "text")   # at most TRAIN_TOTAL ids
 
