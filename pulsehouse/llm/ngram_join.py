@@ -19,14 +19,17 @@ Within coverage 1, a document passes over segments that are expensive because
 many documents share them (empty, or made of frequent shingles only) and uses
 the next ones, as long as it has enough: this depends on the segment's content
 only, so two documents that agree on a segment both use it or both pass over
-it. A document that is short of good segments (mostly frequent passages) also
-uses its bad ones, but in a name space that only such documents look at.
+it. A document that is short of good
+segments (mostly frequent passages) uses those it has, and meets the others that
+are short in a name space of their own, by the wide layout.
 
 Candidates then pass an exact bound (the L1 distance of 64 shingle counts can't
 exceed the sets' difference) and are verified on the sets themselves. Groups of
 equal signatures are not expanded into all pairs: first every member is
 compared with the group's least member; only groups whose members then still
-belong to different components are expanded, across components.
+belong to different components are compared across components, in the task that
+holds the group (by size and outline, without emitting what they rule out) or,
+for a group of more than GROUP members, by a join that can be split.
 
 Equal shingle sets are one class from the start: copies cost nothing later.
 
@@ -50,12 +53,16 @@ from .common import SLICE_ROWS, bitmap, in_bitmap, shuffle_partitions, slices, w
 from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
-BINS = 64                   # counts in a set's outline
+STARS = 3                   # buckets in which a member must meet a group's least member
+GROUP = 2000                # members of a group whose pairs one task compares by outline
+BINS = 128                  # counts in a set's outline
 FLUSH = 1_500_000           # signatures a task holds before it deals them out
 SAMPLE_BITS = 3             # 1/8 of the classes are looked at to find frequent shingles
-FREQUENT_SHARE = 2000       # frequent: in more than 1/2000 of the classes ...
-FREQUENT_LEAST = 64         # ... and in more than 64; so at most 2000 sets' worth are frequent
+FREQUENT_SHARE = 8000       # frequent: in more than 1/8000 of the classes ...
+FREQUENT_LEAST = 32         # ... and in more than 32; so at most 8000 sets' worth are frequent
 OVERFLOW_COST = 2000        # signatures that a document short of good segments costs
+PER_SEGMENT = 1.5           # shingles a narrow segment: documents that are up to half frequent
+                            # passages still have enough good ones
 
 
 # ---- size bands and their layout ------------------------------------------------------------
@@ -87,18 +94,20 @@ def layout(band: int) -> tuple[int, int]:
     """(segments, coverage of each) of a band: the cheaper in expected signatures."""
     lo, hi = (int(x[band]) for x in bands())
     most = int(need(hi, hi))
-    wide = -(-most // 2)
-    best = (wide + hi, (wide, 2))
-    for per in (2.0, 2.5):      # shingles a segment
-        m = max(most, math.ceil(hi / per))
-        cost = most
-        for size in (lo, hi):   # chance that too few segments have a shingle
-            x = size / m
-            mean, var = m * (1 - math.exp(-x)), m * (math.exp(-x) - (1 + x) * math.exp(-2 * x))
-            z = (int(need(size, hi)) - 0.5 - mean) / max(0.3, math.sqrt(max(0.0, var)))
-            cost += OVERFLOW_COST * 0.5 * math.erfc(-z / math.sqrt(2))
-        best = min(best, (cost, (m, 1)))
-    return best[1]
+    m = max(most, math.ceil(hi / PER_SEGMENT))
+    cost = most
+    for size in (lo, hi):       # chance that too few segments have a shingle
+        x = size / m
+        mean, var = m * (1 - math.exp(-x)), m * (math.exp(-x) - (1 + x) * math.exp(-2 * x))
+        z = (int(need(size, hi)) - 0.5 - mean) / max(0.3, math.sqrt(max(0.0, var)))
+        cost += OVERFLOW_COST * 0.5 * math.erfc(-z / math.sqrt(2))
+    return min((wide(band) + hi, (wide(band), 2)), (cost, (m, 1)))[1]
+
+
+def wide(band: int) -> int:
+    """Segments of the layout whose coverage is 2 everywhere."""
+    hi = bands()[1][band]
+    return -(-int(need(hi, hi)) // 2)
 
 
 # ---- signatures ------------------------------------------------------------------------------
@@ -120,8 +129,30 @@ class Frequent:
         return out
 
 
+def _segment(s: np.ndarray, m: int, band: int, space: int) -> np.ndarray:
+    salt = U(0xA24BAED4963EE407 * (2 * band + space + 1) & (2**64 - 1))
+    return ((mix(s ^ salt) >> U(32)) * U(m) >> U(32)).astype(np.int64)
+
+
+def _names(m: int, band: int, space: int) -> np.ndarray:
+    return mix((np.arange(m, dtype=np.uint64) + U(1)) * U(0x2545F4914F6CDD1D) ^ U(2 * band + space + 1))
+
+
+def _wide(row: np.ndarray, s: np.ndarray, value: np.ndarray, rows: int, m: int, band: int,
+          space: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, signature) of every segment's subset and of its one-deletion neighbourhood."""
+    seg = _segment(s, m, band, space)
+    cell = row * m + seg
+    total = np.zeros(rows * m, np.uint64)
+    np.add.at(total, cell, value)
+    names = _names(m, band, space)
+    return (np.concatenate([np.repeat(np.arange(rows), m), row]),
+            np.concatenate([mix(total ^ np.tile(names, rows)), mix((total[cell] - value) ^ names[seg])]))
+
+
 def signatures(sets: list[np.ndarray], frequent: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(set number, signature) of all sets, and the same of the bad segments of sets short of good ones."""
+    """(set number, signature) of all sets, and the same in the name space of sets short of good
+    segments."""
     size = np.array([len(s) for s in sets])
     lo, hi = bands()
     own = np.searchsorted(hi, size)
@@ -135,40 +166,37 @@ def signatures(sets: list[np.ndarray], frequent: Frequent) -> tuple[np.ndarray,
             n = size[part]
             s = np.concatenate([sets[i] for i in part])
             row = np.repeat(np.arange(len(part)), n)
-            seg = ((mix(s ^ U(0xA24BAED4963EE407 * (b + 1) & (2**64 - 1))) >> U(32)) * U(m) >> U(32)).astype(np.int64)
-            cell = row * m + seg
             value = mix(s ^ U(0x9FB21C651E98DF25))
-            total = np.zeros(len(part) * m, np.uint64)
-            np.add.at(total, cell, value)
-            name = mix((np.arange(m, dtype=np.uint64) + U(1)) * U(0x2545F4914F6CDD1D) ^ U(b + 1))
             if cover == 2:
-                who.append(np.repeat(part, m))
-                sig.append(mix(total ^ np.tile(name, len(part))))
-                who.append(part[row])
-                sig.append(mix((total[cell] - value) ^ name[seg]))
+                r, x = _wide(row, s, value, len(part), m, b, 0)
+                who.append(part[r])
+                sig.append(x)
                 continue
+            cell = row * m + _segment(s, m, b, 0)
+            total = np.zeros(len(part) * m, np.uint64)
+            np.add.at(total, cell, value)
             good = np.bincount(cell, ~frequent(s), len(total)).reshape(len(part), m) > 0
             enough = need(n, hi[b])
             so_far = np.cumsum(good, 1)
-            sent = good & (so_far <= enough[:, None])
-            total = mix(total.reshape(len(part), m) ^ name)
-            r, c = np.nonzero(sent)
+            r, c = np.nonzero(good & (so_far <= enough[:, None]))
             who.append(part[r])
-            sig.append(total[r, c])
+            sig.append(mix(total.reshape(len(part), m)[r, c] ^ _names(m, b, 0)[c]))
             short = so_far[:, -1] < enough
             if short.any():
-                bad = ~good & short[:, None] & (np.arange(m) < enough[:, None])
-                r, c = np.nonzero(bad)
-                bad_who.append(part[r])
-                bad_sig.append(mix(total[r, c] ^ U(0x51ED270B5F1E2A63)))
+                mine = short[row]
+                r, x = _wide(row[mine], s[mine], value[mine], len(part), wide(b), b, 1)
+                mine = short[r]
+                bad_who.append(part[r[mine]])
+                bad_sig.append(x[mine])
+
     def join(parts, kind):
         return np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
     return join(who, np.int64), join(sig, np.uint64), join(bad_who, np.int64), join(bad_sig, np.uint64)
 
 
 def outline(s: np.ndarray) -> bytes:
-    count = np.bincount((s >> U(58)).astype(np.int64), minlength=BINS)
-    return np.minimum(count, 0xFFFF).astype("<u2").tobytes()   # a clipped count only loosens the bound
+    count = np.bincount((s >> U(57)).astype(np.int64), minlength=BINS)
+    return np.minimum(count, 0xFF).astype("u1").tobytes()   # a clipped count only loosens the bound
 
 
 def identity(s: np.ndarray) -> tuple[int, int]:
@@ -225,7 +253,7 @@ DEALT = "bucket bigint, base bigint, entries binary, h1 bigint, h2 bigint, bad a
 
 def _deal(buckets: int, frequent):
     """Rows of a task: per bucket the signatures' (low 32 bits, local set number); and one row
-    per set (bucket < 0) with its identity and its bad segments' signatures."""
+    per set (bucket < 0) with its identity and its signatures among the short ones."""
     names = [x.split()[0] for x in DEALT.split(", ")]
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
@@ -284,7 +312,8 @@ GROUPED = "a bigint, b bigint, others array<bigint>, h1 bigint, h2 bigint, bad a
 
 def _group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Of a bucket: pairs (least member, member) of every group; groups of three and more also
-    whole (``others``, once per distinct member list). Rows of sets pass through with b null."""
+    whole (``others``, once per distinct member list). ``h2`` is 1 for a pair that is a whole
+    group. Rows of sets pass through with b null."""
     names = [x.split()[0] for x in GROUPED.split(", ")]
     types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
@@ -307,24 +336,43 @@ def _group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     many = length > 1
     first, length = first[many], length[many]
     head = np.repeat(first, length - 1)
+    alone = np.repeat(length == 2, length - 1)
     step = np.arange(len(head)) - np.repeat(np.cumsum(length - 1) - (length - 1), length - 1) + 1
     a, b = who[head], who[head + step]
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
+    order = np.lexsort((~alone, b, a))
+    a, b, alone = a[order], b[order], alone[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    a, b = a[new], b[new]
+    a, b, alone = a[new], b[new], alone[new].astype(np.int64)
     lists = {who[f:f + k].tobytes(): who[f:f + k] for f, k in zip(first[length > 2], length[length > 2])}
     p, g = len(a), len(lists)
     return out([np.concatenate([a, np.full(g, -1)]), np.concatenate([b, np.full(g, -1)]),
-                [None] * p + list(lists.values()), [None] * (p + g), [None] * (p + g), [None] * (p + g)])
+                [None] * p + list(lists.values()), [None] * (p + g), alone.tolist() + [None] * g, [None] * (p + g)])
+
+
+def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Of a bucket of groups: pairs across components that sizes and outlines allow, once each."""
+    table = table.sort_by([("g", "ascending"), ("n", "ascending")])
+    g, node, label, n = (np.asarray(table.column(c), np.int64) for c in ("g", "node", "label", "n"))
+    x = np.frombuffer(b"".join(table.column("bins").to_pylist()), "u1").reshape(-1, BINS).astype(np.int16)
+    end = np.searchsorted(g, g, "right")
+    found = [np.empty((0, 2), np.int64)]
+    for i in range(len(g)):
+        j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1:end[i]], n[i] * 4 // 3, "right"))
+        j = j[label[j] != label[i]]
+        if len(j):
+            j = j[np.abs(x[j] - x[i]).sum(1) <= (n[j] + n[i]) // 7]
+            if len(j):
+                found.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], 1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
 # ---- verification -------------------------------------------------------------------------------
 
 def _outlines_allow(batches):
     for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, BINS).astype(np.int64) for i in (4, 5))
+        x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "u1").reshape(-1, BINS).astype(np.int64) for i in (4, 5))
         n = np.asarray(b.column(2)) + np.asarray(b.column(3))
         ok = np.abs(x - y).sum(1) <= n // 7
         yield b.filter(pa.array(ok)).select(["a", "b"])
@@ -391,17 +439,22 @@ class Join:
         self.frequent = np.sort(hot.select("h").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
 
     def _node_pairs(self, pairs: DataFrame, ids: DataFrame) -> DataFrame:
-        """(a, b) of local ids -> distinct (a, b) of nodes, a < b, that size and outline allow."""
+        """(a, b, whole) of local ids -> distinct (a, b) of nodes, a < b, that size and outline
+        allow: all whole groups, and of the others those that meet in STARS buckets or more
+        (groups that a pair not taken here holds together are compared across components)."""
         for c in ("a", "b"):
             pairs = pairs.join(ids.select(F.col("id").alias(c), F.col("node").alias(f"n{c}")), c).drop(c)
-        return self._allowed(pairs.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")))
+        pairs = pairs.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"), "whole").where("a < b")
+        pairs = pairs.groupBy("a", "b").agg(F.max("whole").alias("whole"), F.count("*").alias("k"))
+        return self._allowed(pairs.where((F.col("whole") == 1) | (F.col("k") >= STARS)).select("a", "b"))
 
     def _allowed(self, pairs: DataFrame) -> DataFrame:
         pairs = pairs.where("a < b").distinct()
         for c in ("a", "b"):
-            pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"),
-                                                   F.col("bins").alias(f"x{c}")), c)
+            pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}")), c)
         pairs = pairs.where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+        for c in ("a", "b"):
+            pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("bins").alias(f"x{c}")), c)
         return pairs.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_outlines_allow, "a bigint, b bigint")
 
     def _verify(self, pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -441,7 +494,7 @@ class Join:
         bad = sets.select(F.col("a").alias("id"), F.explode("bad").alias("g")).join(ids, "id").select("g", "node").distinct()
         bad = written(bad, "short")
         star = bad.join(bad.groupBy("g").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1"), "g")
-        pairs = self._node_pairs(grouped.where("h1 is null and others is null").select("a", "b"), ids)
+        pairs = self._node_pairs(grouped.where("h1 is null and others is null").select("a", "b", F.col("h2").alias("whole")), ids)
         first = pairs.unionByName(self._allowed(star.select("a", F.col("node").alias("b")))).distinct()
         links, done = self._verify(first, "star")
         labels = components(links)
@@ -451,12 +504,20 @@ class Join:
         groups = groups.unionByName(bad).join(labels, "node", "left").select(
             "g", "node", F.coalesce("label", "node").alias("label"))
         groups = written(groups, "group-members")
-        torn = groups.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("g")
-        left = groups.join(torn, "g")
-        cross = left.alias("x").join(left.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.label") != F.col("y.label"))
-                                     & (F.col("x.node") < F.col("y.node"))).select(
+        torn = groups.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k")
+                                       ).where("lo < hi").select("g", "k")
+        left = written(groups.join(torn, "g").join(self.classes.select("node", "n", "bins"), "node").select(
+            "g", "k", "node", "label", "n", "bins"), "torn")
+        bucket = F.pmod(F.xxhash64("g"), F.lit(buckets)).alias("bucket")
+        cross = left.where(F.col("k") <= GROUP).select(bucket, "g", "node", "label", "n", "bins").groupBy("bucket").applyInArrow(
+            _across, "a bigint, b bigint")
+        large = left.where(F.col("k") > GROUP).select("g", "node", "label", "n")
+        x, y = large.alias("x"), large.alias("y")
+        large = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.label") != F.col("y.label")) & (
+            F.col("x.node") < F.col("y.node")) & F.expr("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")).select(
             F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        more, _ = self._verify(self._allowed(cross).join(done, ["a", "b"], "left_anti"), "cross")
+        cross = cross.distinct().unionByName(self._allowed(large)).distinct()
+        more, _ = self._verify(cross.join(done, ["a", "b"], "left_anti"), "cross")
         links = links.unionByName(more)
         return links, (components(links) if more.head(1) else labels)
 
