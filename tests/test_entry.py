@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from pulsehouse.plans.oracle_queries import ORACLE
 
 TABLES = ["nation", "customer", "events"]
 
@@ -45,7 +46,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     res = duck.execute(E.oracle_sql()[name])
