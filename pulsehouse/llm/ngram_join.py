@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join by universe partitioning, and its connected groups.
+"""N-gram Jaccard self-join by universe partitioning, its connected groups and all its links.
 
 Two documents link when the Jaccard similarity of their word-shingle sets is at
 least 3/4, that is when the sets differ in at most H = (|a| + |b|) // 7
@@ -33,6 +33,15 @@ for a group of more than GROUP members, by a join that can be split.
 
 Equal shingle sets are one class from the start: copies cost nothing later.
 
+Those pairs connect the components, and every link lies inside a component. So all links
+are found there: a component's sets are dealt to *tiles* by hash, each two tiles meet in
+one task, and the sizes of all their intersections come from products of 0/1 matrices, so
+each pair of sets is decided exactly and once. The query takes only each set's number of
+links from a task; :meth:`Join.links` lists the pairs.
+
+A row's links are the other rows whose sets link with its own, copies and repeated rows
+included (also those with the same doc_id).
+
 Defined cases: NULL or blank text has the empty set, no link, and is its own
 component; fewer than five words are one shingle; repeated rows get one output
 row each. Components are named by their least doc_id. Documents must come from
@@ -56,6 +65,9 @@ SLICE = 256                 # pairs verified at a time
 STARS = 3                   # buckets in which a member must meet a group's least member
 GROUP = 2000                # members of a group whose pairs one task compares by outline
 BINS = 128                  # counts in a set's outline
+TILE = 1024                 # sets of a component that a tile holds, about ...
+TILE_SHINGLES = 1 << 19     # ... and their shingles
+COLUMNS = 4096              # shingles of a tile in one matrix product
 FLUSH = 1_500_000           # signatures a task holds before it deals them out
 SAMPLE_BITS = 3             # 1/8 of the classes are looked at to find frequent shingles
 FREQUENT_SHARE = 8000       # frequent: in more than 1/8000 of the classes ...
@@ -399,6 +411,64 @@ def _verified(batches):
             yield b.slice(at, SLICE).filter(pa.array(ok)).select(["a", "b"])
 
 
+def linked(x: list[np.ndarray], y: list[np.ndarray] | None = None) -> np.ndarray:
+    """Which sets of x link with which of y (or of x itself), from the sizes of all intersections."""
+    sets = x + (y or [])
+    size = np.array([len(s) for s in sets])
+    col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    shared = times > 1                                          # others are in no intersection
+    keep = shared[col]
+    row, col = np.repeat(np.arange(len(sets)), size)[keep], (np.cumsum(shared) - 1)[col[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    n = len(x)
+    both = np.zeros((n, n if y is None else len(y)), np.int64)
+    for at in range(0, int(shared.sum()), COLUMNS):
+        a, z = np.searchsorted(col, [at, at + COLUMNS])
+        m = np.zeros((len(sets), int(col[z - 1]) - at + 1), np.float32)
+        m[row[a:z], col[a:z] - at] = 1
+        both += (m[:n] @ (m if y is None else m[n:]).T).astype(np.int64)
+    out = 100 * both >= 75 * (size[:n, None] + (size if y is None else size[n:]) - both)
+    if y is None:
+        np.fill_diagonal(out, False)
+    return out
+
+
+TILES = "bucket bigint, label bigint, i int, j int, tile int, node bigint, copies bigint, text string"
+
+
+def _tiles(listed: bool):
+    """Of a bucket of tile pairs: their links (a, b), a < b; or per set the rows its links lead to."""
+    names = ["a", "b"] if listed else ["node", "links"]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("label", "i", "j", "tile")])
+        label, i, j, tile, node, copies = (np.asarray(table.column(c), np.int64)
+                                           for c in ("label", "i", "j", "tile", "node", "copies"))
+        new = np.append(True, (label[1:] != label[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+        first = np.flatnonzero(new)
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for f, e in zip(first, np.append(first[1:], len(new))):
+            cut = f + int(np.searchsorted(tile[f:e], i[f], "right"))
+            x, y = (slice(f, e), slice(f, e)) if i[f] == j[f] else (slice(f, cut), slice(cut, e))
+            if x.start == x.stop or y.start == y.stop:
+                continue
+            sets = shingle_sets(table.column("text").slice(f, e - f).to_pylist())
+            ok = linked(sets) if x == y else linked(sets[:cut - f], sets[cut - f:])
+            if listed:
+                p, q = np.nonzero(np.triu(ok) if x == y else ok)
+                left.append(np.minimum(node[x][p], node[y][q]))
+                right.append(np.maximum(node[x][p], node[y][q]))
+                continue
+            left.append(node[x])
+            right.append(ok @ copies[y])
+            if x != y:
+                left.append(node[y])
+                right.append(copies[x] @ ok)
+        return pa.table([pa.array(np.concatenate(c).astype(np.int64)) for c in (left, right)], names)
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node each node of the edges can reach. Labels spread to
     neighbours and jump to their labels' labels, so rounds grow with the logarithm of the
@@ -428,7 +498,7 @@ class Join:
         described = written(self.docs.mapInArrow(_describe, MEMBERS), "sets")
         self.members = described.where("n >= 0").select("doc_id", "n", "h1", "h2")
         classes = described.where("n > 0").groupBy("h1", "h2", "n").agg(
-            F.min("doc_id").alias("least"), F.first("bins").alias("bins"))
+            F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("bins").alias("bins"))
         self.classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
         size = self.classes.agg(F.count("*"), F.sum("n")).first()
         self.count, self.total = size[0], size[1] or 0
@@ -457,8 +527,8 @@ class Join:
             pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("bins").alias(f"x{c}")), c)
         return pairs.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_outlines_allow, "a bigint, b bigint")
 
-    def _verify(self, pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """(the pairs that link, all pairs). Texts of needed sets only are read again: a bitmap of fixed size
+    def _verify(self, pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(the pairs that link, all pairs, (node, text) of the pairs' sets). Texts of needed sets only are read again: a bitmap of fixed size
         over set hashes lets all needed ones (and at scale some others) through."""
         pairs = written(pairs, f"{name}-pairs")
         need_ = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -480,10 +550,11 @@ class Join:
         texts = written(texts, f"{name}-texts")
         rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        return written(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links"), pairs
+        return written(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links"), pairs, texts
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """(links enough to connect every component, (node, label) of linked classes)."""
+    @functools.cached_property
+    def connected(self) -> tuple[DataFrame, DataFrame]:
+        """((node, label) of linked classes, (node, text) of these and some others)."""
         buckets = max(4 * shuffle_partitions(self.spark), self.total // 2_000_000)
         frequent = self.spark.sparkContext.broadcast(Frequent(self.frequent))
         dealt = self.docs.select("text").mapInArrow(_deal(buckets, frequent), DEALT)
@@ -496,7 +567,7 @@ class Join:
         star = bad.join(bad.groupBy("g").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1"), "g")
         pairs = self._node_pairs(grouped.where("h1 is null and others is null").select("a", "b", F.col("h2").alias("whole")), ids)
         first = pairs.unionByName(self._allowed(star.select("a", F.col("node").alias("b")))).distinct()
-        links, done = self._verify(first, "star")
+        links, done, texts = self._verify(first, "star")
         labels = components(links)
 
         lists = grouped.where("others is not null").select(F.xxhash64("others").alias("g"), "others").dropDuplicates(["g"])
@@ -517,23 +588,53 @@ class Join:
             F.col("x.node") < F.col("y.node")) & F.expr("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")).select(
             F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         cross = cross.distinct().unionByName(self._allowed(large)).distinct()
-        more, _ = self._verify(cross.join(done, ["a", "b"], "left_anti"), "cross")
-        links = links.unionByName(more)
-        return links, (components(links) if more.head(1) else labels)
-
-    def result(self) -> DataFrame:
-        """doc_id, n_shingles, component_id of every row of the documents."""
-        _, labels = self.links()
-        classes = self.classes.join(labels, "node", "left").select("h1", "h2", "n", "least", F.coalesce("label", "node").alias("label"))
+        more, _, others = self._verify(cross.join(done, ["a", "b"], "left_anti"), "cross")
+        texts = texts.unionByName(others.join(texts, "node", "left_anti"))
+        return components(links.unionByName(more)) if more.head(1) else labels, texts
+
+    def _paired_tiles(self) -> DataFrame:
+        """Linked classes with their texts, once for each tile pair that their tile is in."""
+        labels, texts = self.connected
+        sets = labels.join(self.classes.select("node", "n", "copies"), "node")
+        tiles = sets.groupBy("label").agg(F.greatest(
+            F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("tiles"))
+        sets = sets.join(tiles, "label").join(texts, "node").withColumn(
+            "tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        sets = sets.withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
+        buckets = max(4 * shuffle_partitions(self.spark), self.total // 2_000_000)
+        return sets.withColumn("bucket", F.pmod(F.xxhash64("label", "i", "j"), F.lit(buckets))).select(
+            *[c.split()[0] for c in TILES.split(", ")])
+
+    def links(self) -> tuple[DataFrame, DataFrame]:
+        """(every link (a, b) between distinct sets' nodes, a < b; (doc_id, node) of every row
+        with a set). Rows of one node are links of each other."""
+        links = self._paired_tiles().groupBy("bucket").applyInArrow(_tiles(True), "a bigint, b bigint")
+        node = self.classes.select("h1", "h2", "n", "node")
+        return links, self.members.join(node, ["h1", "h2", "n"]).select("doc_id", "node")
+
+    def n_links(self) -> DataFrame:
+        """(node, rows of other sets that a linked class links with)."""
+        found = self._paired_tiles().groupBy("bucket").applyInArrow(_tiles(False), "node bigint, links bigint")
+        return found.groupBy("node").agg(F.sum("links").alias("links"))
+
+    def result(self, counted: bool = False) -> DataFrame:
+        """doc_id, n_shingles, component_id (and n_links if ``counted``) of every row of the documents."""
+        labels, _ = self.connected
+        classes = self.classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-        classes = classes.join(least, "label").select("h1", "h2", "n", "component_id")
-        out = self.members.join(classes, ["h1", "h2", "n"], "left")
+        classes = classes.join(least, "label")
+        if counted:
+            classes = classes.join(written(self.n_links(), "n-links"), "node", "left").withColumn(
+                "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+        more = ["n_links"] if counted else []
+        out = self.members.join(classes.select("h1", "h2", "n", "component_id", *more), ["h1", "h2", "n"], "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"))
+            F.col("component_id")).alias("component_id"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in more])
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
-    return Join(docs).result()
+    return Join(docs).result(counted=True)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -104,6 +104,46 @@ def test_families_and_frequent_passages(spark, monkeypatch, least):
     assert got == want and len(set(got.values())) > 20
 
 
+def test_links_by_matrix_products(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    sets = [np.unique(np.append(base[rng.random(300) > 0.1], rng.integers(0, 2**63, 5, dtype=np.uint64))) for _ in range(30)]
+    sets += [np.array([k], np.uint64) for k in (1, 2)]
+    want = np.zeros((32, 32), bool)
+    for i, j in combinations(range(32), 2):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        want[i, j] = want[j, i] = 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+    assert (ngram_join.linked(sets) == want).all() and 50 < want.sum() < 900
+    assert (ngram_join.linked(sets[:9], sets[9:]) == want[:9, 9:]).all()
+
+
+@pytest.mark.parametrize("tile", [1024, 3])
+def test_all_links_are_listed_and_counted(spark, monkeypatch, tile):
+    """Also those inside a group of near copies, and with a component dealt to many tiles."""
+    import random
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    rng = random.Random(5)
+    texts = family(rng, 14) + family(rng, 6) + [None, " ", "a b"] + [" ".join(words(rng, 60, 10**6)) for _ in range(9)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, texts[3]), (101, texts[3]), (102, texts[24]), (None, texts[4]), (2, texts[2])]
+    sets = [brute_set(t) for _, t in rows]
+    alike = [[i != j and bool(a) and bool(b) and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)]
+             for i, a in enumerate(sets)]
+    docs = written(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), "t-links")
+    got = sorted((r["doc_id"] or -1, r["n_links"]) for r in ngram_join.query(spark, docs).collect())
+    assert got == sorted((i or -1, sum(x)) for (i, _), x in zip(rows, alike))
+
+    links, members = (x.collect() for x in ngram_join.Join(docs).links())
+    of: dict = {}
+    for r in members:
+        of.setdefault(r["node"], []).append(-1 if r["doc_id"] is None else r["doc_id"])
+    pairs = [sorted((x, y)) for a, b in links for x in of[a] for y in of[b]]
+    pairs += [sorted(p) for ids in of.values() for p in combinations(ids, 2)]
+    want = [sorted(-1 if rows[k][0] is None else rows[k][0] for k in (i, j))
+            for i, j in combinations(range(len(rows)), 2) if alike[i][j]]
+    assert sorted(pairs) == sorted(want) and len(want) > 60
+
+
 def test_one_of_each_group_stays(spark, odd, none):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
