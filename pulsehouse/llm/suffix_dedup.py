@@ -68,10 +68,10 @@ def regions(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     raw = np.frombuffer(b"".join(texts), np.uint8)
     size = np.array([len(t) for t in texts], np.int64)
     if len(raw) < LENGTH:
-        return (np.empty(0, np.int64),) * 5
+        return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
     if len(raw) >> _POSITION:   # one very long text: parts of it that share LENGTH - 1 bytes
         cut = (1 << _POSITION) - LENGTH
-        parts = [regions([texts[0][at:at + cut + LENGTH - 1]]) + (at,) for at in range(0, len(raw), cut)]
+        parts = [regions([texts[0][at:at + cut + LENGTH - 1]]) + (at,) for at in range(0, len(raw) - LENGTH + 1, cut)]
         return tuple(np.concatenate([p[i] + (p[5] if i == 3 else 0) for p in parts]).astype(parts[0][i].dtype)
                      for i in range(5))
     sums = byte_sums(raw)

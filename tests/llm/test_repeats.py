@@ -80,3 +80,20 @@ def test_very_long_text_is_cut_into_parts_without_loss(monkeypatch):
     parts = suffix_dedup.regions([text])
     starts = lambda r: sorted(s for x, n in zip(r[3].tolist(), r[4].tolist()) for s in range(x, x + n + 1))
     assert starts(whole) == starts(parts) == list(range(len(text) - 199))
+
+
+@pytest.mark.parametrize("rest", [1, 57, 199, 200, 201])
+def test_hashes_of_a_text_cut_into_parts_are_exact(monkeypatch, rest):
+    """Also with a last part too short for a window."""
+    cut = (1 << 12) - suffix_dedup.LENGTH
+    text = " ".join(words(random.Random(6), 3000, 10**6)).encode()[:3 * cut + rest]
+    whole = suffix_dedup.regions([text])
+    monkeypatch.setattr(suffix_dedup, "_POSITION", 12)
+    parts = suffix_dedup.regions([text])
+    assert [c.dtype for c in parts] == [c.dtype for c in whole] == [c.dtype for c in suffix_dedup.regions([b""])]
+    assert set(parts[1].tolist()) == set(whole[1].tolist())
+
+    def uncut(r):       # regions that lie in one part
+        rows = zip(*[c.tolist() for c in r[1:]])
+        return {(core, same, x, n) for core, same, x, n in rows if not any(x <= b <= x + n + 1 for b in range(cut, len(text), cut))}
+    assert uncut(parts) == uncut(whole) and len(uncut(whole)) > 50
