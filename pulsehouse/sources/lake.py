@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -81,32 +82,58 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(USERS).option("header", "true").csv(path)
 
 
+LOOKED = "pulsehouse.files_looked_at"     # table property: up to when files' schemas are known
+
+
+def _file_columns(spark: SparkSession, path: str, since: str | None) -> StructType:
+    """Merged schema of the Parquet files written after ``since`` (UTC; None: of all)."""
+    read = spark.read.option("mergeSchema", "true").option("timeZone", "UTC")
+    if since:
+        read = read.option("modifiedAfter", since)
+    try:
+        return read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):   # no such file
+            return StructType()
+        raise
+
+
 def register_partitioned(spark: SparkSession, path: str, name: str | None = None,
                          partitions=SILVER_PARTITIONS, added: StructType | None = None) -> str:
     """Register a partitioned Parquet folder as a catalog table and load its
     partition list (the crawler / partition-repair step). Returns the name.
 
-    The schema is the declared one plus ``added`` (columns a later writer
-    brought), so no file footer is read. Re-registering evolves the table: new
-    columns are added, columns gone are only logged (the table keeps them).
+    The schema is the declared one plus ``added`` plus the columns found in the
+    files, whose footers are read once: re-registering looks only at files
+    written since (an hour earlier, as clocks differ), in new partitions or old.
+    New columns are added, columns gone are only logged (the table keeps them).
     """
     name = name or f"silver_{uuid.uuid4().hex[:10]}"
-    files = StructType(SILVER.fields + (added.fields if added else []))
-    if spark.catalog.tableExists(name):
-        known = {f.name for f in spark.table(name).schema.fields}
-        new = [f for f in files.fields if f.name not in known]
+    now = (datetime.now(timezone.utc) - timedelta(hours=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    exists = spark.catalog.tableExists(name)
+    since = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}.get(LOOKED) if exists else None
+    found = _file_columns(spark, path, since)
+    files, names = StructType(), set()
+    for f in [*SILVER.fields, *(added.fields if added else []), *found.fields]:
+        if f.name.lower() not in names:
+            names.add(f.name.lower())
+            files = files.add(f)
+    if exists:
+        known = {f.name.lower() for f in spark.table(name).schema.fields}
+        new = [f for f in files.fields if f.name.lower() not in known]
         if new:
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
             spark.sql(f"ALTER TABLE `{name}` ADD COLUMNS ({cols})")
-        gone = sorted(known - {f.name for f in files.fields})
-        if gone:
+        gone = sorted(known - names)
+        if gone and len(found):     # without newer files nothing is known to be gone
             logging.getLogger(__name__).warning(
-                "table %s: columns %s no longer in the files; kept", name, gone)
+                "table %s: columns %s no longer in the newest files; kept", name, gone)
     else:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.fields)
         spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet "
                   f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
     spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ('{LOOKED}' = '{now}')")
     return name
 
 

@@ -119,6 +119,26 @@ def test_catalog_evolves_with_new_columns_and_partitions(spark):
     assert t.filter(F.col("schema_v") == 2).count() == day2.count()
 
 
+def test_catalog_finds_columns_in_the_files(spark, caplog):
+    """Nobody names them: in a new partition, in one written again, at first registration."""
+    from pulsehouse.plans import registry
+    silver_df = registry.silver_frame(spark, SF_SMALL)
+    path = scratch_path(spark, "t-found")
+    days = [silver_df.filter(F.col("event_date") == F.lit(f"2024-01-0{k}").cast("date")) for k in (2, 3)]
+    lake.write_silver(days[0].withColumn("first_v", F.lit("x")), path)
+    name = lake.register_partitioned(spark, path)
+    assert spark.table(name).filter("first_v = 'x'").count() == days[0].count()
+    lake.write_silver(days[1].withColumns({"first_v": F.lit("y"), "schema_v": F.lit(2)}), path, dynamic=True)
+    lake.register_partitioned(spark, path, name)
+    assert spark.table(name).filter("schema_v = 2").count() == days[1].count()
+    lake.write_silver(days[0].withColumns({"first_v": F.lit("z"), "again_v": F.lit(1.5)}), path, dynamic=True)
+    lake.register_partitioned(spark, path, name)
+    lake.register_partitioned(spark, path, name)
+    assert spark.table(name).filter("again_v = 1.5").count() == days[0].count() > 0
+    assert spark.table(name).count() == days[0].count() + days[1].count()
+    assert "no longer" not in caplog.text
+
+
 def test_staging_suite_one_pass(spark):
     from conftest import ev
     from pulsehouse.operators import quality
