@@ -2,18 +2,17 @@
 from __future__ import annotations
 
 from ..session import prepare
-from . import (fingerprints, language_id, mixing, ngram_join, packing, quality_classifier, quality_rules,
-               suffix_dedup, token_output, toxicity)
-from .common import documents, ship
+from . import (alignment, chat_format, fingerprints, language_id, mixing, ngram_join, packing, quality_classifier,
+               quality_rules, suffix_dedup, target_sampling, token_output, toxicity)
+from .common import ship
 
 
-def _query(module, *tables):
-    """The module's query over all documents and the named further tables."""
+def _query(module, *tables, first="documents"):
+    """The module's query over all documents (or another first table) and the named further tables."""
     def run(spark, sf_dir):
         prepare(spark)
         ship(spark)
-        more = [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables]
-        return module.query(spark, documents(spark, sf_dir), *more)
+        return module.query(spark, *[spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in (first, *tables)])
     run.__name__, run.__doc__ = module.__name__.rpartition(".")[2], module.__doc__
     return run
 
@@ -29,8 +28,12 @@ QUERIES = {
     "op8_fingerprints": _query(fingerprints),
     "op9_mixing": _query(mixing),
     "op10_packing": _query(packing),
+    "op11_alignment": _query(alignment),
+    "op12_target_sampling": _query(target_sampling, "benchmark"),
+    "op13_chat_format": _query(chat_format, first="conversations"),
 }
 
 SQL = {
     "op7_quality_rules": quality_rules.SQL,
+    "op13_chat_format": chat_format.SQL,
 }
