@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s.add_argument("--quarantine", help="also write rejected rows (with reason) here")
     s.add_argument("--allow-empty", action="store_true",
                    help="empty Silver when no row is valid (default: keep it and fail)")
+    s.add_argument("--dedup", choices=jobs.DEDUPS, default="aggregate",
+                   help="filter: shuffle only rows whose event_id may repeat")
     for name, text in (("land", "Parquet table of Bronze rows -> JSON Lines layout"),
                        ("backfill", "the last hours of such a table -> JSON Lines layout")):
         b = sub.add_parser(name, help=text)
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or build_session(app=f"pulsehouse-{a.cmd}")
     if a.cmd == "silver":
-        out = jobs.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine, a.allow_empty)
+        out = jobs.run_silver(spark, a.input, a.output, not a.any_twin, a.quarantine, a.allow_empty, a.dedup)
     elif a.cmd in ("land", "backfill"):
         rows = spark.read.parquet(a.input)
         if a.cmd == "land":

@@ -5,7 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import error_flag, parse_ts, server_error_flag
-from ..schemas import BRONZE_COLUMNS, SILVER_COLUMNS, STAGING_COLUMNS
+from ..schemas import BRONZE_COLUMNS, RAW_LINE, SILVER_COLUMNS, STAGING_COLUMNS
+from . import key_filter
 
 
 def derive(df: DataFrame) -> DataFrame:
@@ -27,11 +28,24 @@ def gate_condition() -> Column:
             & F.col("service").isNotNull())
 
 
-def reject_reason() -> Column:
-    """First failed gate, in gate order; NULL for rows that pass."""
-    return (F.when(F.col("event_id").isNull(), F.lit("missing_event_id"))
-            .when(F.col("event_ts").isNull(), F.lit("bad_timestamp"))
-            .when(F.col("service").isNull(), F.lit("missing_service")))
+def broken_line() -> Column:
+    """A line of which no field could be read (needs the ``raw_line`` column)."""
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in BRONZE_COLUMNS]).isNull()
+    return F.col(RAW_LINE).isNotNull() & nothing
+
+
+def reject_reason(ts: Column | None = None, with_lines: bool = False) -> Column:
+    """First failed gate, in gate order; NULL for rows that pass. ``with_lines``: a line that
+    could not be read at all is a ``broken_line``."""
+    ts = F.col("event_ts") if ts is None else ts
+    gates = [(F.col("event_id").isNull(), "missing_event_id"), (ts.isNull(), "bad_timestamp"),
+             (F.col("service").isNull(), "missing_service")]
+    if with_lines:
+        gates.insert(0, (broken_line(), "broken_line"))
+    out = F.when(gates[0][0], F.lit(gates[0][1]))
+    for failed, name in gates[1:]:
+        out = out.when(failed, F.lit(name))
+    return out
 
 
 def valid(bronze: DataFrame) -> DataFrame:
@@ -39,11 +53,9 @@ def valid(bronze: DataFrame) -> DataFrame:
     return derive(bronze.select(*BRONZE_COLUMNS)).filter(gate_condition())
 
 
-def reason_of() -> Column:
+def reason_of(with_lines: bool = False) -> Column:
     """``reject_reason`` as a function of the Bronze columns themselves."""
-    return (F.when(F.col("event_id").isNull(), F.lit("missing_event_id"))
-            .when(parse_ts(F.col("timestamp")).isNull(), F.lit("bad_timestamp"))
-            .when(F.col("service").isNull(), F.lit("missing_service")))
+    return reject_reason(parse_ts(F.col("timestamp")), with_lines)
 
 
 def dedup(df: DataFrame, deterministic: bool = False) -> DataFrame:
@@ -64,6 +76,25 @@ def dedup(df: DataFrame, deterministic: bool = False) -> DataFrame:
             .select(*df.columns))
 
 
+#: Share of rows per repeated key above which a filter would let most rows through anyway.
+FILTER_MAX_SHARE = 0.2
+
+
+def dedup_filtered(df: DataFrame, deterministic: bool = True) -> DataFrame:
+    """As :func:`dedup`, moving only rows whose key may repeat: surely unique rows (by a filter
+    of repeated key hashes) bypass the aggregation and its shuffle. ``df`` is read three times,
+    once for the keys alone, so it should be a written table.
+
+    The keys are counted first; where more than FILTER_MAX_SHARE of the rows' number are
+    repeated keys (a replay of everything), all rows are aggregated at once. The result is
+    the same either way."""
+    hashes, n = key_filter.repeated(df, "event_id")
+    if n > FILTER_MAX_SHARE * df.count():
+        return dedup(df, deterministic).select(*df.columns)
+    unique, rest = key_filter.split(df, hashes, n, "event_id")
+    return unique.unionByName(dedup(rest, deterministic).select(*df.columns))
+
+
 def transform(bronze: DataFrame, deterministic: bool = False) -> DataFrame:
     """Silver rows. Gates run *before* dedup so an invalid twin cannot win."""
     return dedup(valid(bronze), deterministic).select(*SILVER_COLUMNS)
@@ -75,11 +106,12 @@ def staging(silver: DataFrame) -> DataFrame:
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
-    """Rejected Bronze rows with the reason (one scan; no shuffle)."""
-    return (derive(bronze.select(*BRONZE_COLUMNS))
-            .withColumn("reject_reason", reject_reason())
-            .filter(F.col("reject_reason").isNotNull())
-            .select(*BRONZE_COLUMNS, "reject_reason"))
+    """Rejected Bronze rows with the reason (one scan; no shuffle). Rows that come with their
+    ``raw_line`` keep it, so a broken line's text is not lost."""
+    lines = [RAW_LINE] if RAW_LINE in bronze.columns else []
+    return (bronze.select(*BRONZE_COLUMNS, *lines)
+            .withColumn("reject_reason", reason_of(bool(lines)))
+            .filter(F.col("reject_reason").isNotNull()))
 
 
 def stage_counts(bronze: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """End-to-end jobs (E1-E4): plain function calls in dependency order.
 
 Every stage reads the previous stage's *written* table, so lineage is cut at
-each layer: a lost executor re-runs tasks of the current layer only. Silver is
-overwritten as a whole and marts go to a new version, so a rerun after a
-failure gives the same result (dedup makes Silver idempotent in its input too).
+each layer: a lost executor re-runs tasks of the current layer only. Silver and
+marts go to new versions that a pointer names when they are whole, so a rerun after
+a failure gives the same result (dedup makes Silver idempotent in its input too).
 """
 from __future__ import annotations
 
@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import marts, quality, scd2, serving, silver
-from ..schemas import BRONZE, SILVER
+from ..schemas import BRONZE, RAW_LINE, SILVER_COLUMNS
 from ..session import scratch_path
 from ..sources import bronze as bronze_io
 from ..sources import lake
 
 
-PARSED = StructType([*BRONZE.fields, StructField("reject_reason", StringType(), True)])
+PARSED = StructType([*BRONZE.fields, StructField(RAW_LINE, StringType(), True),
+                     StructField("reject_reason", StringType(), True)])
+DEDUPS = ("aggregate", "filter")
 
 
 class EmptySilverError(RuntimeError):
@@ -31,40 +33,51 @@ class EmptySilverError(RuntimeError):
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                deterministic: bool = True, quarantine_path: str | None = None,
-               allow_empty: bool = False) -> dict:
+               allow_empty: bool = False, dedup: str = "aggregate") -> dict:
     """Bronze JSON -> Silver Parquet; returns raw and clean counts.
 
     Dedup keeps the smallest twin by (event_ts, other columns) by default, so
     a rerun — or a stage recomputed after an executor loss — writes the same
     Silver even when twins differ; ``deterministic=False`` keeps any twin.
+    ``dedup="filter"`` moves only rows whose key may repeat (see :func:`silver.dedup_filtered`).
 
-    The counts are observed during the write pass instead of two extra full
-    scans of the JSON. With ``quarantine_path`` the JSON is parsed once into a
-    table in the shared scratch folder, from which the rejected rows (with
-    their reason) are written first and Silver second.
+    Silver is written as a new version below ``silver_path`` and then named by the pointer: a
+    job that fails while writing leaves readers on the version before. The counts are
+    observed during that write instead of extra scans of the JSON. With ``quarantine_path``
+    (or the filter) the JSON is parsed once into a table in the shared scratch folder, from
+    which the rejected rows, with their reason and the text of broken lines, are written first.
 
     When no row passes the gates, the rejects are still written, and Silver is
     left alone: :class:`EmptySilverError`, unless it has no rows yet or
     ``allow_empty`` says to empty it.
     """
-    raw = bronze_io.scan(spark, bronze_path)
-    if quarantine_path:
+    if dedup not in DEDUPS:
+        raise ValueError(f"dedup is one of {DEDUPS}")
+    raw = bronze_io.scan_raw(spark, bronze_path)
+    counts = {}
+    if quarantine_path or dedup == "filter":
         parsed = scratch_path(spark, "parsed-bronze")
-        raw.withColumn("reject_reason", silver.reason_of()).write.parquet(parsed)
-        parsed_rows = spark.read.schema(PARSED).parquet(parsed)
-        rejects = parsed_rows.where(F.col("reject_reason").isNotNull())
+        raw.withColumn("reject_reason", silver.reason_of(with_lines=True)).write.parquet(parsed)
+        raw = spark.read.schema(PARSED).parquet(parsed)
+    if quarantine_path:
+        rejects = raw.where(F.col("reject_reason").isNotNull())
         rejects.write.mode("overwrite").partitionBy("reject_reason").parquet(quarantine_path)
-        raw = parsed_rows
-    if not silver.valid(raw).head(1):
-        if lake.has_rows(spark, silver_path) and not allow_empty:
-            raise EmptySilverError(f"no valid row below {bronze_path}; {silver_path} is kept")
-        lake.write_silver(spark.createDataFrame([], SILVER), silver_path)
-        return {"raw_count": raw.count(), "clean_count": 0}
     obs_raw, obs_clean = Observation("bronze_raw"), Observation("silver_clean")
-    raw = raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_count"))
-    clean = silver.transform(raw, deterministic).observe(obs_clean, F.count(F.lit(1)).alias("clean_count"))
-    lake.write_silver(clean, silver_path)
-    return {**obs_raw.get, **obs_clean.get}
+    if dedup == "filter":       # reads the parsed table several times, so its rows are not observed
+        counts["raw_count"] = raw.count()
+        clean = silver.dedup_filtered(silver.valid(raw), deterministic).select(*SILVER_COLUMNS)
+    else:
+        clean = silver.transform(raw.observe(obs_raw, F.count(F.lit(1)).alias("raw_count")), deterministic)
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    lake.write_silver(clean.observe(obs_clean, F.count(F.lit(1)).alias("clean_count")), f"{silver_path}/{version}")
+    if dedup != "filter":
+        counts.update(obs_raw.get)
+    counts.update(obs_clean.get)
+    if not counts["clean_count"] and not allow_empty and lake.has_rows(spark, silver_path):
+        lake.drop_version(spark, silver_path, version)
+        raise EmptySilverError(f"no valid row below {bronze_path}; {silver_path} is kept")
+    lake.publish(spark, silver_path, version)
+    return counts
 
 
 MARTS = ("mart_service_hourly_kpis", "mart_daily_active_users", "mart_error_analytics")

@@ -73,10 +73,20 @@ SELECT {BRONZE_COLS},
        WHEN service IS NULL THEN 'missing_service' END AS reject_reason
 FROM bronze_dirty WHERE event_id IS NULL OR event_ts IS NULL OR service IS NULL""")
 
+sql("quarantine_raw", f"""
+SELECT {BRONZE_COLS}, CAST(NULL AS VARCHAR) AS raw_line,
+  CASE WHEN event_ts IS NULL THEN 'bad_timestamp' ELSE 'missing_service' END AS reject_reason
+FROM bronze_dirty WHERE src_id % 83 <> 0 AND (event_ts IS NULL OR service IS NULL)
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  substr('{{"event_id":"' || event_id || '","timestamp":"' || "timestamp", 1, 30), 'broken_line'
+FROM bronze_dirty WHERE src_id % 83 = 0""")
+
 sql("silver_counts", """
 SELECT (SELECT count(*) FROM bronze_dirty) AS raw_count, (SELECT count(*) FROM silver) AS clean_count""")
 
 sql("silver_dedup", f"SELECT {SILVER_COLS} FROM silver")
+sql("silver_dedup_filtered", f"SELECT {SILVER_COLS} FROM silver")
 
 sql("p95_by_service", """
 SELECT t.service, p.p95_latency_ms, t.total_requests

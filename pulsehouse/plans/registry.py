@@ -146,6 +146,21 @@ def q_quarantine(spark, sf_dir):
     return silver.quarantine(bridge.bronze(spark, sf_dir, dirty=True))
 
 
+CUT_MOD, CUT_CHARS = 83, 30       # these ids' landed lines are cut after so many characters
+
+
+@register("quarantine_raw")
+def q_quarantine_raw(spark, sf_dir):
+    """S1 + P14: landed files with broken lines; the job's rejects keep the text of each."""
+    root = scratch_path(spark, "lake")
+    rows = bridge.bronze(spark, sf_dir, dirty=True)
+    cut = F.substring("event_id", 4, 20).cast("bigint") % CUT_MOD == 0
+    line = F.when(cut, F.substring(bronze_io.body(), 1, CUT_CHARS)).otherwise(bronze_io.body())
+    bronze_io.land(rows, f"{root}/bronze", mode="overwrite", line=line)
+    jobs.run_silver(spark, f"{root}/bronze", f"{root}/silver", quarantine_path=f"{root}/rejects", dedup="filter")
+    return spark.read.schema(jobs.PARSED).parquet(f"{root}/rejects")
+
+
 @register("silver_counts")
 def q_silver_counts(spark, sf_dir):
     """Raw and cleaned counts in one pass."""
@@ -159,6 +174,13 @@ def q_silver_dedup(spark, sf_dir):
     return ntz(silver.dedup(b, deterministic=True), "event_ts")
 
 
+@register("silver_dedup_filtered")
+def q_silver_dedup_filtered(spark, sf_dir):
+    """D1 with a filter of repeated keys: only rows that may have a twin are shuffled by event_id."""
+    b = silver.derive(bridge.bronze(spark, sf_dir, dirty=True)).filter(silver.gate_condition())
+    return ntz(silver.dedup_filtered(materialized(b)), "event_ts")
+
+
 # --- ad-hoc analytics ----------------------------------------------------------
 
 @register("p95_by_service")

@@ -21,6 +21,8 @@ BRONZE = StructType([
     StructField("error_message", StringType(), True),
 ])
 BRONZE_COLUMNS = [f.name for f in BRONZE.fields]
+# The text of a line the scan could not read whole (beside the Bronze columns).
+RAW_LINE = "raw_line"
 
 # Silver = Bronze + five derived columns.
 SILVER_DERIVED = StructType([

@@ -9,16 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import BRONZE, BRONZE_COLUMNS
+from ..schemas import BRONZE, BRONZE_COLUMNS, RAW_LINE
 from ..session import conf_during
 
 LAYOUT = ["service", "year", "month", "day", "hour"]
 LAYOUT_SCHEMA = "value string, service string, year string, month string, day string, hour string"
 
 
+def body() -> Column:
+    """A Bronze row as its JSON line; NULL fields are written."""
+    return F.to_json(F.struct(*[F.col(c) for c in BRONZE_COLUMNS]), {"ignoreNullFields": "false"})
+
+
 def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
-         mode: str = "append", rows_per_file: int = 500_000) -> None:
+         mode: str = "append", rows_per_file: int = 500_000, line: Column | None = None) -> None:
     """Write Bronze rows as JSON Lines under the hour/service layout.
 
     ``arrival`` is the hour the batch belongs to (the landing hour, not the
@@ -28,16 +34,15 @@ def land(df: DataFrame, path: str, arrival: Column | str = "arrival_ts",
     One pass over the source: REBALANCE on the layout brings a folder's rows
     together, and from the measured sizes AQE gives a hot service-hour several
     writer tasks and quiet ones a shared task. ``rows_per_file`` only cuts
-    files; no row is left out.
+    files; no row is left out. ``line`` replaces the text of a row (a collector's own line).
     """
     if isinstance(arrival, str):
         arr = (F.col(arrival) if arrival in df.columns
                else F.date_trunc("hour", F.current_timestamp()))
     else:
         arr = arrival
-    body = F.to_json(F.struct(*[F.col(c) for c in BRONZE_COLUMNS]), {"ignoreNullFields": "false"})
     out = df.select(
-        body.alias("value"),
+        (body() if line is None else line).alias("value"),
         F.col("service").alias("service"),
         F.date_format(arr, "yyyy").alias("year"),
         F.date_format(arr, "MM").alias("month"),
@@ -73,8 +78,15 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     the body, never from the folder name. Broken lines become all-NULL rows
     (PERMISSIVE) and a non-integer status becomes NULL; Silver's gates decide.
     """
-    return (spark.read.schema(BRONZE).option("recursiveFileLookup", "true")
-            .option("mode", "PERMISSIVE").json(path))
+    return scan_raw(spark, path).drop(RAW_LINE)
+
+
+def scan_raw(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`scan`, plus ``raw_line``: the text of a line that could not be read whole (broken
+    JSON, or a value of the wrong type); NULL for all others."""
+    return (spark.read.schema(StructType([*BRONZE.fields, StructField(RAW_LINE, StringType(), True)]))
+            .option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RAW_LINE).json(path))
 
 
 def scan_layout(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,35 +16,69 @@ from ..schemas import SILVER, SILVER_PARTITIONS, USERS
 
 
 def write_silver(silver: DataFrame, path: str, dynamic: bool = False,
-                 max_records_per_file: int = 2_000_000) -> None:
-    """Overwrite Silver partitioned by (event_date, service), snappy Parquet.
+                 max_records_per_file: int = 2_000_000) -> list[tuple]:
+    """Overwrite a Silver folder partitioned by (event_date, service), snappy Parquet. Returns
+    the partitions written, observed while writing.
 
     REBALANCE on the partition keys gives few files per folder while AQE
     splits a hot (date, service) into several tasks, so one service holding a
     third of the traffic does not become a single writer. ``dynamic``
     replaces only the partitions present in ``silver``.
     """
-    w = (silver.hint("rebalance", *SILVER_PARTITIONS).write.mode("overwrite")
+    seen = Observation()
+    keys = F.collect_set(F.struct(*[F.col(c) for c in SILVER_PARTITIONS])).alias("keys")
+    w = (silver.hint("rebalance", *SILVER_PARTITIONS).observe(seen, keys).write.mode("overwrite")
          .partitionBy(*SILVER_PARTITIONS).option("maxRecordsPerFile", max_records_per_file))
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
+    return sorted((tuple(r) for r in seen.get["keys"] or []), key=str)
+
+
+def silver_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds Silver's rows: the published version's below ``path``, or ``path``
+    itself where no version was ever published."""
+    versions = published(spark, path)
+    return f"{path}/{versions[-1]}" if versions else path
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Silver by path, with its declared types (a service named ``007`` stays text, an
-    empty folder reads as no rows); filters on event_date/service prune folders."""
-    return spark.read.schema(SILVER).parquet(path)
+    """Silver by path (its published version), with its declared types (a service named ``007``
+    stays text, an empty folder reads as no rows); filters on event_date/service prune folders."""
+    return spark.read.schema(SILVER).parquet(silver_folder(spark, path))
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether a Silver folder exists and holds a row (reads one row at most)."""
-    try:
-        return bool(read_silver(spark, path).head(1))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return exists(spark, silver_folder(spark, path)) and bool(read_silver(spark, path).head(1))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that holds it."""
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def drop_version(spark: SparkSession, base: str, version: str) -> None:
+    """Delete the folder of a version that is not (or no longer) the current one."""
+    if version in published(spark, base)[-1:]:
+        raise ValueError(f"{version} is the current version of {base}")
+    fs, at = _fs(spark, f"{base}/{version}")
+    fs.delete(at, True)
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all published versions but the last ``keep``; the names deleted."""
+    gone = [v for v in published(spark, base)[:-max(1, keep)] if exists(spark, f"{base}/{v}")]
+    for v in gone:
+        drop_version(spark, base, v)
+    return gone
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -64,12 +98,9 @@ def publish(spark: SparkSession, base: str, version: str) -> None:
 
 def published(spark: SparkSession, base: str) -> list[str]:
     """The published versions of ``base``, oldest first (one row a run)."""
-    try:
-        rows = spark.read.schema(POINTER).parquet(f"{base}/_published").orderBy("published_at", "version").collect()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+    if not exists(spark, f"{base}/_published"):
+        return []
+    rows = spark.read.schema(POINTER).parquet(f"{base}/_published").orderBy("published_at", "version").collect()
     return list(dict.fromkeys(r["version"] for r in rows))
 
 
@@ -98,8 +129,37 @@ def _file_columns(spark: SparkSession, path: str, since: str | None) -> StructTy
         raise
 
 
+def _partition_spec(row: tuple, partitions) -> str:
+    values = ["'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for v in row]
+    return "PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in zip(partitions, values)) + ")"
+
+
+def _load_partitions(spark: SparkSession, name: str, partitions, touched: list[tuple] | None) -> None:
+    """Add the ``touched`` partitions to the table's list, 500 a statement; without them (or
+    where one has no value to name it by) look through the whole folder."""
+    if touched is None or any(v in (None, "") for row in touched for v in row):
+        spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+        return
+    specs = [_partition_spec(row, partitions) for row in touched]
+    for at in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE `{name}` ADD IF NOT EXISTS " + " ".join(specs[at:at + 500]))
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED `{name}`").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"] if rows else ""
+
+
+def _same_place(spark: SparkSession, a: str, b: str) -> bool:
+    def full(p):
+        fs, at = _fs(spark, p)
+        return fs.makeQualified(at).toString().rstrip("/")
+    return full(a) == full(b)
+
+
 def register_partitioned(spark: SparkSession, path: str, name: str | None = None,
-                         partitions=SILVER_PARTITIONS, added: StructType | None = None) -> str:
+                         partitions=SILVER_PARTITIONS, added: StructType | None = None,
+                         touched: list[tuple] | None = None) -> str:
     """Register a partitioned Parquet folder as a catalog table and load its
     partition list (the crawler / partition-repair step). Returns the name.
 
@@ -107,32 +167,46 @@ def register_partitioned(spark: SparkSession, path: str, name: str | None = None
     files, whose footers are read once: re-registering looks only at files
     written since (an hour earlier, as clocks differ), in new partitions or old.
     New columns are added, columns gone are only logged (the table keeps them).
+
+    The folder is listed once, by the first registration; later ones add only the
+    partitions ``touched`` by a write (what :func:`write_silver` returns; None: list again).
+    Where ``path`` has published versions the table stands on the current one; a new version
+    is a new folder, so the table is made anew on it (the data is external and stays).
     """
     name = name or f"silver_{uuid.uuid4().hex[:10]}"
+    path = silver_folder(spark, path)
     now = (datetime.now(timezone.utc) - timedelta(hours=1)).strftime("%Y-%m-%dT%H:%M:%S")
-    exists = spark.catalog.tableExists(name)
-    since = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}.get(LOOKED) if exists else None
+    known_table = spark.catalog.tableExists(name)
+    old = spark.table(name).schema if known_table else StructType()
+    moved = known_table and not _same_place(spark, _location(spark, name), path)
+    since = None
+    if known_table and not moved:
+        since = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}.get(LOOKED)
     found = _file_columns(spark, path, since)
     files, names = StructType(), set()
     for f in [*SILVER.fields, *(added.fields if added else []), *found.fields]:
         if f.name.lower() not in names:
             names.add(f.name.lower())
             files = files.add(f)
-    if exists:
-        known = {f.name.lower() for f in spark.table(name).schema.fields}
+    known = {f.name.lower() for f in old.fields}
+    gone = sorted(known - names)
+    if gone and len(found):     # without newer files nothing is known to be gone
+        logging.getLogger(__name__).warning(
+            "table %s: columns %s no longer in the newest files; kept", name, gone)
+    if known_table and not moved:
         new = [f for f in files.fields if f.name.lower() not in known]
         if new:
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
             spark.sql(f"ALTER TABLE `{name}` ADD COLUMNS ({cols})")
-        gone = sorted(known - names)
-        if gone and len(found):     # without newer files nothing is known to be gone
-            logging.getLogger(__name__).warning(
-                "table %s: columns %s no longer in the newest files; kept", name, gone)
+        _load_partitions(spark, name, partitions, touched)
     else:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.fields)
+        kept = [f for f in old.fields if f.name.lower() in gone and f.name not in partitions]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*files.fields, *kept])
+        if moved:
+            spark.sql(f"DROP TABLE `{name}`")
         spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet "
                   f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+        _load_partitions(spark, name, partitions, None)
     spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ('{LOOKED}' = '{now}')")
     return name
 
