@@ -48,7 +48,7 @@ def latency_percentiles(col: str = "latency_ms", qs=(0.5, 0.95, 0.99),
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs, names,
-                      total_name: str | None = None) -> DataFrame:
+                      total_name: str | None = None, weight: str | None = None) -> DataFrame:
     """Exact nearest-rank quantiles per group: the smallest value whose
     cumulative count reaches ceil(q * n), n = non-NULL values of the group.
 
@@ -57,9 +57,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], col: str, qs, names,
     follows the number of distinct values (latencies in ms), never the number
     of rows, and a group holding a third of all rows is no harder than others.
     Ranks use decimal arithmetic so q * n is exact. ``total_name`` adds the
-    group's row count (NULLs included) from the same histogram.
+    group's row count (NULLs included) from the same histogram. ``weight`` names a
+    column with the number of rows a row stands for (a stored histogram).
     """
-    hist = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
+    hist = df.groupBy(*keys, col).agg(rows.alias("_c"))
     valid = F.when(F.col(col).isNotNull(), F.col("_c")).otherwise(F.lit(0))
     running = Window.partitionBy(*keys).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)

@@ -125,3 +125,29 @@ def assert_passes(name: str, violations: DataFrame, failures_col: str | None = N
             raise DataQualityError(f"{name}: {total} failing records")
     elif violations.limit(1).count():
         raise DataQualityError(f"{name}: violations found")
+
+
+# --- how far the stored sketches are off ------------------------------------------
+
+def quantile_rank_error(estimates: DataFrame, histogram: DataFrame, by: list[str], quantiles: dict[str, float]) -> DataFrame:
+    """Per group, ``rank_error``: the largest distance of an estimated quantile's rank from the
+    wanted one, as a share of the group's values, by the exact histogram (rows latency_ms, n).
+    An estimate that ties with many values has all their ranks; the nearest counts."""
+    h = histogram.where(F.col("latency_ms").isNotNull()).groupBy(*by, "latency_ms").agg(F.sum("n").alias("n"))
+    e = estimates.select(*by, *quantiles)
+    j = h.join(e, by)
+    n = F.sum("n")
+    distance = []
+    for name, q in quantiles.items():
+        below = F.coalesce(F.sum(F.when(F.col("latency_ms") < F.col(name), F.col("n"))), F.lit(0)) / n
+        upto = F.coalesce(F.sum(F.when(F.col("latency_ms") <= F.col(name), F.col("n"))), F.lit(0)) / n
+        distance.append(F.greatest(below - F.lit(q), F.lit(q) - upto, F.lit(0.0)))
+    out = distance[0] if len(distance) == 1 else F.greatest(*distance)
+    return j.groupBy(*by).agg(out.alias("rank_error"))
+
+
+def distinct_error(estimates: DataFrame, exact: DataFrame, by: list[str], estimate: str, count: str) -> DataFrame:
+    """Per group, ``distinct_error``: the estimate's relative distance from the exact count."""
+    j = exact.select(*by, F.col(count).alias("_exact")).join(estimates.select(*by, F.col(estimate).alias("_est")), by)
+    off = F.abs(F.col("_est") - F.col("_exact")) / F.greatest(F.col("_exact"), F.lit(1))
+    return j.select(*by, off.alias("distinct_error"))

@@ -113,3 +113,40 @@ def distinct_users_by_service(stg: DataFrame) -> DataFrame:
             .agg(F.countDistinct("user_id").alias("distinct_users"),
                  F.count(F.lit(1)).alias("total_requests"))
             .orderBy("service"))
+
+
+# --- roll-ups that are true at any grain, from stored marts ------------------------
+
+QUANTILES = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
+
+
+def latency_from_histogram(histogram: DataFrame, by: list[str], quantiles: dict[str, float] = QUANTILES) -> DataFrame:
+    """Exact nearest-rank latency quantiles at any grain from the stored histogram; never reads Silver."""
+    return exact_percentiles(histogram, by, "latency_ms", tuple(quantiles.values()), tuple(quantiles),
+                             total_name="total_requests", weight="n").select(
+        *by, *quantiles, F.col("total_requests").cast("bigint").alias("total_requests"))
+
+
+def kpis_from_sketches(sketches: DataFrame, by: list[str], quantiles: dict[str, float] = QUANTILES) -> DataFrame:
+    """KPIs at any grain from the stored sketches: exact counts, rates and mean; quantiles of the
+    merged KLL sketch; distinct users of the merged HLL sketch (a user is counted once per group,
+    however many hours or services they appear in)."""
+    req, err = F.sum("total_requests"), F.sum("error_count")
+    merged = sketches.groupBy(*by).agg(
+        req.cast("bigint").alias("total_requests"), err.cast("bigint").alias("error_count"),
+        F.sum("server_error_count").cast("bigint").alias("server_error_count"),
+        pct(err, req).alias("error_rate_pct"),
+        F.round(F.try_divide(F.sum("latency_sum_ms").cast("double"), F.sum("latency_count").cast("double")), 1)
+        .alias("avg_latency_ms"),
+        F.kll_merge_agg_bigint("latency_kll").alias("_kll"),
+        F.sum("latency_count").alias("_n"),
+        F.hll_union_agg("users_hll").alias("_hll"))
+    picks = [F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_bigint("_kll", F.lit(q).cast("double"))).cast("int").alias(n)
+             for n, q in quantiles.items()]
+    return merged.select(*[c for c in merged.columns if c[0] != "_"], *picks,
+                         F.hll_sketch_estimate("_hll").alias("unique_users"))
+
+
+def users_from_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct users per group from the stored sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("users_hll")).alias("unique_users"))

@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import marts, quality, scd2, serving, silver
 from ..schemas import BRONZE, RAW_LINE, SILVER_COLUMNS
-from ..session import scratch_path
+from ..session import conf_during, scratch_path
 from ..sources import bronze as bronze_io
 from ..sources import lake
 
@@ -83,23 +83,31 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
 MARTS = ("mart_service_hourly_kpis", "mart_daily_active_users", "mart_error_analytics")
 
 
+#: Marts in a form that rolls up to any grain (built on demand).
+ROLLUPS = {"mart_service_hourly_sketches": marts.service_hourly_sketches,
+           "mart_error_sketches": marts.error_sketches,
+           "mart_latency_histogram": marts.latency_histogram}
+
+
 def gold_paths(spark: SparkSession, gold_dir: str) -> dict[str, str]:
     """Folders of the published version of the marts."""
     versions = lake.published(spark, gold_dir)
     if not versions:
         raise FileNotFoundError(f"no published marts in {gold_dir}")
-    return {n: os.path.join(gold_dir, versions[-1], n) for n in MARTS}
+    paths = {n: os.path.join(gold_dir, versions[-1], n) for n in (*MARTS, *ROLLUPS)}
+    return {n: p for n, p in paths.items() if n in MARTS or lake.exists(spark, p)}
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_dir: str, run_checks: bool = True,
-               users: DataFrame | None = None, run_ts: str | None = None) -> dict[str, str]:
+               users: DataFrame | None = None, run_ts: str | None = None, rollups: bool = False) -> dict[str, str]:
     """Seed -> staging checks -> marts -> mart checks -> switch -> users snapshot.
 
     The marts go to a version folder of their own; only when every check has
     passed does the pointer name it, so a failing check leaves readers on the
     version before. With ``users`` (the dimension's source rows) the seed is
     written and read back first, and at the end the type-2 snapshot takes its
-    run at ``run_ts`` (see :func:`scd2.run_snapshot`).
+    run at ``run_ts`` (see :func:`scd2.run_snapshot`). ``rollups`` adds the marts that roll up
+    to any grain: quantile and distinct-user sketches, and the latency histogram.
     """
     if users is not None:
         seed = os.path.join(gold_dir, "seed_users")
@@ -113,6 +121,11 @@ def build_gold(spark: SparkSession, silver_path: str, gold_dir: str, run_checks:
     lake.write_table(marts.service_hourly_kpis(stg), paths["mart_service_hourly_kpis"])
     lake.write_table(marts.daily_active_users(stg), paths["mart_daily_active_users"])
     lake.write_table(marts.error_analytics(stg), paths["mart_error_analytics"])
+    if rollups:
+        with conf_during(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold="4096"):
+            for n, build in ROLLUPS.items():     # sketches of so many groups fit in a task
+                paths[n] = os.path.join(gold_dir, version, n)
+                lake.write_table(build(stg), paths[n])
     if run_checks:
         kpis, dau, errs = (spark.read.parquet(paths[n]) for n in MARTS)
         quality.assert_passes("not_null(marts)", quality.not_null_marts(kpis, dau, errs),

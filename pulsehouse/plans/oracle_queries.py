@@ -99,6 +99,25 @@ LEFT JOIN (
         FROM stg WHERE latency_ms IS NOT NULL) r
   GROUP BY service) p ON t.service = p.service""")
 
+ORACLE["p95_from_marts"] = ORACLE["p95_by_service"]
+
+sql("latency_by_day_from_marts", """
+SELECT event_date, quantile_disc(latency_ms, 0.5) AS p50_latency_ms, quantile_disc(latency_ms, 0.95) AS p95_latency_ms,
+  quantile_disc(latency_ms, 0.99) AS p99_latency_ms, count(*) AS total_requests
+FROM stg GROUP BY event_date""")
+
+for _name, _by in (("sketch_kpis_by_service", "service"), ("sketch_kpis_by_day", "event_date")):
+    sql(_name, f"""
+SELECT {_by}, count(*) AS total_requests,
+  CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+  CAST(sum(CASE WHEN is_server_error THEN 1 ELSE 0 END) AS BIGINT) AS server_error_count,
+  round(100.0::DOUBLE * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*), 2) AS error_rate_pct,
+  round(avg(latency_ms), 1) AS avg_latency_ms, TRUE AS quantiles_within_bound, TRUE AS users_within_bound
+FROM stg GROUP BY {_by}""")
+
+sql("sketch_affected_users", """
+SELECT service, count(*) AS error_count, TRUE AS users_within_bound FROM stg WHERE is_error GROUP BY service""")
+
 sql("traffic_by_hour", """
 SELECT event_hour, count(*) AS total_requests,
   CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,

@@ -429,6 +429,68 @@ def q_gold_build(spark, sf_dir):
     return _gold(spark, sf_dir, "mart_service_hourly_kpis")
 
 
+def _rollups(spark, sf_dir):
+    """The published roll-up marts of a Gold build, as name -> frame."""
+    root, silver_path, _ = _landed_silver(spark, sf_dir)
+    jobs.build_gold(spark, silver_path, f"{root}/gold", rollups=True)
+    return {n: spark.read.parquet(p) for n, p in jobs.gold_paths(spark, f"{root}/gold").items()}
+
+
+@register("p95_from_marts")
+def q_p95_from_marts(spark, sf_dir):
+    """V5 + A7 from the stored latency histogram alone: the true p95 per service."""
+    hist = _rollups(spark, sf_dir)["mart_latency_histogram"]
+    return serving.latency_from_histogram(hist, ["service"], {"p95_latency_ms": 0.95})
+
+
+@register("latency_by_day_from_marts")
+def q_latency_by_day_from_marts(spark, sf_dir):
+    """A6-A8 at day grain from the stored histogram: true quantiles, not means of hourly ones."""
+    return serving.latency_from_histogram(_rollups(spark, sf_dir)["mart_latency_histogram"], ["event_date"])
+
+
+# Bounds that the sketch rows are held to: three times the sketches' own 99 % / one-sigma errors.
+RANK_BOUND, USERS_BOUND = 0.014, 0.035
+
+
+def _sketched(spark, sf_dir, by):
+    """KPIs from stored sketches: exact measures, and whether the estimates are within their bounds."""
+    gold = _rollups(spark, sf_dir)
+    kpis = materialized(serving.kpis_from_sketches(gold["mart_service_hourly_sketches"], by))
+    exact = stg_frame(spark, sf_dir).groupBy(*by).agg(F.countDistinct("user_id").alias("exact_users"))
+    ranks = quality.quantile_rank_error(kpis, gold["mart_latency_histogram"], by, serving.QUANTILES)
+    users = quality.distinct_error(kpis, exact, by, "unique_users", "exact_users")
+    return kpis.join(ranks, by, "left").join(users, by, "left").select(
+        *by, "total_requests", "error_count", "server_error_count", "error_rate_pct", "avg_latency_ms",
+        (F.col("rank_error") <= RANK_BOUND).alias("quantiles_within_bound"),
+        (F.col("distinct_error") <= USERS_BOUND).alias("users_within_bound"))
+
+
+@register("sketch_kpis_by_service")
+def q_sketch_kpis_by_service(spark, sf_dir):
+    """Hourly sketches merged per service over the whole period."""
+    return _sketched(spark, sf_dir, ["service"])
+
+
+@register("sketch_kpis_by_day")
+def q_sketch_kpis_by_day(spark, sf_dir):
+    """Hourly sketches merged per day across services (a user counts once a day)."""
+    return _sketched(spark, sf_dir, ["event_date"])
+
+
+@register("sketch_affected_users")
+def q_sketch_affected_users(spark, sf_dir):
+    """Users affected by errors per service, from the error mart's stored sketches."""
+    errs = _rollups(spark, sf_dir)["mart_error_sketches"]
+    est = errs.groupBy("service").agg(F.sum("error_count").cast("bigint").alias("error_count"),
+                                      F.hll_sketch_estimate(F.hll_union_agg("users_hll")).alias("affected_users"))
+    exact = stg_frame(spark, sf_dir).where("is_error").groupBy("service").agg(
+        F.countDistinct("user_id").alias("exact_users"))
+    off = quality.distinct_error(est, exact, ["service"], "affected_users", "exact_users")
+    return est.join(off, "service", "left").select(
+        "service", "error_count", (F.col("distinct_error") <= USERS_BOUND).alias("users_within_bound"))
+
+
 @register("gold_build_active_users")
 def q_gold_build_active_users(spark, sf_dir):
     return _gold(spark, sf_dir, "mart_daily_active_users")
