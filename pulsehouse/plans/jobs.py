@@ -118,9 +118,9 @@ def build_gold(spark: SparkSession, silver_path: str, gold_dir: str, run_checks:
         quality.assert_staging(stg)
     version = f"v-{uuid.uuid4().hex[:12]}"
     paths = {n: os.path.join(gold_dir, version, n) for n in MARTS}
-    lake.write_table(marts.service_hourly_kpis(stg), paths["mart_service_hourly_kpis"])
+    lake.write_table(marts.service_hourly_kpis(stg, apart=True), paths["mart_service_hourly_kpis"])
     lake.write_table(marts.daily_active_users(stg), paths["mart_daily_active_users"])
-    lake.write_table(marts.error_analytics(stg), paths["mart_error_analytics"])
+    lake.write_table(marts.error_analytics(stg, apart=True), paths["mart_error_analytics"])
     if rollups:
         with conf_during(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold="4096"):
             for n, build in ROLLUPS.items():     # sketches of so many groups fit in a task

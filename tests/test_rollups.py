@@ -103,3 +103,11 @@ def test_rollups_are_read_without_silver(spark):
     files = hist.inputFiles()
     assert files and all("mart_latency_histogram" in f for f in files)
     assert serving.latency_from_histogram(hist, ["service"]).count() == 2
+
+
+def test_users_counted_apart_give_the_same_marts(spark):
+    stg = registry.materialized(staged(spark, [*EDGE, ev("f", user="u1", status=404), ev("g", endpoint=None, status=500, user=None)]))
+    for accuracy in (10_000, None):
+        assert rows_of(marts.service_hourly_kpis(stg, accuracy, apart=True)) == rows_of(marts.service_hourly_kpis(stg, accuracy))
+        assert rows_of(marts.error_analytics(stg, accuracy, apart=True)) == rows_of(marts.error_analytics(stg, accuracy))
+    assert marts.service_hourly_kpis(stg, apart=True).dtypes == marts.service_hourly_kpis(stg).dtypes

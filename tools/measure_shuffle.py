@@ -64,6 +64,7 @@ def mart_plans(spark, sf, copies):
     sparse = materialized(stg.withColumn("user_id", F.col("event_id")))
     for name, frame in (("few users", dense), ("a user per event", sparse)):
         yield f"hourly mart, {name}, exact distinct", lambda f=frame: marts.service_hourly_kpis(f)
+        yield f"hourly mart, {name}, exact distinct apart", lambda f=frame: marts.service_hourly_kpis(f, apart=True)
         yield f"hourly mart, {name}, estimate", lambda f=frame: marts.service_hourly_kpis(f, exact_distinct=False)
         yield f"hourly mart, {name}, stored sketches", lambda f=frame: marts.service_hourly_sketches(f)
         yield f"error mart, {name}, exact distinct", lambda f=frame: marts.error_analytics(f)
