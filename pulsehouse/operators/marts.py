@@ -36,14 +36,15 @@ def _join_on(left: DataFrame, right: DataFrame, keys: list[str], values: list[st
     for k in keys:
         e = F.col(k).eqNullSafe(F.col("_x_" + k))
         cond = e if cond is None else cond & e
-    return left.join(r, cond, "left")
+    return left.join(r, cond, "left").drop(*["_x_" + k for k in keys])
 
 
 def _with_users(agg: DataFrame, stg: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Join exact distinct users, counted apart, onto an aggregate."""
     users = (stg.filter(F.col("user_id").isNotNull()).select(*keys, "user_id").distinct()
              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_users")))
-    return _join_on(agg, users, keys, ["_users"]).withColumn(name, F.coalesce("_users", F.lit(0)).cast("bigint"))
+    return _join_on(agg, users, keys, ["_users"]).withColumn(
+        name, F.coalesce("_users", F.lit(0)).cast("bigint")).drop("_users")
 
 
 def _with_exact(agg: DataFrame, stg: DataFrame, keys: list[str], qs, names,
