@@ -74,6 +74,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     t.add_argument("--silver", required=True)
     t.add_argument("--kpis", required=True)
     t.add_argument("--checkpoint", required=True)
+    t.add_argument("--users", help="exact distinct users of closed hours go here")
     t.add_argument("--watermark", default="2 hours")
     t.add_argument("--max-files-per-trigger", type=int)
     t.add_argument("--every", help="processing-time trigger, e.g. '1 minute'; "
@@ -111,12 +112,15 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         qs = [live.start_silver_sink(slv, a.silver, f"{a.checkpoint}/silver", once, a.every),
               live.start_kpis_sink(live.hourly_kpis_stream(slv), a.kpis, f"{a.checkpoint}/kpis",
                                    once, a.every)]
+        if a.users:
+            qs.append(live.start_users_sink(live.distinct_users_stream(slv), a.users, f"{a.checkpoint}/users",
+                                            once, a.every))
         if once:
             for q in qs:
                 q.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
-        out = {"silver": a.silver, "kpis": a.kpis,
+        out = {"silver": a.silver, "kpis": a.kpis, "state": [live.state_size(q) for q in qs],
                "batches": [len(q.recentProgress) for q in qs],
                "late_rows": [live.late_rows(q) for q in qs]}
     else:

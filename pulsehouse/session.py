@@ -25,6 +25,14 @@ SCALE_CONF = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+# State of streaming queries: off the heap in RocksDB, a batch's checkpoint being its changes
+# only, so that state may outgrow the executors' memory and a commit does not rewrite it.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def cluster_conf(total_cores: int, partition_mb: int = 128) -> dict:
     """Sizing for a cluster session (pass as ``build_session(extra=...)``).
@@ -53,7 +61,7 @@ def build_session(master: str | None = None, app: str = "pulsehouse",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = {**SEMANTIC_CONF, **SCALE_CONF,
+    conf = {**SEMANTIC_CONF, **SCALE_CONF, **STREAM_CONF,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.execution.arrow.pyspark.enabled": "true"}
@@ -72,7 +80,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for k, v in SEMANTIC_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **STREAM_CONF}.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     return spark

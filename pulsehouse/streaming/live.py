@@ -7,8 +7,9 @@ after a failure rewrites exactly its own folders (exactly-once output with
 the checkpoint).
 
 Differences from batch, by design: rows later than the watermark are dropped
-(:func:`late_rows` counts them), and distinct users are approximate in the
-stream itself; :func:`exact_hourly_users` counts them from the Silver sink.
+(:func:`late_rows` counts them), and the KPI stream, which updates open hours, estimates
+distinct users; :func:`distinct_users_stream` counts them exactly, once an hour is closed,
+and :func:`exact_hourly_users` from the Silver sink, open hours included.
 """
 from __future__ import annotations
 
@@ -63,6 +64,22 @@ def hourly_kpis_stream(silver: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -
                       *[c for c in agg.columns if c not in ("window", "service")])
 
 
+def distinct_users_stream(silver: DataFrame) -> DataFrame:
+    """T5: exact distinct users per (service, hour), counted in the stream itself.
+
+    A second stateful stage keeps the (service, hour, user) triples it has seen until the
+    watermark passes their hour, the third counts what comes out of it; with the event dedup
+    before them the chain runs in append mode, and an hour is emitted once, when it is closed.
+    State follows the users of open hours, not their requests; a user with most requests is
+    one triple an hour. NULL users are not counted (an hour of them alone counts 0).
+    """
+    hours = silver.select(F.window("event_ts", "1 hour").alias("window"), "service", "user_id")
+    once = hours.dropDuplicates(["window", "service", "user_id"])
+    users = once.groupBy("window", "service").agg(F.count("user_id").alias("unique_users"))
+    return users.select("service", F.to_date(F.col("window.start")).alias("event_date"),
+                        F.hour(F.col("window.start")).alias("event_hour"), "unique_users")
+
+
 def _batch_writer(out: str, partitions: list[str]):
     """Writes a micro-batch under its own ``batch_id`` folders, below the data's partitions so
     that a date filter prunes before batches are listed. REBALANCE gives one file per folder
@@ -108,6 +125,22 @@ def start_kpis_sink(stream: DataFrame, out: str, checkpoint: str,
     return w.start()
 
 
+def start_users_sink(stream: DataFrame, out: str, checkpoint: str,
+                     available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Append mode; each closed hour is written once, replays overwrite their own batch folders."""
+    w = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(_batch_writer(out, ["event_date"])))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
+    return w.start()
+
+
+def state_size(query: StreamingQuery) -> dict[str, int]:
+    """Rows and bytes the query's stateful stages hold after its last batch, and how many stages."""
+    last = query.lastProgress
+    ops = last.stateOperators if last else []
+    return {"stages": len(ops), "rows": sum(o.numRowsTotal for o in ops), "bytes": sum(o.memoryUsedBytes for o in ops)}
+
+
 SINK = StructType([*SILVER.fields, StructField("batch_id", LongType(), True)])
 
 
@@ -121,6 +154,11 @@ def exact_hourly_users(silver_sink: DataFrame) -> DataFrame:
     return silver_sink.groupBy(*KPI_KEYS).agg(F.count_distinct("user_id").alias("unique_users"))
 
 
+def read_users_sink(spark: SparkSession, out: str) -> DataFrame:
+    schema = "service string, event_hour int, unique_users bigint, event_date date, batch_id bigint"
+    return spark.read.schema(schema).parquet(out).select(*KPI_KEYS, "unique_users")
+
+
 def read_kpis_sink(spark: SparkSession, out: str) -> DataFrame:
     """Latest version of every window: ``max_by`` over batch ids (a partial
     aggregation, so no window holds more than its own versions)."""
