@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import count_if_true, hour_start, pct
+from .asof import as_of_join
 
 
 def kpis_by_dimension(stg: DataFrame, dim: DataFrame, attrs: list[str],
@@ -39,7 +40,8 @@ def point_in_time(stg: DataFrame, history: DataFrame, attrs: list[str],
 
     Equi-join on the key plus valid_from <= ts < valid_to (open end allowed).
     A key has one version per recorded change, so the key join is narrow; a
-    hot key on the event side is split by AQE's skew-join handling.
+    hot key on the event side is split by AQE's skew-join handling. Each event of a key meets
+    each of its versions: for keys with many versions use :func:`asof.as_of_join`.
     """
     h = history.select(F.col(key).alias("_k"), *attrs,
                        F.col("dbt_valid_from").alias("_from"), F.col("dbt_valid_to").alias("_to"))
@@ -56,17 +58,17 @@ def kpis_point_in_time(stg: DataFrame, history: DataFrame, attr: str = "plan",
     Exact, and mostly at day grain: a (key, day) with no version boundary
     strictly inside the day has one version for all its events, so those
     events are first reduced to one row per (key, day) (partial aggregation,
-    a hot key included) and joined to the version covering the whole day.
+    a hot key included), which takes the version valid as the day begins.
     Only events of (key, day) pairs where a version starts or ends mid-day
-    take the event-grain join. Boundaries are rare (one per recorded change),
+    are looked up one by one. Boundaries are rare (one per recorded change),
     so the event-grain path stays small.
 
-    Events are aggregated per (key, day) before the day-grain part meets the
-    cut list. How the cut list reaches the event-grain part is left to AQE: a
-    small one is broadcast from its measured size, a large one is a shuffled
-    semi join whose hot keys are split.
+    Both look-ups are merges (:func:`asof.as_of_join`), linear in rows plus versions also for
+    a key with very many versions. How the list of cut days reaches the event-grain part
+    is left to AQE: a small one is broadcast from its measured size, a large one is a
+    shuffled semi join whose hot keys are split.
     """
-    h = history.select(F.col(key).alias("_k"), attr, F.col("dbt_valid_from").alias("_from"),
+    h = history.select(F.col(key).alias("_k"), F.col("dbt_valid_from").alias("_from"),
                        F.col("dbt_valid_to").alias("_to"))
     bounds = h.select("_k", F.col("_from").alias("_t")).unionByName(
         h.select("_k", F.col("_to").alias("_t")))
@@ -74,20 +76,13 @@ def kpis_point_in_time(stg: DataFrame, history: DataFrame, attr: str = "plan",
             .select(F.col("_k").alias("_ck"), F.to_date("_t").alias("_cd")).distinct())
     ev = stg.select(key, "event_ts", "event_date", "is_error")
     on_cut = (F.col(key) == F.col("_ck")) & (F.col("event_date") == F.col("_cd"))
+    counts = [F.count(F.lit(1)).alias("_n"), count_if_true(F.col("is_error")).alias("_e")]
 
-    daily = (ev.groupBy(key, "event_date")
-             .agg(F.count(F.lit(1)).alias("_n"), count_if_true(F.col("is_error")).alias("_e"))
-             .join(cuts, on_cut, "left_anti"))
-    day_start = F.col("event_date").cast("timestamp_ntz")
-    day_end = day_start + F.expr("INTERVAL 1 DAY")
-    whole_day = ((F.col(key) == F.col("_k")) & (F.col("_from") <= day_start)
-                 & (F.col("_to").isNull() | (F.col("_to") >= day_end)))
-    by_day = (daily.join(h, whole_day, "left")
-              .select("event_date", attr, "_n", "_e"))
-
-    fine = point_in_time(ev.join(cuts, on_cut, "left_semi"), history, [attr], key=key)
-    by_event = (fine.groupBy("event_date", attr)
-                .agg(F.count(F.lit(1)).alias("_n"), count_if_true(F.col("is_error")).alias("_e")))
+    daily = ev.groupBy(key, "event_date").agg(*counts).join(cuts, on_cut, "left_anti")
+    by_day = as_of_join(daily.withColumn("_day", F.col("event_date").cast("timestamp_ntz")), history, [attr],
+                        key=key, ts="_day", grain="month").select("event_date", attr, "_n", "_e")
+    fine = as_of_join(ev.join(cuts, on_cut, "left_semi"), history, [attr], key=key)
+    by_event = fine.groupBy("event_date", attr).agg(*counts)
 
     req, err = F.sum("_n"), F.sum("_e")
     return (by_day.unionByName(by_event).groupBy("event_date", attr)

@@ -118,6 +118,11 @@ FROM stg GROUP BY {_by}""")
 sql("sketch_affected_users", """
 SELECT service, count(*) AS error_count, TRUE AS users_within_bound FROM stg WHERE is_error GROUP BY service""")
 
+# hours the watermark (two hours behind the newest event) has passed
+sql("stream_distinct_users", """
+SELECT service, event_date, event_hour, unique_users FROM kpis
+WHERE CAST(event_date AS TIMESTAMP) + to_hours(event_hour + 1) <= (SELECT max(event_ts) FROM silver) - INTERVAL 2 HOUR""")
+
 sql("traffic_by_hour", """
 SELECT event_hour, count(*) AS total_requests,
   CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
@@ -208,6 +213,11 @@ FROM stg LEFT JOIN scd h ON stg.user_id = h.user_id AND stg.event_ts >= h.dbt_va
   AND (h.dbt_valid_to IS NULL OR stg.event_ts < h.dbt_valid_to)
 GROUP BY stg.event_date, h.plan""", SCD_CTE.replace("2024-01-15 00:00:00", "2024-01-15 13:30:00"))
 
+sql_users("events_with_plan", """
+SELECT event_id, event_ts, stg.user_id, service, h.plan, h.country
+FROM stg LEFT JOIN scd h ON stg.user_id = h.user_id AND stg.event_ts >= h.dbt_valid_from
+  AND (h.dbt_valid_to IS NULL OR stg.event_ts < h.dbt_valid_to)""", SCD_CTE.replace("2024-01-15 00:00:00", "2024-01-15 13:30:00"))
+
 sql("hour_over_hour_self", """
 SELECT k.service, k.event_date, k.event_hour, k.total_requests, p.total_requests AS prev_total_requests,
   k.total_requests - p.total_requests AS delta_requests, k.error_rate_pct,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import hour_label
-from ..operators import enrich, marts, quality, scd2, serving, serving_sql, silver
+from ..operators import asof, enrich, marts, quality, scd2, serving, serving_sql, silver
 from ..schemas import METHODS, SERVICES, SILVER_COLUMNS
 from ..session import prepare, scratch_path
 from ..sources import bridge, lake
@@ -318,6 +318,14 @@ def q_events_asof_plan(spark, sf_dir):
         materialized(users_history(spark, sf_dir, bridge.SNAPSHOT_MIDDAY_AT)))
 
 
+@register("events_with_plan")
+def q_events_with_plan(spark, sf_dir):
+    """J2 at event grain by the merge: every event with the plan and country valid at its time."""
+    history = materialized(users_history(spark, sf_dir, bridge.SNAPSHOT_MIDDAY_AT))
+    ev = materialized(stg_frame(spark, sf_dir)).select("event_id", "event_ts", "user_id", "service")
+    return ntz(asof.as_of_join(ev, history, ["plan", "country"]), "event_ts")
+
+
 @register("hour_over_hour_self")
 def q_hour_over_hour(spark, sf_dir):
     """The mart is used on both sides, so it is materialized once."""
@@ -569,6 +577,9 @@ def _streamed(spark, sf_dir, *kinds: str) -> list[DataFrame]:
         if kind == "silver":
             live.start_silver_sink(slv, f"{root}/silver", f"{root}/_ck_silver").awaitTermination()
             out.append(live.read_silver_sink(spark, f"{root}/silver"))
+        elif kind == "users":
+            live.start_users_sink(live.distinct_users_stream(slv), f"{root}/users", f"{root}/_ck_users").awaitTermination()
+            out.append(live.read_users_sink(spark, f"{root}/users"))
         else:
             live.start_kpis_sink(live.hourly_kpis_stream(slv), f"{root}/kpis", f"{root}/_ck_kpis").awaitTermination()
             out.append(live.read_kpis_sink(spark, f"{root}/kpis"))
@@ -589,6 +600,13 @@ def q_stream_hourly_kpis(spark, sf_dir):
         *STREAM_EXACT_COLS, "unique_users")
 
 
+@register("stream_distinct_users")
+def q_stream_distinct_users(spark, sf_dir):
+    """T5: exact distinct users per service and closed hour, counted in the stream (three stateful
+    stages, no read of the Silver sink)."""
+    return _streamed(spark, sf_dir, "users")[0]
+
+
 STREAM_EXACT_COLS = ["service", "event_date", "event_hour", "total_requests", "error_count",
                      "server_error_count", "error_rate_pct", "avg_latency_ms",
                      "p50_latency_ms", "p95_latency_ms", "p99_latency_ms"]
