@@ -149,29 +149,98 @@ def as_of(snapshot: DataFrame, ts) -> DataFrame:
 
 
 # --- the stored snapshot (S7) ------------------------------------------------
+#
+# base/_published          pointer: the runs, oldest first
+# base/<run>/closed        versions the run closed
+# base/<run>/open/b=<n>    open versions of the hash buckets the run rewrote
+# base/<run>/buckets       which run holds each bucket's open versions, as of this run
+
+BUCKET_ROWS = 1_000_000        # keys a bucket of a new store is meant to hold
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MANIFEST = "b int, run string, n int"
+
+
+def bucket_of(key: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n).cast("bigint")).cast("int")
+
+
+def _digest(cols: list[str]) -> Column:
+    """128 bits over the checked columns; NULL and empty differ."""
+    return F.md5(F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]),
+                           {"ignoreNullFields": "false"}))
+
+
+def manifest(spark: SparkSession, base: str, run: str) -> dict[int, str]:
+    """bucket -> run that holds it, for all buckets of the store (a bounded number)."""
+    rows = spark.read.schema(MANIFEST).parquet(f"{base}/{run}/buckets").collect()
+    return {r["b"]: r["run"] for r in rows}
+
+
+def _schema(spark: SparkSession, base: str, run: str):
+    return spark.read.parquet(f"{base}/{run}/closed").schema
+
+
+def read_open(spark: SparkSession, base: str, run: str, buckets: list[int] | None = None) -> DataFrame:
+    """Open versions as of a published run; of some buckets only, none of the other folders is opened."""
+    held = manifest(spark, base, run)
+    paths = [f"{base}/{r}/open/b={b}" for b, r in sorted(held.items())
+             if r and (buckets is None or b in buckets)]
+    schema = _schema(spark, base, run)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def changed_buckets(open_versions: DataFrame, source: DataFrame, key: str, check_cols: list[str], n: int) -> list[int]:
+    """Buckets in which a source row opens a version: its key is new, or a checked column differs.
+
+    Only keys and digests of the checked columns meet; no other column of the store is read."""
+    old = open_versions.select(F.col(key).alias("_k"), _digest(check_cols).alias("_old"))
+    new = source.select(key, _digest(check_cols).alias("_new"))
+    differs = new.join(old, F.col(key) == F.col("_k"), "left").where(~F.col("_new").eqNullSafe(F.col("_old")))
+    return sorted(r["b"] for r in differs.select(bucket_of(key, n).alias("b")).distinct().collect())
+
 
 def run_snapshot(spark: SparkSession, base: str, source: DataFrame, key: str, check_cols: list[str], run_ts,
-                 rejects: str | None = None) -> DataFrame:
+                 rejects: str | None = None, buckets: int | None = None) -> DataFrame:
     """One run of the check strategy on the snapshot stored below ``base``; the history after it.
 
-    A run writes two folders of its own: the versions it closed, and all open
-    versions. Closed history of earlier runs is never read or written again.
-    Readers see a run once the pointer names it, so a run that fails, or is
-    retried, leaves the published history as it was. Rows of ``source`` with a
-    NULL or repeated key go to ``rejects``; without that folder they raise.
+    Open versions lie in hash buckets of the key. A run compares keys and digests first and
+    then reads, joins and rewrites the buckets with a change; the others stay where an earlier
+    run wrote them. Closed history of earlier runs is never read or written again. Readers
+    see a run once the pointer names it, so a run that fails, or is retried, leaves the
+    published history as it was. A store keeps its number of buckets; a new one gets ``buckets``,
+    or as many as its source's keys call for. (A store without buckets gets them on its next run.)
+
+    Rows of ``source`` with a NULL or repeated key go to ``rejects``; without that folder they raise.
     """
     if rejects is not None:
         reject_keys(source, key).write.mode("overwrite").parquet(rejects)
         source = accepted_keys(source, key)
     runs = lake.published(spark, base)
-    before = spark.read.parquet(f"{base}/{runs[-1]}/open") if runs else None
-    after = snapshot_check(before, source, key, check_cols, run_ts)
     run = f"run-{len(runs):06d}-{uuid.uuid4().hex[:8]}"
+    bucketed = bool(runs) and lake.exists(spark, f"{base}/{runs[-1]}/buckets")
+    if bucketed:
+        assert_keys(source, key)
+        held = manifest(spark, base, runs[-1])
+        buckets = len(held)
+        touched = changed_buckets(read_open(spark, base, runs[-1]), source, key, check_cols, buckets)
+        before = read_open(spark, base, runs[-1], touched)
+        after = snapshot_check(before, source.where(bucket_of(key, buckets).isin(touched)), key, check_cols, run_ts)
+    else:
+        buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, source.count() // BUCKET_ROWS))
+        held = dict.fromkeys(range(buckets))
+        before = spark.read.parquet(f"{base}/{runs[-1]}/open") if runs else None
+        after = snapshot_check(before, source, key, check_cols, run_ts)
     written = scratch_path(spark, "users-snapshot-run")
     after.write.parquet(written)              # once: two folders are made from it
     after = spark.read.schema(after.schema).parquet(written)
     after.filter(F.col("dbt_valid_to").isNotNull()).write.parquet(f"{base}/{run}/closed")
-    current(after).write.parquet(f"{base}/{run}/open")
+    (current(after).withColumn("b", bucket_of(key, buckets)).hint("rebalance", "b")
+     .write.partitionBy("b").parquet(f"{base}/{run}/open"))
+    if not bucketed:
+        touched = [r["b"] for r in current(after).select(bucket_of(key, buckets).alias("b")).distinct().collect()]
+    held.update(dict.fromkeys(touched, run))
+    rows = spark.createDataFrame([(b, r, buckets) for b, r in sorted(held.items())], MANIFEST)
+    rows.coalesce(1).write.parquet(f"{base}/{run}/buckets")
     lake.publish(spark, base, run)
     return read_history(spark, base)
 
@@ -181,6 +250,5 @@ def read_history(spark: SparkSession, base: str) -> DataFrame:
     runs = lake.published(spark, base)
     if not runs:
         raise FileNotFoundError(f"no published snapshot in {base}")
-    schema = spark.read.parquet(f"{base}/{runs[-1]}/open").schema
-    closed = spark.read.schema(schema).parquet(*[f"{base}/{r}/closed" for r in runs])
-    return closed.unionByName(spark.read.schema(schema).parquet(f"{base}/{runs[-1]}/open"))
+    closed = spark.read.schema(_schema(spark, base, runs[-1])).parquet(*[f"{base}/{r}/closed" for r in runs])
+    return closed.unionByName(read_open(spark, base, runs[-1]))
