@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import count_if_true, hour_start, pct
+from ..functions.prefix import running_sum
 from .asof import as_of_join
 
 
@@ -123,9 +124,7 @@ def service_rank_hourly(kpis: DataFrame) -> DataFrame:
 
 
 def cumulative_requests(kpis: DataFrame) -> DataFrame:
-    """Running total of requests per service over time (SUM OVER); a task holds one
-    service's hours (8,784 a year), not its events."""
-    w = (Window.partitionBy("service").orderBy("event_date", "event_hour")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (kpis.select("service", "event_date", "event_hour", "total_requests")
-            .withColumn("cumulative_requests", F.sum("total_requests").over(w)))
+    """Running total of requests per service over time (SUM OVER), in two levels: days first,
+    then the hours inside a day, so a task holds a day of a service and no service is one task."""
+    return running_sum(kpis.select("service", "event_date", "event_hour", "total_requests"), ["service"],
+                       F.col("event_date"), ["event_hour"], "total_requests", "cumulative_requests")

@@ -169,12 +169,12 @@ def serving_results(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def export_snapshot(spark: SparkSession, gold_dir: str, out_dir: str) -> dict[str, str]:
-    """The four result sets + metadata as JSON under ``out_dir``."""
+def export_snapshot(spark: SparkSession, gold_dir: str, out_dir: str, generated_at: str | None = None) -> dict[str, str]:
+    """The four result sets + metadata as JSON under ``out_dir``; ``generated_at`` is the run's time (now)."""
     out = {}
     for name, df in serving_results(spark, gold_dir).items():
         out[name] = os.path.join(out_dir, name)
         lake.export_json(df, out[name])
     out["meta"] = os.path.join(out_dir, "meta")
-    lake.export_meta(spark, out["meta"])
+    lake.export_meta(spark, out["meta"], generated_at)
     return out

@@ -274,7 +274,7 @@ ORACLE["export_error_trend"] = ORACLE["error_rate_trend"]
 ORACLE["export_service_health"] = ORACLE["service_health"]
 ORACLE["export_latency"] = ORACLE["latency_percentiles"]
 ORACLE["export_active_users"] = ORACLE["daily_active_users"]
-ORACLE["export_meta"] = "SELECT true AS utc_iso_seconds"
+ORACLE["export_meta"] = "SELECT '2024-01-31T00:00:00+00:00' AS generated_at"
 sql("silver_job_counts", """
 SELECT (SELECT count(*) FROM bronze_dirty) AS raw_count, (SELECT count(*) FROM silver) AS clean_count,
   (SELECT count(*) FROM bronze_dirty WHERE event_id IS NULL OR event_ts IS NULL OR service IS NULL) AS reject_count""")
