@@ -30,7 +30,16 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the folder of a frame that :func:`written` returned and nothing will read again."""
+    sc = df.sparkSession.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def let(value: Column, body) -> Column:

@@ -23,13 +23,15 @@ it. A document that is short of good
 segments (mostly frequent passages) uses those it has, and meets the others that
 are short in a name space of their own, by the wide layout.
 
-Candidates then pass an exact bound (the L1 distance of 64 shingle counts can't
+Candidates then pass an exact bound (the L1 distance of BINS shingle counts can't
 exceed the sets' difference) and are verified on the sets themselves. Groups of
 equal signatures are not expanded into all pairs: first every member is
 compared with the group's least member; only groups whose members then still
-belong to different components are compared across components, in the task that
-holds the group (by size and outline, without emitting what they rule out) or,
-for a group of more than GROUP members, by a join that can be split.
+belong to different components are compared across components. Groups of one family share
+most of their members, so they are dealt to tasks by their least component (and split by
+group where that has very many rows): a task looks at each of its pairs once, by size and
+outline, and emits what these allow. A group of more than GROUP members goes through a
+join that can be split.
 
 Equal shingle sets are one class from the start: copies cost nothing later.
 
@@ -58,13 +60,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, bitmap, in_bitmap, shuffle_partitions, slices, written
+from .common import SLICE_ROWS, bitmap, forget, in_bitmap, shuffle_partitions, slices, written
 from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
 STARS = 3                   # buckets in which a member must meet a group's least member
 GROUP = 2000                # members of a group whose pairs one task compares by outline
-BINS = 128                  # counts in a set's outline
+BINS = 512                  # counts in a set's outline
+COARSE = 128                # ... summed to so many for a first look
+ACROSS_ROWS = 200_000       # members of one family's groups that a task compares
+ACROSS_PAIRS = 1 << 20      # pairs it holds at a time
+BUCKET_SHINGLES = 500_000   # shingles of the corpus for each bucket of signatures
 TILE = 1024                 # sets of a component that a tile holds, about ...
 TILE_SHINGLES = 1 << 19     # ... and their shingles
 COLUMNS = 4096              # shingles of a tile in one matrix product
@@ -207,10 +213,25 @@ def signatures(sets: list[np.ndarray], frequent: Frequent) -> tuple[np.ndarray,
 
 
 def outline(s: np.ndarray) -> bytes:
-    count = np.bincount((s >> U(57)).astype(np.int64), minlength=BINS)
+    count = np.bincount((s >> U(55)).astype(np.int64), minlength=BINS)
     return np.minimum(count, 0xFF).astype("u1").tobytes()   # a clipped count only loosens the bound
 
 
+def _opened(cells: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), "u1").reshape(-1, BINS).astype(np.int16)
+
+
+def _within(x: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) have outlines no further apart than ``n // 7``."""
+    ok = np.zeros(len(i), bool)
+    coarse = x.reshape(len(x), COARSE, -1).sum(2, dtype=np.int16)
+    for at in range(0, len(i), 4096):
+        part = slice(at, at + 4096)
+        hit = np.flatnonzero(np.abs(coarse[i[part]] - coarse[j[part]]).sum(1) <= n[part] // 7) + at
+        ok[hit] = np.abs(x[i[hit]] - x[j[hit]]).sum(1) <= n[hit] // 7
+    return ok
+
+
 def identity(s: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     a = mix(s ^ U(0x8CB92BA72F3D8DD7)).sum(dtype=np.uint64)
@@ -362,21 +383,49 @@ def _group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                 [None] * p + list(lists.values()), [None] * (p + g), alone.tolist() + [None] * g, [None] * (p + g)])
 
 
-def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Of a bucket of groups: pairs across components that sizes and outlines allow, once each."""
-    table = table.sort_by([("g", "ascending"), ("n", "ascending")])
-    g, node, label, n = (np.asarray(table.column(c), np.int64) for c in ("g", "node", "label", "n"))
-    x = np.frombuffer(b"".join(table.column("bins").to_pylist()), "u1").reshape(-1, BINS).astype(np.int16)
+def _candidates(g: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray):
+    """Codes (place of one set << 32 | place of the other) of pairs of one group but of two
+    components whose sizes may link; rows are sorted by (g, n). In blocks of distinct codes."""
     end = np.searchsorted(g, g, "right")
+    top = n * 4 // 3
+    upto = np.empty(len(g), np.int64)
+    for f in np.flatnonzero(np.append(True, g[1:] != g[:-1])):
+        upto[f:end[f]] = f + np.searchsorted(n[f:end[f]], top[f:end[f]], "right")
+    count = upto - np.arange(len(g)) - 1
+    total = np.cumsum(count)
+    held, at = np.empty(0, np.int64), 0
+    while at < len(g):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + ACROSS_PAIRS, "right")))
+        c = count[at:to]
+        i = np.repeat(np.arange(at, to), c)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+        apart = label[i] != label[j]
+        p, q = place[i[apart]], place[j[apart]]
+        held = np.unique(np.concatenate([held, np.minimum(p, q) << 32 | np.maximum(p, q)]))
+        at = to
+        if len(held) > 2 * ACROSS_PAIRS:
+            yield held
+            held = np.empty(0, np.int64)
+    yield held
+
+
+def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Of a bucket of groups (members; and every set's outline once): pairs across components
+    that sizes and outlines allow."""
+    known = np.asarray(table.column("bins").is_valid())
+    sets = table.filter(pa.array(known))
+    members = table.filter(pa.array(~known)).sort_by([("g", "ascending"), ("n", "ascending")])
+    node = np.asarray(sets.column("node"), np.int64)
+    order = np.argsort(node)
+    node, size = node[order], np.asarray(sets.column("n"), np.int64)[order]
+    x = _opened(sets.column("bins").to_pylist())[order]
+    place = np.searchsorted(node, np.asarray(members.column("node"), np.int64))
     found = [np.empty((0, 2), np.int64)]
-    for i in range(len(g)):
-        j = np.arange(i + 1, i + 1 + np.searchsorted(n[i + 1:end[i]], n[i] * 4 // 3, "right"))
-        j = j[label[j] != label[i]]
-        if len(j):
-            j = j[np.abs(x[j] - x[i]).sum(1) <= (n[j] + n[i]) // 7]
-            if len(j):
-                found.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], 1))
-    pairs = np.unique(np.concatenate(found), axis=0)
+    for codes in _candidates(*(np.asarray(members.column(c), np.int64) for c in ("g", "label", "n")), place):
+        p, q = codes >> 32, codes & 0xFFFFFFFF
+        ok = _within(x, p, q, size[p] + size[q])
+        found.append(np.stack([node[p[ok]], node[q[ok]]], 1))
+    pairs = np.concatenate(found)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
@@ -384,10 +433,12 @@ def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 def _outlines_allow(batches):
     for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "u1").reshape(-1, BINS).astype(np.int64) for i in (4, 5))
-        n = np.asarray(b.column(2)) + np.asarray(b.column(3))
-        ok = np.abs(x - y).sum(1) <= n // 7
-        yield b.filter(pa.array(ok)).select(["a", "b"])
+        for at in range(0, b.num_rows, 1024):
+            part = b.slice(at, 1024)
+            k = part.num_rows
+            x = _opened(part.column(4).to_pylist() + part.column(5).to_pylist())
+            n = np.asarray(part.column(2)) + np.asarray(part.column(3))
+            yield part.filter(pa.array(_within(x, np.arange(k), np.arange(k, 2 * k), n))).select(["a", "b"])
 
 
 def _verified(batches):
@@ -472,11 +523,12 @@ def _tiles(listed: bool):
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node each node of the edges can reach. Labels spread to
     neighbours and jump to their labels' labels, so rounds grow with the logarithm of the
-    longest path; each round is written."""
+    longest path; each round is written, and the one before it deleted."""
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
-                     .withColumnRenamed("a", "node"), "labels")
+    held = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
+                   .withColumnRenamed("a", "node"), "labels")
     while True:
+        labels = held.select("node", "label")
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, F.col("node") == F.col("a")).select(
             "node", "label", F.least("label", "near").alias("next"))
@@ -484,9 +536,11 @@ def components(edges: DataFrame) -> DataFrame:
         new = step.join(jump, "next", "left").select(
             "node", F.least("next", "far").alias("label"), (F.least("next", "far") != F.col("label")).alias("moved"))
         new = written(new, "labels")
-        labels = new.select("node", "label")
+        forget(held)
+        held = new
         if not new.where("moved").head(1):
-            return labels
+            forget(both)
+            return new.select("node", "label")
 
 
 class Join:
@@ -555,7 +609,7 @@ class Join:
     @functools.cached_property
     def connected(self) -> tuple[DataFrame, DataFrame]:
         """((node, label) of linked classes, (node, text) of these and some others)."""
-        buckets = max(4 * shuffle_partitions(self.spark), self.total // 2_000_000)
+        buckets = max(16, self.total // BUCKET_SHINGLES)
         frequent = self.spark.sparkContext.broadcast(Frequent(self.frequent))
         dealt = self.docs.select("text").mapInArrow(_deal(buckets, frequent), DEALT)
         grouped = written(dealt.groupBy("bucket").applyInArrow(_group, GROUPED), "groups")
@@ -576,11 +630,17 @@ class Join:
             "g", "node", F.coalesce("label", "node").alias("label"))
         groups = written(groups, "group-members")
         torn = groups.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k")
-                                       ).where("lo < hi").select("g", "k")
-        left = written(groups.join(torn, "g").join(self.classes.select("node", "n", "bins"), "node").select(
-            "g", "k", "node", "label", "n", "bins"), "torn")
-        bucket = F.pmod(F.xxhash64("g"), F.lit(buckets)).alias("bucket")
-        cross = left.where(F.col("k") <= GROUP).select(bucket, "g", "node", "label", "n", "bins").groupBy("bucket").applyInArrow(
+                                       ).where("lo < hi").select("g", "k", "lo")
+        left = written(groups.join(torn, "g").join(self.classes.select("node", "n"), "node").select(
+            "g", "k", "lo", "node", "label", "n"), "torn")
+        small = left.where(F.col("k") <= GROUP)
+        family = small.groupBy("lo").agg(F.ceil(F.count("*") / ACROSS_ROWS).alias("salts"))
+        salt = F.pmod(F.xxhash64("g"), F.col("salts"))
+        dealt = written(small.join(family, "lo").select(F.pmod(F.xxhash64("lo", salt), F.lit(buckets)).alias("bucket"),
+                                                        "g", "node", "label", "n"), "torn-dealt")
+        outlines = dealt.select("bucket", "node").distinct().join(self.classes.select("node", "n", "bins"), "node").select(
+            "bucket", F.lit(None).cast("bigint"), "node", F.lit(None).cast("bigint"), "n", "bins")
+        cross = dealt.withColumn("bins", F.lit(None).cast("binary")).union(outlines).groupBy("bucket").applyInArrow(
             _across, "a bigint, b bigint")
         large = left.where(F.col("k") > GROUP).select("g", "node", "label", "n")
         x, y = large.alias("x"), large.alias("y")

@@ -152,3 +152,28 @@ def test_one_of_each_group_stays(spark, odd, none):
     assert sorted(i for i in ids if i is not None) == sorted(set(want.values()))
     assert ids.count(None) == 2
     assert ngram_join.keep_one(none).count() == 0 and ngram_join.query(spark, none).count() == 0
+
+
+def test_pairs_of_a_family_are_looked_at_once(monkeypatch):
+    """Every pair of one group and two components whose sizes may link comes out, whatever the block size."""
+    rng = np.random.default_rng(6)
+    rows = sorted((int(rng.integers(4)), int(rng.integers(30, 60)), i, i % 5) for i in range(40) for _ in range(2))
+    g, n, place, label = (np.array(x, np.int64) for x in zip(*rows))
+    want = {(min(p, q), max(p, q)) for (a, m, p, x) in rows for (b, k, q, y) in rows
+            if a == b and x != y and m <= k <= m * 4 // 3}
+    for block in (1, 7, 1 << 20):
+        monkeypatch.setattr(ngram_join, "ACROSS_PAIRS", block)
+        got = {(int(c) >> 32, int(c) & 0xFFFFFFFF) for codes in ngram_join._candidates(g, label, n, place) for c in codes}
+        assert got == want
+
+
+def test_outline_bound_never_rules_out_a_link():
+    rng = np.random.default_rng(7)
+    for size in (5, 60, 500, 5000):
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for off in (0, 1, len(base) // 8, len(base) // 7, len(base) // 4):
+            other = np.unique(np.append(base[off:], rng.integers(0, 2**64, off, dtype=np.uint64)))
+            both = len(np.intersect1d(base, other))
+            if 100 * both >= 75 * (len(base) + len(other) - both):
+                x = ngram_join._opened([ngram_join.outline(base), ngram_join.outline(other)])
+                assert ngram_join._within(x, np.array([0]), np.array([1]), np.array([len(base) + len(other)])).all()
