@@ -75,7 +75,7 @@ TILE = 1024                 # sets of a component that a tile holds, about ...
 TILE_SHINGLES = 1 << 19     # ... and their shingles
 COLUMNS = 4096              # shingles of a tile in one matrix product
 FLUSH = 1_500_000           # signatures a task holds before it deals them out
-SAMPLE_BITS = 3             # 1/8 of the classes are looked at to find frequent shingles
+SAMPLE_BITS = 4             # 1/16 of the classes (by their identity) tell which shingles are frequent
 FREQUENT_SHARE = 8000       # frequent: in more than 1/8000 of the classes ...
 FREQUENT_LEAST = 32         # ... and in more than 32; so at most 8000 sets' worth are frequent
 OVERFLOW_COST = 2000        # signatures that a document short of good segments costs
@@ -247,36 +247,50 @@ def _sets_of(batches, column: int):
 
 # ---- pass 1: sets' identities, sizes, outlines; frequent shingles ----------------------------
 
-MEMBERS = "doc_id bigint, n bigint, h1 bigint, h2 bigint, bins binary, hot array<bigint>, hot_n array<bigint>"
+MEMBERS = "doc_id bigint, n bigint, h1 bigint, h2 bigint, bins binary, codes binary"
 
 
 def _describe(batches):
-    names = [x.split()[0] for x in MEMBERS.split(", ")]
-    types = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    looked_at, held, count = set(), [], 0
-
-    def frequent_here():
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        several = n > 1
-        row = [[None], [-1], [None], [None], [None], [codes[several].view(np.int64)], [n[several]]]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names)
+    """Of every document its set's identity, size and outline; of sampled sets also their shingles
+    (once a task)."""
+    looked_at = set()
     for part, sets in _sets_of(batches, 1):
         ids = [identity(s) for s in sets]
-        none = [None] * len(sets)
-        cols = [part.column(0), [len(s) for s in sets], [a for a, _ in ids], [b for _, b in ids],
-                [outline(s) for s in sets], none, none]
-        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t)
-                                          for c, t in zip(cols, types)], names)
+        codes = []
         for s, i in zip(sets, ids):
-            if len(s) and not i[0] & ((1 << SAMPLE_BITS) - 1) and i not in looked_at:
+            fresh = len(s) > 0 and not i[0] & ((1 << SAMPLE_BITS) - 1) and i not in looked_at
+            if fresh:
                 looked_at.add(i)
-                held.append(s)
-                count += len(s)
-        if count > FLUSH:
-            yield frequent_here()
-            held, count = [], 0
+            codes.append(s.tobytes() if fresh else None)
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in ids], pa.int64()),
+             pa.array([b for _, b in ids], pa.int64()), pa.array([outline(s) for s in sets], pa.binary()),
+             pa.array(codes, pa.binary())], [x.split()[0] for x in MEMBERS.split(", ")])
+
+
+def _count_codes(batches):
+    """(shingle, sets of this task that have it)."""
+    def counted(held):
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], ["h", "k"])
+    held, count = [], 0
+    for b in batches:
+        for raw in b.column(0).to_pylist():
+            held.append(np.frombuffer(raw, np.uint64))
+            count += len(held[-1])
+            if count > FLUSH:
+                yield counted(held)
+                held, count = [], 0
     if held:
-        yield frequent_here()
+        yield counted(held)
+
+
+def frequent_shingles(described: DataFrame, least: int) -> DataFrame:
+    """``h``: shingles of more than ``least`` sampled sets. A set counts once, however many copies or
+    tasks it is in, so the result does not depend on how the documents are dealt."""
+    sample = described.where("codes is not null").select("h1", "h2", "codes").dropDuplicates(["h1", "h2"])
+    return sample.select("codes").mapInArrow(_count_codes, "h bigint, k bigint").groupBy("h").agg(
+        F.sum("k").alias("k")).where(F.col("k") > least).select("h")
 
 
 # ---- pass 2: signatures dealt to buckets ------------------------------------------------------
@@ -550,17 +564,16 @@ class Join:
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
         described = written(self.docs.mapInArrow(_describe, MEMBERS), "sets")
-        self.members = described.where("n >= 0").select("doc_id", "n", "h1", "h2")
+        self.members = described.select("doc_id", "n", "h1", "h2")
         classes = described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("bins").alias("bins"))
         self.classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
         size = self.classes.agg(F.count("*"), F.sum("n")).first()
         self.count, self.total = size[0], size[1] or 0
         least = max(FREQUENT_LEAST, self.count // FREQUENT_SHARE) >> SAMPLE_BITS
-        hot = described.where("n < 0").select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).groupBy(
-            F.col("x.hot").alias("h")).agg(F.sum("x.hot_n").alias("k")).where(F.col("k") > least)
         # at most FREQUENT_SHARE sets' worth of shingles, eight bytes each
-        self.frequent = np.sort(hot.select("h").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+        hot = frequent_shingles(described, least).toArrow().column(0).to_numpy()
+        self.frequent = np.sort(hot.astype(np.int64).view(np.uint64))
 
     def _node_pairs(self, pairs: DataFrame, ids: DataFrame) -> DataFrame:
         """(a, b, whole) of local ids -> distinct (a, b) of nodes, a < b, that size and outline
@@ -631,13 +644,13 @@ class Join:
         groups = written(groups, "group-members")
         torn = groups.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k")
                                        ).where("lo < hi").select("g", "k", "lo")
-        left = written(groups.join(torn, "g").join(self.classes.select("node", "n"), "node").select(
-            "g", "k", "lo", "node", "label", "n"), "torn")
-        small = left.where(F.col("k") <= GROUP)
-        family = small.groupBy("lo").agg(F.ceil(F.count("*") / ACROSS_ROWS).alias("salts"))
+        torn = written(torn, "torn-groups")
+        family = torn.groupBy("lo").agg(F.ceil(F.sum("k") / ACROSS_ROWS).alias("salts"))
         salt = F.pmod(F.xxhash64("g"), F.col("salts"))
-        dealt = written(small.join(family, "lo").select(F.pmod(F.xxhash64("lo", salt), F.lit(buckets)).alias("bucket"),
-                                                        "g", "node", "label", "n"), "torn-dealt")
+        torn = torn.join(family, "lo").select("g", "k", F.pmod(F.xxhash64("lo", salt), F.lit(buckets)).alias("bucket"))
+        left = written(groups.join(torn, "g").join(self.classes.select("node", "n"), "node").select(
+            "bucket", "g", "k", "node", "label", "n"), "torn")
+        dealt = left.where(F.col("k") <= GROUP).select("bucket", "g", "node", "label", "n")
         outlines = dealt.select("bucket", "node").distinct().join(self.classes.select("node", "n", "bins"), "node").select(
             "bucket", F.lit(None).cast("bigint"), "node", F.lit(None).cast("bigint"), "n", "bins")
         cross = dealt.withColumn("bins", F.lit(None).cast("binary")).union(outlines).groupBy("bucket").applyInArrow(

@@ -1,4 +1,5 @@
 """Shingle sets, signatures, the join and its components, against brute force."""
+import random
 import re
 from itertools import combinations
 
@@ -177,3 +178,20 @@ def test_outline_bound_never_rules_out_a_link():
             if 100 * both >= 75 * (len(base) + len(other) - both):
                 x = ngram_join._opened([ngram_join.outline(base), ngram_join.outline(other)])
                 assert ngram_join._within(x, np.array([0]), np.array([1]), np.array([len(base) + len(other)])).all()
+
+
+def test_frequent_shingles_do_not_depend_on_the_partitions(spark):
+    """Texts that share passages, with copies everywhere: the same set from 1, 4 and 64 partitions."""
+    rng = random.Random(8)
+    passages = [" ".join(words(rng, 30, 3000)) for _ in range(3)]
+    texts = [" ".join(words(rng, 20, 3000)) + " " + passages[i % 3] + " " + " ".join(words(rng, 20, 3000)) for i in range(900)]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:1] * 300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = []
+    for n in (1, 4, 64):
+        join = ngram_join.Join(written(docs.repartition(n), "t-dealt"))
+        found.append(join.frequent.tolist())
+    assert found[0] == found[1] == found[2]
+    every = {h for p in passages for h in shingle_sets([p])[0].tolist()}
+    assert every <= set(found[0]) and len(found[0]) < 3 * len(every)
+    assert not set(shingle_sets([texts[0].split(passages[0])[0]])[0].tolist()) & set(found[0])   # copies count once
