@@ -30,8 +30,8 @@ compared with the group's least member; only groups whose members then still
 belong to different components are compared across components. Groups of one family share
 most of their members, so they are dealt to tasks by their least component (and split by
 group where that has very many rows): a task looks at each of its pairs once, by size and
-outline, and emits what these allow. A group of more than GROUP members goes through a
-join that can be split.
+outline, and emits what these allow. A group of more than GROUP members is cut into tiles, and
+each two tiles meet in one task.
 
 Equal shingle sets are one class from the start: copies cost nothing later.
 
@@ -65,7 +65,7 @@ from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
 STARS = 3                   # buckets in which a member must meet a group's least member
-GROUP = 2000                # members of a group whose pairs one task compares by outline
+GROUP = 2000                # members of a tile of a group, whose pairs one task compares by outline
 BINS = 512                  # counts in a set's outline
 COARSE = 128                # ... summed to so many for a first look
 ACROSS_ROWS = 200_000       # members of one family's groups that a task compares
@@ -397,9 +397,10 @@ def _group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                 [None] * p + list(lists.values()), [None] * (p + g), alone.tolist() + [None] * g, [None] * (p + g)])
 
 
-def _candidates(g: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray):
+def _candidates(g: np.ndarray, label: np.ndarray, n: np.ndarray, side: np.ndarray, place: np.ndarray):
     """Codes (place of one set << 32 | place of the other) of pairs of one group but of two
-    components whose sizes may link; rows are sorted by (g, n). In blocks of distinct codes."""
+    components whose sizes may link; rows are sorted by (g, n). Two tiles of a group (sides 1
+    and 2) are only paired with each other. In blocks of distinct codes."""
     end = np.searchsorted(g, g, "right")
     top = n * 4 // 3
     upto = np.empty(len(g), np.int64)
@@ -413,7 +414,7 @@ def _candidates(g: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarr
         c = count[at:to]
         i = np.repeat(np.arange(at, to), c)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
-        apart = label[i] != label[j]
+        apart = (label[i] != label[j]) & ((side[i] == 0) | (side[i] != side[j]))
         p, q = place[i[apart]], place[j[apart]]
         held = np.unique(np.concatenate([held, np.minimum(p, q) << 32 | np.maximum(p, q)]))
         at = to
@@ -435,7 +436,7 @@ def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     x = _opened(sets.column("bins").to_pylist())[order]
     place = np.searchsorted(node, np.asarray(members.column("node"), np.int64))
     found = [np.empty((0, 2), np.int64)]
-    for codes in _candidates(*(np.asarray(members.column(c), np.int64) for c in ("g", "label", "n")), place):
+    for codes in _candidates(*(np.asarray(members.column(c), np.int64) for c in ("g", "label", "n", "side")), place):
         p, q = codes >> 32, codes & 0xFFFFFFFF
         ok = _within(x, p, q, size[p] + size[q])
         found.append(np.stack([node[p[ok]], node[q[ok]]], 1))
@@ -646,21 +647,22 @@ class Join:
                                        ).where("lo < hi").select("g", "k", "lo")
         torn = written(torn, "torn-groups")
         family = torn.groupBy("lo").agg(F.ceil(F.sum("k") / ACROSS_ROWS).alias("salts"))
-        salt = F.pmod(F.xxhash64("g"), F.col("salts"))
-        torn = torn.join(family, "lo").select("g", "k", F.pmod(F.xxhash64("lo", salt), F.lit(buckets)).alias("bucket"))
-        left = written(groups.join(torn, "g").join(self.classes.select("node", "n"), "node").select(
-            "bucket", "g", "k", "node", "label", "n"), "torn")
-        dealt = left.where(F.col("k") <= GROUP).select("bucket", "g", "node", "label", "n")
+        torn = torn.join(family, "lo").withColumn("salt", F.pmod(F.xxhash64("g"), F.col("salts"))).withColumn(
+            "tiles", F.ceil(F.col("k") / GROUP).cast("int"))
+        # members of a group: one tile for each GROUP of them, each two tiles in one place
+        left = groups.join(torn, "g").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        i, j = F.least("tile", "other"), F.greatest("tile", "other")
+        side = F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2).cast("bigint")
+        left = left.select(F.pmod(F.xxhash64("lo", "salt", i, j), F.lit(buckets)).alias("bucket"),
+                           F.xxhash64("g", i, j).alias("g"), "node", "label", side.alias("side"))
+        left = written(left.join(self.classes.select("node", "n"), "node"), "torn")
+        dealt = left.select("bucket", "g", "node", "label", "n", "side")
         outlines = dealt.select("bucket", "node").distinct().join(self.classes.select("node", "n", "bins"), "node").select(
-            "bucket", F.lit(None).cast("bigint"), "node", F.lit(None).cast("bigint"), "n", "bins")
+            "bucket", *[F.lit(None).cast("bigint") if c in ("g", "label", "side") else F.col(c)
+                        for c in ("g", "node", "label", "n", "side", "bins")])
         cross = dealt.withColumn("bins", F.lit(None).cast("binary")).union(outlines).groupBy("bucket").applyInArrow(
-            _across, "a bigint, b bigint")
-        large = left.where(F.col("k") > GROUP).select("g", "node", "label", "n")
-        x, y = large.alias("x"), large.alias("y")
-        large = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.label") != F.col("y.label")) & (
-            F.col("x.node") < F.col("y.node")) & F.expr("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")).select(
-            F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        cross = cross.distinct().unionByName(self._allowed(large)).distinct()
+            _across, "a bigint, b bigint").distinct()
         more, _, others = self._verify(cross.join(done, ["a", "b"], "left_anti"), "cross")
         texts = texts.unionByName(others.join(texts, "node", "left_anti"))
         return components(links.unionByName(more)) if more.head(1) else labels, texts

@@ -158,14 +158,32 @@ def test_one_of_each_group_stays(spark, odd, none):
 def test_pairs_of_a_family_are_looked_at_once(monkeypatch):
     """Every pair of one group and two components whose sizes may link comes out, whatever the block size."""
     rng = np.random.default_rng(6)
-    rows = sorted((int(rng.integers(4)), int(rng.integers(30, 60)), i, i % 5) for i in range(40) for _ in range(2))
-    g, n, place, label = (np.array(x, np.int64) for x in zip(*rows))
-    want = {(min(p, q), max(p, q)) for (a, m, p, x) in rows for (b, k, q, y) in rows
-            if a == b and x != y and m <= k <= m * 4 // 3}
+    rows = sorted((int(rng.integers(4)), int(rng.integers(30, 60)), i, i % 5, int(rng.integers(1, 3))) for i in range(40)
+                  for _ in range(2))
+    rows = [(*r[:4], 0 if r[0] < 2 else r[4]) for r in rows]       # two groups whole, two as pairs of tiles
+    g, n, place, label, side = (np.array(x, np.int64) for x in zip(*rows))
+    want = {(min(p, q), max(p, q)) for (a, m, p, x, u) in rows for (b, k, q, y, v) in rows
+            if a == b and x != y and m <= k <= m * 4 // 3 and (u == 0 or u != v)}
     for block in (1, 7, 1 << 20):
         monkeypatch.setattr(ngram_join, "ACROSS_PAIRS", block)
-        got = {(int(c) >> 32, int(c) & 0xFFFFFFFF) for codes in ngram_join._candidates(g, label, n, place) for c in codes}
-        assert got == want
+        codes = [int(c) for found in ngram_join._candidates(g, label, n, side, place) for c in found]
+        assert {(c >> 32, c & 0xFFFFFFFF) for c in codes} == want
+
+
+@pytest.mark.parametrize("group", [2, 5])
+def test_groups_cut_into_tiles_lose_no_link(spark, monkeypatch, group):
+    monkeypatch.setattr(ngram_join, "GROUP", group)
+    monkeypatch.setattr(ngram_join, "ACROSS_ROWS", 7)
+    rng = random.Random(9)
+    shared = words(rng, 40, 5000)
+    rows = []
+    for i in range(40):            # a passage in common, and families that link across it
+        own = shared + words(random.Random(i // 4), 30, 5000)
+        own[rng.randrange(len(own))] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    docs = written(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), "t-tiles")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.query(spark, docs).collect()}
+    assert got == brute_components(rows)
 
 
 def test_outline_bound_never_rules_out_a_link():
