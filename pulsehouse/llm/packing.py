@@ -43,9 +43,11 @@ def byte_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, piece: int = PIECE,
-           end_id: int = END_ID) -> DataFrame:
-    """All pieces with their ids (unsigned 32-bit little-endian); ``piece`` numbers them."""
+           end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """All pieces with their ids (unsigned 32-bit little-endian; or without, where only the
+    packing is wanted); ``piece`` numbers them."""
     tokenizer = tokenizer or byte_tokenizer()
+    width = 7 if with_ids else 6
 
     def run(batches):
         enc = encoder(tokenizer, CACHE_ENTRIES)
@@ -60,13 +62,14 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
                 for start, stop in zip(cuts, cuts[1:]):
                     cut = ids[start:stop]
                     for col, v in zip(rows, (number, key, start // 4, len(cut) // 4, zlib.crc32(cut),
-                                             len(ids) // 4, cut)):
+                                             len(ids) // 4, cut)[:width]):
                         col.append(v)
                     number += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(rows)],
-                [x.split()[0] for x in PIECES.split(", ")])
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+                [pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(rows[:width])],
+                [x.split()[0] for x in columns])
+    columns = PIECES.split(", ")[:width]
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, ", ".join(columns))
 
 
 def difference(lengths: np.ndarray, k: int) -> tuple[np.ndarray, int]:
@@ -152,4 +155,4 @@ def sequences(cut: DataFrame, packed: DataFrame) -> DataFrame:
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
-    return pack(written(pieces(docs), "pieces")).drop("piece")
+    return pack(written(pieces(docs, with_ids=False), "pieces")).drop("piece")

@@ -3,7 +3,8 @@
 The ids are exactly those of ``Tokenizer.encode`` on the whole text. A text of
 common characters is cut where the tokenizer itself can never join (at words,
 or before white space), each distinct cut is encoded once per worker, and the
-ids are put together from the cache; any other text is encoded whole.
+ids are put together from the cache; any other text, also one that holds the string of
+an added token (which the tokenizer gives its own id), is encoded whole.
 """
 from __future__ import annotations
 
@@ -18,7 +19,9 @@ _COMMON = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xff]")
 #: The pre-tokenizer's own pattern, written for those characters (lower case).
 _WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 _CHUNKS = re.compile(r"\s*\S+|\s+")
-CACHE_ENTRIES = 800_000   # words kept per worker (about 160 MB); beyond it the cache starts anew
+#: Marks that end a word of letters as a token of their own.
+_STOPS = ".,;:!?"
+CACHE_ENTRIES = 1_200_000   # pieces kept per worker (about 200 MB); beyond it the cache starts anew
 _ADJACENT = ("  ", " \n", "\n ", "\n\n")
 
 
@@ -38,8 +41,10 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab()
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.I)
+        self.starts = sorted({t[0] for t in added})
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.word_ends = any(w.endswith("</w>") for w in vocab)
@@ -53,7 +58,21 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _parts(self, piece: str) -> list[str]:
+        """What the tokenizer itself cuts a piece into (or coarser): parts are met again more often."""
+        if self.word_ends:
+            return _WORDS.findall(piece)
+        word = piece.rstrip(_STOPS)
+        return [word, piece[len(word):]] if len(word) < len(piece) and word[1:].isalpha() else [piece]
+
     def _learn(self, pieces: list[str]) -> None:
+        """Add unseen pieces to the cache, put together from their parts."""
+        cut = [self._parts(p) for p in pieces]
+        self._learn_parts(list({w for ws in cut for w in ws}.difference(self.cache)))
+        get = self.cache.__getitem__
+        self.cache.update([(p, b"".join(map(get, ws))) for p, ws in zip(pieces, cut) if len(ws) != 1 or ws[0] != p])
+
+    def _learn_parts(self, pieces: list[str]) -> None:
         """Encode unseen pieces, many in one string that the marks cut again."""
         if self.word_ends:
             joined, single, glue = pieces, [], " "
@@ -74,14 +93,19 @@ class Encoder:
             self.cache.update(zip(part, (raw[a:z] for a, z in zip([0, *ends], ends))))
         self.cache.update(zip(single, self._plain(single)))
 
+    def _odd(self, text: str) -> bool:
+        if _COMMON.search(text):
+            return True
+        return any(c.lower() in text or c.upper() in text for c in self.starts) and bool(self.added.search(text))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut: list[tuple[int, list[str]]] = []
-        whole = [i for i, t in enumerate(texts) if t and _COMMON.search(t)]
+        whole = [i for i, t in enumerate(texts) if t and self._odd(t)]
         odd = set(whole)
         for i, t in enumerate(texts):
             if t and i not in odd:
-                cut.append((i, _WORDS.findall(t.lower()) if self.word_ends else chunks(t)))
+                cut.append((i, t.lower().split() if self.word_ends else chunks(t)))
         if len(self.cache) > self.cache_entries:
             self.cache.clear()
         new = set()
