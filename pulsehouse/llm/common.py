@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import sys
 import tempfile
 
 import numpy as np
@@ -66,6 +67,16 @@ def slices(batches, column: int):
             at = end
 
 
+def drop_caches() -> None:
+    """Empty the token and word caches that tasks of other operators left in this worker: a
+    reused worker keeps them, up to some hundred megabytes."""
+    for module, clear in (("tokens", lambda m: m.encoder.cache_clear()), ("alignment", lambda m: m.pair.cache_clear()),
+                          ("quality_classifier", lambda m: m._WORDS.clear())):
+        loaded = sys.modules.get(f"{__package__}.{module}")
+        if loaded:
+            clear(loaded)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

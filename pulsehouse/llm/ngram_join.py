@@ -60,7 +60,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, bitmap, forget, in_bitmap, shuffle_partitions, slices, written
+from .common import SLICE_ROWS, bitmap, drop_caches, forget, in_bitmap, shuffle_partitions, slices, written
 from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
@@ -68,7 +68,7 @@ STARS = 3                   # buckets in which a member must meet a group's leas
 GROUP = 2000                # members of a tile of a group, whose pairs one task compares by outline
 BINS = 512                  # counts in a set's outline
 COARSE = 128                # ... summed to so many for a first look
-ACROSS_ROWS = 200_000       # members of one family's groups that a task compares
+ACROSS_ROWS = 50_000        # members of one family's groups that a task compares
 ACROSS_PAIRS = 1 << 20      # pairs it holds at a time
 BUCKET_SHINGLES = 500_000   # shingles of the corpus for each bucket of signatures
 TILE = 1024                 # sets of a component that a tile holds, about ...
@@ -241,6 +241,7 @@ def identity(s: np.ndarray) -> tuple[int, int]:
 
 def _sets_of(batches, column: int):
     """(rows, sets) of slices of the batches."""
+    drop_caches()
     for part in slices(batches, column):
         yield part, shingle_sets(part.column(column).to_pylist())
 

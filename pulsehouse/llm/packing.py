@@ -32,7 +32,7 @@ WINDOW = 1024
 PIECE = 256
 END_ID = 0
 GROUP_WINDOWS = 256
-CACHE_ENTRIES = 1_500_000      # texts between spaces kept per worker (about 300 MB)
+CACHE_ENTRIES = 1_000_000      # texts between spaces kept per worker (about 200 MB)
 PIECES = "piece bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint"
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_filter, shuffle_partitions, slices, written
+from .common import bitmap_filter, drop_caches, shuffle_partitions, slices, written
 from .shingles import U, byte_sums, mix, string_hash
 from .suffix_array import suffix_array
 
@@ -106,6 +106,7 @@ def _deal(buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
     def run(batches):
+        drop_caches()
         task = TaskContext.get().partitionId()
         base, keys, held, count = task << 40, [], [], 0
 
