@@ -60,6 +60,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import conf_during
 from .common import SLICE_ROWS, bitmap, drop_caches, forget, in_bitmap, shuffle_partitions, slices, written
 from .shingles import U, mix, shingle_sets
 
@@ -74,7 +75,9 @@ BUCKET_SHINGLES = 500_000   # shingles of the corpus for each bucket of signatur
 TILE = 1024                 # sets of a component that a tile holds, about ...
 TILE_SHINGLES = 1 << 19     # ... and their shingles
 COLUMNS = 4096              # shingles of a tile in one matrix product
-FLUSH = 1_500_000           # signatures a task holds before it deals them out
+KNOWN_SHINGLES = 1 << 21    # shingles of sets that verification keeps at hand
+ARROW_ROWS = 512            # rows with texts that go to a Python worker at a time
+FLUSH = 750_000             # signatures a task holds before it deals them out
 SAMPLE_BITS = 4             # 1/16 of the classes (by their identity) tell which shingles are frequent
 FREQUENT_SHARE = 8000       # frequent: in more than 1/8000 of the classes ...
 FREQUENT_LEAST = 32         # ... and in more than 32; so at most 8000 sets' worth are frequent
@@ -466,7 +469,7 @@ def _verified(batches):
     for b in batches:
         for at in range(0, b.num_rows, SLICE):
             a, c, ta, tc = (x.to_pylist() for x in b.slice(at, SLICE).columns)
-            if len(known) > 8 * SLICE:
+            if len(known) > 8 * SLICE or sum(map(len, known.values())) > KNOWN_SHINGLES:
                 known.clear()
             load(a, ta)
             load(c, tc)
@@ -559,13 +562,19 @@ def components(edges: DataFrame) -> DataFrame:
             return new.select("node", "label")
 
 
+def written_in_parts(df: DataFrame, name: str) -> DataFrame:
+    """:func:`written`, with few rows of texts at a time on the way to the Python workers."""
+    with conf_during(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS)):
+        return written(df, name)
+
+
 class Join:
     """One self-join over documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame):
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-        described = written(self.docs.mapInArrow(_describe, MEMBERS), "sets")
+        described = written_in_parts(self.docs.mapInArrow(_describe, MEMBERS), "sets")
         self.members = described.select("doc_id", "n", "h1", "h2")
         classes = described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("bins").alias("bins"))
@@ -616,10 +625,10 @@ class Join:
                     [x[1] for x in got], pa.int64()), part.column(1).filter(pa.array(ok))], ["h1", "h2", "text"])
         texts = self.docs.mapInArrow(reread, "h1 bigint, h2 bigint, text string")
         texts = texts.join(wanted, ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("node", "text")
-        texts = written(texts, f"{name}-texts")
+        texts = written_in_parts(texts, f"{name}-texts")
         rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        return written(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links"), pairs, texts
+        return written_in_parts(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links"), pairs, texts
 
     @functools.cached_property
     def connected(self) -> tuple[DataFrame, DataFrame]:
@@ -627,7 +636,7 @@ class Join:
         buckets = max(16, self.total // BUCKET_SHINGLES)
         frequent = self.spark.sparkContext.broadcast(Frequent(self.frequent))
         dealt = self.docs.select("text").mapInArrow(_deal(buckets, frequent), DEALT)
-        grouped = written(dealt.groupBy("bucket").applyInArrow(_group, GROUPED), "groups")
+        grouped = written_in_parts(dealt.groupBy("bucket").applyInArrow(_group, GROUPED), "groups")
         sets = grouped.where("h1 is not null")
         ids = written(sets.select(F.col("a").alias("id"), "h1", "h2").join(
             self.classes.select("node", "h1", "h2"), ["h1", "h2"]).select("id", "node"), "ids")
