@@ -60,8 +60,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import conf_during
-from .common import SLICE_ROWS, bitmap, drop_caches, forget, in_bitmap, shuffle_partitions, slices, written
+from .common import SLICE_ROWS, bitmap, drop_caches, forget, in_bitmap, shuffle_partitions, slices, written, written_in_parts
 from .shingles import U, mix, shingle_sets
 
 SLICE = 256                 # pairs verified at a time
@@ -76,7 +75,6 @@ TILE = 1024                 # sets of a component that a tile holds, about ...
 TILE_SHINGLES = 1 << 19     # ... and their shingles
 COLUMNS = 4096              # shingles of a tile in one matrix product
 KNOWN_SHINGLES = 1 << 21    # shingles of sets that verification keeps at hand
-ARROW_ROWS = 512            # rows with texts that go to a Python worker at a time
 FLUSH = 750_000             # signatures a task holds before it deals them out
 SAMPLE_BITS = 4             # 1/16 of the classes (by their identity) tell which shingles are frequent
 FREQUENT_SHARE = 8000       # frequent: in more than 1/8000 of the classes ...
@@ -562,12 +560,6 @@ def components(edges: DataFrame) -> DataFrame:
             return new.select("node", "label")
 
 
-def written_in_parts(df: DataFrame, name: str) -> DataFrame:
-    """:func:`written`, with few rows of texts at a time on the way to the Python workers."""
-    with conf_during(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS)):
-        return written(df, name)
-
-
 class Join:
     """One self-join over documents (doc_id, text)."""
 

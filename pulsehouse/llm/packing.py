@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import slices, written_in_parts
 from .tokens import encoder
 
 WINDOW = 1024
 PIECE = 256
 END_ID = 0
 GROUP_WINDOWS = 256
-CACHE_ENTRIES = 1_000_000      # texts between spaces kept per worker (about 200 MB)
+CACHE_ENTRIES = 500_000        # texts between spaces kept per worker (about 100 MB)
 PIECES = "piece bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint"
 
@@ -155,4 +155,4 @@ def sequences(cut: DataFrame, packed: DataFrame) -> DataFrame:
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
-    return pack(written(pieces(docs, with_ids=False), "pieces")).drop("piece")
+    return pack(written_in_parts(pieces(docs, with_ids=False), "pieces")).drop("piece")
