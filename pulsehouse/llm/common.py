@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import sys
@@ -76,14 +77,18 @@ def slices(batches, column: int):
             at = end
 
 
-def drop_caches() -> None:
-    """Empty the token and word caches that tasks of other operators left in this worker: a
-    reused worker keeps them, up to some hundred megabytes."""
+def drop_caches(but: str = "") -> None:
+    """Empty the token and word caches that tasks of other operators left in this worker (a reused
+    worker keeps them, up to some hundred megabytes) and give freed memory back to the system."""
     for module, clear in (("tokens", lambda m: m.encoder.cache_clear()), ("alignment", lambda m: m.pair.cache_clear()),
                           ("quality_classifier", lambda m: m._WORDS.clear())):
         loaded = sys.modules.get(f"{__package__}.{module}")
-        if loaded:
+        if loaded and module != but:
             clear(loaded)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

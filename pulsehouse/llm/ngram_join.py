@@ -245,6 +245,7 @@ def _sets_of(batches, column: int):
     drop_caches()
     for part in slices(batches, column):
         yield part, shingle_sets(part.column(column).to_pylist())
+    drop_caches()
 
 
 # ---- pass 1: sets' identities, sizes, outlines; frequent shingles ----------------------------

@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written_in_parts
+from .common import drop_caches, slices, written_in_parts
 from .tokens import encoder
 
 WINDOW = 1024
 PIECE = 256
 END_ID = 0
 GROUP_WINDOWS = 256
-CACHE_ENTRIES = 500_000        # texts between spaces kept per worker (about 100 MB)
+CACHE_ENTRIES = 1_500_000      # texts between spaces kept per worker (about 300 MB)
 PIECES = "piece bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint"
 
@@ -50,6 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
     width = 7 if with_ids else 6
 
     def run(batches):
+        drop_caches("tokens")
         enc = encoder(tokenizer, CACHE_ENTRIES)
         number = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()

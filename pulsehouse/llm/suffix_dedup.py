@@ -390,6 +390,7 @@ def strip(docs: DataFrame) -> DataFrame:
         for b in batches:
             text = [x.decode("utf-8", "ignore") for x in b.column(len(k)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:len(k)], pa.array(text, pa.string())], [*k, "text"])
+        drop_caches()
     out = out.mapInArrow(decode, ddl)
     back = {c: F.col(a) for c, a in zip(others, k)} | {"text": F.col("text")}
     if "n_chars" in back:
