@@ -43,7 +43,7 @@ def byte_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, piece: int = PIECE,
-           end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+           end_id: int = END_ID, with_ids: bool = True, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """All pieces with their ids (unsigned 32-bit little-endian; or without, where only the
     packing is wanted); ``piece`` numbers them."""
     tokenizer = tokenizer or byte_tokenizer()
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
 
     def run(batches):
         drop_caches("tokens")
-        enc = encoder(tokenizer, CACHE_ENTRIES)
+        enc = encoder(tokenizer, cache_entries)
         number = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
         for s in slices(batches, 1):
@@ -155,5 +155,5 @@ def sequences(cut: DataFrame, packed: DataFrame) -> DataFrame:
         "sequence_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
 
 
-def query(spark, docs: DataFrame) -> DataFrame:
-    return pack(written_in_parts(pieces(docs, with_ids=False), "pieces")).drop("piece")
+def query(spark, docs: DataFrame, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+    return pack(written_in_parts(pieces(docs, with_ids=False, cache_entries=cache_entries), "pieces")).drop("piece")
