@@ -13,15 +13,18 @@
    its blocks between two children, drawing how many of each source go left
    from the multivariate hypergeometric distribution. After ``levels`` halvings
    every leaf is an output shard whose block counts differ by one at most, and
-   each source's quota is used up exactly.
+   each source's quota is used up exactly. The draw is made in two steps, first
+   between groups of ``SOURCES_PER_GROUP`` sources, then inside every group with
+   what its group drew, so that no row of the tree holds all sources.
 5. Draw: shards take disjoint runs of the source's permuted blocks, and every
    shard orders its documents by its own hash.
 
 Defined cases: NULL text has size 0 and is never taken; a source without words
 has target 0; rows that repeat are separate supply, told apart by a number
-(their order among equals does not matter, as they are equal). The number of
-sources is the number of entries in the weight table: it must not exceed
-``MAX_SOURCES``, else an error is raised.
+(their order among equals does not matter, as they are equal). Rows are named by
+128 bits. Any number of sources is mixed: the table of their targets (one row a
+source, ordered in one task) is broadcast up to ``BROADCAST_SOURCES`` rows and
+joined by a shuffle beyond.
 """
 from __future__ import annotations
 
@@ -35,8 +38,10 @@ CAP = 2
 WEIGHTS = (3.0, 1.0, 2.0)
 BLOCK_WORDS = 20_000       # least block; with more words than that per place, blocks grow
 BLOCKS_PER_SHARD = 256     # most blocks of an output shard
-MAX_SOURCES = 100_000
+BROADCAST_SOURCES = 100_000
+SOURCES_PER_GROUP = 1_000
 SEED = 20_240_607
+NAME = ["uid", "uid2"]     # the two halves of a row's name
 
 
 def n_words(text: Column) -> Column:
@@ -73,66 +78,108 @@ def _unit(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *cols), 11) / F.lit(float(1 << 53))
 
 
-def split_tree(quotas: DataFrame, levels: int) -> DataFrame:
-    """(source_no, blocks) -> (source_no, shard, blocks): exact splits of all quotas.
+def _descend(node: DataFrame, levels: int, given: bool) -> DataFrame:
+    """(shard 0, q: array of source_no and blocks[, share: blocks of every leaf]) -> (source_no, shard, blocks).
 
     A node's blocks are passed over one after the other, source by source, and
     go left with probability (places left)/(blocks left): selection sampling,
-    whose counts per source are multivariate hypergeometric.
+    whose counts per source are multivariate hypergeometric. A node's places
+    are half its blocks, or (``given``) those of the leaves below it.
     """
-    node = quotas.agg(F.array_sort(F.collect_list(F.struct("source_no", "blocks"))).alias("q")).select(
-        F.lit(0).alias("shard"), "q")
+    zero = F.lit(0).cast("bigint")
     state = "struct<need:bigint,rest:bigint,left:array<bigint>>"
     for level in range(levels):
-        total = F.aggregate("q", F.lit(0).cast("bigint"), lambda a, x: a + x["blocks"])
+        half = 2 ** (levels - level - 1)
+        total = F.aggregate("q", zero, lambda a, x: a + x["blocks"])
+        places = (F.aggregate(F.slice("share", 1, half), zero, lambda a, x: a + x) if given
+                  else F.ceil(total / 2).cast("bigint"))
 
         def pick(acc, x):  # noqa: B023 (called at once)
-            start = F.struct(acc["need"].alias("need"), acc["rest"].alias("rest"), F.lit(0).cast("bigint").alias("got"))
+            start = F.struct(acc["need"].alias("need"), acc["rest"].alias("rest"), zero.alias("got"))
 
             def one(a, k):
-                hit = _unit(F.lit(level), F.col("shard"), x["source_no"], k) * a["rest"] < a["need"]
+                hit = _unit(F.lit(given), F.lit(level), F.col("shard"), x["source_no"], k) * a["rest"] < a["need"]
                 step = F.when(hit, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
                 return F.struct((a["need"] - step).alias("need"), (a["rest"] - 1).alias("rest"),
                                 (a["got"] + step).alias("got"))
-            end = F.when(x["blocks"] > 0, F.aggregate(
-                F.sequence(F.lit(1).cast("bigint"), x["blocks"]), start, one)).otherwise(start)
+            end = F.aggregate(F.sequence(F.lit(1).cast("bigint"), x["blocks"]), start, one)
             return let(end, lambda e: F.struct(
                 e["need"].alias("need"), e["rest"].alias("rest"),
                 F.concat(acc["left"], F.array(e["got"])).alias("left")).cast(state))
-        zero = F.struct(F.ceil(total / 2).cast("bigint").alias("need"), total.alias("rest"),
-                        F.array().cast("array<bigint>").alias("left")).cast(state)
-        node = node.withColumn("left", F.aggregate("q", zero, pick, lambda e: e["left"]))
-        left = F.zip_with("q", "left", lambda x, n: F.struct(x["source_no"].alias("source_no"), n.alias("blocks")))
-        right = F.zip_with("q", "left", lambda x, n: F.struct(x["source_no"].alias("source_no"),
-                                                              (x["blocks"] - n).alias("blocks")))
+        begin = F.struct(places.alias("need"), total.alias("rest"),
+                         F.array().cast("array<bigint>").alias("left")).cast(state)
+        node = node.withColumn("left", F.aggregate("q", begin, pick, lambda e: e["left"]))
+
+        def side(blocks):
+            rows = F.zip_with("q", "left", lambda x, n: F.struct(
+                x["source_no"].alias("source_no"), blocks(x["blocks"], n).alias("blocks")))
+            return F.filter(rows, lambda x: x["blocks"] > 0).alias("q")
+
+        def child(number: int, q: Column) -> Column:
+            below = [F.slice("share", 1 + number * half, half).alias("share")] if given else []  # noqa: B023
+            return F.struct((F.col("shard") * 2 + number).alias("shard"), q, *below)
         node = node.select(F.explode(F.array(
-            F.struct((F.col("shard") * 2).alias("shard"), left.alias("q")),
-            F.struct((F.col("shard") * 2 + 1).alias("shard"), right.alias("q")))).alias("n")).select("n.*")
+            child(0, side(lambda all_, n: n)), child(1, side(lambda all_, n: all_ - n)))).alias("n")).select("n.*")
     return node.select("shard", F.explode("q").alias("x")).select("x.source_no", "shard", "x.blocks")
 
 
+def split_tree(quotas: DataFrame, levels: int) -> DataFrame:
+    """(source_no, blocks) -> (source_no, shard, blocks above 0): exact splits of all quotas,
+    first between groups of sources, then in each group, given the group's blocks of every shard
+    (together the same distribution as one draw between all sources)."""
+    def listed(number: str) -> Column:
+        return F.array_sort(F.collect_list(F.struct(F.col(number).alias("source_no"), "blocks"))).alias("q")
+    groups = quotas.where("blocks > 0").groupBy(F.floor(F.col("source_no") / SOURCES_PER_GROUP).alias("grp")).agg(
+        listed("source_no"), F.sum("blocks").alias("blocks"))
+    groups = written(groups, "mix-groups")
+    top = written(_descend(groups.agg(listed("grp")).select(F.lit(0).alias("shard"), "q"), levels, False), "mix-top")
+    share = F.transform(F.sequence(F.lit(0), F.lit(2**levels - 1)),
+                        lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0).cast("bigint")))
+    shares = top.groupBy(F.col("source_no").alias("grp")).agg(F.map_from_entries(F.collect_list(
+        F.struct("shard", "blocks"))).alias("of")).select("grp", share.alias("share"))
+    return _descend(groups.join(shares, "grp").select(F.lit(0).alias("shard"), "q", "share"), levels, True)
+
+
+def row_name(docs: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns of a row, NULLs told by their place."""
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    cols += [c.isNull() for c in cols]
+    return [F.xxhash64(*cols).alias("uid"), F.xxhash64(F.lit(SEED), *cols).alias("uid2")]
+
+
 def supply(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row per document: uid (hash of all its columns), nth (tells equal rows
-    apart), source, size. Written once, as two passes read it."""
-    rows = docs.select(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("uid"),
-                       *[F.col(f"`{c}`") for c in keep],
-                       F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("uid").orderBy("size")))
-    return written(rows, "mix-supply")
+    """One row per document: uid, uid2 (hashes of all its columns), nth (tells equal rows
+    apart), source, size. Written once, as two passes read it.
+
+    Equal rows of a task are one row with their number until the numbers of the tasks before
+    are known, so any number of them is spread over as many tasks as read them."""
+    rows = docs.select(*row_name(docs), *[F.col(f"`{c}`") for c in keep],
+                       F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
+                       F.spark_partition_id().alias("part"))
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
+    before = Window.partitionBy(*NAME).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0).cast("bigint")))
+    rows = rows.repartition(*NAME, "part").withColumn(
+        "nth", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("m"))))
+    return written(rows.drop("part", "m", "before"), "mix-supply")
+
+
+def _with_targets(rows: DataFrame, goal: DataFrame, *cols: str) -> DataFrame:
+    """Rows with their source's columns of ``goal`` (a written table)."""
+    table = goal.select(F.col("source").alias("s"), *cols)
+    table = F.broadcast(table) if goal.count() <= BROADCAST_SOURCES else table.hint("merge")
+    return rows.join(table, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
 
 def plan(sizes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
-    """(copies taken: uid, nth, copy, words, size, shard, shuffle_key; targets by source).
+    """(copies taken: uid, uid2, nth, copy, words, size, shard, shuffle_key; targets by source).
 
     ``sizes`` is :func:`supply`. Prefix sums run over slices of a source's line, each slice a bounded
     range of the permutation hash, so a source with a third of all rows is
     many window partitions.
     """
-    spark = sizes.sparkSession
     src = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     src = written(src, "mix-sources")
-    if src.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     goal = targets(src.select("source", "source_size")).join(src.select(
         F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     goal = goal.withColumn("source_no", F.row_number().over(
@@ -143,16 +190,13 @@ def plan(sizes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
     goal = goal.withColumn("blocks", F.ceil(F.col("take") / block).cast("bigint"))
     goal = written(goal, "mix-targets")
 
-    some = F.col("size") > 0
-    rows = sizes.where(some).join(F.broadcast(goal.select(
-        F.col("source").alias("s"), "source_no", "source_size", "take", "blocks", "n")),
-        F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rows = _with_targets(sizes.where(F.col("size") > 0), goal, "source_no", "source_size", "take", "blocks", "n")
     copies = F.explode(F.sequence(F.lit(0), F.ceil(F.lit(float(CAP))).cast("int") - 1)).alias("copy")
     rows = rows.select("*", copies).where(F.col("copy") * F.col("source_size") < F.col("take"))
-    rows = rows.withColumn("place", _unit("copy", "uid", "nth"))
+    rows = rows.withColumn("place", _unit("copy", *NAME, "nth"))
     slices = F.greatest(F.lit(1), F.ceil(F.col("n") / 2000)).cast("int")
     rows = rows.withColumn("slice", F.floor(F.col("place") * slices).cast("int"))
-    line = Window.partitionBy("source_no", "copy", "slice").orderBy("place", "uid", "nth")
+    line = Window.partitionBy("source_no", "copy", "slice").orderBy("place", *NAME, "nth")
     within = line.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("in_slice", F.coalesce(F.sum("size").over(within), F.lit(0)))
     offs = rows.groupBy("source_no", "copy", "slice").agg(F.sum("size").alias("w"))
@@ -171,8 +215,8 @@ def plan(sizes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
     drawn = runs.select("source_no", "shard", F.explode(F.sequence(
         F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("block"))
     rows = rows.join(drawn, ["source_no", "block"])
-    rows = rows.select("uid", "nth", "copy", "words", "size", "shard", F.xxhash64(
-        F.lit(SEED + 1), "shard", "copy", "uid", "nth").alias("shuffle_key"))
+    rows = rows.select(*NAME, "nth", "copy", "words", "size", "shard", F.xxhash64(
+        F.lit(SEED + 1), "shard", "copy", *NAME, "nth").alias("shuffle_key"))
     return rows, goal
 
 
@@ -193,8 +237,8 @@ def mix(docs: DataFrame) -> DataFrame:
     word end. Rows need the columns text and source."""
     chosen, _ = plan(supply(docs), levels_for(docs.sparkSession))
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.xxhash64(*cols).alias("uid"), F.struct(*cols).alias("row")).dropDuplicates(["uid"])
-    out = chosen.join(rows, "uid")
+    rows = docs.select(*row_name(docs), F.struct(*cols).alias("row")).dropDuplicates(NAME)
+    out = chosen.join(rows, NAME)
     cut = F.when(F.col("words") < F.col("size"), first_words(F.col("row.text"), F.col("words"))
                  ).otherwise(F.col("row.text"))
     out = out.repartition("shard").sortWithinPartitions("shard", "shuffle_key")
@@ -210,10 +254,12 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def query(spark, docs: DataFrame) -> DataFrame:
+    """The words taken per document; n_shards, first_shard: the output shards they went to (0 and NULL for none)."""
     sizes = supply(docs.select("doc_id", "text", "source"), "doc_id")
     chosen, goal = plan(sizes, levels_for(spark))
-    taken = chosen.groupBy("uid", "nth").agg(F.sum("words").alias("taken"))
-    goal = goal.select(F.col("source").alias("s"), "source_size", "target")
-    rows = sizes.join(F.broadcast(goal), F.col("source").eqNullSafe(F.col("s"))).join(taken, ["uid", "nth"], "left")
+    taken = chosen.groupBy(*NAME, "nth").agg(       # at most CAP copies
+        F.sum("words").alias("taken"), F.size(F.collect_set("shard")).alias("n_shards"), F.min("shard").alias("first_shard"))
+    rows = _with_targets(sizes, goal, "source_size", "target").join(taken, [*NAME, "nth"], "left")
     return rows.select("doc_id", "size", F.col("source_size").cast("bigint").alias("source_size"), "target",
-                       F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+                       F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+                       F.coalesce("n_shards", F.lit(0)).alias("n_shards"), "first_shard")

@@ -6,6 +6,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from llm_rows import none, odd, odd_rows  # noqa: F401
+import pytest
+
 from pulsehouse.llm import fingerprints, mixing, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -100,12 +102,59 @@ def test_targets_are_water_filling(spark):
     assert all(abs(got[s] - want[s]) < 1e-6 for s in names)
 
 
-def test_tree_uses_up_every_quota(spark):
-    quotas = spark.createDataFrame([(1, 40), (2, 0), (3, 7), (4, 1)], "source_no bigint, blocks bigint")
+@pytest.mark.parametrize("group", [1000, 2])
+def test_tree_uses_up_every_quota(spark, monkeypatch, group):
+    monkeypatch.setattr(mixing, "SOURCES_PER_GROUP", group)
+    blocks = {1: 40, 2: 0, 3: 7, 4: 1, 5: 23, 9: 2}
+    quotas = spark.createDataFrame(list(blocks.items()), "source_no bigint, blocks bigint")
     rows = mixing.split_tree(quotas, 3).collect()
-    assert {s: sum(r["blocks"] for r in rows if r["source_no"] == s) for s in (1, 2, 3, 4)} == {1: 40, 2: 0, 3: 7, 4: 1}
+    assert {s: sum(r["blocks"] for r in rows if r["source_no"] == s) for s in blocks} == blocks
     per_shard = [sum(r["blocks"] for r in rows if r["shard"] == k) for k in range(8)]
     assert max(per_shard) - min(per_shard) <= 1
+    assert len({(r["source_no"], r["shard"]) for r in rows}) == len(rows) and all(r["blocks"] > 0 for r in rows)
+
+
+def test_grouped_draws_have_the_hypergeometric_mean(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES_PER_GROUP", 2)
+    blocks = {1: 30, 2: 10, 3: 20, 4: 4}
+    quotas = spark.createDataFrame(list(blocks.items()), "source_no bigint, blocks bigint")
+    left = {s: [] for s in blocks}
+    for seed in range(12):
+        monkeypatch.setattr(mixing, "SEED", seed)
+        got = {r["source_no"]: r["blocks"] for r in mixing.split_tree(quotas, 1).where("shard = 0").collect()}
+        assert sum(got.values()) == 32
+        for s in blocks:
+            left[s].append(got.get(s, 0))
+    assert all(abs(sum(left[s]) / 12 - n / 2) < 2 for s, n in blocks.items())
+    assert len(set(left[1])) > 1
+
+
+def test_any_number_of_sources_is_mixed(spark, odd, monkeypatch):
+    few = Counter(map(tuple, mixing.query(spark, odd).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    assert Counter(map(tuple, mixing.query(spark, odd).collect())) == few
+
+
+def test_documents_go_where_the_tree_drew_them(spark, odd, monkeypatch):
+    def shards(levels):
+        monkeypatch.setattr(mixing, "levels_for", lambda _: levels)
+        monkeypatch.setattr(mixing, "BLOCK_WORDS", 40)
+        rows = mixing.query(spark, odd).collect()
+        assert all((r["n_shards"] == 0) == (r["taken"] == 0) == (r["first_shard"] is None) for r in rows)
+        return {r["first_shard"] for r in rows} - {None}, Counter((r["doc_id"], r["taken"]) for r in rows)
+    (two, taken2), (five, taken5) = shards(1), shards(4)
+    assert two <= {0, 1} and max(five) > 1 and taken2 == taken5
+
+
+def test_equal_rows_are_numbered_over_tasks(spark):
+    df = spark.createDataFrame([(1, "a b", "s", None)] * 50 + [(1, "a b", None, "s")] * 3 + [(2, None, "s", None)],
+                               "doc_id bigint, text string, source string, lang string").repartition(7)
+    rows = mixing.supply(df, "doc_id").collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r["uid"], r["uid2"]), []).append(r["nth"])
+    assert sorted(map(len, by.values())) == [1, 3, 50]
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in by.values())
 
 
 def test_mix_of_odd_documents(spark, odd, none):
