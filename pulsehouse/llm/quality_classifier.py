@@ -96,7 +96,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, eligible: Column) -> n
     known = labels.where(eligible & F.col(label).isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("h"))
     known = known.orderBy("h", "doc_id", "y").limit(TRAIN_ROWS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("h", "y", "text")
+    # one document (of least hash) per labelled id, however many rows share it
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id", "h", "y").agg(
+        F.min(F.struct(F.xxhash64("text").alias("of"), "text")).alias("d")).select("h", "y", "d.text")
 
     def hashed(batches):
         for b in batches:

@@ -88,3 +88,16 @@ def test_toxic_documents_are_caught_and_clean_ones_left(spark, odd, labels, none
     assert len(got) == len(odd_rows()) and all(0 <= r["toxic_score"] <= 1 for r in got)
     assert toxicity.query(spark, none, labels).count() == 0
     assert {r["toxic"] for r in toxicity.query(spark, odd, labels.where("toxic = 0")).collect()} == {0}
+
+
+def test_one_document_per_labelled_id_is_learned(spark):
+    ship(spark)
+    docs = spark.createDataFrame([(1, f"good text {i}") for i in range(3000)] + [(2, "bad text"), (2, None)],
+                                 "doc_id bigint, text string")
+    known = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 0, 1)], "doc_id bigint, quality int, toxic int")
+    learned = []
+    once = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).limit(1).unionByName(
+        docs.where("doc_id = 2").orderBy(F.xxhash64("text")).limit(1))
+    for d in (docs, once):
+        learned.append((quality_classifier.learn(d, known, "quality", F.lit(True)).tobytes(), toxicity.learn(d, known)))
+    assert learned[0] == learned[1]
