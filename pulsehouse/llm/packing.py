@@ -74,41 +74,46 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
 
 
 def difference(lengths: np.ndarray, k: int) -> tuple[np.ndarray, int]:
-    """Window of each item among k, by multiway differencing; and the largest window."""
+    """Window of each item among k, by multiway differencing; and the largest window.
+
+    A partial partition holds the negated sums of its windows in use, largest window first,
+    and the set of items in each; the other windows are empty."""
     n = len(lengths)
     left, right = [], []          # inner nodes n, n+1, ...: two sets of items put in one window
-    heap = []
-    for i in np.argsort(-lengths, kind="stable").tolist():
-        sums, sets = np.zeros(k, np.int64), np.full(k, -1, np.int64)
-        sums[0], sets[0] = lengths[i], i
-        heap.append((-int(lengths[i]) if k > 1 else 0, len(heap), sums, sets))
-    heapq.heapify(heap)
+    order = np.argsort(-lengths, kind="stable")
+    heap = [(-v if k > 1 else 0, at, np.array([-v]), np.array([i])) for at, (i, v) in enumerate(
+        zip(order.tolist(), lengths[order].tolist()))]     # in the heap's order
     serial = len(heap)
     while len(heap) > 1:
         _, _, a, x = heapq.heappop(heap)
         _, _, b, y = heapq.heappop(heap)
-        a, x2, y2 = a + b[::-1], x, y[::-1]
-        both = (x2 >= 0) & (y2 >= 0)
-        sets = np.maximum(x2, y2)
-        m = int(both.sum())
-        if m:
-            left.append(x2[both])
-            right.append(y2[both])
-            sets[both] = n + np.arange(m)
-            n += m
-        order = np.argsort(-a, kind="stable")
-        a, sets = a[order], sets[order]
-        heapq.heappush(heap, (int(a[-1] - a[0]), serial, a, sets))
+        shared = max(0, len(a) + len(b) - k)
+        if shared:
+            at = len(a) - shared
+            b, y = b[::-1], y[::-1]
+            left.append(x[at:])
+            right.append(y[:shared])
+            a, x = (np.concatenate([a[:at], a[at:] + b[:shared], b[shared:]]),
+                    np.concatenate([x[:at], np.arange(n, n + shared), y[shared:]]))
+            n += shared
+            in_order = False
+        else:
+            in_order = len(b) == 1 and a[-1] <= b[0]
+            a, x = np.concatenate([a, b[::-1]]), np.concatenate([x, y[::-1]])
+        if not in_order:
+            order = a.argsort(kind="stable")
+            a, x = a[order], x[order]
+        heapq.heappush(heap, (int(a[0] - a[-1]) if len(a) == k else int(a[0]), serial, a, x))
         serial += 1
     _, _, sums, sets = heap[0]
     owner = np.full(n, -1, np.int64)
-    owner[sets[sets >= 0]] = np.flatnonzero(sets >= 0)
+    owner[sets] = np.arange(len(sets))
     base = n
     for lo, hi in zip(reversed(left), reversed(right)):   # parents come after their children
         base -= len(lo)
         up = owner[base:base + len(lo)]
         owner[lo], owner[hi] = up, up
-    return owner[:len(lengths)], int(sums[0])
+    return owner[:len(lengths)], -int(sums[0])
 
 
 def windows(lengths: np.ndarray, capacity: int) -> np.ndarray:
