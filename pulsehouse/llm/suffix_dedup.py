@@ -8,7 +8,10 @@ starts at two or more places of the corpus goes.
    bytes they all share are its *core*. Equal windows lie in regions of equal
    core, so regions are dealt by the core's hash: no other pairs need to meet.
 2. Copies. Regions equal in all bytes are recognised by hash, first within a
-   task and then in the core's bucket; all their windows recur.
+   task and then in the core's bucket; all their windows recur. A core with
+   EARLY or more kinds of regions in one task is known to be a shared one: its
+   regions there go straight to step 3, and its bucket gets one mark in their
+   place, so that no bucket grows with the documents that hold a passage.
 3. Suffix arrays. Where a core has different regions, the regions' bytes are
    fetched and one suffix array over them is built by linear grouping
    (:mod:`suffix_array`); windows with an equal neighbour among the core's
@@ -17,8 +20,11 @@ starts at two or more places of the corpus goes.
    LENGTH bytes, and the rest is kept.
 
 A core with more than GROUP different regions (a passage in very many texts,
-seen at its edges) would outgrow a task: its windows are dealt once more, each
-by its own content, and those of equal content recur.
+seen at its edges) would outgrow a task. Its regions are split into blocks of
+FINE offsets, which have longer cores of their own, and steps 2 and 3 run on
+these. What still shares such a core in more than GROUP kinds is the one block
+at the passage's very edge: its windows are dealt by their own content, and those
+of equal content recur.
 
 Defined cases: NULL text is empty; a text shorter than LENGTH loses nothing;
 rows that repeat lose all windows, as each has a copy; bytes are those of the
@@ -31,6 +37,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +51,16 @@ GRAM = 32
 BLOCK = 64
 SPAN = LENGTH - GRAM + 1        # grams in a window
 FLUSH = 1_500_000               # regions a task holds before it deals them out
-GROUP = 4000                    # different regions of a core that one suffix array takes
+EARLY = 32                      # kinds of regions in a task that tell a shared core
+MARK = 2                        # ``several`` of an entry that only says so
+GROUP = 1000                    # different regions of a core that one suffix array takes
+FINE = 8                        # offsets in a block of a core beyond GROUP
+ASKS = 1 << 14                  # regions in a row of early asks
 _POSITION = 22                  # bits for the position in a slice, when anchors are compared
 
 REGION = np.dtype([("core", "<u8"), ("same", "<u8"), ("x", "<u4"), ("n", "u1"), ("w", "<u2"), ("several", "u1")])
-DEALT = "bucket bigint, base bigint, entries binary, row_key bigint, starts binary"
-FOUND = "id bigint, core bigint, x bigint, y bigint, several boolean, row_key bigint, starts binary"
+DEALT = "bucket bigint, base bigint, entries binary, row_key binary, starts binary"
+FOUND = "id bigint, core bigint, x bigint, y bigint, several boolean, row_key binary, starts binary"
 
 
 def least_positions(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,15 +74,16 @@ def least_positions(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n - width + 1], before[width - 1:n])
 
 
-def regions(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text number, core hash, region hash, first start x, number of further starts) of all regions."""
+def regions(texts: list[bytes], width: int = BLOCK) -> tuple[np.ndarray, ...]:
+    """(text number, core hash, region hash, first start x, number of further starts) of all
+    regions, with blocks of ``width`` offsets."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
     size = np.array([len(t) for t in texts], np.int64)
     if len(raw) < LENGTH:
         return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
     if len(raw) >> _POSITION:   # one very long text: parts of it that share LENGTH - 1 bytes
         cut = (1 << _POSITION) - LENGTH
-        parts = [regions([texts[0][at:at + cut + LENGTH - 1]]) + (at,) for at in range(0, len(raw) - LENGTH + 1, cut)]
+        parts = [regions([texts[0][at:at + cut + LENGTH - 1]], width) + (at,) for at in range(0, len(raw) - LENGTH + 1, cut)]
         return tuple(np.concatenate([p[i] + (p[5] if i == 3 else 0) for p in parts]).astype(parts[0][i].dtype)
                      for i in range(5))
     sums = byte_sums(raw)
@@ -83,24 +95,25 @@ def regions(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     text = np.repeat(np.arange(len(texts)), windows)
     s = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(begin, windows)
     anchor = anchor[s]
-    block = (anchor - s) // BLOCK
+    block = (anchor - s) // width
     first = np.ones(len(s), bool)
     first[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (block[1:] != block[:-1])
     f = np.flatnonzero(first)
     e = np.append(f[1:], len(s)) - 1
     text, x, y, anchor, block = text[f], s[f], s[e], anchor[f], block[f]
-    lo = block * BLOCK
-    hi = np.minimum(lo + BLOCK, SPAN) - 1
+    lo = block * width
+    hi = np.minimum(lo + width, SPAN) - 1
     core = mix(string_hash(sums, anchor - lo, anchor - hi + LENGTH) ^ mix(block.astype(np.uint64) + U(1)))
     same = mix(string_hash(sums, x, y + LENGTH) ^ mix((anchor - x).astype(np.uint64) << U(32) ^ (y - x).astype(np.uint64)))
     return text, core, same, x - begin[text], y - x
 
 
 def _deal(buckets: int):
-    """Rows of a task: per bucket its regions; and per document (bucket < 0) its key and the
-    starts (x, y) of regions that the same task has seen more than once."""
+    """Rows of a task: per bucket its regions; and (bucket < 0) per document its key and the
+    starts (x, y) of regions that the same task has seen more than once, and the regions of
+    shared cores."""
     names = [c.split()[0] for c in DEALT.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def batch(*cols):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
@@ -127,6 +140,18 @@ def _deal(buckets: int):
             starts = [spans[a:z].tobytes() if z > a else None for a, z in zip(ends, ends[1:])]
             yield batch([-1 - (task * 31 + base) % buckets] * len(keys), [base + i for i in range(len(keys))],
                         [None] * len(keys), keys, starts)
+            c = np.flatnonzero(np.append(True, e["core"][1:] != e["core"][:-1]))
+            kinds = np.diff(np.append(c, len(e)))
+            early = np.repeat(kinds >= EARLY, kinds)
+            if early.any():
+                asks = e[early]
+                cut = range(0, len(asks), ASKS)
+                yield batch([-1 - (task * 31 + base + a) % buckets for a in cut], [base] * len(cut),
+                            [asks[a:a + ASKS].tobytes() for a in cut], [None] * len(cut), [None] * len(cut))
+                marks = c[kinds >= EARLY]
+                e["several"][marks] = MARK
+                early[marks] = False
+                e = e[~early]
             home = ((e["core"] >> U(32)) * U(buckets) >> U(32)).astype(np.int64)   # ascending, as the cores are
             cut = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
             k = len(cut)
@@ -153,16 +178,26 @@ def _deal(buckets: int):
 
 def _match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Of a bucket: starts that recur as their region has a copy (core null); and of cores with
-    different regions one region of each kind. Rows of documents pass through."""
+    different regions, here or by a mark, one region of each kind. Rows of documents and early
+    asks pass through."""
     names = [c.split()[0] for c in FOUND.split(", ")]
-    types = [pa.int64()] * 4 + [pa.bool_(), pa.int64(), pa.binary()]
-    n = table.num_rows
-    if key[0].as_py() < 0:
-        return pa.table([table.column("base"), *[pa.nulls(n, t) for t in types[1:5]], table.column("row_key"),
-                         table.column("starts")], names)
+    types = [pa.int64()] * 4 + [pa.bool_(), pa.binary(), pa.binary()]
+    rows = table.filter(pc.is_null(table.column("entries")))
+    table = table.filter(pc.is_valid(table.column("entries")))
     raw = table.column("entries").to_pylist()
     e = np.frombuffer(b"".join(raw), REGION)
     who = e["w"] + np.repeat(np.asarray(table.column("base"), np.int64), [len(x) // REGION.itemsize for x in raw])
+    if key[0].as_py() < 0:
+        n, x = rows.num_rows, e["x"].astype(np.int64)
+        return pa.concat_tables([
+            pa.table([rows.column("base"), *[pa.nulls(n, t) for t in types[1:5]], rows.column("row_key"),
+                      rows.column("starts")], names),
+            pa.table([pa.array(who), pa.array(e["core"].view(np.int64)), pa.array(x), pa.array(x + e["n"]),
+                      pa.array(e["several"] > 0), pa.nulls(len(e), types[5]), pa.nulls(len(e), types[6])], names)])
+    marked = np.unique(e["core"][e["several"] == MARK])
+    e, who = e[e["several"] != MARK], who[e["several"] != MARK]
+    if not len(e):
+        return pa.table([pa.nulls(0, t) for t in types], names)
     order = np.lexsort((e["same"], e["core"]))
     e, who = e[order], who[order]
     new = np.ones(len(e), bool)
@@ -175,6 +210,7 @@ def _match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     c = np.flatnonzero(np.append(True, core[1:] != core[:-1]))
     kinds = np.diff(np.append(c, len(core)))
     open_ = (kinds > 1) & (np.add.reduceat(~several, c) > 0)     # a kind there is still undecided
+    open_ |= np.isin(core[c], marked)
     ask = f[np.repeat(open_, kinds)]
     tell = (copies > 1)[kind]                                    # those of a task are told by the task
     at = np.concatenate([np.flatnonzero(tell), ask])
@@ -184,10 +220,10 @@ def _match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table([
         pa.array(who[at]), pa.array(e["core"][at].view(np.int64), mask=~asked), pa.array(x),
         pa.array(x + e["n"][at]), pa.array(several[kind[at]], mask=~asked),
-        pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())], names)
+        pa.nulls(len(at), types[5]), pa.nulls(len(at), types[6])], names)
 
 
-CUT = "core bigint, row_key bigint, x bigint, y bigint, several boolean, bytes binary"
+CUT = "core bigint, row_key binary, x bigint, y bigint, several boolean, bytes binary"
 
 
 def _cut(batches):
@@ -201,7 +237,7 @@ def _cut(batches):
                 for col, v in zip(cols, (a["core"], key, a["x"], a["y"], a["several"], raw[a["x"]:a["y"] + LENGTH])):
                     col.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
-            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))], names)
+            pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))], names)
 
 
 def recurring(texts: list[bytes], starts: list[int], several: list[bool]) -> list[list[int]]:
@@ -238,7 +274,7 @@ def recurring(texts: list[bytes], starts: list[int], several: list[bool]) -> lis
     return out
 
 
-def _runs(row: int, x: int, found: list[int], out: list[list]) -> None:
+def _runs(row: bytes, x: int, found: list[int], out: list[list]) -> None:
     """Appends the starts as runs of neighbours."""
     found = sorted(found)
     at = 0
@@ -251,7 +287,7 @@ def _runs(row: int, x: int, found: list[int], out: list[list]) -> None:
         at = z + 1
 
 
-STARTS = "row_key bigint, x bigint, y bigint"
+STARTS = "row_key binary, x bigint, y bigint"
 
 
 def _arrays(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -269,10 +305,28 @@ def _arrays(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             for i, s in enumerate(found):
                 _runs(row[at + i], x[at + i], s, out)
         at = z
-    return pa.table([pa.array(c, pa.int64()) for c in out], [c.split()[0] for c in STARTS.split(", ")])
+    return pa.table([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int64(), pa.int64()))],
+                    [c.split()[0] for c in STARTS.split(", ")])
+
+
+FINER = "core bigint, same bigint, row_key binary, x bigint, y bigint, several boolean, bytes binary"
 
 
-WINDOW = "h1 bigint, h2 bigint, row_key bigint, x bigint, several boolean"
+def _finer(batches):
+    """The regions of a region's windows in blocks of FINE offsets."""
+    names = [c.split()[0] for c in FINER.split(", ")]
+    column = [c.split()[0] for c in CUT.split(", ")]
+    for part in slices((b.select(column) for b in batches), 5):
+        raw = part.column(5).to_pylist()
+        text, core, same, x, n = regions(raw, FINE)
+        start = np.asarray(part.column(2), np.int64)[text] + x
+        yield pa.RecordBatch.from_arrays([
+            pa.array(core.view(np.int64)), pa.array(same.view(np.int64)), part.column(1).take(pa.array(text)),
+            pa.array(start), pa.array(start + n), part.column(4).take(pa.array(text)),
+            pa.array([raw[t][a:a + k + LENGTH] for t, a, k in zip(text.tolist(), x.tolist(), n.tolist())], pa.binary())], names)
+
+
+WINDOW = "h1 bigint, h2 bigint, row_key binary, x bigint, several boolean"
 
 
 def _windows(batches):
@@ -283,14 +337,40 @@ def _windows(batches):
             h = [hashlib.blake2b(raw[i:i + LENGTH], digest_size=16).digest() for i in range(y - x + 1)]
             h = np.frombuffer(b"".join(h), "<i8").reshape(-1, 2)
             k = len(h)
-            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([key] * k, pa.int64()), pa.array(
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([key] * k, pa.binary()), pa.array(
                 range(x, x + k), pa.int64()), pa.array([several] * k, pa.bool_())], names)
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """row_key (a hash of doc_id and text), text (NULL: empty), and further columns."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("row_key"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+    """row_key (128 bits of a hash of doc_id and text), text (NULL: empty), and further columns."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\0"), text)
+    return docs.select(F.unhex(F.md5(key.cast("binary"))).alias("row_key"), text.alias("text"), *more)
+
+
+def _by_arrays(cut: DataFrame, buckets: int) -> DataFrame:
+    bucket = F.pmod(F.xxhash64("core"), F.lit(buckets))
+    return cut.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_arrays, STARTS)
+
+
+def _by_finer_blocks(cut: DataFrame, buckets: int) -> list[DataFrame]:
+    """Recurring starts among regions whose cores have too many kinds for one suffix array."""
+    finer = cut.mapInArrow(_finer, FINER)
+    kinds = written(finer.groupBy("core", "same").agg(
+        F.count("*").alias("k"), F.max("several").alias("several"),
+        F.min(F.struct("row_key", "x")).alias("first")), "kinds")
+    told = finer.where("not several").join(kinds.where("k > 1").select("core", "same"), ["core", "same"])
+    cores = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min(F.expr("several or k > 1")).alias("decided"))
+    asked = kinds.join(cores.where("kinds > 1 and not decided"), "core").select(
+        "core", "same", "first.*", "kinds", F.expr("several or k > 1").alias("known"))
+    # an early ask of a repeated row may stand there twice
+    rest = finer.drop("several").dropDuplicates(["core", "same", "row_key", "x"]).join(
+        asked, ["core", "same", "row_key", "x"]).withColumnRenamed("known", "several")
+    rest = written(rest, "finer")
+    windows = rest.where(F.col("kinds") > GROUP).mapInArrow(_windows, WINDOW)
+    often = windows.groupBy("h1", "h2").agg(F.count("*").alias("k")).where("k > 1").select("h1", "h2")
+    split = windows.where("not several").join(often, ["h1", "h2"]).select("row_key", "x", F.col("x").alias("y"))
+    return [told.select("row_key", "x", "y"), _by_arrays(rest.where(F.col("kinds") <= GROUP), buckets), split]
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -306,22 +386,22 @@ def repeats(docs: DataFrame) -> DataFrame:
     asks = found.where("core is not null").groupBy("id").agg(
         F.collect_list(F.struct("core", "x", "y", "several")).alias("asks"))
     asks = written(asks.join(where, "id").groupBy("row_key").agg(F.flatten(F.collect_list("asks")).alias("asks")), "asks")
-    asked = bitmap_filter(rows.select("row_key", "text"), asks.select("row_key"))
+    low = F.xxhash64("row_key").alias("low")
+    asked = bitmap_filter(rows.select(low, "row_key", "text"), asks.select(low))
     cut = asked.dropDuplicates(["row_key"]).join(asks, "row_key").select("row_key", "text", "asks").mapInArrow(_cut, CUT)
     cut = written(cut, "cut")
     # a core may be too large for one task: those are few, as each holds over GROUP regions
     large = cut.groupBy("core").agg(F.count("*").alias("k")).where(F.col("k") > GROUP).select("core")
-    bucket = F.pmod(F.xxhash64("core"), F.lit(buckets))
-    small = cut.join(large, "core", "left_anti").withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_arrays, STARTS)
-    windows = cut.join(large, "core", "left_semi").mapInArrow(_windows, WINDOW)
-    often = windows.groupBy("h1", "h2").agg(F.count("*").alias("k")).where("k > 1").select("h1", "h2")
-    split = windows.where("not several").join(often, ["h1", "h2"]).select("row_key", "x", F.col("x").alias("y"))
+    small = _by_arrays(cut.join(large, "core", "left_anti"), buckets)
+    finer = _by_finer_blocks(cut.join(large, "core", "left_semi"), buckets)
 
     def listed(df):
         return df.select("row_key", F.struct("x", "y").alias("s"))
     told = found.where("core is null and row_key is null").groupBy("id").agg(F.collect_list(F.struct("x", "y")).alias("s"))
     told = told.join(where, "id").select("row_key", F.explode("s").alias("s"))
-    spans = told.unionByName(listed(small)).unionByName(listed(split)).groupBy("row_key").agg(F.collect_set("s").alias("starts"))
+    for found_in in (small, *finer):
+        told = told.unionByName(listed(found_in))
+    spans = told.groupBy("row_key").agg(F.collect_set("s").alias("starts"))
     local = found.where("starts is not null").groupBy("row_key").agg(F.collect_set("starts").alias("local"))
     return spans.join(local, "row_key", "full_outer")
 

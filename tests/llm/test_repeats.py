@@ -2,7 +2,10 @@
 import hashlib
 import random
 from collections import Counter
+from unittest import mock
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import none, odd, odd_rows, words  # noqa: F401
@@ -43,13 +46,16 @@ def shared_texts():
     texts.append(passage + " middle " + passage)
     texts.append("é" * 150 + passage[:199])                    # 199 bytes are too few
     texts.append("ab" * 500)                                   # overlapping repeats of itself
+    texts += texts[:6] + texts[:1]                             # copies that hold the shared passage
     return texts
 
 
-@pytest.mark.parametrize("group", [4000, 3])
-def test_removal_is_exact(spark, monkeypatch, group):
-    """With ``group`` = 3 most cores go the way of the very large ones."""
+@pytest.mark.parametrize("group, early", [(1000, 32), (3, 32), (1000, 2), (3, 2), (1, 3)])
+def test_removal_is_exact(spark, monkeypatch, group, early):
+    """With low ``group`` most cores are split into finer blocks and single windows, with low
+    ``early`` most regions pass by their core's bucket."""
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    monkeypatch.setattr(suffix_dedup, "EARLY", early)
     texts = shared_texts()
     docs = written(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3), "t-shared")
     got = {r["doc_id"]: r for r in suffix_dedup.query(spark, docs).collect()}
@@ -58,6 +64,34 @@ def test_removal_is_exact(spark, monkeypatch, group):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (n, gone, runs, sha), i
 
 
+def test_a_shared_core_leaves_one_mark_a_task_in_its_bucket():
+    """However many documents hold a passage, its buckets get at most EARLY entries from a task."""
+    rng = random.Random(3)
+    passage = " ".join(words(rng, 60, 10**6))
+    for n in (200, 2000):
+        texts = pa.array([" ".join(words(rng, 8, 10**6)) + passage + " ".join(words(rng, 8, 10**6)) for _ in range(n)])
+        keys = pa.array([b"%016d" % i for i in range(n)])
+        with mock.patch.object(suffix_dedup.TaskContext, "get", return_value=mock.Mock(partitionId=lambda: 1)):
+            out = pa.Table.from_batches(suffix_dedup._deal(8)([pa.RecordBatch.from_arrays([keys, texts], ["row_key", "text"])]))
+        dealt = [np.frombuffer(r["entries"], suffix_dedup.REGION) for r in out.to_pylist() if r["bucket"] >= 0]
+        most = Counter(np.concatenate(dealt)["core"].tolist()).most_common(1)[0][1]
+        early = [r for r in out.to_pylist() if r["bucket"] < 0 and r["entries"]]
+        assert most < suffix_dedup.EARLY and sum(len(r["entries"]) for r in early) > n * suffix_dedup.REGION.itemsize
+
+
+@pytest.mark.parametrize("width", [64, 8, 1])
+def test_finer_blocks_hold_every_window_once(width):
+    texts = [t.encode() for t in shared_texts()]
+    text, core, same, x, n = suffix_dedup.regions(texts, width)
+    held = Counter((t, s) for t, a, k in zip(text.tolist(), x.tolist(), n.tolist()) for s in range(a, a + k + 1))
+    assert held == Counter((t, s) for t, raw in enumerate(texts) for s in range(len(raw) - 199)) and n.max() < width
+    of = {(t, s): c for t, c, a, k in zip(text.tolist(), core.tolist(), x.tolist(), n.tolist()) for s in range(a, a + k + 1)}
+    cores: dict[bytes, set] = {}
+    for (t, s), c in of.items():
+        cores.setdefault(texts[t][s:s + 200], set()).add(c)
+    assert all(len(c) == 1 for c in cores.values())            # equal windows meet in one core
+
+
 def test_odd_documents_and_empty_table(spark, odd, none):
     rows = odd_rows()
     want = Counter((r[0], *b[:4]) for r, b in zip(rows, brute([r[1] for r in rows])))
