@@ -12,19 +12,17 @@ along the pointers, at the front of what is left of their groups.
 """
 from __future__ import annotations
 
+import numpy as np
+
 
 def suffix_array(text: list[int]) -> list[int]:
     """Suffix array of a list of integers whose last element is its only least one."""
     n = len(text)
-    order = sorted(range(n), key=text.__getitem__)
-    group, size, at = [0] * n, [0] * n, [0] * n
-    start, last = 0, None
-    for k, s in enumerate(order):
-        at[s] = k
-        if text[s] != last:
-            last, start = text[s], k
-        group[s] = start
-        size[start] += 1
+    symbols = np.asarray(text)
+    by_symbol = np.argsort(symbols, kind="stable")
+    starts = np.searchsorted(symbols[by_symbol], symbols)      # of each suffix, its group's start
+    order, group, size = by_symbol.tolist(), starts.tolist(), np.bincount(starts, minlength=n).tolist()
+    at = np.argsort(by_symbol).tolist()
     prev, new = [-1] * n, [0] * n
     end = n - 1
     while end > 0:

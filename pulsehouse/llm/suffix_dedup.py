@@ -300,10 +300,21 @@ def _arrays(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         z = at
         while z < len(core) and core[z] == core[at]:
             z += 1
-        if z > at + 1:
-            found = recurring(raw[at:z], [b - a for a, b in zip(x[at:z], y[at:z])], several[at:z])
-            for i, s in enumerate(found):
-                _runs(row[at + i], x[at + i], s, out)
+        kinds: dict[bytes, list[int]] = {}
+        for i in range(at, z):
+            kinds.setdefault(raw[i], []).append(i)
+        one = [of[0] for of in kinds.values()]
+        known = [len(of) > 1 or several[of[0]] for of in kinds.values()]
+        for of in kinds.values():       # regions of early asks may have copies here
+            if len(of) > 1:
+                for i in of:
+                    if not several[i]:
+                        for col, v in zip(out, (row[i], x[i], y[i])):
+                            col.append(v)
+        if len(one) > 1 and not all(known):
+            found = recurring([raw[i] for i in one], [y[i] - x[i] for i in one], known)
+            for i, s in zip(one, found):
+                _runs(row[i], x[i], s, out)
         at = z
     return pa.table([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int64(), pa.int64()))],
                     [c.split()[0] for c in STARTS.split(", ")])
@@ -350,7 +361,8 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
 
 def _by_arrays(cut: DataFrame, buckets: int) -> DataFrame:
     bucket = F.pmod(F.xxhash64("core"), F.lit(buckets))
-    return cut.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_arrays, STARTS)
+    # a number of partitions of its own: by their bytes, Spark would merge what takes long to sort
+    return cut.withColumn("bucket", bucket).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_arrays, STARTS)
 
 
 def _by_finer_blocks(cut: DataFrame, buckets: int) -> list[DataFrame]:
