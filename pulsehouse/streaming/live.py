@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..functions.expressions import PERCENTILE_ACCURACY, count_if_true, latency_percentiles, pct
 from ..operators import silver as silver_ops
 from ..schemas import BRONZE, SILVER, SILVER_COLUMNS
+from ..session import conf_during
 from ..sources import lake
 
 KPI_KEYS = ["service", "event_date", "event_hour"]
@@ -83,12 +84,14 @@ def distinct_users_stream(silver: DataFrame) -> DataFrame:
 def _batch_writer(out: str, partitions: list[str]):
     """Writes a micro-batch under its own ``batch_id`` folders, below the data's partitions so
     that a date filter prunes before batches are listed. REBALANCE gives one file per folder
-    and batch unless the folder is large."""
+    and batch unless the folder is large; a stateful query runs without AQE, which ignores the
+    hint, so AQE is on for the write alone (the state's own shuffle is planned by then)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         keys = [*partitions, "batch_id"]
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", *keys)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*keys).parquet(out))
+        with conf_during(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", *keys)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*keys).parquet(out))
     return write
 
 

@@ -196,3 +196,21 @@ def test_state_is_kept_in_rocksdb(spark):
     # a batch's checkpoint is its changes
     import glob
     assert glob.glob(f"{local(root)}/_ck/state/**/*.changelog", recursive=True)
+
+
+def test_a_stream_batch_writes_one_file_per_folder(spark):
+    """The stateful query has a task per state partition; its rows are gathered by folder before they are written."""
+    import glob
+    root = scratch_path(spark, "t-files")
+    src = os.path.join(local(root), "bronze")
+    os.makedirs(src)
+    _put(src, "a.jsonl", [_visit(i, f"2024-01-0{1 + i % 2}T10:10:00+00:00", f"u{i}", ("auth-api", "user-svc")[i // 2 % 2])
+                          for i in range(200)], 0)
+    slv = live.silver_stream(live.bronze_stream(spark, src), "2 days")
+    live.start_silver_sink(slv, f"{root}/silver", f"{root}/_ck_silver").awaitTermination()
+    live.start_kpis_sink(live.hourly_kpis_stream(slv), f"{root}/kpis", f"{root}/_ck_kpis").awaitTermination()
+    files = glob.glob(f"{local(root)}/silver/event_date=*/service=*/batch_id=0/part-*")
+    assert len(files) == 4 and live.read_silver_sink(spark, f"{root}/silver").count() == 200
+    assert len(glob.glob(f"{local(root)}/kpis/event_date=*/batch_id=0/part-*")) == 2
+    assert sorted((r.service, r.event_hour, r.total_requests) for r in live.read_kpis_sink(spark, f"{root}/kpis").collect()) == [
+        ("auth-api", 10, 50)] * 2 + [("user-svc", 10, 50)] * 2
