@@ -13,6 +13,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters for which Python's and the tokenizer's classes (space, letter, digit) agree.
 _COMMON = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xff]")
@@ -61,7 +63,7 @@ class Encoder:
     def _parts(self, piece: str) -> list[str]:
         """What the tokenizer itself cuts a piece into (or coarser): parts are met again more often."""
         if self.word_ends:
-            return _WORDS.findall(piece)
+            return [piece] if piece.isalpha() else _WORDS.findall(piece)
         word = piece.rstrip(_STOPS)
         return [word, piece[len(word):]] if len(word) < len(piece) and word[1:].isalpha() else [piece]
 
@@ -100,24 +102,51 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
         whole = [i for i, t in enumerate(texts) if t and self._odd(t)]
         odd = set(whole)
-        for i, t in enumerate(texts):
-            if t and i not in odd:
-                cut.append((i, t.lower().split() if self.word_ends else chunks(t)))
+        cut = [i for i, t in enumerate(texts) if t and i not in odd]
         if len(self.cache) > self.cache_entries:
             self.cache.clear()
+        put = self._by_words if self.word_ends else self._by_chunks
+        for i, ids in zip(cut, put([texts[i] for i in cut])):
+            out[i] = ids
+        for i, ids in zip(whole, self._plain([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
+        cut = [chunks(t) for t in texts]
         new = set()
-        for _, pieces in cut:
+        for pieces in cut:
             new.update(pieces)
         self._learn(list(new.difference(self.cache)))
         get = self.cache.__getitem__
-        for i, pieces in cut:
-            out[i] = b"".join(map(get, pieces))
-        for i, ids in zip(whole, self._plain([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+        return [b"".join(map(get, pieces)) for pieces in cut]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Arrow numbers the words, so the cache is asked once for each distinct one; their ids are
+        laid out by number. White space at either end gives an empty word, which has no ids."""
+        if not texts:
+            return []
+        lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(self.cache.get, words))
+        new = [i for i, x in enumerate(got) if x is None]
+        self._learn([words[i] for i in new if words[i]])
+        for i in new:
+            got[i] = self.cache[words[i]] if words[i] else b""
+        ids = np.frombuffer(b"".join(got), self.dtype)
+        length = np.fromiter(map(len, got), np.int64, len(got)) // self.dtype.itemsize
+        start = np.cumsum(length) - length
+        code = coded.indices.to_numpy()
+        n = length[code]
+        after = np.cumsum(n)
+        at = np.repeat(start[code] - (after - n), n)
+        at += np.arange(len(at))
+        raw = ids[at].tobytes()
+        ends = np.append(0, after)[lists.offsets.to_numpy()] * self.dtype.itemsize
+        return [raw[a:z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 @functools.lru_cache(maxsize=2)

@@ -102,3 +102,24 @@ def test_padding_is_small():
     lengths = np.array([rng.randint(1, 256) for _ in range(1000)])
     k = packing.windows(lengths, 1024).max() + 1
     assert 1 - lengths.sum() / (1024 * k) < 0.02
+
+
+def test_words_are_looked_up_once_a_slice():
+    """A word's ids are asked of the cache once for all its places in the texts encoded together."""
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counting.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+    name = "word_bpe_49k.json"
+    enc, want = Encoder(public_tokenizers.path(name)), plain(name)
+    texts = ["  Red fox,\n\tred  Fox's 42 caf\xe9\xd7\xff ", "", None, " \n", "red fox " * 500, "fox\n", "na\u00efve \u4e2d fox", "x"]
+    enc.encode(texts)
+    enc.cache = Counting(enc.cache)
+    assert enc.encode(texts) == [np.array(want(t), enc.dtype).tobytes() for t in texts]
+    assert Counting.asked < 20
