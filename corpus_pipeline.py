@@ -36,10 +36,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences (with a smaller word cache, as idle workers
-    keep it beside the next run's stages)."""
+    """Pieces of the documents, packed into sequences (with a smaller word cache that a worker gives
+    back after each task: idle workers would keep it beside the next run's stages)."""
     ship(spark)
-    return packing.query(spark, docs, cache_entries=400_000)
+    return packing.query(spark, docs, cache_entries=400_000, keep_cache=False)
 
 
 STAGES = [

@@ -43,9 +43,11 @@ def byte_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, piece: int = PIECE,
-           end_id: int = END_ID, with_ids: bool = True, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+           end_id: int = END_ID, with_ids: bool = True, cache_entries: int = CACHE_ENTRIES,
+           keep_cache: bool = True) -> DataFrame:
     """All pieces with their ids (unsigned 32-bit little-endian; or without, where only the
-    packing is wanted); ``piece`` numbers them."""
+    packing is wanted); ``piece`` numbers them. Without ``keep_cache`` a worker gives its
+    tokenizer and word cache back at the end of each task."""
     tokenizer = tokenizer or byte_tokenizer()
     width = 7 if with_ids else 6
 
@@ -69,6 +71,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(rows[:width])],
                 [x.split()[0] for x in columns])
+        if not keep_cache:
+            del enc
+            drop_caches()
     columns = PIECES.split(", ")[:width]
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, ", ".join(columns))
 
@@ -160,5 +165,6 @@ def sequences(cut: DataFrame, packed: DataFrame) -> DataFrame:
         "sequence_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
 
 
-def query(spark, docs: DataFrame, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
-    return pack(written_in_parts(pieces(docs, with_ids=False, cache_entries=cache_entries), "pieces")).drop("piece")
+def query(spark, docs: DataFrame, cache_entries: int = CACHE_ENTRIES, keep_cache: bool = True) -> DataFrame:
+    cut = pieces(docs, with_ids=False, cache_entries=cache_entries, keep_cache=keep_cache)
+    return pack(written_in_parts(cut, "pieces")).drop("piece")

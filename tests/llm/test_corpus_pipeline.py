@@ -2,6 +2,7 @@
 import importlib
 
 import duckdb
+import pyarrow as pa
 
 import corpus_pipeline
 from llm_rows import none, odd  # noqa: F401
@@ -43,3 +44,18 @@ def test_run_packs_what_the_mixture_holds(spark):
     rows = out.collect()
     assert rows and all(1 <= r["length"] <= 1024 for r in rows)
     assert "pipeline" not in importlib.import_module("__spark_entry__").oracle_sql()
+
+
+def test_idle_workers_keep_no_tokenizer_after_packing(spark):
+    import sys
+
+    def held(batches):
+        for b in batches:
+            tokens = sys.modules.get("pulsehouse.llm.tokens")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([tokens.encoder.cache_info().currsize if tokens else 0] * b.num_rows, pa.int64())], ["n"])
+    docs = spark.createDataFrame([(i, f"some words {i}", "en", "a", 12) for i in range(40)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars int").repartition(4)
+    assert corpus_pipeline.sequences(spark, docs, None).count() == 40
+    kept = spark.range(400).repartition(4).mapInArrow(held, "n bigint").agg({"n": "max"}).first()[0]
+    assert kept == 0
