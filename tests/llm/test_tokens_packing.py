@@ -123,3 +123,17 @@ def test_words_are_looked_up_once_a_slice():
     enc.cache = Counting(enc.cache)
     assert enc.encode(texts) == [np.array(want(t), enc.dtype).tobytes() for t in texts]
     assert Counting.asked < 20
+
+
+def test_runs_of_letters_digits_and_signs_are_looked_up_once_a_slice():
+    """White space, quotes and signs in all orders; a word met again with other signs is not learned anew."""
+    rng = random.Random(5)
+    parts = list("abzAZst'\"=.,;!?*#()09 \n\t\r éÀ×÷ß_-<>") + ["'s", "'re", "'RE", "don't", " '", "\n'", "''", "  ", "\r\n", "\n\n", "word", "I'll"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 60))) for _ in range(4000)]
+    enc, want = Encoder(public_tokenizers.path("byte_bpe_50k.json")), plain("byte_bpe_50k.json")
+    for at in range(0, len(texts), 256):
+        for t, raw in zip(texts[at:at + 256], enc.encode(texts[at:at + 256])):
+            assert np.frombuffer(raw, enc.dtype).tolist() == want(t).tolist(), t
+    enc.cache.clear()
+    enc.encode(["say word say", " word. word, word*** (word) word9 word?!"])
+    assert sorted(enc.cache) == sorted(["say", " word", " say", ".", ",", "***", " (", "word", ")", "9", "?!"])
