@@ -24,12 +24,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "zstd", parts: int | None = None) -> DataFrame:
     """Write a frame once to the shared checkpoint folder and read it back.
 
     Cuts the lineage with files every executor can reach; a lost executor
-    never forces the stages before this point to run again.
+    never forces the stages before this point to run again. ``parts``: the most
+    files to write, for a frame whose last stage reads a shuffle (with a number
+    that grows with the input, so that no task's share does).
     """
+    if parts:
+        df = df.coalesce(parts)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -40,10 +44,10 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 ARROW_ROWS = 512            # rows with texts that go to a Python worker at a time
 
 
-def written_in_parts(df: DataFrame, name: str) -> DataFrame:
+def written_in_parts(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """:func:`written`, with few rows of texts at a time on the way to the Python workers."""
     with conf_during(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS)):
-        return written(df, name)
+        return written(df, name, parts=parts)
 
 
 def forget(df: DataFrame) -> None:

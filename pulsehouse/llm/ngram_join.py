@@ -538,13 +538,13 @@ def _tiles(listed: bool):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, parts: int | None = None) -> DataFrame:
     """(node, label): the least node each node of the edges can reach. Labels spread to
     neighbours and jump to their labels' labels, so rounds grow with the logarithm of the
-    longest path; each round is written, and the one before it deleted."""
-    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    longest path; each round is written (in ``parts`` files at most), and the one before it deleted."""
+    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges", parts=parts)
     held = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
-                   .withColumnRenamed("a", "node"), "labels")
+                   .withColumnRenamed("a", "node"), "labels", parts=parts)
     while True:
         labels = held.select("node", "label")
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -553,7 +553,7 @@ def components(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
         new = step.join(jump, "next", "left").select(
             "node", F.least("next", "far").alias("label"), (F.least("next", "far") != F.col("label")).alias("moved"))
-        new = written(new, "labels")
+        new = written(new, "labels", parts=parts)
         forget(held)
         held = new
         if not new.where("moved").head(1):
@@ -569,9 +569,12 @@ class Join:
         self.docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
         described = written_in_parts(self.docs.mapInArrow(_describe, MEMBERS), "sets")
         self.members = described.select("doc_id", "n", "h1", "h2")
+        # most files of a written table: one for so many shingles; a task that writes opens processes
+        # on a local disk, and hundreds of tiny files cost more than their rows
+        self.parts = max(16, (self.members.agg(F.sum("n")).first()[0] or 0) // BUCKET_SHINGLES)
         classes = described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("bins").alias("bins"))
-        self.classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+        self.classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes", parts=self.parts)
         size = self.classes.agg(F.count("*"), F.sum("n")).first()
         self.count, self.total = size[0], size[1] or 0
         least = max(FREQUENT_LEAST, self.count // FREQUENT_SHARE) >> SAMPLE_BITS
@@ -601,9 +604,9 @@ class Join:
     def _verify(self, pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(the pairs that link, all pairs, (node, text) of the pairs' sets). Texts of needed sets only are read again: a bitmap of fixed size
         over set hashes lets all needed ones (and at scale some others) through."""
-        pairs = written(pairs, f"{name}-pairs")
+        pairs = written(pairs, f"{name}-pairs", parts=self.parts)
         need_ = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = written(self.classes.select("node", "h1", "h2").join(need_, "node"), f"{name}-wanted")
+        wanted = written(self.classes.select("node", "h1", "h2").join(need_, "node"), f"{name}-wanted", parts=self.parts)
         have = self.spark.sparkContext.broadcast(bitmap(wanted, "h1"))
 
         def reread(batches):
@@ -618,10 +621,10 @@ class Join:
                     [x[1] for x in got], pa.int64()), part.column(1).filter(pa.array(ok))], ["h1", "h2", "text"])
         texts = self.docs.mapInArrow(reread, "h1 bigint, h2 bigint, text string")
         texts = texts.join(wanted, ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("node", "text")
-        texts = written_in_parts(texts, f"{name}-texts")
+        texts = written_in_parts(texts, f"{name}-texts", parts=self.parts)
         rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        return written_in_parts(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links"), pairs, texts
+        return written_in_parts(rows.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint"), f"{name}-links", parts=self.parts), pairs, texts
 
     @functools.cached_property
     def connected(self) -> tuple[DataFrame, DataFrame]:
@@ -629,26 +632,26 @@ class Join:
         buckets = max(16, self.total // BUCKET_SHINGLES)
         frequent = self.spark.sparkContext.broadcast(Frequent(self.frequent))
         dealt = self.docs.select("text").mapInArrow(_deal(buckets, frequent), DEALT)
-        grouped = written_in_parts(dealt.groupBy("bucket").applyInArrow(_group, GROUPED), "groups")
+        grouped = written_in_parts(dealt.groupBy("bucket").applyInArrow(_group, GROUPED), "groups", parts=self.parts)
         sets = grouped.where("h1 is not null")
         ids = written(sets.select(F.col("a").alias("id"), "h1", "h2").join(
-            self.classes.select("node", "h1", "h2"), ["h1", "h2"]).select("id", "node"), "ids")
+            self.classes.select("node", "h1", "h2"), ["h1", "h2"]).select("id", "node"), "ids", parts=self.parts)
         bad = sets.select(F.col("a").alias("id"), F.explode("bad").alias("g")).join(ids, "id").select("g", "node").distinct()
-        bad = written(bad, "short")
+        bad = written(bad, "short", parts=self.parts)
         star = bad.join(bad.groupBy("g").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1"), "g")
         pairs = self._node_pairs(grouped.where("h1 is null and others is null").select("a", "b", F.col("h2").alias("whole")), ids)
         first = pairs.unionByName(self._allowed(star.select("a", F.col("node").alias("b")))).distinct()
         links, done, texts = self._verify(first, "star")
-        labels = components(links)
+        labels = components(links, self.parts)
 
         lists = grouped.where("others is not null").select(F.xxhash64("others").alias("g"), "others").dropDuplicates(["g"])
         groups = lists.select("g", F.explode("others").alias("id")).join(ids, "id").select("g", "node").distinct()
         groups = groups.unionByName(bad).join(labels, "node", "left").select(
             "g", "node", F.coalesce("label", "node").alias("label"))
-        groups = written(groups, "group-members")
+        groups = written(groups, "group-members", parts=self.parts)
         torn = groups.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k")
                                        ).where("lo < hi").select("g", "k", "lo")
-        torn = written(torn, "torn-groups")
+        torn = written(torn, "torn-groups", parts=self.parts)
         family = torn.groupBy("lo").agg(F.ceil(F.sum("k") / ACROSS_ROWS).alias("salts"))
         torn = torn.join(family, "lo").withColumn("salt", F.pmod(F.xxhash64("g"), F.col("salts"))).withColumn(
             "tiles", F.ceil(F.col("k") / GROUP).cast("int"))
@@ -659,7 +662,7 @@ class Join:
         side = F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2).cast("bigint")
         left = left.select(F.pmod(F.xxhash64("lo", "salt", i, j), F.lit(buckets)).alias("bucket"),
                            F.xxhash64("g", i, j).alias("g"), "node", "label", side.alias("side"))
-        left = written(left.join(self.classes.select("node", "n"), "node"), "torn")
+        left = written(left.join(self.classes.select("node", "n"), "node"), "torn", parts=self.parts)
         dealt = left.select("bucket", "g", "node", "label", "n", "side")
         outlines = dealt.select("bucket", "node").distinct().join(self.classes.select("node", "n", "bins"), "node").select(
             "bucket", *[F.lit(None).cast("bigint") if c in ("g", "label", "side") else F.col(c)
@@ -668,7 +671,7 @@ class Join:
             _across, "a bigint, b bigint").distinct()
         more, _, others = self._verify(cross.join(done, ["a", "b"], "left_anti"), "cross")
         texts = texts.unionByName(others.join(texts, "node", "left_anti"))
-        return components(links.unionByName(more)) if more.head(1) else labels, texts
+        return components(links.unionByName(more), self.parts) if more.head(1) else labels, texts
 
     def _paired_tiles(self) -> DataFrame:
         """Linked classes with their texts, once for each tile pair that their tile is in."""
@@ -703,7 +706,7 @@ class Join:
         least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
         classes = classes.join(least, "label")
         if counted:
-            classes = classes.join(written(self.n_links(), "n-links"), "node", "left").withColumn(
+            classes = classes.join(written(self.n_links(), "n-links", parts=self.parts), "node", "left").withColumn(
                 "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
         more = ["n_links"] if counted else []
         out = self.members.join(classes.select("h1", "h2", "n", "component_id", *more), ["h1", "h2", "n"], "left")

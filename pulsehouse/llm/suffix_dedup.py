@@ -56,6 +56,7 @@ MARK = 2                        # ``several`` of an entry that only says so
 GROUP = 1000                    # different regions of a core that one suffix array takes
 FINE = 8                        # offsets in a block of a core beyond GROUP
 ASKS = 1 << 14                  # regions in a row of early asks
+FILE_BYTES = 4_000_000          # bytes of texts for each file of a written table (tiny files cost more than their rows)
 _POSITION = 22                  # bits for the position in a slice, when anchors are compared
 
 REGION = np.dtype([("core", "<u8"), ("same", "<u8"), ("x", "<u4"), ("n", "u1"), ("w", "<u2"), ("several", "u1")])
@@ -365,12 +366,12 @@ def _by_arrays(cut: DataFrame, buckets: int) -> DataFrame:
     return cut.withColumn("bucket", bucket).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_arrays, STARTS)
 
 
-def _by_finer_blocks(cut: DataFrame, buckets: int) -> list[DataFrame]:
+def _by_finer_blocks(cut: DataFrame, buckets: int, parts: int) -> list[DataFrame]:
     """Recurring starts among regions whose cores have too many kinds for one suffix array."""
     finer = cut.mapInArrow(_finer, FINER)
     kinds = written(finer.groupBy("core", "same").agg(
         F.count("*").alias("k"), F.max("several").alias("several"),
-        F.min(F.struct("row_key", "x")).alias("first")), "kinds")
+        F.min(F.struct("row_key", "x")).alias("first")), "kinds", parts=parts)
     told = finer.where("not several").join(kinds.where("k > 1").select("core", "same"), ["core", "same"])
     cores = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min(F.expr("several or k > 1")).alias("decided"))
     asked = kinds.join(cores.where("kinds > 1 and not decided"), "core").select(
@@ -378,7 +379,7 @@ def _by_finer_blocks(cut: DataFrame, buckets: int) -> list[DataFrame]:
     # an early ask of a repeated row may stand there twice
     rest = finer.drop("several").dropDuplicates(["core", "same", "row_key", "x"]).join(
         asked, ["core", "same", "row_key", "x"]).withColumnRenamed("known", "several")
-    rest = written(rest, "finer")
+    rest = written(rest, "finer", parts=parts)
     windows = rest.where(F.col("kinds") > GROUP).mapInArrow(_windows, WINDOW)
     often = windows.groupBy("h1", "h2").agg(F.count("*").alias("k")).where("k > 1").select("h1", "h2")
     split = windows.where("not several").join(often, ["h1", "h2"]).select("row_key", "x", F.col("x").alias("y"))
@@ -391,21 +392,22 @@ def repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4 * shuffle_partitions(spark), total // 32_000_000)
+    parts = max(16, total // FILE_BYTES)
     dealt = rows.select("row_key", "text").mapInArrow(_deal(buckets), DEALT)
-    found = written(dealt.groupBy("bucket").applyInArrow(_match, FOUND), "regions")
+    found = written(dealt.groupBy("bucket").applyInArrow(_match, FOUND), "regions", parts=parts)
     where = found.where("row_key is not null").select("id", "row_key")
 
     asks = found.where("core is not null").groupBy("id").agg(
         F.collect_list(F.struct("core", "x", "y", "several")).alias("asks"))
-    asks = written(asks.join(where, "id").groupBy("row_key").agg(F.flatten(F.collect_list("asks")).alias("asks")), "asks")
+    asks = written(asks.join(where, "id").groupBy("row_key").agg(F.flatten(F.collect_list("asks")).alias("asks")), "asks", parts=parts)
     low = F.xxhash64("row_key").alias("low")
     asked = bitmap_filter(rows.select(low, "row_key", "text"), asks.select(low))
     cut = asked.dropDuplicates(["row_key"]).join(asks, "row_key").select("row_key", "text", "asks").mapInArrow(_cut, CUT)
-    cut = written(cut, "cut")
+    cut = written(cut, "cut", parts=parts)
     # a core may be too large for one task: those are few, as each holds over GROUP regions
     large = cut.groupBy("core").agg(F.count("*").alias("k")).where(F.col("k") > GROUP).select("core")
     small = _by_arrays(cut.join(large, "core", "left_anti"), buckets)
-    finer = _by_finer_blocks(cut.join(large, "core", "left_semi"), buckets)
+    finer = _by_finer_blocks(cut.join(large, "core", "left_semi"), buckets, parts)
 
     def listed(df):
         return df.select("row_key", F.struct("x", "y").alias("s"))
