@@ -69,7 +69,7 @@ GROUP = 2000                # members of a tile of a group, whose pairs one task
 BINS = 512                  # counts in a set's outline
 COARSE = 128                # ... summed to so many for a first look
 ACROSS_ROWS = 50_000        # members of one family's groups that a task compares
-ACROSS_PAIRS = 1 << 20      # pairs it holds at a time
+ACROSS_PAIRS = 1 << 17      # pairs it holds at a time
 BUCKET_SHINGLES = 500_000   # shingles of the corpus for each bucket of signatures
 TILE = 1024                 # sets of a component that a tile holds, about ...
 TILE_SHINGLES = 1 << 19     # ... and their shingles
@@ -219,17 +219,21 @@ def outline(s: np.ndarray) -> bytes:
 
 
 def _opened(cells: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(cells), "u1").reshape(-1, BINS).astype(np.int16)
+    return np.frombuffer(b"".join(cells), "u1").reshape(-1, BINS)
 
 
-def _within(x: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _coarse(x: np.ndarray) -> np.ndarray:
+    return x.reshape(len(x), COARSE, -1).sum(2, dtype=np.int16)
+
+
+def _within(x: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
     """Which of the pairs (i, j) have outlines no further apart than ``n // 7``."""
     ok = np.zeros(len(i), bool)
-    coarse = x.reshape(len(x), COARSE, -1).sum(2, dtype=np.int16)
+    coarse = _coarse(x) if coarse is None else coarse
     for at in range(0, len(i), 4096):
         part = slice(at, at + 4096)
         hit = np.flatnonzero(np.abs(coarse[i[part]] - coarse[j[part]]).sum(1) <= n[part] // 7) + at
-        ok[hit] = np.abs(x[i[hit]] - x[j[hit]]).sum(1) <= n[hit] // 7
+        ok[hit] = np.abs(x[i[hit]].astype(np.int16) - x[j[hit]]).sum(1) <= n[hit] // 7
     return ok
 
 
@@ -403,28 +407,29 @@ def _group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 def _candidates(g: np.ndarray, label: np.ndarray, n: np.ndarray, side: np.ndarray, place: np.ndarray):
     """Codes (place of one set << 32 | place of the other) of pairs of one group but of two
     components whose sizes may link; rows are sorted by (g, n). Two tiles of a group (sides 1
-    and 2) are only paired with each other. In blocks of distinct codes."""
+    and 2) are only paired with each other. In blocks of distinct codes: all groups of some sets
+    at a time, so that where places follow sizes a pair is in one block, however many groups it
+    is in (a set with over ACROSS_PAIRS pairs is cut: its codes may come again)."""
     end = np.searchsorted(g, g, "right")
     top = n * 4 // 3
     upto = np.empty(len(g), np.int64)
     for f in np.flatnonzero(np.append(True, g[1:] != g[:-1])):
         upto[f:end[f]] = f + np.searchsorted(n[f:end[f]], top[f:end[f]], "right")
     count = upto - np.arange(len(g)) - 1
-    total = np.cumsum(count)
-    held, at = np.empty(0, np.int64), 0
-    while at < len(g):
+    rows = np.argsort(place, kind="stable")
+    rows = rows[count[rows] > 0]
+    own, total, at = place[rows], np.cumsum(count[rows]), 0
+    while at < len(rows):
         to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + ACROSS_PAIRS, "right")))
-        c = count[at:to]
-        i = np.repeat(np.arange(at, to), c)
+        if to < len(rows) and own[to] != own[at]:
+            to = int(np.searchsorted(own, own[to]))
+        c = count[rows[at:to]]
+        i = np.repeat(rows[at:to], c)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
         apart = (label[i] != label[j]) & ((side[i] == 0) | (side[i] != side[j]))
         p, q = place[i[apart]], place[j[apart]]
-        held = np.unique(np.concatenate([held, np.minimum(p, q) << 32 | np.maximum(p, q)]))
+        yield np.unique(np.minimum(p, q) << 32 | np.maximum(p, q))
         at = to
-        if len(held) > 2 * ACROSS_PAIRS:
-            yield held
-            held = np.empty(0, np.int64)
-    yield held
 
 
 def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -432,17 +437,19 @@ def _across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     that sizes and outlines allow."""
     known = np.asarray(table.column("bins").is_valid())
     sets = table.filter(pa.array(known))
-    members = table.filter(pa.array(~known)).sort_by([("g", "ascending"), ("n", "ascending")])
-    node = np.asarray(sets.column("node"), np.int64)
+    members = table.filter(pa.array(~known)).sort_by([(c, "ascending") for c in ("g", "n", "node")])
+    # a set's place follows its size, as its rows do in every group
+    sets = sets.sort_by([("n", "ascending"), ("node", "ascending")])
+    node, size = (np.asarray(sets.column(c), np.int64) for c in ("node", "n"))
+    x = _opened(sets.column("bins").to_pylist())
+    coarse = _coarse(x)
     order = np.argsort(node)
-    node, size = node[order], np.asarray(sets.column("n"), np.int64)[order]
-    x = _opened(sets.column("bins").to_pylist())[order]
-    place = np.searchsorted(node, np.asarray(members.column("node"), np.int64))
+    place = order[np.searchsorted(node, np.asarray(members.column("node"), np.int64), sorter=order)]
     found = [np.empty((0, 2), np.int64)]
     for codes in _candidates(*(np.asarray(members.column(c), np.int64) for c in ("g", "label", "n", "side")), place):
         p, q = codes >> 32, codes & 0xFFFFFFFF
-        ok = _within(x, p, q, size[p] + size[q])
-        found.append(np.stack([node[p[ok]], node[q[ok]]], 1))
+        ok = _within(x, p, q, size[p] + size[q], coarse)
+        found.append(np.sort(np.stack([node[p[ok]], node[q[ok]]], 1), 1))
     pairs = np.concatenate(found)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 

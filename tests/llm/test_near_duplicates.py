@@ -1,9 +1,11 @@
 """Shingle sets, signatures, the join and its components, against brute force."""
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import SCHEMA, none, odd, odd_rows, odd_texts, words  # noqa: F401
@@ -170,6 +172,37 @@ def test_pairs_of_a_family_are_looked_at_once(monkeypatch):
         assert {(c >> 32, c & 0xFFFFFFFF) for c in codes} == want
 
 
+def test_pairs_of_many_groups_come_once_and_in_bounded_memory():
+    """Near copies that share many groups: as many pairs out as there are, and few held at a time."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 60, dtype=np.uint64))
+    sets = [np.unique(np.append(base[rng.random(60) < 0.95], rng.integers(0, 2**63, 4, dtype=np.uint64))) for _ in range(1200)]
+    n, node, label = np.array([len(s) for s in sets]), rng.permutation(10**6)[:1200], np.arange(1200) // 2
+    member = np.concatenate([np.flatnonzero(rng.random(1200) < 0.8) for _ in range(12)])
+    g = np.repeat(np.arange(12), np.diff(np.append(np.flatnonzero(np.append(True, np.diff(member) < 0)), len(member))))
+    cols = {"bucket": g * 0, "g": g, "node": node[member], "label": label[member], "n": n[member], "side": g * 0}
+    members = pa.table({c: pa.array(v, pa.int64()) for c, v in cols.items()} | {"bins": pa.nulls(len(g), pa.binary())})
+    none_ = pa.nulls(1200, pa.int64())
+    outlines = pa.table([pa.array(n * 0), none_, pa.array(node), none_, pa.array(n), none_,
+                         pa.array([ngram_join.outline(s) for s in sets], pa.binary())], members.column_names)
+    table = pa.concat_tables([members, outlines])
+    tracemalloc.start()
+    got = ngram_join._across((pa.scalar(0),), table)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    x = np.stack([np.frombuffer(ngram_join.outline(s), "u1").astype(int) for s in sets])
+    there = np.zeros((12, 1200), bool)
+    there[g, member] = True
+    want = np.triu((there.T.astype(int) @ there.astype(int) > 0) & (label[:, None] != label))
+    i, j = np.nonzero(want)
+    ok = np.maximum(n[i], n[j]) <= np.minimum(n[i], n[j]) * 4 // 3
+    ok[ok] = [np.abs(x[a] - x[b]).sum() <= (n[a] + n[b]) // 7 for a, b in zip(i[ok], j[ok])]
+    want = {(min(a, b), max(a, b)) for a, b in zip(node[i[ok]].tolist(), node[j[ok]].tolist())}
+    pairs = list(zip(*(c.to_pylist() for c in got.columns)))
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 10_000
+    assert peak < 60, peak
+
+
 @pytest.mark.parametrize("group", [2, 5])
 def test_groups_cut_into_tiles_lose_no_link(spark, monkeypatch, group):
     monkeypatch.setattr(ngram_join, "GROUP", group)
